@@ -74,3 +74,130 @@ ORACLE: dict = {
                            FROM events WHERE event_type = 'click'""",
     }),
 }
+
+
+# --- Q: data quality (SQL written per check; same check lists as data) -------------
+
+def _q_table(name: str) -> str:
+    return {"customers": "raw_customers", "events": "raw_events", "orders": "raw_orders",
+            "churn_labels": "raw_churn_labels"}.get(name, name)
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def _check_sql(suite: str, chk) -> str:
+    from ..operators import quality as Q
+    t = _q_table(suite)
+    head = f"SELECT '{suite}' AS suite, '{chk.check}' AS \"check\", "
+    if chk.check == Q.ROW_COUNT:
+        conds = ["true"]
+        if chk.min_value is not None:
+            conds.append(f"count(*) >= {chk.min_value}")
+        if chk.max_value is not None:
+            conds.append(f"count(*) <= {chk.max_value}")
+        return (head + f"CAST(NULL AS VARCHAR) AS \"column\", ({' AND '.join(conds)}) AS success, "
+                f"count(*) AS element_count, CAST(NULL AS BIGINT) AS missing_count, "
+                f"CAST(NULL AS BIGINT) AS unexpected_count FROM {t}")
+    c = chk.column
+    if chk.check == Q.UNIQUE:
+        return (head + f"'{c}' AS \"column\", "
+                f"coalesce(sum(CASE WHEN v IS NOT NULL AND n > 1 THEN n END), 0) = 0 AS success, "
+                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS element_count, "
+                f"CAST(coalesce(sum(CASE WHEN v IS NULL THEN n END), 0) AS BIGINT) AS missing_count, "
+                f"CAST(coalesce(sum(CASE WHEN v IS NOT NULL AND n > 1 THEN n END), 0) AS BIGINT) AS unexpected_count "
+                f"FROM (SELECT {c} AS v, count(*) AS n FROM {t} GROUP BY {c})")
+    nulls = f"CAST(count(*) - count({c}) AS BIGINT)"
+    if chk.check == Q.NOT_NULL:
+        bad = nulls
+    elif chk.check == Q.IN_SET:
+        bad = f"CAST(count_if({c} IS NOT NULL AND {c} NOT IN ({', '.join(_lit(v) for v in chk.value_set)})) AS BIGINT)"
+    else:
+        parts = []
+        if chk.min_value is not None:
+            parts.append(f"{c} < {chk.min_value}")
+        if chk.max_value is not None:
+            parts.append(f"{c} > {chk.max_value}")
+        bad = f"CAST(count_if({c} IS NOT NULL AND ({' OR '.join(parts) or 'false'})) AS BIGINT)"
+    return (head + f"'{c}' AS \"column\", {bad} = 0 AS success, count(*) AS element_count, "
+            f"{nulls} AS missing_count, {bad} AS unexpected_count FROM {t}")
+
+
+def suites_sql(suites: dict) -> str:
+    return "\nUNION ALL\n".join(_check_sql(s, c) for s, cs in suites.items() for c in cs)
+
+
+def _schema_sql(model, test, col, values) -> str:
+    head = f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", "
+    if test == "not_null":
+        return head + f"CAST(count_if({col} IS NULL) AS BIGINT) AS failures FROM {model}"
+    if test == "unique":
+        return head + (f"count(*) AS failures FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL "
+                       f"GROUP BY {col} HAVING count(*) > 1)")
+    vals = ", ".join(_lit(v) for v in values)
+    return head + (f"count(*) AS failures FROM (SELECT {col} AS value_field, count(*) AS n_records FROM {model} "
+                   f"GROUP BY {col}) WHERE value_field NOT IN ({vals})")
+
+
+def _quality_oracle() -> dict:
+    from ..operators import quality as Q
+    from ..sources import fixtures as fx
+    suites = dict(Q.raw_suites(fx.FIXTURE_SEGMENTS))
+    suites.update(Q.mart_suites())
+    out = {}
+    for name, kind in [("expect_row_count_between", Q.ROW_COUNT), ("expect_not_null", Q.NOT_NULL),
+                       ("expect_unique", Q.UNIQUE), ("expect_in_set", Q.IN_SET),
+                       ("expect_between", Q.BETWEEN)]:
+        sub = {t: [c for c in cs if c.check == kind] for t, cs in suites.items()}
+        out[name] = suites_sql({t: cs for t, cs in sub.items() if cs})
+    out["run_suite"] = suites_sql({"customers": Q.raw_suites(fx.FIXTURE_SEGMENTS)["customers"]})
+    out["raw_suites"] = suites_sql(Q.raw_suites(fx.FIXTURE_SEGMENTS))
+    out["mart_suites"] = suites_sql(Q.mart_suites())
+    tests = Q.schema_tests([s.lower() for s in fx.FIXTURE_SEGMENTS])
+    for kind in ("not_null", "unique", "accepted_values"):
+        out[f"schema_test_{kind}"] = "\nUNION ALL\n".join(_schema_sql(*t) for t in tests if t[1] == kind)
+    # Null census per raw table
+    cols = {"raw_customers": ("customers", ["customer_id", "name", "email", "age", "segment", "region",
+                                            "acquisition_cost", "signup_date"]),
+            "raw_orders": ("orders", ["order_id", "customer_id", "order_date", "order_amount",
+                                      "product_category", "status"]),
+            "raw_events": ("events", ["event_id", "customer_id", "event_type", "event_timestamp", "channel",
+                                      "session_duration_seconds", "pages_viewed", "clicked_ad", "campaign_id"]),
+            "raw_churn_labels": ("churn_labels", ["customer_id", "is_churned", "churn_probability",
+                                                  "last_activity_date", "days_since_last_order"])}
+    parts = []
+    for t, (name, cs) in cols.items():
+        total = " + ".join(f"(count(*) - count({c}))" for c in cs)
+        anyn = " OR ".join(f"{c} IS NULL" for c in cs)
+        for c in cs:
+            parts.append(f"SELECT '{name}' AS table_name, CAST({total} AS BIGINT) AS table_null_count, "
+                         f"CAST(count_if({anyn}) AS BIGINT) AS rows_with_null, '{c}' AS column_name, "
+                         f"CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM {t}")
+    out["null_census"] = "\nUNION ALL\n".join(parts)
+    vc = []
+    for t, name, cs in [("raw_customers", "customers", ["segment", "region"]), ("raw_events", "events", ["event_type"]),
+                        ("raw_orders", "orders", ["status"])]:
+        for c in cs:
+            vc.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
+                      f"count(*) AS count FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}")
+    out["value_counts"] = "\nUNION ALL\n".join(vc)
+    out["table_summary"] = f"""
+        SELECT 'customers' AS table_name, count(*) AS row_count, CAST(NULL AS TIMESTAMP) AS first_event_at,
+               CAST(NULL AS TIMESTAMP) AS last_event_at, CAST(NULL AS DOUBLE) AS order_total,
+               CAST(NULL AS DOUBLE) AS order_mean, CAST(NULL AS BIGINT) AS churned, CAST(NULL AS DOUBLE) AS churn_rate
+        FROM raw_customers
+        UNION ALL
+        SELECT 'events', count(*), min(event_timestamp), max(event_timestamp), NULL, NULL, NULL, NULL FROM raw_events
+        UNION ALL
+        SELECT 'orders', count(*), NULL, NULL, sum({cents('order_amount')}) / 100.0,
+               sum({cents('order_amount')}) / 100.0 / count(order_amount), NULL, NULL FROM raw_orders
+        UNION ALL
+        SELECT 'churn_labels', count(*), NULL, NULL, NULL, NULL, CAST(count_if(is_churned) AS BIGINT),
+               count_if(is_churned) / count(is_churned) FROM raw_churn_labels"""
+    return out
+
+
+ORACLE.update(_quality_oracle())

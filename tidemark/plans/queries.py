@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import attribution, derive, marts, staging
+from ..operators import attribution, derive, marts, quality, staging
 from ..sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -243,3 +243,106 @@ def asof_inputs(spark, d):
 def q_attribute_orders_asof(spark, d):
     orders, clicks = asof_inputs(spark, d)
     return attribution.attribute_orders_asof(orders, clicks)
+
+
+# --- Q: data quality ------------------------------------------------------------------
+
+def raw_fixture_tables(spark, d):
+    return fx.raw_tables(spark, d)
+
+
+def mart_tables(spark, d):
+    s = staged(spark, d)
+    l = marts.mart_customer_ltv(s["stg_customers"], s["stg_orders"], s["stg_churn_labels"], with_updated_at=False)
+    return {
+        "mart_customer_ltv": l,
+        "mart_campaign_performance": marts.mart_campaign_performance(s["stg_events"], s["stg_orders"],
+                                                                     with_updated_at=False),
+        "mart_churn_summary": marts.mart_churn_summary(l, with_updated_at=False),
+    }
+
+
+def all_suites():
+    suites = dict(quality.raw_suites(fx.FIXTURE_SEGMENTS))
+    suites.update(quality.mart_suites())
+    return suites
+
+
+def _subset(kind):
+    return {t: [c for c in cs if c.check == kind] for t, cs in all_suites().items()
+            if any(c.check == kind for c in cs)}
+
+
+def _suite_query(kind):
+    def fn(spark, d):
+        tables = dict(raw_fixture_tables(spark, d))
+        tables.update(mart_tables(spark, d))
+        return quality.run_suites(tables, _subset(kind))
+    return fn
+
+
+for _name, _kind in [("expect_row_count_between", quality.ROW_COUNT), ("expect_not_null", quality.NOT_NULL),
+                     ("expect_unique", quality.UNIQUE), ("expect_in_set", quality.IN_SET),
+                     ("expect_between", quality.BETWEEN)]:
+    REGISTRY[_name] = _suite_query(_kind)
+
+
+@query("run_suite")
+def q_run_suite(spark, d):
+    return quality.run_suite(fx.raw_customers(spark, d), "customers",
+                             quality.raw_suites(fx.FIXTURE_SEGMENTS)["customers"])
+
+
+@query("raw_suites")
+def q_raw_suites(spark, d):
+    return quality.run_suites(raw_fixture_tables(spark, d), quality.raw_suites(fx.FIXTURE_SEGMENTS))
+
+
+@query("mart_suites")
+def q_mart_suites(spark, d):
+    return quality.run_suites(mart_tables(spark, d), quality.mart_suites())
+
+
+def schema_models(spark, d):
+    m = dict(staged(spark, d))
+    m.update(mart_tables(spark, d))
+    return m
+
+
+def fixture_schema_tests():
+    return quality.schema_tests([s.lower() for s in fx.FIXTURE_SEGMENTS])
+
+
+def _schema_query(kind):
+    def fn(spark, d):
+        return quality.run_schema_tests(schema_models(spark, d),
+                                        [t for t in fixture_schema_tests() if t[1] == kind])
+    return fn
+
+
+REGISTRY["schema_test_not_null"] = _schema_query("not_null")
+REGISTRY["schema_test_unique"] = _schema_query("unique")
+REGISTRY["schema_test_accepted_values"] = _schema_query("accepted_values")
+
+
+@query("null_census")
+def q_null_census(spark, d):
+    out = None
+    for name, df in raw_fixture_tables(spark, d).items():
+        r = quality.null_census(df, name)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    raw = raw_fixture_tables(spark, d)
+    return (quality.value_counts(raw["customers"], "customers", ["segment", "region"])
+            .unionByName(quality.value_counts(raw["events"], "events", ["event_type"]))
+            .unionByName(quality.value_counts(raw["orders"], "orders", ["status"])))
+
+
+@query("table_summary")
+def q_table_summary(spark, d):
+    raw = raw_fixture_tables(spark, d)
+    return quality.table_summary(raw["customers"], raw["events"], raw["orders"], raw["churn_labels"])
