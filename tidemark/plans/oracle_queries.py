@@ -201,3 +201,183 @@ def _quality_oracle() -> dict:
 
 
 ORACLE.update(_quality_oracle())
+
+
+# --- M / S: churn model ------------------------------------------------------------------
+
+_NUM = "total_orders, total_revenue, avg_order_value, customer_lifespan_days, net_ltv, age, acquisition_cost"
+_ENC = """
+    SELECT feature, value, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY value) - 1 AS BIGINT) AS code
+    FROM (SELECT DISTINCT 'segment' AS feature, coalesce(CAST(segment AS VARCHAR), 'None') AS value
+          FROM mart_customer_ltv WHERE is_churned IS NOT NULL
+          UNION
+          SELECT DISTINCT 'region', coalesce(CAST(region AS VARCHAR), 'None')
+          FROM mart_customer_ltv WHERE is_churned IS NOT NULL)"""
+_SPLIT = ("CASE WHEN CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR) || '-42'), 1, 8)) AS BIGINT) % 100 < 20 "
+          "THEN 'test' ELSE 'train' END")
+_SCORES = """SELECT CAST(is_churned AS INTEGER) AS label, churn_probability AS score,
+                    CAST(churn_probability >= 0.5 AS INTEGER) AS prediction
+             FROM mart_customer_ltv WHERE is_churned IS NOT NULL"""
+
+ORACLE.update({
+    "feature_columns": f"SELECT {_NUM}, segment, region, is_churned FROM mart_customer_ltv",
+    "scan_features": f"""SELECT customer_id, {_NUM}, segment, region, is_churned FROM mart_customer_ltv
+                         WHERE is_churned IS NOT NULL""",
+    "scan_scoring": f"SELECT customer_id, name, segment, region, {_NUM} FROM mart_customer_ltv",
+    "fit_encoder": _ENC,
+    "apply_encoder": (f"""
+        SELECT l.customer_id, coalesce(s.code, -1) AS segment_code, coalesce(r.code, -1) AS region_code
+        FROM mart_customer_ltv l
+        LEFT JOIN enc s ON s.feature = 'segment' AND s.value = coalesce(CAST(l.segment AS VARCHAR), 'None')
+        LEFT JOIN enc r ON r.feature = 'region' AND r.value = coalesce(CAST(l.region AS VARCHAR), 'None')""",
+                      {"enc": _ENC}),
+    "stratified_split": f"""SELECT customer_id, is_churned, {_SPLIT} AS split FROM mart_customer_ltv
+                            WHERE is_churned IS NOT NULL""",
+    "class_weight": f"""
+        SELECT CAST(count_if(NOT is_churned) AS BIGINT) AS negatives, CAST(count_if(is_churned) AS BIGINT) AS positives,
+               CAST(count_if(NOT is_churned) AS DOUBLE) / nullif(CAST(count_if(is_churned) AS DOUBLE), 0)
+                   AS scale_pos_weight
+        FROM mart_customer_ltv WHERE is_churned IS NOT NULL AND {_SPLIT} = 'train'""",
+    "target_rate": """SELECT count(*) AS rows, CAST(count_if(is_churned) AS BIGINT) AS positives,
+                             count_if(is_churned) / count(*) AS churn_rate
+                      FROM mart_customer_ltv WHERE is_churned IS NOT NULL""",
+    "roc_auc": (f"""
+        SELECT CAST(sum(2 * CAST(pos AS HUGEINT) * below + CAST(pos AS HUGEINT) * neg) AS DOUBLE)
+                   / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc,
+               CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+        FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                         AS below
+              FROM (SELECT CAST(score AS DOUBLE) AS s, count_if(label = 1) AS pos, count_if(label = 0) AS neg
+                    FROM scores WHERE score IS NOT NULL GROUP BY score))""", {"scores": _SCORES}),
+    "classification_report": (f"""
+        SELECT 'active' AS class_name,
+               coalesce(CAST(tp0 AS DOUBLE) / nullif(CAST(tp0 + fn1 AS DOUBLE), 0), 0.0) AS precision,
+               coalesce(CAST(tp0 AS DOUBLE) / nullif(CAST(tp0 + fp1 AS DOUBLE), 0), 0.0) AS recall,
+               coalesce(CAST(2 * tp0 AS DOUBLE) / nullif(CAST(2 * tp0 + fn1 + fp1 AS DOUBLE), 0), 0.0) AS f1_score,
+               CAST(tp0 + fp1 AS BIGINT) AS support FROM cm
+        UNION ALL
+        SELECT 'churned',
+               coalesce(CAST(tp1 AS DOUBLE) / nullif(CAST(tp1 + fp1 AS DOUBLE), 0), 0.0),
+               coalesce(CAST(tp1 AS DOUBLE) / nullif(CAST(tp1 + fn1 AS DOUBLE), 0), 0.0),
+               coalesce(CAST(2 * tp1 AS DOUBLE) / nullif(CAST(2 * tp1 + fp1 + fn1 AS DOUBLE), 0), 0.0),
+               CAST(tp1 + fn1 AS BIGINT) FROM cm""", {
+        "scores": _SCORES,
+        "cm": """SELECT count_if(label = 1 AND prediction = 1) AS tp1, count_if(label = 0 AND prediction = 1) AS fp1,
+                        count_if(label = 1 AND prediction = 0) AS fn1, count_if(label = 0 AND prediction = 0) AS tp0
+                 FROM scores"""}),
+    "scoring_summary": """
+        SELECT count(*) AS customers_scored, CAST(count_if(churn_probability >= 0.5) AS BIGINT) AS predicted_churned,
+               count_if(churn_probability >= 0.5) / count(*) AS predicted_churned_share,
+               sum(CAST(round(churn_probability * 1000000.0) AS BIGINT)) / count(churn_probability) / 1000000.0
+                   AS avg_churn_probability
+        FROM mart_customer_ltv""",
+})
+
+
+# --- T: pipeline metrics (window starts aligned to the epoch, like Spark's window) -------
+
+def _bucket(ts: str, seconds: int) -> str:
+    us = seconds * 1_000_000
+    return f"make_timestamp(CAST(floor(epoch_us({ts}) / {us}) * {us} AS BIGINT))"
+
+
+_COUNTERS = """
+    SELECT 'events_' || event_type || '_total' AS metric, ts, event_id AS seq,
+           CAST((row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id)) % 200 AS DOUBLE) AS value
+    FROM events"""
+_GAUGES = """
+    SELECT CASE event_id % 3 WHEN 0 THEN 'airflow_pool_open_slots' WHEN 1 THEN 'airflow_pool_used_slots'
+                ELSE 'airflow_pool_starving_tasks' END AS metric,
+           CASE WHEN user_id % 2 = 0 THEN 'default_pool' ELSE 'other_pool' END AS pool,
+           ts, event_id AS seq, CAST(value AS DOUBLE) AS value
+    FROM events"""
+
+
+def _increase_sql(seconds: int, where: str = "true") -> str:
+    b = _bucket("ts", seconds)
+    return f"""
+        SELECT metric, window_start, window_start + INTERVAL {seconds} SECOND AS window_end,
+               sum(CASE WHEN prev IS NULL THEN 0.0 WHEN value >= prev THEN value - prev ELSE value END) AS increase,
+               count(*) AS samples
+        FROM (SELECT metric, value, {b} AS window_start,
+                     lag(value) OVER (PARTITION BY metric, {b} ORDER BY ts, seq) AS prev
+              FROM counters WHERE value IS NOT NULL AND {where})
+        GROUP BY metric, window_start"""
+
+
+def _band(v: str, steps) -> str:
+    base = [c for lo, c in steps if lo is None][0]
+    whens = " ".join(f"WHEN {v} >= {float(lo)} THEN '{c}'"
+                     for lo, c in sorted([s for s in steps if s[0] is not None], key=lambda s: -s[0]))
+    return f"CASE WHEN {v} IS NULL THEN NULL {whens} ELSE '{base}' END"
+
+
+def _metrics_oracle() -> dict:
+    from ..operators.metrics import FAILURE_STEPS, HEARTBEAT_STEPS, MAPPING_RULES, glob_to_regex
+    from ..sources.fixtures import DOTTED_PREFIXES
+    ctes = {"counters": _COUNTERS, "gauges": _GAUGES}
+    prefix = "CASE event_id % 10 " + " ".join(
+        f"WHEN {i} THEN '{p}'" for i, p in enumerate(DOTTED_PREFIXES[:-1])) + f" ELSE '{DOTTED_PREFIXES[-1]}' END"
+    metric_case, key_case, val_case = [], [], []
+    for glob, target, key in MAPPING_RULES:
+        rx = glob_to_regex(glob).replace("'", "''")
+        cond = f"regexp_full_match(name, '{rx}')"
+        if "$1" in target:
+            pre, post = target.split("$1")
+            m = f"'{pre}' || regexp_extract(name, '{rx}', 1) || '{post}'"
+        else:
+            m = f"'{target}'"
+        metric_case.append(f"WHEN {cond} THEN {m}")
+        key_case.append(f"WHEN {cond} THEN {('' + repr(key)) if key else 'NULL'}")
+        val_case.append(f"WHEN {cond} THEN {f'regexp_extract(name, {chr(39)}{rx}{chr(39)}, 1)' if key else 'NULL'}")
+    fallback = "regexp_replace(name, '[^a-zA-Z0-9_:]', '_', 'g')"
+    inc24 = _increase_sql(86400)
+    rate2 = _increase_sql(120)
+    return {
+        "map_metric_names": (f"""
+            SELECT event_id, name, CASE {' '.join(metric_case)} ELSE {fallback} END AS metric,
+                   CASE {' '.join(key_case)} ELSE NULL END AS label_name,
+                   CASE {' '.join(val_case)} ELSE NULL END AS label_value
+            FROM names""", {"names": f"SELECT event_id, {prefix} || event_type AS name FROM events"}),
+        "counter_increase": (inc24, ctes),
+        "counter_rate": (f"SELECT *, increase / 300.0 AS rate FROM ({_increase_sql(300)})", ctes),
+        "sum_over_series": (f"""SELECT window_start, window_end, sum(increase) AS total_increase
+                                FROM ({inc24}) GROUP BY window_start, window_end""", ctes),
+        "last_value": (f"""
+            SELECT metric, NULL::VARCHAR AS pool, arg_max(ts, {{'t': ts, 's': seq}}) AS ts,
+                   arg_max(value, {{'t': ts, 's': seq}}) AS value
+            FROM counters WHERE value IS NOT NULL GROUP BY metric
+            UNION ALL
+            SELECT metric, pool, arg_max(ts, {{'t': ts, 's': seq}}), arg_max(value, {{'t': ts, 's': seq}})
+            FROM gauges WHERE value IS NOT NULL GROUP BY metric, pool""", ctes),
+        "threshold_band": (f"""
+            SELECT metric, window_start, increase AS value, {_band('increase / 100.0', FAILURE_STEPS)} AS band,
+                   'increase_24h' AS panel FROM ({inc24})
+            UNION ALL
+            SELECT metric, window_start, increase / 120.0, {_band('increase / 120.0', HEARTBEAT_STEPS)}, 'rate_2m'
+            FROM ({rate2})""", ctes),
+        "gauge_range": ("""
+            SELECT metric, pool, ts, seq, value FROM gauges
+            WHERE ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 24 HOUR AND ts <= TIMESTAMP '2024-01-31 00:00:00'""",
+                        ctes),
+        "label_filter": ("""
+            SELECT ts,
+                   arg_max(value, seq) FILTER (WHERE metric = 'airflow_pool_open_slots') AS airflow_pool_open_slots,
+                   arg_max(value, seq) FILTER (WHERE metric = 'airflow_pool_used_slots') AS airflow_pool_used_slots,
+                   arg_max(value, seq) FILTER (WHERE metric = 'airflow_pool_starving_tasks')
+                       AS airflow_pool_starving_tasks
+            FROM gauges WHERE pool = 'default_pool' GROUP BY ts""", ctes),
+        "success_vs_failure": (f"""
+            SELECT *, increase / 300.0 AS rate, 'success' AS kind
+            FROM ({_increase_sql(300, "metric = 'events_purchase_total'")})
+            UNION ALL
+            SELECT *, increase / 300.0 AS rate, 'failure' AS kind
+            FROM ({_increase_sql(300, "metric = 'events_error_total'")})""", ctes),
+        "sla_miss": """
+            SELECT event_id AS run_id, event_type AS task, date_trunc('day', ts) AS scheduled_at, ts AS finished_at,
+                   (epoch_us(ts) - epoch_us(date_trunc('day', ts))) / 1000000.0 AS duration_seconds
+            FROM events WHERE ts > date_trunc('day', ts) + INTERVAL 2 HOUR""",
+    }
+
+
+ORACLE.update(_metrics_oracle())

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import attribution, derive, marts, quality, staging
+from ..operators import attribution, derive, marts, metrics, ml, quality, staging
 from ..sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -346,3 +346,157 @@ def q_value_counts(spark, d):
 def q_table_summary(spark, d):
     raw = raw_fixture_tables(spark, d)
     return quality.table_summary(raw["customers"], raw["events"], raw["orders"], raw["churn_labels"])
+
+
+# --- M / S: churn model ------------------------------------------------------------------
+
+@query("feature_columns")
+def q_feature_columns(spark, d):
+    return ml.feature_columns(ltv(spark, d))
+
+
+@query("scan_features")
+def q_scan_features(spark, d):
+    return ml.scan_features(ltv(spark, d))
+
+
+@query("scan_scoring")
+def q_scan_scoring(spark, d):
+    return ml.scan_scoring(ltv(spark, d))
+
+
+@query("fit_encoder")
+def q_fit_encoder(spark, d):
+    return ml.fit_encoder(staging.labelled_only(ltv(spark, d)))
+
+
+@query("apply_encoder")
+def q_apply_encoder(spark, d):
+    l = ltv(spark, d)
+    enc = ml.fit_encoder(staging.labelled_only(l))
+    return ml.apply_encoder(ml.scan_scoring(l), enc).select("customer_id", "segment_code", "region_code")
+
+
+@query("stratified_split")
+def q_stratified_split(spark, d):
+    return ml.stratified_split(ml.scan_features(ltv(spark, d))).select("customer_id", "is_churned", "split")
+
+
+@query("class_weight")
+def q_class_weight(spark, d):
+    s = ml.stratified_split(ml.scan_features(ltv(spark, d)))
+    return ml.class_weight(s.where(F.col("split") == "train"))
+
+
+@query("target_rate")
+def q_target_rate(spark, d):
+    return ml.target_rate(ltv(spark, d))
+
+
+def fixture_scores(spark, d):
+    """Fixture stand-in for model output: the label table's probability as score."""
+    l = staging.labelled_only(ltv(spark, d))
+    return l.select(F.col("is_churned").cast("int").alias("label"),
+                    F.col("churn_probability").alias("score"),
+                    (F.col("churn_probability") >= 0.5).cast("int").alias("prediction"))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, d):
+    return ml.roc_auc(fixture_scores(spark, d))
+
+
+@query("classification_report")
+def q_classification_report(spark, d):
+    return ml.classification_report(fixture_scores(spark, d))
+
+
+@query("scoring_summary")
+def q_scoring_summary(spark, d):
+    l = ltv(spark, d)
+    scored = l.select("customer_id", "churn_probability",
+                      (F.col("churn_probability") >= 0.5).alias("churn_prediction"))
+    return ml.scoring_summary(scored)
+
+
+@query("train_churn")
+def q_train_churn(spark, d):
+    _, rec = ml.train_churn(spark, ltv(spark, d))
+    return spark.createDataFrame([rec], "train_rows long, test_rows long, auc double, churn_rate double, "
+                                        "features string")
+
+
+@query("score_customers")
+def q_score_customers(spark, d):
+    l = ltv(spark, d)
+    model, _ = ml.train_churn(spark, l)
+    return ml.score_customers(model, ml.scan_scoring(l), with_clock=False)
+
+
+# --- T: pipeline metrics ---------------------------------------------------------------------
+
+@query("map_metric_names")
+def q_map_metric_names(spark, d):
+    m = metrics.map_metric_names(fx.dotted_names(spark, d))
+    return m.select("event_id", "name", "metric",
+                    F.get(F.map_keys("labels"), 0).alias("label_name"),
+                    F.get(F.map_values("labels"), 0).alias("label_value"))
+
+
+def _no_labels(df):
+    return df.drop("labels")
+
+
+@query("counter_increase")
+def q_counter_increase(spark, d):
+    return _no_labels(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour"))
+
+
+@query("counter_rate")
+def q_counter_rate(spark, d):
+    return _no_labels(metrics.counter_rate(fx.counter_samples(spark, d), 300))
+
+
+@query("sum_over_series")
+def q_sum_over_series(spark, d):
+    return metrics.sum_over_series(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour"))
+
+
+@query("last_value")
+def q_last_value(spark, d):
+    s = fx.counter_samples(spark, d).unionByName(fx.gauge_samples(spark, d))
+    lv = metrics.last_value(s)
+    return lv.select("metric", F.col("labels")["pool"].alias("pool"), "ts", "value")
+
+
+@query("threshold_band")
+def q_threshold_band(spark, d):
+    inc = metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour")
+    rate = metrics.counter_rate(fx.counter_samples(spark, d), 120)
+    a = inc.select("metric", "window_start", F.col("increase").alias("value"),
+                   metrics.threshold_band(F.col("increase") / 100.0, metrics.FAILURE_STEPS).alias("band"))
+    b = rate.select("metric", "window_start", F.col("rate").alias("value"),
+                    metrics.threshold_band(F.col("rate"), metrics.HEARTBEAT_STEPS).alias("band"))
+    return a.withColumn("panel", F.lit("increase_24h")).unionByName(b.withColumn("panel", F.lit("rate_2m")))
+
+
+@query("gauge_range")
+def q_gauge_range(spark, d):
+    g = metrics.gauge_range(fx.gauge_samples(spark, d), fx.GAUGES, fx.FIXTURE_AS_OF)
+    return g.select("metric", F.col("labels")["pool"].alias("pool"), "ts", "seq", "value")
+
+
+@query("label_filter")
+def q_label_filter(spark, d):
+    return metrics.label_filter(fx.gauge_samples(spark, d), fx.GAUGES, "pool", "default_pool")
+
+
+@query("success_vs_failure")
+def q_success_vs_failure(spark, d):
+    s = fx.counter_samples(spark, d)
+    return _no_labels(metrics.success_vs_failure(s, "events_purchase_total", "events_error_total", 300))
+
+
+@query("sla_miss")
+def q_sla_miss(spark, d):
+    return metrics.sla_miss(fx.run_table(spark, d))

@@ -115,3 +115,59 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def as_of_literal():
     return ts_literal(FIXTURE_AS_OF)
+
+
+# --- metric samples (FIXTURES §2) ----------------------------------------------------
+
+# Gauge names by event_id % 3 and dotted-name prefixes by event_id % 10 (fixed values).
+GAUGES = ["airflow_pool_open_slots", "airflow_pool_used_slots", "airflow_pool_starving_tasks"]
+DOTTED_PREFIXES = [
+    "airflow.dagrun.duration.success.",
+    "airflow.dagrun.duration.failed.",
+    "airflow.dagrun.schedule_delay.",
+    "airflow.operator_successes_",
+    "airflow.operator_failures_",
+    "airflow.pool.open_slots.",
+    "airflow.pool.used_slots.",
+    "airflow.pool.starving_tasks.",
+    "airflow.dag_processing.last_runtime.",
+    "airflow.",
+]
+COUNTER_WRAP = 200
+
+
+def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters ``events_<type>_total``: running count per type, wrapping at 200 (resets)."""
+    from ..functions.windows import running_count
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    e = running_count(e, ["event_type"], ["ts", "event_id"], F.date_trunc("day", F.col("ts")))
+    return e.select(
+        F.concat(F.lit("events_"), F.col("event_type"), F.lit("_total")).alias("metric"),
+        F.create_map().cast("map<string,string>").alias("labels"),
+        F.col("ts"), F.col("event_id").alias("seq"),
+        (F.col("rn") % COUNTER_WRAP).cast("double").alias("value"))
+
+
+def gauge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id") % 3
+    metric = F.when(k == 0, GAUGES[0]).when(k == 1, GAUGES[1]).otherwise(GAUGES[2])
+    pool = F.when(F.col("user_id") % 2 == 0, "default_pool").otherwise("other_pool")
+    return e.select(metric.alias("metric"), F.create_map(F.lit("pool"), pool).alias("labels"),
+                    F.col("ts"), F.col("event_id").alias("seq"), F.col("value").cast("double").alias("value"))
+
+
+def dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    k = F.col("event_id") % len(DOTTED_PREFIXES)
+    prefix = F.lit(DOTTED_PREFIXES[-1])
+    for i in range(len(DOTTED_PREFIXES) - 2, -1, -1):
+        prefix = F.when(k == i, DOTTED_PREFIXES[i]).otherwise(prefix)
+    return e.select("event_id", F.concat(prefix, F.col("event_type")).alias("name"))
+
+
+def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_id").alias("run_id"), F.col("event_type").alias("task"),
+                    F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("scheduled_at"),
+                    F.col("ts").alias("finished_at"))
