@@ -381,3 +381,11 @@ def _metrics_oracle() -> dict:
 
 
 ORACLE.update(_metrics_oracle())
+
+
+ORACLE.update({
+    "scan_count": """
+        SELECT 'mart_customer_ltv' AS table_name, count(*) AS row_count FROM mart_customer_ltv
+        UNION ALL SELECT 'mart_campaign_performance', count(*) FROM mart_campaign_performance
+        UNION ALL SELECT 'mart_churn_summary', count(*) FROM mart_churn_summary""",
+})

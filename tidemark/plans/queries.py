@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import attribution, derive, marts, metrics, ml, quality, staging
 from ..sources import fixtures as fx
+from ..sources import raw as raw_io
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -500,3 +501,30 @@ def q_success_vs_failure(spark, d):
 @query("sla_miss")
 def q_sla_miss(spark, d):
     return metrics.sla_miss(fx.run_table(spark, d))
+
+
+# --- S: sources and sinks ----------------------------------------------------------------
+
+@query("scan_count")
+def q_scan_count(spark, d):
+    out = None
+    for name, df in mart_tables(spark, d).items():
+        r = raw_io.scan_count(df).select(F.lit(name).alias("table_name"), "row_count")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("scan_sample")
+def q_scan_sample(spark, d):
+    return raw_io.scan_sample(ltv(spark, d), 100_000).select("customer_id")
+
+
+@query("limit")
+def q_limit(spark, d):
+    return raw_io.scan_sample(q_mart_campaign_performance(spark, d), 100_000)
+
+
+@query("file_inventory")
+def q_file_inventory(spark, d):
+    names = ["customer", "nation", "region", "orders", "events"]
+    return raw_io.file_inventory(spark, {n: f"{d.rstrip('/')}/{n}.parquet" for n in names}).drop("file_path")
