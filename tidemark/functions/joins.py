@@ -1,10 +1,11 @@
-"""Join helpers that broadcast only behind a measured size bound.
+"""Join helpers that broadcast only behind a size check.
 
-``join_small_dimension`` counts the dimension side first (a tiny job over a
-lookup table) and broadcasts it only when the count is within ``max_rows``;
-beyond that the join falls back to Spark's shuffle join, where AQE can still
-convert to a broadcast from measured shuffle sizes or split skewed
-partitions.
+``join_small_dimension`` broadcasts the dimension side only when it is
+proven small: first by the optimizer's size estimate of its plan (for file
+scans an upper bound from file sizes, no job needed), otherwise by counting
+at most ``max_rows + 1`` rows.  Beyond the bound it falls back to Spark's
+shuffle join, where AQE can still switch to a broadcast from measured
+shuffle sizes or split skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,14 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan, in bytes."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
+
+
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def join_small_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                         max_rows: int = 100_000) -> DataFrame:
-    if is_small(dim, max_rows):
+                         max_rows: int = 100_000, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    if is_small(dim, max_rows, max_bytes):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

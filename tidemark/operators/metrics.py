@@ -87,18 +87,22 @@ def counter_increase(samples: DataFrame, range_: str = "24 hours", step: str = "
          .withColumn("_w", F.window("ts", range_))
          .withColumn("_s", F.window("ts", step).start))
     order = F.struct("ts", "seq")
+    # One shuffle of the samples: lag inside each slice, then per-slice totals
+    # on the same partitioning (first step of a slice counts 0 here).
     inside = Window.partitionBy("metric", "_k", "_w", "_s").orderBy("ts", "seq")
-    inner = (s.withColumn("_i", _inc(F.col("value"), F.lag("value").over(inside)))
-             .groupBy("metric", "_k", "_w").agg(F.sum("_i").alias("_inner"), F.count(F.lit(1)).alias("samples")))
-    per_slice = s.groupBy("metric", "_k", "_w", "_s").agg(
-        F.min_by("value", order).alias("_first"), F.max_by("value", order).alias("_last"))
+    per_slice = (s.withColumn("_p", F.lag("value").over(inside))
+                 .groupBy("metric", "_k", "_w", "_s")
+                 .agg(F.sum(_inc(F.col("value"), F.col("_p"))).alias("_in"), F.count(F.lit(1)).alias("_n"),
+                      F.min_by("value", order).alias("_first"), F.max_by("value", order).alias("_last")))
+    # Steps across slice borders: a window over the small per-slice table.
     across = Window.partitionBy("metric", "_k", "_w").orderBy("_s")
-    border = (per_slice.withColumn("_b", _inc(F.col("_first"), F.lag("_last").over(across)))
-              .groupBy("metric", "_k", "_w").agg(F.sum("_b").alias("_border")))
-    return inner.join(border, ["metric", "_k", "_w"], "left").select(
+    per_range = (per_slice.withColumn("_b", _inc(F.col("_first"), F.lag("_last").over(across)))
+                 .groupBy("metric", "_k", "_w")
+                 .agg((F.sum("_in") + F.sum("_b")).alias("increase"), F.sum("_n").alias("samples")))
+    return per_range.select(
         "metric", F.map_from_entries("_k").alias("labels"),
         F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-        (F.col("_inner") + F.coalesce(F.col("_border"), F.lit(0.0))).alias("increase"), "samples")
+        "increase", "samples")
 
 
 def counter_rate(samples: DataFrame, range_seconds: int = 300, step_seconds: int | None = None) -> DataFrame:

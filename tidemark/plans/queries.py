@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attribution, derive, marts, metrics, ml, quality, staging
+from ..functions.memo import plan_memo
 from ..sources import fixtures as fx
 from ..sources import raw as raw_io
 
@@ -30,10 +31,12 @@ def query(name: str):
 
 # --- shared building blocks ---------------------------------------------------
 
+@plan_memo
 def staged(spark, d) -> dict[str, DataFrame]:
     return staging.stage_all(fx.raw_tables(spark, d))
 
 
+@plan_memo
 def ltv(spark, d) -> DataFrame:
     s = staged(spark, d)
     return marts.mart_customer_ltv(s["stg_customers"], s["stg_orders"], s["stg_churn_labels"],
@@ -248,10 +251,12 @@ def q_attribute_orders_asof(spark, d):
 
 # --- Q: data quality ------------------------------------------------------------------
 
+@plan_memo
 def raw_fixture_tables(spark, d):
     return fx.raw_tables(spark, d)
 
 
+@plan_memo
 def mart_tables(spark, d):
     s = staged(spark, d)
     l = marts.mart_customer_ltv(s["stg_customers"], s["stg_orders"], s["stg_churn_labels"], with_updated_at=False)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_literal
 from ..functions.joins import join_small_dimension
+from ..functions.memo import plan_memo
 from ..operators.derive import churn_labels_from_purchases
 
 # Fixed values of the stand-in mapping.
@@ -23,10 +24,12 @@ FIXTURE_SEGMENTS = ["MACHINERY", "BUILDING", "AUTOMOBILE", "HOUSEHOLD", "FURNITU
 FIXTURE_SIGNUP_BASE = "2024-01-01"
 
 
+@plan_memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@plan_memo
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -46,6 +49,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@plan_memo
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     st = F.col("o_orderstatus")
@@ -70,6 +74,7 @@ def channel_of(event_id) -> F.Column:
     return expr
 
 
+@plan_memo
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     eid = F.col("event_id")
@@ -91,6 +96,7 @@ def fixture_churn_probability(custkey) -> F.Column:
     return ((custkey * 7919) % 10001 / F.lit(10000.0)).cast("double")
 
 
+@plan_memo
 def raw_churn_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D-3 applied to the driver events: purchases decide churn at ``as_of``."""
     customers = table(spark, sf_dir, "customer").select(
@@ -136,6 +142,7 @@ DOTTED_PREFIXES = [
 COUNTER_WRAP = 200
 
 
+@plan_memo
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters ``events_<type>_total``: running count per type, wrapping at 200 (resets)."""
     from ..functions.windows import running_count
@@ -148,6 +155,7 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("rn") % COUNTER_WRAP).cast("double").alias("value"))
 
 
+@plan_memo
 def gauge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     k = F.col("event_id") % 3
@@ -157,6 +165,7 @@ def gauge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts"), F.col("event_id").alias("seq"), F.col("value").cast("double").alias("value"))
 
 
+@plan_memo
 def dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "event_type")
     k = F.col("event_id") % len(DOTTED_PREFIXES)
@@ -166,6 +175,7 @@ def dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.concat(prefix, F.col("event_type")).alias("name"))
 
 
+@plan_memo
 def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(F.col("event_id").alias("run_id"), F.col("event_type").alias("task"),
