@@ -15,8 +15,11 @@ def raw(spark, table, rows):
     return spark.createDataFrame(rows, RAW_SCHEMAS[table])
 
 
-def customer(cid, segment="smb", region="US", cost=100.0, name="A B", email=None, age=30):
-    return (cid, name, email if email is not None else f"customer_{cid}@example.com", age, segment, region,
+AUTO = object()
+
+
+def customer(cid, segment="smb", region="US", cost=100.0, name="A B", email=AUTO, age=30):
+    return (cid, name, f"customer_{cid}@example.com" if email is AUTO else email, age, segment, region,
             cost, D("2024-01-01"))
 
 

@@ -62,7 +62,7 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
 
     models = dict(staged)
     models.update(built)
-    schema_report = quality.run_schema_tests(models, quality.schema_tests(segments))
+    schema_report = quality.run_schema_tests(models, quality.schema_tests([s.lower() for s in segments]))
     failures = [r for r in schema_report.collect() if r["failures"]]   # one row per test
     if failures:
         raise quality.QualityGateError("schema tests failed: " + ", ".join(
