@@ -68,20 +68,19 @@ def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1
     click_val = F.when(is_click, F.struct("_camp", "_t"))
     click_key = F.when(is_click, F.struct("_t", "_eid"))
 
-    # One row per (customer, bucket): the bucket's last click (null if none).
-    # Partial aggregation runs before the shuffle.
+    # The one full shuffle of the events: rows go to (customer, bucket)
+    # slices and a running last(click) is computed inside each slice.
+    w = (Window.partitionBy("customer_id", "_b")
+         .orderBy("_t", "_kind", "_eid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ran = u.withColumn("_run", F.last(click_val, ignorenulls=True).over(w))
+    # Last click of each slice: a partial aggregate straight from the scan, so
+    # only one row per (customer, bucket) and task crosses the network.
     per_bucket = u.groupBy("customer_id", "_b").agg(F.max_by(click_val, click_key).alias("_lb"))
     # Carry-in from earlier buckets: a window over the small per-bucket table
     # (rows per customer bounded by the number of buckets, not by events).
     wb = Window.partitionBy("customer_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select("customer_id", "_b",
                               F.last("_lb", ignorenulls=True).over(wb).alias("_carry"))
-
-    # Running last click inside each (customer, bucket) slice.
-    w = (Window.partitionBy("customer_id", "_b")
-         .orderBy("_t", "_kind", "_eid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = F.last(click_val, ignorenulls=True).over(w)
-    out = (u.withColumn("_run", running).where(F.col("_kind") == 1)
-           .join(carry, ["customer_id", "_b"], "left"))
+    out = ran.where(F.col("_kind") == 1).join(carry, ["customer_id", "_b"], "left")
     best = F.coalesce(F.col("_run"), F.col("_carry"))
     return out.select(*order_cols, best["_camp"].alias("campaign_id"), best["_t"].alias("clicked_at"))
