@@ -1 +1,6 @@
+"""No streaming operators.
 
+The reference has no watermark, stream window, stateful operator or
+late-data rule: its pipeline is a daily whole-table refresh, which
+``tidemark.plans.daily.run_daily`` rebuilds as batch DataFrame jobs.
+"""
