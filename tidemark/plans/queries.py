@@ -425,18 +425,23 @@ def q_scoring_summary(spark, d):
     return ml.scoring_summary(scored)
 
 
+@plan_memo
+def trained(spark, d):
+    """One training run per session and table set, shared by the two queries below."""
+    return ml.train_churn(spark, ml.scan_features(ltv(spark, d)))
+
+
 @query("train_churn")
 def q_train_churn(spark, d):
-    _, rec = ml.train_churn(spark, ltv(spark, d))
+    _, rec = trained(spark, d)
     return spark.createDataFrame([rec], "train_rows long, test_rows long, auc double, churn_rate double, "
                                         "features string")
 
 
 @query("score_customers")
 def q_score_customers(spark, d):
-    l = ltv(spark, d)
-    model, _ = ml.train_churn(spark, l)
-    return ml.score_customers(model, ml.scan_scoring(l), with_clock=False)
+    model, _ = trained(spark, d)
+    return ml.score_customers(model, ml.scan_scoring(ltv(spark, d)), with_clock=False)
 
 
 # --- T: pipeline metrics ---------------------------------------------------------------------
