@@ -63,8 +63,8 @@ def money_sum(c) -> Column:
 
 
 def money_avg(c) -> Column:
-    """Aggregate: money sum divided by the count of non-null values."""
-    return money_sum(c) / F.count(col_(c))
+    """Aggregate: mean of a money column: whole cents / count, then / 100."""
+    return F.sum(to_cents(c)) / F.count(col_(c)) / F.lit(100.0)
 
 
 def scaled_avg(c, scale: int = 6) -> Column:

@@ -85,12 +85,11 @@ def revenue_stats(stg_orders_df: DataFrame, stg_events_df: DataFrame) -> DataFra
         F.count("order_id").alias("n"), F.sum(to_cents("order_amount")).alias("cents"))
     lc = last_click(stg_events_df).select("customer_id", "campaign_id")
     attributed = per_customer.join(lc, "customer_id", "inner")
-    revenue = F.sum("cents") / F.lit(100.0)
     n = F.sum("n")
     return attributed.groupBy("campaign_id").agg(
         n.alias("attributed_orders"),
-        round_half_up(revenue, 2).alias("attributed_revenue"),
-        round_half_up(revenue / n, 2).alias("avg_order_value"),
+        round_half_up(F.sum("cents") / F.lit(100.0), 2).alias("attributed_revenue"),
+        round_half_up(F.sum("cents") / n / F.lit(100.0), 2).alias("avg_order_value"),
     )
 
 

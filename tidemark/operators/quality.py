@@ -381,10 +381,10 @@ def table_summary(customers: DataFrame, events: DataFrame, orders: DataFrame,
     e = events.agg(F.count(F.lit(1)).alias("row_count"),
                    F.min("event_timestamp").alias("first_event_at"),
                    F.max("event_timestamp").alias("last_event_at")).select(F.lit("events").alias("table_name"), "*")
-    from ..functions.scalars import money_sum
+    from ..functions.scalars import money_avg, money_sum
     o = orders.agg(F.count(F.lit(1)).alias("row_count"),
                    money_sum("order_amount").alias("order_total"),
-                   (money_sum("order_amount") / F.count("order_amount")).alias("order_mean")
+                   money_avg("order_amount").alias("order_mean")
                    ).select(F.lit("orders").alias("table_name"), "*")
     ch = churn.agg(F.count(F.lit(1)).alias("row_count"),
                    F.count_if(F.col("is_churned")).alias("churned"),

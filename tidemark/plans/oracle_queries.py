@@ -193,7 +193,7 @@ def _quality_oracle() -> dict:
         SELECT 'events', count(*), min(event_timestamp), max(event_timestamp), NULL, NULL, NULL, NULL FROM raw_events
         UNION ALL
         SELECT 'orders', count(*), NULL, NULL, sum({cents('order_amount')}) / 100.0,
-               sum({cents('order_amount')}) / 100.0 / count(order_amount), NULL, NULL FROM raw_orders
+               sum({cents('order_amount')}) / count(order_amount) / 100.0, NULL, NULL FROM raw_orders
         UNION ALL
         SELECT 'churn_labels', count(*), NULL, NULL, NULL, NULL, CAST(count_if(is_churned) AS BIGINT),
                count_if(is_churned) / count(is_churned) FROM raw_churn_labels"""
