@@ -251,12 +251,14 @@ def train_churn(spark: SparkSession, labelled: DataFrame, seed: int = SEED,
     scored = model.transform(test_raw).select(
         "label", vector_to_array("probability")[1].alias("score"), "prediction")
     auc_row = roc_auc(scored).first()
+    report = [r.asDict() for r in classification_report(scored).collect()]  # two rows
     record = {
         "train_rows": counts["negatives"] + counts["positives"],
         "test_rows": test_raw.count(),
         "auc": None if auc_row is None or auc_row["auc"] is None else round(auc_row["auc"], 4),
         "churn_rate": target_rate(labelled).first()["churn_rate"],
         "features": ",".join(ALL_FEATURES),
+        "report": report,
     }
     return model, record
 
@@ -288,7 +290,7 @@ RUNS_SCHEMA = ("trained_at timestamp, train_rows long, test_rows long, auc doubl
 
 def record_training_run(spark: SparkSession, record: dict, runs_path: str) -> DataFrame:
     """Append the run record (with ``trained_at``) to the runs table."""
-    row = spark.createDataFrame([(record["train_rows"], record["test_rows"], record["auc"],
+    row = spark.createDataFrame([(int(record["train_rows"]), int(record["test_rows"]), record["auc"],
                                   record["churn_rate"], record["features"])],
                                 "train_rows long, test_rows long, auc double, churn_rate double, features string")
     row = row.select(F.current_timestamp().alias("trained_at"), "*")

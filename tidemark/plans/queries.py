@@ -434,7 +434,8 @@ def trained(spark, d):
 @query("train_churn")
 def q_train_churn(spark, d):
     _, rec = trained(spark, d)
-    return spark.createDataFrame([rec], "train_rows long, test_rows long, auc double, churn_rate double, "
+    row = {k: rec[k] for k in ("train_rows", "test_rows", "auc", "churn_rate", "features")}
+    return spark.createDataFrame([row], "train_rows long, test_rows long, auc double, churn_rate double, "
                                         "features string")
 
 

@@ -65,7 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
-            # Only reached when the deployment named no shared folder (tests).
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/object "
+                                   "store) that every executor can reach")
+            # Single-machine runs (tests) only.
             d = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
