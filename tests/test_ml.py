@@ -47,8 +47,9 @@ def test_encoder_unseen_and_null(spark):
     codes = {(r.feature, r.value): r.code for r in enc.collect()}
     assert codes[("segment", "None")] == 0 and codes[("segment", "a")] == 1 and codes[("segment", "b")] == 2
     apply = spark.createDataFrame([("a", "x"), ("zzz", "y"), (None, None)], "segment string, region string")
-    got = [(r.segment_code, r.region_code) for r in ml.apply_encoder(apply, enc).collect()]
-    assert sorted(got) == sorted([(1, 0), (-1, -1), (0, -1)])
+    for kw in ({}, {"max_literal": 0}):   # literal-map path and join fallback
+        got = [(r.segment_code, r.region_code) for r in ml.apply_encoder(apply, enc, **kw).collect()]
+        assert sorted(got) == sorted([(1, 0), (-1, -1), (0, -1)])
 
 
 def test_split_is_stable_and_roughly_stratified(spark):

@@ -71,8 +71,23 @@ def fit_encoder(df: DataFrame, columns=CATEGORICAL_FEATURES) -> DataFrame:
 
 
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURES,
-                  suffix: str = "_code", max_rows: int = 1_000_000) -> DataFrame:
-    """M3: unseen value -> -1; null -> the ``None`` category."""
+                  suffix: str = "_code", max_literal: int = 10_000, max_rows: int = 1_000_000) -> DataFrame:
+    """M3: unseen value -> -1; null -> the ``None`` category.
+
+    The fitted encoder is read once with a row bound; within the bound it is
+    applied as a literal map (a narrow projection, no join or shuffle).
+    Beyond it, the encoder joins as a dimension (broadcast only if proven
+    small).
+    """
+    rows = encoder.limit(max_literal + 1).collect()
+    if len(rows) <= max_literal:
+        out = df
+        for c in columns:
+            pairs = [x for r in rows if r["feature"] == c for x in (F.lit(r["value"]), F.lit(int(r["code"])))]
+            lookup = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,bigint>")
+            out = out.withColumn(c + suffix, F.coalesce(F.try_element_at(lookup, str_category(c)),
+                                                        F.lit(-1)).cast("long"))
+        return out
     out = df
     for c in columns:
         e = encoder.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"),
