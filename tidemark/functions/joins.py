@@ -1,11 +1,13 @@
 """Join helpers that broadcast only behind a size check.
 
-``join_small_dimension`` broadcasts the dimension side only when it is
-proven small: first by the optimizer's size estimate of its plan (for file
-scans an upper bound from file sizes, no job needed), otherwise by counting
-at most ``max_rows + 1`` rows.  Beyond the bound it falls back to Spark's
-shuffle join, where AQE can still switch to a broadcast from measured
-shuffle sizes or split skewed partitions.
+``join_small_dimension`` adds a broadcast hint only when the optimizer's size
+estimate of the dimension plan is within ``max_bytes`` (for file scans an
+upper bound from file sizes; no job is run).  Otherwise it leaves the join
+to Spark: a shuffle join that AQE turns into a broadcast only after the
+dimension's shuffle output has been measured below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, and whose skewed
+partitions AQE splits.  ``count_check=True`` adds an exact bounded row count
+for callers whose dimension is cheap to recompute.
 """
 
 from __future__ import annotations
@@ -24,15 +26,17 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES,
+             count_check: bool = False) -> bool:
     est = estimated_bytes(df)
     if est is not None and est <= max_bytes:
         return True
-    return df.limit(max_rows + 1).count() <= max_rows
+    return count_check and df.limit(max_rows + 1).count() <= max_rows
 
 
 def join_small_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                         max_rows: int = 100_000, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    if is_small(dim, max_rows, max_bytes):
+                         max_rows: int = 100_000, max_bytes: int = DEFAULT_MAX_BYTES,
+                         count_check: bool = False) -> DataFrame:
+    if is_small(dim, max_rows, max_bytes, count_check):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)

@@ -34,7 +34,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "r_name")
+    geo = join_small_dimension(n, r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "r_name")
     c = join_small_dimension(c, geo, c.c_nationkey == geo.n_nationkey, how="left", max_rows=10_000)
     k = F.col("c_custkey")
     return c.select(
