@@ -60,3 +60,14 @@ def test_running_count_matches_row_number(spark):
     rc = running_count(df, ["k"], ["o"], F.floor(F.col("o") / 100))
     rn = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert sorted(map(tuple, rc.select("k", "o", "rn").collect())) == sorted(map(tuple, rn.collect()))
+
+
+def test_orders_numbered_like_a_global_row_number(spark):
+    from pyspark.sql import Window
+    from tidemark.operators.derive import orders_from_purchases
+    e = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    got = orders_from_purchases(e, customer_col="user_id", ts_col="ts", number=True)
+    want = (e.where(F.col("event_type") == "purchase")
+            .select(F.row_number().over(Window.orderBy("ts", "event_id")).alias("order_id"),
+                    F.col("user_id").alias("customer_id"), F.col("ts").alias("order_date")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

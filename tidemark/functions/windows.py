@@ -20,7 +20,9 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     """
     d = df.withColumn("_bk", bucket)
     counts = d.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per (keys, bucket): with no keys this window sees only the bucket
+    # totals (bounded by the number of buckets), never the rows.
+    w = (Window.partitionBy(*keys) if keys else Window).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_bk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order)
     d = d.withColumn("_rn", F.row_number().over(inner))
