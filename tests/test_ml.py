@@ -98,3 +98,17 @@ def test_training_needs_positive_labels(spark):
     data = _labelled(spark).withColumn("is_churned", F.lit(False))
     with pytest.raises(ValueError):
         ml.train_churn(spark, data, n_trees=2)
+
+
+def test_auc_clustered_scores_match_brute_force(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 1), 0.5 + rnd.randint(0, 400) * 1e-7) for _ in range(1500)]
+    rows += [(rnd.randint(0, 1), rnd.random()) for _ in range(100)]
+    got = ml.roc_auc(spark.createDataFrame(rows, "label int, score double"), buckets=16).first().auc
+    pos = [s for y, s in rows if y == 1]
+    neg = sorted(s for y, s in rows if y == 0)
+    import bisect
+    want = sum(bisect.bisect_left(neg, p) + 0.5 * (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p))
+               for p in pos) / (len(pos) * len(neg))
+    assert abs(got - want) < 1e-12
