@@ -30,3 +30,30 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     return (join_small_dimension(d, offsets, on, "left", max_bucket_rows)
             .withColumn(name, (F.col("_rn") + F.col("_off")).cast("long"))
             .drop("_bk", "_rn", "_off", "_n"))
+
+
+def dense_codes(df: DataFrame, group_col: str, value_col: str, name: str = "code",
+                partitions: int | None = None) -> DataFrame:
+    """Per group, code = position of the value among its sorted distinct values (from 0).
+
+    Distinct values are range-partitioned by (group, value) and the partition
+    ids are pinned with a checkpoint (so every later read sees the same cut).
+    Offsets come from per-(group, partition) counts, a window over at most
+    ``partitions`` rows per group; codes inside a partition from a window over
+    that partition only.  No group is ever held by one task.
+    """
+    from ..session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = (df.select(group_col, value_col).distinct()
+         .repartitionByRange(n, group_col, value_col)
+         .withColumn("_pid", F.spark_partition_id())
+         .checkpoint())
+    counts = d.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group_col, "_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy(group_col, "_pid").orderBy(value_col)
+    return (d.withColumn("_rn", F.row_number().over(inner))
+            .join(offsets, [group_col, "_pid"], "left")
+            .select(group_col, value_col, (F.col("_off") + F.col("_rn") - 1).cast("long").alias(name)))

@@ -58,16 +58,17 @@ def scan_scoring(ltv: DataFrame) -> DataFrame:
 # --- M2, M3 ---------------------------------------------------------------------------
 
 def fit_encoder(df: DataFrame, columns=CATEGORICAL_FEATURES) -> DataFrame:
-    """M2: (feature, value, code) with code = rank in sorted distinct values - 1.
+    """M2: (feature, value, code) with code = position in sorted distinct values.
 
-    One small window per feature over distinct values only.
+    Codes come from a distributed rank over the distinct values (no feature
+    is numbered inside one task, whatever its cardinality).
     """
+    from ..functions.windows import dense_codes
     parts = [df.select(F.lit(c).alias("feature"), str_category(c).alias("value")) for c in columns]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    w = Window.partitionBy("feature").orderBy("value")
-    return u.distinct().select("feature", "value", (F.dense_rank().over(w) - 1).cast("long").alias("code"))
+    return dense_codes(u, "feature", "value")
 
 
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURES,
