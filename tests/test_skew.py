@@ -26,7 +26,6 @@ def test_asof_hot_customer_matches_brute_force(spark):
     clicks, orders = _rows()
     cdf = spark.createDataFrame(clicks, "event_id string, customer_id long, event_at timestamp_ntz, campaign_id string")
     odf = spark.createDataFrame(orders, "order_id string, customer_id long, ordered_at timestamp_ntz")
-    got = {r.order_id: r.campaign_id for r in attribution.attribute_orders_asof(odf, cdf, "6 hours").collect()}
     want = {}
     for oid, cust, t in orders:
         best = None
@@ -34,7 +33,10 @@ def test_asof_hot_customer_matches_brute_force(spark):
             if c == cust and ct <= t and (best is None or (ct, eid) > best[0]):
                 best = ((ct, eid), camp)
         want[oid] = best[1] if best else None
-    assert got == want
+    for hot_rows in (300, 10 ** 9):   # hot customer sliced / everyone whole
+        got = {r.order_id: r.campaign_id
+               for r in attribution.attribute_orders_asof(odf, cdf, "6 hours", hot_rows=hot_rows).collect()}
+        assert got == want
     assert sum(1 for o in orders if o[1] == 1) > len(orders) / 4
 
 

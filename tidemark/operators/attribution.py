@@ -8,12 +8,13 @@ Scale notes
 * ``attribute_orders`` joins many orders to exactly one click row per
   customer.  A hot customer skews the order side only; AQE's skew-join
   splits that side for a left join.
-* ``attribute_orders_asof`` never partitions by customer alone.  Time is cut
-  into buckets; the last click of each (customer, bucket) is aggregated
-  (partially, before the shuffle), the carry-in from earlier buckets comes
-  from a window over that small per-bucket table, and the running
-  ``last(ignorenulls)`` window is partitioned by (customer, bucket).  A hot
-  customer is therefore spread over as many tasks as it has buckets.
+* ``attribute_orders_asof`` finds hot customers first (a partial count; the
+  list is bounded by total rows / ``hot_rows``).  A hot customer's rows are
+  cut into time slices: the running ``last(ignorenulls)`` window is
+  partitioned by (customer, slice), the last click of each slice is a
+  partial aggregate, and the carry-in from earlier slices comes from a window
+  over that per-slice table.  Other customers are one slice each, bounded by
+  ``hot_rows``.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ def attribute_orders(stg_orders_df: DataFrame, stg_events_df: DataFrame) -> Data
         "order_id", "customer_id", "order_amount", "order_date", "campaign_id")
 
 
-def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1 day") -> DataFrame:
+def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1 minute",
+                          hot_rows: int = 5_000_000) -> DataFrame:
     """Each order takes the latest click with ``clicked_at <= ordered_at``.
 
     ``orders``: (order_id, customer_id, ordered_at, ...);
@@ -50,7 +52,13 @@ def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1
     Returns the order columns plus ``campaign_id`` and ``clicked_at`` (null
     when there is no earlier click).  A click at the same instant as the
     order counts (it sorts first); ties among clicks go to the larger
-    event_id.  ``bucket`` is the time slice that bounds each window task.
+    event_id.
+
+    Hot customers (more than ``hot_rows`` orders + clicks) are cut into
+    ``bucket`` time slices; every other customer is one slice, so no window
+    task holds more than ``hot_rows`` rows of a normal customer or one time
+    slice of a hot one.  The hot list has at most ``total_rows / hot_rows``
+    entries, which is the bound that makes broadcasting it safe.
     """
     order_cols = orders.columns
     o = orders.select(
@@ -62,22 +70,28 @@ def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1
           for n in order_cols],
         F.col("event_at").alias("_t"), F.lit(0).alias("_kind"),
         F.col("event_id").cast("string").alias("_eid"), F.col("campaign_id").alias("_camp"))
-    u = o.unionByName(c).withColumn("_b", F.window("_t", bucket).start)
+    u = o.unionByName(c)
+
+    # Hot customers: a partial count per customer, filtered to the heavy ones.
+    hot = (u.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows).select("customer_id", F.lit(True).alias("_hot")))
+    u = u.join(F.broadcast(hot), "customer_id", "left")
+    whole = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    u = u.withColumn("_b", F.when(F.col("_hot"), F.window("_t", bucket).start).otherwise(whole))
 
     is_click = F.col("_kind") == 0
     click_val = F.when(is_click, F.struct("_camp", "_t"))
     click_key = F.when(is_click, F.struct("_t", "_eid"))
 
-    # The one full shuffle of the events: rows go to (customer, bucket)
-    # slices and a running last(click) is computed inside each slice.
+    # The one full shuffle: rows go to (customer, slice) and a running
+    # last(click) is computed inside each slice.
     w = (Window.partitionBy("customer_id", "_b")
          .orderBy("_t", "_kind", "_eid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ran = u.withColumn("_run", F.last(click_val, ignorenulls=True).over(w))
-    # Last click of each slice: a partial aggregate straight from the scan, so
-    # only one row per (customer, bucket) and task crosses the network.
-    per_bucket = u.groupBy("customer_id", "_b").agg(F.max_by(click_val, click_key).alias("_lb"))
-    # Carry-in from earlier buckets: a window over the small per-bucket table
-    # (rows per customer bounded by the number of buckets, not by events).
+    # Hot customers only: last click of each slice (partial aggregate), then
+    # the carry-in from earlier slices by a window over that per-slice table.
+    per_bucket = (u.where(F.col("_hot")).groupBy("customer_id", "_b")
+                  .agg(F.max_by(click_val, click_key).alias("_lb")))
     wb = Window.partitionBy("customer_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select("customer_id", "_b",
                               F.last("_lb", ignorenulls=True).over(wb).alias("_carry"))
