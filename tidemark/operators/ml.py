@@ -255,7 +255,10 @@ def train_churn(spark: SparkSession, labelled: DataFrame, seed: int = SEED,
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     data = labelled.where(F.col(TARGET).isNotNull()).withColumn("label", F.col(TARGET).cast("double"))
-    data = stratified_split(data, seed=seed)
+    # Read by the encoder fit, the class counts, the imputer, the trees and the
+    # evaluation: write it once to the shared checkpoint folder instead of
+    # recomputing the mart for every pass (and survive lost executors).
+    data = stratified_split(data, seed=seed).checkpoint()
     prep, indexer, imputer, assembler, gbt = _stages(n_trees, seed)
     enc = Pipeline(stages=[prep, indexer]).fit(data)
     # StringIndexer "keep" puts unseen values at index n; the reference uses -1.
