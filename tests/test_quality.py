@@ -72,3 +72,21 @@ def test_null_census_and_value_counts(spark):
     assert rows["segment"].table_null_count == 2 and rows["segment"].rows_with_null == 1
     vc = [(r.column_name, r.value, r["count"]) for r in Q.value_counts(df, "customers", ["segment"]).collect()]
     assert vc == [("segment", "a", 2)]
+
+
+def test_merged_profile_equals_separate_operators(spark):
+    import __spark_entry__  # noqa: F401  (path setup)
+    from tidemark.sources import fixtures as fx
+    raw = fx.raw_tables(spark, "/root/testdata/sf0.001")
+    raw = {k: v.fillna({"days_since_last_order": 0}) if k == "churn_labels" else v for k, v in raw.items()}
+    suites = Q.raw_suites(fx.FIXTURE_SEGMENTS)
+    allow = {"events": ["campaign_id"], "churn_labels": ["last_activity_date"]}
+    report, census, summary, errors = Q.profile_tables(raw, suites, allow)
+    assert errors == []
+    want = Q.run_suites(raw, suites)
+    key = lambda r: (r["suite"], r["check"], r["column"] or "")
+    assert sorted(map(tuple, report.collect()), key=lambda t: (t[0], t[1], t[2] or "")) == \
+        sorted(map(tuple, want.collect()), key=lambda t: (t[0], t[1], t[2] or ""))
+    sep = Q.table_summary(raw["customers"], raw["events"], raw["orders"], raw["churn_labels"])
+    cols = sep.columns
+    assert sorted(map(tuple, summary.select(*cols).collect()), key=str) == sorted(map(tuple, sep.collect()), key=str)

@@ -392,3 +392,92 @@ def table_summary(customers: DataFrame, events: DataFrame, orders: DataFrame,
                    ).select(F.lit("churn_labels").alias("table_name"), "*")
     return (c.unionByName(e, allowMissingColumns=True).unionByName(o, allowMissingColumns=True)
             .unionByName(ch, allowMissingColumns=True))
+
+
+# --- merged raw-table gates: one scan per table ----------------------
+
+def profile_gates(tables: dict[str, DataFrame], suites: dict[str, list[Check]],
+                  allow_null: dict[str, list[str]] | None = None, strict_nulls: bool = False):
+    """Null gate, then expectation gate, from ``profile_tables``.
+
+    Raises ``NullGateError`` first (as the reference's file check does), then
+    ``QualityGateError`` listing every failed expectation.  Returns
+    ``(report, census, summary)``.
+    """
+    report, census, summary, null_errors = profile_tables(tables, suites, allow_null, strict_nulls)
+    if null_errors:
+        raise NullGateError("; ".join(null_errors))
+    quality_gate(report)
+    return report, census, summary
+
+
+def profile_tables(tables: dict[str, DataFrame], suites: dict[str, list[Check]],
+                   allow_null: dict[str, list[str]] | None = None, strict_nulls: bool = False):
+    """Null census, summary figures and all non-unique expectations of each
+    table from ONE aggregate per table (plus one ``groupBy`` per uniqueness
+    check).  Only the aggregate row and the report rows reach the driver.
+    Returns ``(report, census, summary, null_errors)``.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    allow_null = {} if strict_nulls else (allow_null or {})
+    report_rows, census_rows, summary_rows, null_errors = [], [], [], []
+    extra = _summary_aggs()
+    for name, df in tables.items():
+        cols = df.columns
+        allowed = set(allow_null.get(name, []))
+        checked = [c for c in cols if c not in allowed]
+        any_null = F.lit(False)
+        for c in checked:
+            any_null = any_null | F.col(c).isNull()
+        aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(any_null).alias("_rows_null")]
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)]
+        checks = suites.get(name, [])
+        for j, chk in enumerate(checks):
+            c = F.col(chk.column) if chk.column else None
+            if chk.check == IN_SET:
+                aggs.append(F.count_if(c.isNotNull() & ~c.isin(*chk.value_set)).alias(f"_u{j}"))
+            elif chk.check == BETWEEN:
+                aggs.append(F.count_if(c.isNotNull() & _outside(c, chk.min_value, chk.max_value)).alias(f"_u{j}"))
+        aggs += [a for a in extra.get(name, [])]
+        row = df.agg(*aggs).first()          # one row per table
+        n = row["_n"]
+        nulls = {c: row[f"_null_{i}"] for i, c in enumerate(cols)}
+        total = sum(nulls[c] for c in checked)
+        for c in cols:
+            census_rows.append((name, total, row["_rows_null"], c, nulls[c]))
+        if total:
+            null_errors.append(f"{name}: found {total} null values across {row['_rows_null']} rows")
+        for j, chk in enumerate(checks):
+            if chk.check == ROW_COUNT:
+                ok = (chk.min_value is None or n >= chk.min_value) and (chk.max_value is None or n <= chk.max_value)
+                report_rows.append((name, chk.check, None, bool(ok), n, None, None))
+            elif chk.check == NOT_NULL:
+                m = nulls[chk.column]
+                report_rows.append((name, chk.check, chk.column, m == 0, n, m, m))
+            elif chk.check in (IN_SET, BETWEEN):
+                u = row[f"_u{j}"]
+                report_rows.append((name, chk.check, chk.column, u == 0, n, nulls[chk.column], u))
+        summary_rows.append({k: row[k] for k in row.asDict() if not k.startswith("_")} | {"table_name": name,
+                                                                                         "row_count": n})
+    uniques = [_unique_check(tables[t], t, c) for t, cs in suites.items() for c in cs if c.check == UNIQUE]
+    for u in uniques:
+        report_rows += [tuple(r) for r in u.collect()]   # one row each
+    report = spark.createDataFrame(report_rows, REPORT_SCHEMA)
+    census = spark.createDataFrame(census_rows, "table_name string, table_null_count long, rows_with_null long, "
+                                                "column_name string, null_count long")
+    summary = spark.createDataFrame(
+        [(s.get("table_name"), s.get("row_count"), s.get("first_event_at"), s.get("last_event_at"),
+          s.get("order_total"), s.get("order_mean"), s.get("churned"), s.get("churn_rate")) for s in summary_rows],
+        "table_name string, row_count long, first_event_at timestamp_ntz, last_event_at timestamp_ntz, "
+        "order_total double, order_mean double, churned long, churn_rate double")
+    return report, census, summary, null_errors
+
+
+def _summary_aggs() -> dict:
+    from ..functions.scalars import money_avg, money_sum
+    return {
+        "events": [F.min("event_timestamp").alias("first_event_at"), F.max("event_timestamp").alias("last_event_at")],
+        "orders": [money_sum("order_amount").alias("order_total"), money_avg("order_amount").alias("order_mean")],
+        "churn_labels": [F.count_if(F.col("is_churned")).alias("churned"),
+                         (F.count_if(F.col("is_churned")) / F.count("is_churned")).alias("churn_rate")],
+    }

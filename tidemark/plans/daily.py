@@ -38,13 +38,14 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
               model_path: str | None = None, runs_path: str | None = None) -> DailyResult:
     raw_io.require_sources(spark, raw_dir)                                  # S3
     raw = {t: raw_io.read_raw(spark, raw_dir, t) for t in ("customers", "events", "orders", "churn_labels")}
-    # Unclicked events carry no campaign, so the strict gate would always stop here.
-    quality.null_gate(raw, None if strict_nulls else (allow_null or {"events": ["campaign_id"]}))
-    summary = quality.table_summary(raw["customers"], raw["events"], raw["orders"], raw["churn_labels"])
+    # One aggregate per raw table gives the null gate, the summary and every
+    # non-unique expectation; D1: unclicked events carry no
+    # campaign, so the strict null gate would always stop here.
+    raw_report, _census, summary = quality.profile_gates(
+        raw, quality.raw_suites(segments), allow_null or {"events": ["campaign_id"]}, strict_nulls)
     counts = (quality.value_counts(raw["customers"], "customers", ["segment", "region"])
               .unionByName(quality.value_counts(raw["events"], "events", ["event_type"]))
               .unionByName(quality.value_counts(raw["orders"], "orders", ["status"])))
-    raw_report = quality.quality_gate(quality.run_suites(raw, quality.raw_suites(segments)))
 
     loaded = raw_io.load_raw(spark, raw_dir, warehouse)                      # S2
     staged = staging.stage_all(loaded)
