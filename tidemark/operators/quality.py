@@ -305,15 +305,21 @@ def schema_tests(segments=REFERENCE_SEGMENTS) -> list[tuple]:
 
 
 def run_schema_tests(models: dict[str, DataFrame], tests: list[tuple]) -> DataFrame:
+    """All schema tests; the not-null tests of one model share one aggregate."""
     parts = []
+    by_model: dict[str, list[str]] = {}
     for model, test, col, values in tests:
-        df = models[model]
         if test == "not_null":
-            parts.append(schema_test_not_null(df, model, col))
+            by_model.setdefault(model, []).append(col)
         elif test == "unique":
-            parts.append(schema_test_unique(df, model, col))
+            parts.append(schema_test_unique(models[model], model, col))
         else:
-            parts.append(schema_test_accepted_values(df, model, col, values))
+            parts.append(schema_test_accepted_values(models[model], model, col, values))
+    for model, cols in by_model.items():
+        row = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, c in enumerate(cols)])
+        parts.append(row.select(F.inline(F.array(*[
+            F.struct(F.lit(model).alias("model"), F.lit("not_null").alias("test"), F.lit(c).alias("column"),
+                     F.col(f"_f{i}").cast("long").alias("failures")) for i, c in enumerate(cols)]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
