@@ -112,3 +112,15 @@ def test_auc_clustered_scores_match_brute_force(spark):
     want = sum(bisect.bisect_left(neg, p) + 0.5 * (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p))
                for p in pos) / (len(pos) * len(neg))
     assert abs(got - want) < 1e-12
+
+
+def test_empty_and_single_class_inputs_give_nulls_not_errors(spark):
+    one_class = spark.createDataFrame([(1, 0.3), (1, 0.7)], "label int, score double")
+    assert ml.roc_auc(one_class).first().auc is None
+    empty = spark.createDataFrame([], "label int, score double")
+    assert ml.roc_auc(empty).first().auc is None
+    e2 = spark.createDataFrame([], "customer_id string, churn_probability double, churn_prediction boolean")
+    r = ml.scoring_summary(e2).first()
+    assert r.customers_scored == 0 and r.predicted_churned_share is None and r.avg_churn_probability is None
+    e3 = spark.createDataFrame([], "is_churned boolean")
+    assert ml.target_rate(e3).first().churn_rate is None

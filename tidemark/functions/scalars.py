@@ -64,7 +64,7 @@ def money_sum(c) -> Column:
 
 def money_avg(c) -> Column:
     """Aggregate: mean of a money column: whole cents / count, then / 100."""
-    return F.sum(to_cents(c)) / F.count(col_(c)) / F.lit(100.0)
+    return F.try_divide(F.sum(to_cents(c)), F.count(col_(c))) / F.lit(100.0)
 
 
 def scaled_avg(c, scale: int = 6) -> Column:
@@ -73,7 +73,7 @@ def scaled_avg(c, scale: int = 6) -> Column:
     Values are summed as integers at ``10**scale`` resolution.
     """
     s = float(10 ** scale)
-    return F.sum(F.round(col_(c).cast("double") * F.lit(s)).cast("long")) / F.count(col_(c)) / F.lit(s)
+    return F.try_divide(F.sum(F.round(col_(c).cast("double") * F.lit(s)).cast("long")), F.count(col_(c))) / F.lit(s)
 
 
 def count_if(cond: Column) -> Column:

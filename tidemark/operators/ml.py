@@ -136,7 +136,7 @@ def target_rate(df: DataFrame, label: str = TARGET) -> DataFrame:
     y = F.col(label)
     return df.where(y.isNotNull()).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(y).alias("positives"),
-        (F.count_if(y) / F.count(F.lit(1))).alias("churn_rate"))
+        F.try_divide(F.count_if(y), F.count(F.lit(1))).alias("churn_rate"))
 
 
 # --- M7, M8, A14 ------------------------------------------------------------------------
@@ -165,7 +165,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     ensure_checkpoint_dir(df.sparkSession)
     per_score = per_score.checkpoint()
     qs = per_score.approxQuantile("s", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
-    splits = [float("-inf")] + sorted(set(q for q in qs if q == q)) + [float("inf")]
+    inner = sorted(set(q for q in qs if q == q)) or [0.0]   # any finite cut works for no data
+    splits = [float("-inf")] + inner + [float("inf")]
     per_score = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(per_score)
     totals = per_score.groupBy("b").agg(F.sum("neg").alias("bneg"))
     before = totals.select(
@@ -180,8 +181,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     agg = ranked.select(twice.alias("t"), "pos", "neg").agg(
         F.sum("t").alias("t"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return agg.select(
-        (F.col("t").cast("double") / (F.lit(2.0) * F.col("p").cast("double") * F.col("n").cast("double")))
-        .alias("auc"),
+        # null when a class is absent (the AUC is undefined then)
+        F.try_divide(F.col("t").cast("double"),
+                     F.lit(2.0) * F.col("p").cast("double") * F.col("n").cast("double")).alias("auc"),
         F.col("p").cast("long").alias("positives"), F.col("n").cast("long").alias("negatives"))
 
 
@@ -210,9 +212,9 @@ def scoring_summary(scored: DataFrame, prob: str = "churn_probability",
     """Customers scored, predicted churned (count, share), mean probability."""
     n = F.count(F.lit(1))
     k = F.count_if(F.col(pred))
-    mean = F.sum(F.round(F.col(prob) * F.lit(1e6)).cast("long")) / F.count(prob) / F.lit(1e6)
+    mean = F.try_divide(F.sum(F.round(F.col(prob) * F.lit(1e6)).cast("long")), F.count(prob)) / F.lit(1e6)
     return scored.agg(n.alias("customers_scored"), k.alias("predicted_churned"),
-                      (k / n).alias("predicted_churned_share"), mean.alias("avg_churn_probability"))
+                      F.try_divide(k, n).alias("predicted_churned_share"), mean.alias("avg_churn_probability"))
 
 
 # --- M6, M9, M10, S13 ---------------------------------------------------------------------

@@ -394,7 +394,7 @@ def table_summary(customers: DataFrame, events: DataFrame, orders: DataFrame,
                    ).select(F.lit("orders").alias("table_name"), "*")
     ch = churn.agg(F.count(F.lit(1)).alias("row_count"),
                    F.count_if(F.col("is_churned")).alias("churned"),
-                   (F.count_if(F.col("is_churned")) / F.count("is_churned")).alias("churn_rate")
+                   F.try_divide(F.count_if(F.col("is_churned")), F.count("is_churned")).alias("churn_rate")
                    ).select(F.lit("churn_labels").alias("table_name"), "*")
     return (c.unionByName(e, allowMissingColumns=True).unionByName(o, allowMissingColumns=True)
             .unionByName(ch, allowMissingColumns=True))
@@ -485,5 +485,5 @@ def _summary_aggs() -> dict:
         "events": [F.min("event_timestamp").alias("first_event_at"), F.max("event_timestamp").alias("last_event_at")],
         "orders": [money_sum("order_amount").alias("order_total"), money_avg("order_amount").alias("order_mean")],
         "churn_labels": [F.count_if(F.col("is_churned")).alias("churned"),
-                         (F.count_if(F.col("is_churned")) / F.count("is_churned")).alias("churn_rate")],
+                         F.try_divide(F.count_if(F.col("is_churned")), F.count("is_churned")).alias("churn_rate")],
     }
