@@ -95,6 +95,10 @@ def test_daily_and_training_pipelines(spark, tmpdir_path):
     assert res.raw_report.count() == 24 and res.mart_report.count() == 21 and res.schema_report.count() == 30
     assert res.marts["mart_customer_ltv"].count() == 120
     assert res.predictions is None
+    # published in the catalog by layer (S7) and queryable by SQL
+    assert spark.sql("SELECT count(*) AS n FROM marts.mart_customer_ltv").first().n == 120
+    assert spark.sql("SELECT count(*) AS n FROM raw.events").first().n == 1500
+    assert spark.sql("SELECT count(*) AS n FROM stg_orders").first().n > 0   # staging view (S5)
     model_path, runs = os.path.join(tmpdir_path, "model"), os.path.join(tmpdir_path, "runs")
     rec = daily.run_training(spark, wh, model_path, runs, n_trees=5)
     assert rec["train_rows"] + rec["test_rows"] == 120

@@ -51,13 +51,29 @@ def table_path(warehouse: str, layer: str, table: str) -> str:
     return f"{warehouse.rstrip('/')}/{layer_namespace(layer)}/{table}"
 
 
-def write_table(df: DataFrame, warehouse: str, layer: str, table: str) -> str:
-    """Whole-table rebuild (truncate + reload) as parquet."""
+def write_table(df: DataFrame, warehouse: str, layer: str, table: str, register: bool = True) -> str:
+    """Whole-table rebuild (truncate + reload) as parquet.
+
+    With ``register`` the table is also published in the session catalog as
+    ``<layer>.<table>`` (S7), an external table over the written files, so
+    SQL users can query ``marts.mart_customer_ltv`` directly.
+    """
     path = table_path(warehouse, layer, table)
     df.write.mode("overwrite").parquet(path)
+    if register:
+        register_table(df.sparkSession, warehouse, layer, table)
     return path
 
 
+def register_table(spark: SparkSession, warehouse: str, layer: str, table: str) -> str:
+    ns = layer_namespace(layer)
+    path = table_path(warehouse, layer, table)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{ns}` LOCATION '{warehouse.rstrip('/')}/{ns}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{ns}`.`{table}`")          # external: the files stay
+    spark.sql(f"CREATE TABLE `{ns}`.`{table}` USING parquet LOCATION '{path}'")
+    return f"{ns}.{table}"
+
+
 def read_table(spark: SparkSession, warehouse: str, layer: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(warehouse, layer, table))
 
