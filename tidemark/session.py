@@ -21,33 +21,40 @@ SEMANTIC_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Settings that matter at scale: runtime re-planning, skew splitting and
-# runtime broadcast conversion based on measured shuffle sizes.
+# Settings that matter at scale: runtime re-planning, skew splitting, runtime
+# broadcast conversion from measured sizes, and partition sizing that keeps
+# tasks near a few hundred MB (AQE coalesces small shuffle partitions).
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
+# Static settings: only effective when this call starts the Spark context.
+STATIC_CONF = {"spark.ui.enabled": "false"}
 
 
 def get_session(app: str = "tidemark", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
+    """Get or create a session; fill in only the settings the launch left unset."""
+    extra = dict(extra or {})
+    if shuffle_partitions is not None:
+        extra["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(SCALE_CONF)
-    conf.update(SEMANTIC_CONF)
-    if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in {**STATIC_CONF, **extra}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    launched = spark.sparkContext.getConf()
+    for k, v in SCALE_CONF.items():
+        if k not in extra and not launched.contains(k):
+            spark.conf.set(k, v)
     for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
