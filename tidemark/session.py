@@ -35,7 +35,12 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 # Static settings: only effective when this call starts the Spark context.
-STATIC_CONF = {"spark.ui.enabled": "false"}
+STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    # Delete checkpoint files (AUC per-score table, encoder values, training
+    # data) once their datasets go out of scope.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 
 def get_session(app: str = "tidemark", master: str | None = None,
