@@ -110,5 +110,7 @@ def test_daily_and_training_pipelines(spark, tmpdir_path):
 def test_daily_strict_null_gate_stops_on_unclicked_events(spark, tmpdir_path):
     _make_csvs(tmpdir_path, 120, 1500)
     from tidemark.operators.quality import NullGateError
+    wh = os.path.join(tmpdir_path, "wh")
     with pytest.raises(NullGateError):
-        daily.run_daily(spark, tmpdir_path, os.path.join(tmpdir_path, "wh"), strict_nulls=True)
+        daily.run_daily(spark, tmpdir_path, wh, strict_nulls=True)
+    assert not os.path.exists(os.path.join(wh, "raw"))   # nothing published past a failed gate
