@@ -59,3 +59,28 @@ def test_counter_increase_hot_series_matches_brute_force(spark):
         want[(m, day)] = want.get((m, day), 0.0) + step
         prev[(m, day)] = val
     assert got == want
+
+
+def test_last_click_attribution_hot_customer_salted(spark):
+    from helpers import raw, event, order
+    from tidemark.operators import staging
+    rnd = random.Random(11)
+    evs, ords = [], []
+    for i in range(600):
+        cust = 1 if i % 3 == 0 else rnd.randint(2, 30)
+        t = f"2024-01-{1 + rnd.randint(0, 27):02d} {rnd.randint(0, 23):02d}:00:00"
+        if i % 2:
+            evs.append(event(f"e{i:05d}", cust, "click", t, campaign=f"camp_{rnd.randint(1, 5)}"))
+        else:
+            ords.append(order(i, cust, t, float(rnd.randint(1, 99))))
+    e = staging.stg_events(raw(spark, "events", evs))
+    o = staging.stg_orders(raw(spark, "orders", ords))
+    last = {}
+    for eid, cust, _, ts, _, _, _, _, camp in evs:
+        k = (ts, eid)
+        if str(cust) not in last or k > last[str(cust)][0]:
+            last[str(cust)] = (k, camp)
+    want = {str(oid): last.get(str(cust), (None, None))[1] for oid, cust, *_ in ords}
+    for hot_rows in (20, 10 ** 9):
+        got = {r.order_id: r.campaign_id for r in attribution.attribute_orders(o, e, hot_rows=hot_rows).collect()}
+        assert got == want

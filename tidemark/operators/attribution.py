@@ -6,8 +6,8 @@ Scale notes
   not a ranking window: it combines partially before the shuffle, so a
   customer holding a third of all clicks costs one row per map task.
 * ``attribute_orders`` joins many orders to exactly one click row per
-  customer.  A hot customer skews the order side only; AQE's skew-join
-  splits that side for a left join.
+  customer.  A hot customer skews the order side only: its orders are salted
+  over several join keys and its click row is repeated per salt.
 * ``attribute_orders_asof`` finds hot customers first (a partial count; the
   list is bounded by total rows / ``hot_rows``).  A hot customer's rows are
   cut into time slices: the running ``last(ignorenulls)`` window is
@@ -34,12 +34,31 @@ def last_click(stg_events_df: DataFrame) -> DataFrame:
                     F.col("lc.event_at").alias("event_at")))
 
 
-def attribute_orders(stg_orders_df: DataFrame, stg_events_df: DataFrame) -> DataFrame:
-    """Completed orders LEFT JOIN the customer's last click overall."""
+def attribute_orders(stg_orders_df: DataFrame, stg_events_df: DataFrame,
+                     hot_rows: int = 5_000_000) -> DataFrame:
+    """Completed orders LEFT JOIN the customer's last click overall.
+
+    Hot customers (more than ``hot_rows`` orders) are salted: their orders
+    spread over ``ceil(n / hot_rows)`` salts by a hash of the order id
+    (deterministic, so retried tasks agree) and their one last-click row is
+    repeated once per salt.  The hot list holds at most
+    ``total_orders / hot_rows`` rows, the bound that makes broadcasting it safe.
+    (AQE's skew-join split does not apply here: the click side reaches the
+    join through an aggregate, not directly from a shuffle.)
+    """
     orders = completed_orders(stg_orders_df).select(
         "order_id", "customer_id", "order_amount", "order_date")
     lc = last_click(stg_events_df).select("customer_id", "campaign_id")
-    return orders.join(lc, "customer_id", "left").select(
+    hot = (orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows)
+           .select("customer_id", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_ns")))
+    salted_orders = orders.join(F.broadcast(hot), "customer_id", "left").withColumn(
+        "_salt", F.when(F.col("_ns").isNotNull(), F.pmod(F.xxhash64("order_id"), F.col("_ns")))
+        .otherwise(F.lit(0)).cast("int"))
+    salted_clicks = lc.join(F.broadcast(hot), "customer_id", "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_ns").isNotNull(), F.sequence(F.lit(0), F.col("_ns") - 1))
+                           .otherwise(F.array(F.lit(0)))))
+    return salted_orders.join(salted_clicks.drop("_ns"), ["customer_id", "_salt"], "left").select(
         "order_id", "customer_id", "order_amount", "order_date", "campaign_id")
 
 
