@@ -94,7 +94,11 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURE
         e = encoder.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"),
                                                        F.col("code").alias(f"_c_{c}"))
         out = out.withColumn(f"_k_{c}", str_category(c))
-        out = join_small_dimension(out, e, F.col(f"_k_{c}") == F.col(f"_v_{c}"), "left", max_rows)
+        # The encoder reads checkpointed distinct values, so an exact bounded
+        # count is cheap; up to ``max_rows`` values it is broadcast (a popular
+        # category cannot skew a map-side join).
+        out = join_small_dimension(out, e, F.col(f"_k_{c}") == F.col(f"_v_{c}"), "left", max_rows,
+                                   count_check=True)
         out = (out.withColumn(c + suffix, F.coalesce(F.col(f"_c_{c}"), F.lit(-1).cast("long")))
                .drop(f"_k_{c}", f"_v_{c}", f"_c_{c}"))
     return out
