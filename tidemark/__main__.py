@@ -32,6 +32,8 @@ def main(argv=None) -> None:
     t.add_argument("--runs", required=True)
     a = p.parse_args(argv)
 
+    from pyspark.sql import SparkSession
+    owned = SparkSession.getActiveSession() is None
     spark = get_session("tidemark-" + a.cmd)
     if a.cmd == "daily":
         res = daily.run_daily(spark, a.raw_dir, a.warehouse, strict_nulls=a.strict_nulls,
@@ -46,7 +48,8 @@ def main(argv=None) -> None:
         print(json.dumps({k: v for k, v in rec.items() if k != "report"}, default=str))
         for row in rec["report"]:
             print(json.dumps(row))
-    spark.stop()
+    if owned:
+        spark.stop()
 
 
 if __name__ == "__main__":
