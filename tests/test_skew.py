@@ -84,3 +84,22 @@ def test_last_click_attribution_hot_customer_salted(spark):
     for hot_rows in (20, 10 ** 9):
         got = {r.order_id: r.campaign_id for r in attribution.attribute_orders(o, e, hot_rows=hot_rows).collect()}
         assert got == want
+
+
+def test_hot_paths_match_the_oracle_on_driver_data(spark):
+    import duckdb
+    import __spark_entry__ as E
+    from tidemark.plans import queries as Qm
+    from tools.check_oracle import rows_of
+    d = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ["customer", "nation", "region", "orders", "events"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
+    cases = {
+        "attribute_orders_asof": attribution.attribute_orders_asof(*Qm.asof_inputs(spark, d), "1 minute", hot_rows=10),
+        "attribute_orders": attribution.attribute_orders(Qm.staged(spark, d)["stg_orders"],
+                                                         Qm.staged(spark, d)["stg_events"], hot_rows=2),
+    }
+    for name, df in cases.items():
+        want = con.sql(E.oracle_sql()[name]).to_arrow_table().to_pandas(date_as_object=True)
+        assert rows_of(df.toPandas(), 0.0) == rows_of(want, 0.0), name
