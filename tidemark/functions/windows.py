@@ -33,21 +33,24 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
 
 
 def dense_codes(df: DataFrame, group_col: str, value_col: str, name: str = "code",
-                partitions: int | None = None) -> DataFrame:
+                rows_per_partition: int = 1_000_000) -> DataFrame:
     """Per group, code = position of the value among its sorted distinct values (from 0).
 
-    Distinct values are range-partitioned by (group, value) and the partition
-    ids are pinned with a checkpoint (so every later read sees the same cut).
-    Offsets come from per-(group, partition) counts, a window over at most
-    ``partitions`` rows per group; codes inside a partition from a window over
-    that partition only.  No group is ever held by one task.
+    The distinct values are checkpointed and counted; they are then
+    range-partitioned by (group, value) into ``ceil(count / rows_per_partition)``
+    pieces and the partition ids are pinned with a second checkpoint (so
+    every later read sees the same cut).  Offsets come from per-(group,
+    partition) counts, a window over one row per partition; codes inside a
+    partition from a window over that partition only.  No task holds more
+    than about ``rows_per_partition`` values, whatever a group's size.
     """
+    import math
+
     from ..session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = (df.select(group_col, value_col).distinct()
-         .repartitionByRange(n, group_col, value_col)
+    ensure_checkpoint_dir(df.sparkSession)
+    distinct = df.select(group_col, value_col).distinct().checkpoint()
+    n = max(1, math.ceil(distinct.count() / rows_per_partition))
+    d = (distinct.repartitionByRange(n, group_col, value_col)
          .withColumn("_pid", F.spark_partition_id())
          .checkpoint())
     counts = d.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_n"))
