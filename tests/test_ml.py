@@ -42,14 +42,16 @@ def test_classification_report_zero_division(spark):
 
 
 def test_encoder_unseen_and_null(spark):
-    fit = spark.createDataFrame([("b",), ("a",), (None,)], "segment string").withColumn("region", F.lit("x"))
+    fit = spark.createDataFrame([("b",), ("a",), (None,), ("o'brien",), ("back\\slash",)],
+                                "segment string").withColumn("region", F.lit("x"))
     enc = ml.fit_encoder(fit)
     codes = {(r.feature, r.value): r.code for r in enc.collect()}
     assert codes[("segment", "None")] == 0 and codes[("segment", "a")] == 1 and codes[("segment", "b")] == 2
-    apply = spark.createDataFrame([("a", "x"), ("zzz", "y"), (None, None)], "segment string, region string")
+    apply = spark.createDataFrame([("a", "x"), ("zzz", "y"), (None, None), ("o'brien", "x"), ("back\\slash", "x")],
+                                  "segment string, region string")
     for kw in ({}, {"max_literal": 0}):   # literal-map path and join fallback
         got = [(r.segment_code, r.region_code) for r in ml.apply_encoder(apply, enc, **kw).collect()]
-        assert sorted(got) == sorted([(1, 0), (-1, -1), (0, -1)])
+        assert sorted(got) == sorted([(1, 0), (-1, -1), (0, -1), (4, 0), (3, 0)])
 
 
 def test_split_is_stable_and_roughly_stratified(spark):

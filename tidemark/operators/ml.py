@@ -71,6 +71,11 @@ def fit_encoder(df: DataFrame, columns=CATEGORICAL_FEATURES) -> DataFrame:
     return dense_codes(u, "feature", "value")
 
 
+def _sql_str(v: str) -> str:
+    """A Spark SQL string literal for any text."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURES,
                   suffix: str = "_code", max_literal: int = 10_000, max_rows: int = 1_000_000) -> DataFrame:
     """M3: unseen value -> -1; null -> the ``None`` category.
@@ -84,8 +89,9 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURE
     if len(rows) <= max_literal:
         out = df
         for c in columns:
-            pairs = [x for r in rows if r["feature"] == c for x in (F.lit(r["value"]), F.lit(int(r["code"])))]
-            lookup = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,bigint>")
+            entries = ", ".join(f"{_sql_str(r['value'])}, {int(r['code'])}L" for r in rows if r["feature"] == c)
+            # one SQL map literal (a single driver call; Catalyst folds it to a constant)
+            lookup = F.expr(f"map({entries})") if entries else F.create_map().cast("map<string,bigint>")
             out = out.withColumn(c + suffix, F.coalesce(F.try_element_at(lookup, str_category(c)),
                                                         F.lit(-1)).cast("long"))
         return out
