@@ -49,19 +49,28 @@ def glob_to_regex(glob: str) -> str:
 
 
 def map_metric_names(df: DataFrame, name_col: str = "name", rules=MAPPING_RULES) -> DataFrame:
-    """Adds ``metric`` and ``labels``; unmatched names are sanitised, no labels."""
+    """Adds ``metric`` and ``labels``; unmatched names are sanitised, no labels.
+
+    The first matching rule is found once per row (``_rule``); name and labels
+    then branch on that index, so each regex runs at most once.
+    """
     name = F.col(name_col)
+    regexes = [glob_to_regex(glob) for glob, _, _ in rules]
+    rule = F.lit(None).cast("int")
+    for i in range(len(rules) - 1, -1, -1):
+        rule = F.when(name.rlike(regexes[i]), F.lit(i)).otherwise(rule)
+    out = df.withColumn("_rule", rule)
+    idx = F.col("_rule")
     metric = F.regexp_replace(name, r"[^a-zA-Z0-9_:]", "_")
     labels = F.create_map().cast("map<string,string>")
-    for glob, target, key in reversed(rules):
-        rx = glob_to_regex(glob)
-        hit = name.rlike(rx)
+    for i, (glob, target, key) in enumerate(rules):
+        rx = regexes[i]
         m = F.regexp_replace(name, rx, target) if "$1" in target else F.lit(target)
         lab = (F.create_map(F.lit(key), F.regexp_extract(name, rx, 1)) if key
                else F.create_map().cast("map<string,string>"))
-        metric = F.when(hit, m).otherwise(metric)
-        labels = F.when(hit, lab).otherwise(labels)
-    return df.withColumn("metric", metric).withColumn("labels", labels)
+        metric = F.when(idx == i, m).otherwise(metric)
+        labels = F.when(idx == i, lab).otherwise(labels)
+    return out.withColumn("metric", metric).withColumn("labels", labels).drop("_rule")
 
 
 def _key() -> Column:
