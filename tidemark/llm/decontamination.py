@@ -18,9 +18,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import map_rows, shipped
 
@@ -175,9 +177,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """``docs`` without the documents that overlap a benchmark item; all columns
     are kept.  Decided by text, in place: equal texts share a fate, ids may be
     null or repeated."""
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
-
     min_tokens = options.get("min_tokens", MIN_TOKENS)
     similarity = options.get("similarity", SIMILARITY)
     out = docs

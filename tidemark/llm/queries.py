@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup, token_counts,
-               url_filter)
+from . import (decontamination, embedding_neardup, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup,
+               substring_dedup, token_counts, url_filter)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def op1(spark, d):
     return token_counts.token_counts(table(spark, d, "documents"), vocabulary)
 
 
+@query("op2_embedding_neardup")
+def op2(spark, d):
+    return embedding_neardup.embedding_neardup(table(spark, d, "embeddings"), min_cosine=0.93)
+
+
 @query("op3_secret_scans")
 def op3(spark, d):
     return secret_scan.secret_report(table(spark, d, "documents"))
@@ -64,6 +69,11 @@ def op5(spark, d):
                         "component_id")
 
 
+@query("op6_substring_dedup")
+def op6(spark, d):
+    return substring_dedup.repeated_passages(table(spark, d, "documents"))
+
+
 @query("op8_sentencepiece")
 def op8(spark, d):
     pieces = sentencepiece_bpe.Pieces.from_model(vocabulary_path("piece_bpe_32k.model"))

@@ -19,9 +19,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import map_rows, shipped
 from .token_counts import _portions
@@ -294,8 +296,6 @@ def _encode(docs, pieces, dropout, seed, id_col, text_col, schema, row) -> DataF
 
 def decode_texts(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``encoded`` with the decoded text of ``ids_col`` (null stays null) as ``text_col``."""
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
     sent = shipped(encoded.sparkSession, pieces)
 
     @pandas_udf("string")

@@ -26,10 +26,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import checkpointed, connected_components, map_rows
 
@@ -254,12 +256,10 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
     with the smallest fingerprint); of repeated rows one stays.  All columns
     are kept, whatever their names.
     """
-    from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("long")
-    def mark(text):
-        import pandas as pd
-        return pd.Series([fingerprint(t, shingle) for t in text], dtype="int64")
+    def mark(text: pd.Series) -> pd.Series:
+            return pd.Series([fingerprint(t, shingle) for t in text], dtype="int64")
 
     fps = checkpointed(simhash_fingerprints(docs, shingle, id_col, text_col))
     comp = simhash_components(fps, max_distance)
