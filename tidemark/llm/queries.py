@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, embedding_neardup, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup,
-               substring_dedup, token_counts, url_filter)
+               substring_dedup, token_counts, toxicity, url_filter)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,11 @@ def op6(spark, d):
     return substring_dedup.repeated_passages(table(spark, d, "documents"))
 
 
+@query("op7_toxicity")
+def op7(spark, d):
+    return toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query("op8_sentencepiece")
 def op8(spark, d):
     pieces = sentencepiece_bpe.Pieces.from_model(vocabulary_path("piece_bpe_32k.model"))
