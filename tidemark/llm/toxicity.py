@@ -32,7 +32,7 @@ from .common import checkpointed, map_rows, shipped
 MAX_TERMS = 4096
 MAX_EXAMPLES = 2048
 #: A term is kept from so many toxic learning rows, times as frequent there, and likelihood ratio.
-MIN_ROWS, MIN_LIFT, MIN_RATIO = 10, 8.0, 30.0
+MIN_ROWS, MIN_LIFT, MIN_RATIO = 5, 3.0, 20.0
 NEIGHBOURS = 15
 #: Weight of "nothing near" in a vote.
 NOTHING = 0.2
