@@ -29,30 +29,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 #: Bytes that the gear hash of a place depends on.
-WINDOW = 32
+WINDOW = 16
 #: One place in 2**BORDER_BITS is a border.
-BORDER_BITS = 5
+BORDER_BITS = 4
 MIN_BYTES = 12
 MAX_BYTES = 1024
 #: Words that a run of repeated chunks has at least.
-MIN_WORDS = 20
+MIN_WORDS = 15
 
 
 def gear_table(seed: int = 7) -> np.ndarray:
-    """A fixed random 32-bit number for every byte value."""
-    return np.array([xxhash.xxh32_intdigest(bytes([b]), seed) for b in range(256)], np.uint32)
+    """A fixed random 16-bit number for every byte value."""
+    return np.array([xxhash.xxh32_intdigest(bytes([b]), seed) >> 16 for b in range(256)], np.uint16)
 
 
 _GEAR = gear_table()
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """Rolling hash h = 2 h + gear[byte] (mod 2**32) behind every byte, by doubling windows."""
+    """Rolling hash h = 2 h + gear[byte] (mod 2**16) behind every byte, by doubling windows."""
     h = _GEAR[data]
     width = 1
     while width < WINDOW:
         # The hash over 2w bytes from those over w bytes: h(i) + h(i - w) << w.
-        h[width:] = h[width:] + (h[:-width] << np.uint32(width)) if len(h) > width else h[width:]
+        h[width:] = h[width:] + (h[:-width] << np.uint16(width)) if len(h) > width else h[width:]
         width *= 2
     return h
 
@@ -64,7 +64,7 @@ def borders(raw: bytes) -> np.ndarray:
         return np.empty(0, np.int64)
     data = np.frombuffer(raw, np.uint8)
     h = gear_hashes(data)
-    at = np.flatnonzero((h >> np.uint32(32 - BORDER_BITS)) == 0) + 1
+    at = np.flatnonzero((h >> np.uint16(16 - BORDER_BITS)) == 0) + 1
     # Full windows only, and only between characters.
     at = at[(at >= WINDOW) & (at < n)]
     at = at[(data[at] & 0xC0) != 0x80]
@@ -89,45 +89,44 @@ _WORD_START = re.compile(rb"(?<![^\x20\t-\r])[^\x20\t-\r]")
 
 
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per chunk: ``(id, h, d1, d2, start, size, words, fresh)``.
+    """One row per chunk: ``(id, h, d1, d2, packed)``.
 
-    ``h`` tells texts of one id apart; ``d1, d2`` are the digest; offsets are
-    in UTF-8 bytes; ``words`` counts the words that begin in the chunk;
-    ``fresh`` marks a digest's first occurrence in its text.
+    ``h`` tells texts of one id apart; ``d1, d2`` are the digest.  ``packed``
+    holds the start (UTF-8 bytes), 11 bits of size, 10 bits of words that
+    begin in the chunk, and a bit for a digest's first occurrence in its text.
     """
     kind = docs.schema[id_col].dataType
-    schema = f"id {kind.simpleString()}, h long, d1 long, d2 long, start int, size int, words int, fresh boolean"
+    schema = f"id {kind.simpleString()}, h long, d1 long, d2 long, packed long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lo = 0
             while lo < b.num_rows:
-                cols, ids, total = [[] for _ in range(7)], [], 0
+                cols, ids, total = [[] for _ in range(4)], [], 0
                 while lo < b.num_rows and total < 4_000_000:
                     raw = (b.column(1)[lo].as_py() or "").encode("utf-8", "surrogatepass")
                     ends = borders(raw)
                     if len(ends):
                         starts = np.concatenate(([0], ends[:-1]))
-                        cuts = list(zip(starts.tolist(), ends.tolist()))
-                        digest = [hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in cuts]
+                        digest = [hashlib.blake2b(raw[s:e], digest_size=16).digest()
+                                  for s, e in zip(starts.tolist(), ends.tolist())]
                         first = dict(zip(reversed(digest), reversed(range(len(digest)))))
+                        fresh = np.array([first[x] == i for i, x in enumerate(digest)], np.int64)
                         begins = np.array([m.start() for m in _WORD_START.finditer(raw)], np.int64)
+                        words = np.diff(np.searchsorted(begins, np.append(starts, len(raw))))
                         d = np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
-                        n = len(cuts)
-                        for c, x in zip(cols, (
-                                np.full(n, np.uint64(xxhash.xxh64_intdigest(raw))).view(np.int64), d[:, 0], d[:, 1],
-                                starts.astype(np.int32), (ends - starts).astype(np.int32),
-                                np.diff(np.searchsorted(begins, np.append(starts, len(raw)))).astype(np.int32),
-                                np.array([first[x] == i for i, x in enumerate(digest)]))):
+                        h = np.full(len(ends), np.uint64(xxhash.xxh64_intdigest(raw))).view(np.int64)
+                        for c, x in zip(cols, (h, d[:, 0], d[:, 1],
+                                               starts << 22 | (ends - starts) << 11 | words << 1 | fresh)):
                             c.append(x)
-                        ids.append((lo, n))
+                        ids.append((lo, len(ends)))
                     total += len(raw)
                     lo += 1
                 if ids:
                     who = np.repeat([i for i, _ in ids], [n for _, n in ids])
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(who))] + [pa.array(np.concatenate(c)) for c in cols],
-                        names=["id", "h", "d1", "d2", "start", "size", "words", "fresh"])
+                        names=["id", "h", "d1", "d2", "packed"])
 
     return docs.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("body")).mapInArrow(run, schema)
@@ -149,10 +148,13 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     known = (chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("id").alias("first"))
              .where("n > 1").select(F.col("d1").alias("k1"), F.col("d2").alias("k2"), "first"))
     repeats = (chunks.join(known, (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")))
-               .where(~(F.col("id").eqNullSafe(F.col("first")) & F.col("fresh"))))
+               .where(~(F.col("id").eqNullSafe(F.col("first")) & (F.col("packed") % 2 == 1))))
     # Runs: the windows hold the repeats of one text; n_before is equal along a run.
     text = Window.partitionBy("id", "h")
-    repeats = repeats.select("id", "h", "start", "size", "words", "first").distinct()
+    repeats = repeats.select("id", "h", "packed", "first").distinct().select(
+        "id", "h", "first", F.shiftright("packed", 22).cast("int").alias("start"),
+        (F.shiftright("packed", 11) % 2048).cast("int").alias("size"),
+        (F.shiftright("packed", 1) % 1024).cast("int").alias("words"))
     runs = (repeats.withColumn("gap", F.coalesce(
         (F.col("start") != F.lag(F.col("start") + F.col("size")).over(text.orderBy("start"))).cast("int"), F.lit(1)))
         .withColumn("run", F.sum("gap").over(text.orderBy("start"))))
