@@ -6,9 +6,11 @@ checks them:
 
 * ``round_half_up`` rounds the scaled double with plain IEEE steps, so the
   DuckDB oracle can use the identical formula.
-* money is summed as whole cents in a ``long`` (exact, fixed width, codegen
-  friendly; ANSI mode raises on overflow instead of wrapping), then divided
-  back.  This avoids both float drift and the slow wide-decimal path.
+* money has a declared scale of ``MONEY_DECIMALS``: amounts become whole units
+  of that scale, are summed exactly and divided back.  An amount that does not
+  fit the scale raises; nothing is rounded away.
+* fractions (probabilities) are summed as decimals of 18 places, so a mean
+  does not depend on the order of the rows.
 """
 
 from __future__ import annotations
@@ -52,28 +54,46 @@ def ratio_pct(num, den, n: int = 2) -> Column:
     return round_half_up(col_(num).cast("double") / col_(den).cast("double") * F.lit(100.0), n)
 
 
-def to_cents(c) -> Column:
-    """Money value as exact whole cents."""
-    return F.round(col_(c).cast("double") * F.lit(100.0)).cast("long")
+MONEY_DECIMALS = 6
+_UNIT = float(10 ** MONEY_DECIMALS)
+# Whole numbers above this are not all representable as a double.
+_EXACT = float(2 ** 53)
+
+
+def money_units(c) -> Column:
+    """Money value as whole units of the declared scale; raises if it does not fit (NaN, infinite, finer, huge)."""
+    x = col_(c).cast("double")
+    units = F.round(x * F.lit(_UNIT))
+    fits = ~F.isnan(x) & (F.abs(units) <= F.lit(_EXACT)) & (units / F.lit(_UNIT) == x)
+    return (F.when(x.isNull(), F.lit(None).cast("long"))
+            .when(fits, units.cast("long"))
+            .otherwise(F.raise_error(F.concat(F.lit(f"amount does not fit {MONEY_DECIMALS} decimals: "),
+                                              x.cast("string"))).cast("long")))
+
+
+def unit_sum(units: Column) -> Column:
+    """Aggregate: exact sum of money units (room for any number of rows)."""
+    return F.sum(units.cast("decimal(19,0)"))
+
+
+def from_units(total: Column) -> Column:
+    """A sum of money units as a double."""
+    return total.cast("double") / F.lit(_UNIT)
 
 
 def money_sum(c) -> Column:
     """Aggregate: exact sum of a money column, as double."""
-    return F.sum(to_cents(c)) / F.lit(100.0)
+    return from_units(unit_sum(money_units(c)))
 
 
 def money_avg(c) -> Column:
-    """Aggregate: mean of a money column: whole cents / count, then / 100."""
-    return F.try_divide(F.sum(to_cents(c)), F.count(col_(c))) / F.lit(100.0)
-
+    """Aggregate: mean of a money column (null for no rows)."""
+    return F.try_divide(money_sum(c), F.count(col_(c)))
 
-def scaled_avg(c, scale: int = 6) -> Column:
-    """Aggregate: order-independent mean of a fraction-valued column.
 
-    Values are summed as integers at ``10**scale`` resolution.
-    """
-    s = float(10 ** scale)
-    return F.try_divide(F.sum(F.round(col_(c).cast("double") * F.lit(s)).cast("long")), F.count(col_(c))) / F.lit(s)
+def exact_avg(c) -> Column:
+    """Aggregate: order-independent mean of a fraction-valued column (null for no rows)."""
+    return F.try_divide(F.sum(col_(c).cast("double").cast("decimal(28,18)")).cast("double"), F.count(col_(c)))
 
 
 def count_if(cond: Column) -> Column:
@@ -81,9 +101,9 @@ def count_if(cond: Column) -> Column:
     return F.count_if(cond)
 
 
-def cond_sum_cents(cond: Column, amount) -> Column:
+def cond_money_sum(cond: Column, amount) -> Column:
     """``sum(case when cond then x else 0 end)`` over money, exact."""
-    return F.sum(F.when(cond, to_cents(amount)).otherwise(F.lit(0).cast("long"))) / F.lit(100.0)
+    return from_units(unit_sum(F.when(cond, money_units(amount)).otherwise(F.lit(0).cast("long"))))
 
 
 def str_category(c) -> Column:

@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (cond_sum_cents, money_avg, money_sum, ratio_pct, round_half_up,
-                                 safe_divide, scaled_avg, to_cents)
+from ..functions.scalars import (cond_money_sum, exact_avg, from_units, money_avg, money_sum, money_units, ratio_pct,
+                                 round_half_up, safe_divide, unit_sum)
 from .attribution import attribute_orders, last_click
 from .staging import completed_orders
 
@@ -82,14 +82,14 @@ def event_stats(stg_events_df: DataFrame) -> DataFrame:
 def revenue_stats(stg_orders_df: DataFrame, stg_events_df: DataFrame) -> DataFrame:
     """A4 over J3's attribution, pre-aggregated per customer (see module doc)."""
     per_customer = completed_orders(stg_orders_df).groupBy("customer_id").agg(
-        F.count("order_id").alias("n"), F.sum(to_cents("order_amount")).alias("cents"))
+        F.count("order_id").alias("n"), unit_sum(money_units("order_amount")).alias("units"))
     lc = last_click(stg_events_df).select("customer_id", "campaign_id")
     attributed = per_customer.join(lc, "customer_id", "inner")
     n = F.sum("n")
     return attributed.groupBy("campaign_id").agg(
         n.alias("attributed_orders"),
-        round_half_up(F.sum("cents") / F.lit(100.0), 2).alias("attributed_revenue"),
-        round_half_up(F.sum("cents") / n / F.lit(100.0), 2).alias("avg_order_value"),
+        round_half_up(from_units(F.sum("units")), 2).alias("attributed_revenue"),
+        round_half_up(from_units(F.sum("units")) / n, 2).alias("avg_order_value"),
     )
 
 
@@ -133,10 +133,10 @@ def mart_churn_summary(ltv: DataFrame, with_updated_at: bool = True) -> DataFram
         n_churned.alias("churned_customers"),
         (total - n_churned).alias("active_customers"),
         ratio_pct(n_churned, total).alias("churn_rate_pct"),
-        round_half_up(scaled_avg("churn_probability"), 4).alias("avg_churn_probability"),
+        round_half_up(exact_avg("churn_probability"), 4).alias("avg_churn_probability"),
         F.count_if(high_risk).alias("high_risk_customers"),
-        round_half_up(cond_sum_cents(active, "total_revenue"), 2).alias("active_revenue"),
-        round_half_up(cond_sum_cents(high_risk, "total_revenue"), 2).alias("revenue_at_risk"),
+        round_half_up(cond_money_sum(active, "total_revenue"), 2).alias("active_revenue"),
+        round_half_up(cond_money_sum(high_risk, "total_revenue"), 2).alias("revenue_at_risk"),
     ]
     if with_updated_at:
         aggs.append(F.current_timestamp().alias("updated_at"))

@@ -122,8 +122,8 @@ def counter_rate(samples: DataFrame, range_seconds: int = 300, step_seconds: int
 
 
 def sum_over_series(increases: DataFrame, value_col: str = "increase") -> DataFrame:
-    """T4: total across all series (label values) per range."""
-    return increases.groupBy("window_start", "window_end").agg(F.sum(value_col).alias(f"total_{value_col}"))
+    """T4: total of each metric across its series (label values) per range."""
+    return increases.groupBy("metric", "window_start", "window_end").agg(F.sum(value_col).alias(f"total_{value_col}"))
 
 
 def last_value(samples: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_small_dimension
-from ..functions.scalars import round_half_even, str_category
+from ..functions.scalars import exact_avg, round_half_even, str_category
 from ..schemas import ALL_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 
 # Fixed values of the reference model.
@@ -222,9 +222,8 @@ def scoring_summary(scored: DataFrame, prob: str = "churn_probability",
     """Customers scored, predicted churned (count, share), mean probability."""
     n = F.count(F.lit(1))
     k = F.count_if(F.col(pred))
-    mean = F.try_divide(F.sum(F.round(F.col(prob) * F.lit(1e6)).cast("long")), F.count(prob)) / F.lit(1e6)
     return scored.agg(n.alias("customers_scored"), k.alias("predicted_churned"),
-                      F.try_divide(k, n).alias("predicted_churned_share"), mean.alias("avg_churn_probability"))
+                      F.try_divide(k, n).alias("predicted_churned_share"), exact_avg(prob).alias("avg_churn_probability"))
 
 
 # --- M6, M9, M10, S13 ---------------------------------------------------------------------

@@ -28,10 +28,10 @@ def stg_customers(raw: DataFrame) -> DataFrame:
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:
-    """Amount must be positive; a null amount is dropped too."""
+    """Amount must be positive; a null or NaN amount is dropped too."""
     amount = F.col("order_amount").cast("double")
     return raw.where(
-        F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (amount > 0)
+        F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (amount > 0) & ~F.isnan(amount)
     ).select(
         F.col("order_id").cast("string").alias("order_id"),
         F.col("customer_id").cast("string").alias("customer_id"),

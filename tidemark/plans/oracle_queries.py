@@ -5,7 +5,7 @@ A value is either a SELECT string or ``(select, extra_ctes)``.
 
 from __future__ import annotations
 
-from .oracle import cents, rhu
+from .oracle import money, rhu
 
 CAMP = "'camp_' || lpad(CAST(event_id % 50 + 1 AS VARCHAR), 4, '0')"
 
@@ -15,7 +15,7 @@ ORACLE: dict = {
     "stg_orders": "SELECT * FROM stg_orders",
     "stg_events": "SELECT * FROM stg_events",
     "stg_churn_labels": "SELECT * FROM stg_churn_labels",
-    "completed_orders": "SELECT * FROM completed",
+    "completed_orders": "SELECT * FROM stg_orders WHERE status = 'completed'",
     "clicked_events": "SELECT * FROM stg_events WHERE clicked_ad = true AND campaign_id IS NOT NULL",
     "campaign_not_null": """SELECT event_id, customer_id, campaign_id, channel, clicked_ad
                             FROM stg_events WHERE campaign_id IS NOT NULL""",
@@ -30,8 +30,8 @@ ORACLE: dict = {
     "ltv_join_churn": """SELECT c.customer_id, ch.churn_probability, ch.is_churned
                          FROM stg_customers c LEFT JOIN stg_churn_labels ch ON ch.customer_id = c.customer_id""",
     "mart_customer_ltv": "SELECT * FROM mart_customer_ltv",
-    "last_click": "SELECT customer_id, campaign_id, event_at FROM last_click_ranked WHERE rn = 1",
-    "attribute_orders": "SELECT * FROM attributed_orders",
+    "last_click": "SELECT * FROM last_click",
+    "attribute_orders": "SELECT * FROM attributed",
     "event_stats": "SELECT * FROM event_stats",
     "revenue_stats": "SELECT * FROM revenue_stats",
     "campaign_join_revenue": """SELECT es.campaign_id, es.channel, es.total_clicks, rs.attributed_orders,
@@ -48,8 +48,8 @@ ORACLE: dict = {
     "count_distinct_users": """SELECT channel, count(DISTINCT customer_id) AS unique_users
                                FROM stg_events GROUP BY channel""",
     "conditional_sum": f"""SELECT segment,
-                                  sum(CASE WHEN NOT is_churned THEN {cents('total_revenue')} ELSE 0 END) / 100.0
-                                      AS active_revenue
+                                  CAST(ifnull(sum({money('total_revenue')}) FILTER (WHERE is_churned = false), 0)
+                                       AS DOUBLE) AS active_revenue
                            FROM mart_customer_ltv GROUP BY segment""",
     "group_ratio_pct": f"""SELECT region, {rhu('count_if(is_churned) / count(customer_id) * 100', 2)} AS churn_rate_pct
                            FROM mart_customer_ltv GROUP BY region""",
@@ -89,76 +89,109 @@ def _lit(v) -> str:
     return repr(v)
 
 
-def _check_sql(suite: str, chk) -> str:
-    from ..operators import quality as Q
-    t = _q_table(suite)
-    head = f"SELECT '{suite}' AS suite, '{chk.check}' AS \"check\", "
-    if chk.check == Q.ROW_COUNT:
-        conds = ["true"]
-        if chk.min_value is not None:
-            conds.append(f"count(*) >= {chk.min_value}")
-        if chk.max_value is not None:
-            conds.append(f"count(*) <= {chk.max_value}")
-        return (head + f"CAST(NULL AS VARCHAR) AS \"column\", ({' AND '.join(conds)}) AS success, "
-                f"count(*) AS element_count, CAST(NULL AS BIGINT) AS missing_count, "
-                f"CAST(NULL AS BIGINT) AS unexpected_count FROM {t}")
-    c = chk.column
-    if chk.check == Q.UNIQUE:
-        return (head + f"'{c}' AS \"column\", "
-                f"coalesce(sum(CASE WHEN v IS NOT NULL AND n > 1 THEN n END), 0) = 0 AS success, "
-                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS element_count, "
-                f"CAST(coalesce(sum(CASE WHEN v IS NULL THEN n END), 0) AS BIGINT) AS missing_count, "
-                f"CAST(coalesce(sum(CASE WHEN v IS NOT NULL AND n > 1 THEN n END), 0) AS BIGINT) AS unexpected_count "
-                f"FROM (SELECT {c} AS v, count(*) AS n FROM {t} GROUP BY {c})")
-    nulls = f"CAST(count(*) - count({c}) AS BIGINT)"
-    if chk.check == Q.NOT_NULL:
-        bad = nulls
-    elif chk.check == Q.IN_SET:
-        bad = f"CAST(count_if({c} IS NOT NULL AND {c} NOT IN ({', '.join(_lit(v) for v in chk.value_set)})) AS BIGINT)"
+# The expectations, as (table, column, kind, arguments); no column: the table's row count.
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD")
+_RAW_CHECKS = (
+    ("customers", None, "rows", (100, None)), ("customers", "customer_id", "not_null", ()),
+    ("customers", "email", "not_null", ()), ("customers", "customer_id", "unique", ()),
+    ("customers", "segment", "in", _SEGMENTS), ("customers", "age", "between", (0, 120)),
+    ("customers", "acquisition_cost", "between", (0, None)),
+    ("events", None, "rows", (1000, None)), ("events", "event_id", "not_null", ()),
+    ("events", "customer_id", "not_null", ()), ("events", "event_id", "unique", ()),
+    ("events", "event_type", "not_null", ()), ("events", "session_duration_seconds", "between", (0, None)),
+    ("orders", None, "rows", (100, None)), ("orders", "order_id", "not_null", ()),
+    ("orders", "customer_id", "not_null", ()), ("orders", "order_id", "unique", ()),
+    ("orders", "order_amount", "between", (0, 100000)),
+    ("orders", "status", "in", ("completed", "pending", "cancelled", "refunded")),
+    ("churn_labels", None, "rows", (100, None)), ("churn_labels", "customer_id", "not_null", ()),
+    ("churn_labels", "customer_id", "unique", ()), ("churn_labels", "churn_probability", "between", (0, 1)),
+    ("churn_labels", "days_since_last_order", "not_null", ()),
+)
+_MART_CHECKS = (
+    ("mart_customer_ltv", None, "rows", (100, None)), ("mart_customer_ltv", "customer_id", "not_null", ()),
+    ("mart_customer_ltv", "customer_id", "unique", ()), ("mart_customer_ltv", "total_orders", "not_null", ()),
+    ("mart_customer_ltv", "total_orders", "between", (0, None)),
+    ("mart_customer_ltv", "total_revenue", "between", (0, None)), ("mart_customer_ltv", "net_ltv", "not_null", ()),
+    ("mart_customer_ltv", "churn_probability", "between", (0, 1)),
+    ("mart_campaign_performance", None, "rows", (1, None)),
+    ("mart_campaign_performance", "campaign_id", "not_null", ()),
+    ("mart_campaign_performance", "channel", "not_null", ()),
+    ("mart_campaign_performance", "total_impressions", "between", (0, None)),
+    ("mart_campaign_performance", "total_clicks", "between", (0, None)),
+    ("mart_campaign_performance", "attributed_revenue", "between", (0, None)),
+    ("mart_campaign_performance", "conversion_rate_pct", "between", (0, None)),
+    ("mart_churn_summary", None, "rows", (1, None)), ("mart_churn_summary", "segment", "not_null", ()),
+    ("mart_churn_summary", "region", "not_null", ()), ("mart_churn_summary", "total_customers", "between", (1, None)),
+    ("mart_churn_summary", "churn_rate_pct", "between", (0, 100)),
+    ("mart_churn_summary", "avg_churn_probability", "between", (0, 1)),
+)
+_KINDS = {"rows": "expect_table_row_count_to_be_between", "not_null": "expect_column_values_to_not_be_null",
+          "unique": "expect_column_values_to_be_unique", "in": "expect_column_values_to_be_in_set",
+          "between": "expect_column_values_to_be_between"}
+# The schema tests, as (model, test, columns, accepted values).
+_SCHEMA_TESTS = (
+    ("stg_customers", "unique", ("customer_id",), ()), ("stg_orders", "unique", ("order_id",), ()),
+    ("stg_events", "unique", ("event_id",), ()), ("stg_churn_labels", "unique", ("customer_id",), ()),
+    ("mart_customer_ltv", "unique", ("customer_id",), ()),
+    ("stg_customers", "not_null", ("customer_id", "email", "signup_date"), ()),
+    ("stg_orders", "not_null", ("order_id", "customer_id", "order_amount"), ()),
+    ("stg_events", "not_null", ("event_id", "customer_id", "event_type"), ()),
+    ("stg_churn_labels", "not_null", ("customer_id", "churn_probability"), ()),
+    ("mart_customer_ltv", "not_null", ("customer_id", "total_revenue", "net_ltv", "churn_probability"), ()),
+    ("mart_churn_summary", "not_null", ("segment", "region", "churn_rate_pct", "revenue_at_risk"), ()),
+    ("mart_campaign_performance", "not_null", ("campaign_id", "channel", "total_impressions", "attributed_revenue"), ()),
+    ("stg_customers", "accepted_values", ("segment",), tuple(s.lower() for s in _SEGMENTS)),
+    ("stg_orders", "accepted_values", ("status",), ("completed", "pending", "cancelled", "refunded")),
+)
+
+
+def _check_sql(table: str, col: str | None, kind: str, args: tuple) -> str:
+    """A report row: the count of offending values decides."""
+    lo, hi = args if kind in ("rows", "between") else (None, None)
+    outside = lambda v: " OR ".join(
+        [f"{v} < {lo}"] * (lo is not None) + [f"{v} > {hi}"] * (hi is not None)) or "false"
+    missing = f"count(*) FILTER (WHERE {col} IS NULL)"
+    source = _q_table(table)
+    if kind == "rows":
+        missing, bad, success = "CAST(NULL AS BIGINT)", "CAST(NULL AS BIGINT)", f"NOT ({outside('count(*)')})"
     else:
-        parts = []
-        if chk.min_value is not None:
-            parts.append(f"{c} < {chk.min_value}")
-        if chk.max_value is not None:
-            parts.append(f"{c} > {chk.max_value}")
-        bad = f"CAST(count_if({c} IS NOT NULL AND ({' OR '.join(parts) or 'false'})) AS BIGINT)"
-    return (head + f"'{c}' AS \"column\", {bad} = 0 AS success, count(*) AS element_count, "
-            f"{nulls} AS missing_count, {bad} AS unexpected_count FROM {t}")
+        if kind == "unique":
+            source = f"(SELECT {col}, count(*) OVER (PARTITION BY {col}) AS alike FROM {source})"
+        offends = {"not_null": f"{col} IS NULL", "unique": f"{col} IS NOT NULL AND alike > 1",
+                   "in": f"{col} NOT IN ({', '.join(map(_lit, args))})", "between": outside(col)}[kind]
+        bad = f"count(*) FILTER (WHERE {offends})"
+        success = f"{bad} = 0"
+    column = f"'{col}'" if col else "CAST(NULL AS VARCHAR)"
+    return (f"SELECT '{table}' AS suite, '{_KINDS[kind]}' AS \"check\", {column} AS \"column\", {success} AS success, "
+            f"count(*) AS element_count, {missing} AS missing_count, {bad} AS unexpected_count FROM {source}")
 
 
-def suites_sql(suites: dict) -> str:
-    return "\nUNION ALL\n".join(_check_sql(s, c) for s, cs in suites.items() for c in cs)
+def suites_sql(checks) -> str:
+    return "\nUNION ALL\n".join(_check_sql(*c) for c in checks)
 
 
 def _schema_sql(model, test, col, values) -> str:
-    head = f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", "
-    if test == "not_null":
-        return head + f"CAST(count_if({col} IS NULL) AS BIGINT) AS failures FROM {model}"
-    if test == "unique":
-        return head + (f"count(*) AS failures FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL "
-                       f"GROUP BY {col} HAVING count(*) > 1)")
-    vals = ", ".join(_lit(v) for v in values)
-    return head + (f"count(*) AS failures FROM (SELECT {col} AS value_field, count(*) AS n_records FROM {model} "
-                   f"GROUP BY {col}) WHERE value_field NOT IN ({vals})")
+    failing = {
+        "not_null": f"SELECT 1 FROM {model} WHERE {col} IS NULL",
+        "unique": f"SELECT 1 FROM {model} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1",
+        "accepted_values": f"SELECT DISTINCT {col} FROM {model} WHERE {col} NOT IN ({', '.join(map(_lit, values))})",
+    }[test]
+    return (f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", count(*) AS failures "
+            f"FROM ({failing})")
 
 
 def _quality_oracle() -> dict:
-    from ..operators import quality as Q
-    from ..sources import fixtures as fx
-    suites = dict(Q.raw_suites(fx.FIXTURE_SEGMENTS))
-    suites.update(Q.mart_suites())
+    every = _RAW_CHECKS + _MART_CHECKS
     out = {}
-    for name, kind in [("expect_row_count_between", Q.ROW_COUNT), ("expect_not_null", Q.NOT_NULL),
-                       ("expect_unique", Q.UNIQUE), ("expect_in_set", Q.IN_SET),
-                       ("expect_between", Q.BETWEEN)]:
-        sub = {t: [c for c in cs if c.check == kind] for t, cs in suites.items()}
-        out[name] = suites_sql({t: cs for t, cs in sub.items() if cs})
-    out["run_suite"] = suites_sql({"customers": Q.raw_suites(fx.FIXTURE_SEGMENTS)["customers"]})
-    out["raw_suites"] = suites_sql(Q.raw_suites(fx.FIXTURE_SEGMENTS))
-    out["mart_suites"] = suites_sql(Q.mart_suites())
-    tests = Q.schema_tests([s.lower() for s in fx.FIXTURE_SEGMENTS])
+    for name, kind in [("expect_row_count_between", "rows"), ("expect_not_null", "not_null"),
+                       ("expect_unique", "unique"), ("expect_in_set", "in"), ("expect_between", "between")]:
+        out[name] = suites_sql(c for c in every if c[2] == kind)
+    out["run_suite"] = suites_sql(c for c in _RAW_CHECKS if c[0] == "customers")
+    out["raw_suites"] = suites_sql(_RAW_CHECKS)
+    out["mart_suites"] = suites_sql(_MART_CHECKS)
     for kind in ("not_null", "unique", "accepted_values"):
-        out[f"schema_test_{kind}"] = "\nUNION ALL\n".join(_schema_sql(*t) for t in tests if t[1] == kind)
+        out[f"schema_test_{kind}"] = "\nUNION ALL\n".join(
+            _schema_sql(m, t, c, values) for m, t, cols, values in _SCHEMA_TESTS if t == kind for c in cols)
     # Null census per raw table
     cols = {"raw_customers": ("customers", ["customer_id", "name", "email", "age", "segment", "region",
                                             "acquisition_cost", "signup_date"]),
@@ -192,8 +225,8 @@ def _quality_oracle() -> dict:
         UNION ALL
         SELECT 'events', count(*), min(event_timestamp), max(event_timestamp), NULL, NULL, NULL, NULL FROM raw_events
         UNION ALL
-        SELECT 'orders', count(*), NULL, NULL, sum({cents('order_amount')}) / 100.0,
-               sum({cents('order_amount')}) / count(order_amount) / 100.0, NULL, NULL FROM raw_orders
+        SELECT 'orders', count(*), NULL, NULL, CAST(sum({money('order_amount')}) AS DOUBLE),
+               CAST(sum({money('order_amount')}) AS DOUBLE) / count(order_amount), NULL, NULL FROM raw_orders
         UNION ALL
         SELECT 'churn_labels', count(*), NULL, NULL, NULL, NULL, CAST(count_if(is_churned) AS BIGINT),
                count_if(is_churned) / count(is_churned) FROM raw_churn_labels"""
@@ -268,7 +301,7 @@ ORACLE.update({
     "scoring_summary": """
         SELECT count(*) AS customers_scored, CAST(count_if(churn_probability >= 0.5) AS BIGINT) AS predicted_churned,
                count_if(churn_probability >= 0.5) / count(*) AS predicted_churned_share,
-               sum(CAST(round(churn_probability * 1000000.0) AS BIGINT)) / count(churn_probability) / 1000000.0
+               CAST(sum(CAST(churn_probability AS DECIMAL(18, 6))) AS DOUBLE) / count(churn_probability)
                    AS avg_churn_probability
         FROM mart_customer_ltv""",
 })
@@ -305,31 +338,47 @@ def _increase_sql(seconds: int, where: str = "true") -> str:
         GROUP BY metric, window_start"""
 
 
-def _band(v: str, steps) -> str:
-    base = [c for lo, c in steps if lo is None][0]
-    whens = " ".join(f"WHEN {v} >= {float(lo)} THEN '{c}'"
-                     for lo, c in sorted([s for s in steps if s[0] is not None], key=lambda s: -s[0]))
-    return f"CASE WHEN {v} IS NULL THEN NULL {whens} ELSE '{base}' END"
+# Dotted name prefixes of the sample events, and the exporter's name rules as
+# (pattern, metric or its prefix, label key).
+_PREFIXES = [
+    "airflow.dagrun.duration.success.",
+    "airflow.dagrun.duration.failed.",
+    "airflow.dagrun.schedule_delay.",
+    "airflow.operator_successes_",
+    "airflow.operator_failures_",
+    "airflow.pool.open_slots.",
+    "airflow.pool.used_slots.",
+    "airflow.pool.starving_tasks.",
+    "airflow.dag_processing.last_runtime.",
+    "airflow.",
+]
+_NAME_RULES = (
+    (r"airflow\.dagrun\.duration\.success\.([^.]*)", "airflow_dagrun_duration_success_seconds", "dag_id"),
+    (r"airflow\.dagrun\.duration\.failed\.([^.]*)", "airflow_dagrun_duration_failed_seconds", "dag_id"),
+    (r"airflow\.dagrun\.schedule_delay\.([^.]*)", "airflow_dagrun_schedule_delay_seconds", "dag_id"),
+    (r"airflow\.operator_successes_([^.]*)", "airflow_operator_successes_total", "operator"),
+    (r"airflow\.operator_failures_([^.]*)", "airflow_operator_failures_total", "operator"),
+    (r"airflow\.pool\.open_slots\.([^.]*)", "airflow_pool_open_slots", "pool"),
+    (r"airflow\.pool\.used_slots\.([^.]*)", "airflow_pool_used_slots", "pool"),
+    (r"airflow\.pool\.starving_tasks\.([^.]*)", "airflow_pool_starving_tasks", "pool"),
+    (r"airflow\.dag_processing\.last_runtime\.([^.]*)", "airflow_dag_processing_last_runtime_seconds", "dag_file"),
+    (r"airflow\.([^.]*)", "airflow_", None),
+)
+# Colour steps of the panels, from the highest bound down.
+_HEARTBEAT = "CASE WHEN {v} >= 0.001 THEN 'green' WHEN {v} IS NOT NULL THEN 'red' END"
+_FAILURES = "CASE WHEN {v} >= 3 THEN 'red' WHEN {v} >= 1 THEN 'yellow' WHEN {v} IS NOT NULL THEN 'green' END"
 
 
 def _metrics_oracle() -> dict:
-    from ..operators.metrics import FAILURE_STEPS, HEARTBEAT_STEPS, MAPPING_RULES, glob_to_regex
-    from ..sources.fixtures import DOTTED_PREFIXES
     ctes = {"counters": _COUNTERS, "gauges": _GAUGES}
     prefix = "CASE event_id % 10 " + " ".join(
-        f"WHEN {i} THEN '{p}'" for i, p in enumerate(DOTTED_PREFIXES[:-1])) + f" ELSE '{DOTTED_PREFIXES[-1]}' END"
+        f"WHEN {i} THEN '{p}'" for i, p in enumerate(_PREFIXES[:-1])) + f" ELSE '{_PREFIXES[-1]}' END"
     metric_case, key_case, val_case = [], [], []
-    for glob, target, key in MAPPING_RULES:
-        rx = glob_to_regex(glob).replace("'", "''")
-        cond = f"regexp_full_match(name, '{rx}')"
-        if "$1" in target:
-            pre, post = target.split("$1")
-            m = f"'{pre}' || regexp_extract(name, '{rx}', 1) || '{post}'"
-        else:
-            m = f"'{target}'"
-        metric_case.append(f"WHEN {cond} THEN {m}")
-        key_case.append(f"WHEN {cond} THEN {('' + repr(key)) if key else 'NULL'}")
-        val_case.append(f"WHEN {cond} THEN {f'regexp_extract(name, {chr(39)}{rx}{chr(39)}, 1)' if key else 'NULL'}")
+    for rx, target, key in _NAME_RULES:
+        cond, part = f"regexp_full_match(name, '{rx}')", f"regexp_extract(name, '{rx}', 1)"
+        metric_case.append(f"WHEN {cond} THEN " + (f"'{target}'" if key else f"'{target}' || {part}"))
+        key_case.append(f"WHEN {cond} THEN " + (f"'{key}'" if key else "NULL"))
+        val_case.append(f"WHEN {cond} THEN " + (part if key else "NULL"))
     fallback = "regexp_replace(name, '[^a-zA-Z0-9_:]', '_', 'g')"
     inc24 = _increase_sql(86400)
     rate2 = _increase_sql(120)
@@ -341,8 +390,8 @@ def _metrics_oracle() -> dict:
             FROM names""", {"names": f"SELECT event_id, {prefix} || event_type AS name FROM events"}),
         "counter_increase": (inc24, ctes),
         "counter_rate": (f"SELECT *, increase / 300.0 AS rate FROM ({_increase_sql(300)})", ctes),
-        "sum_over_series": (f"""SELECT window_start, window_end, sum(increase) AS total_increase
-                                FROM ({inc24}) GROUP BY window_start, window_end""", ctes),
+        "sum_over_series": (f"""SELECT metric, window_start, window_end, sum(increase) AS total_increase
+                                FROM ({inc24}) GROUP BY ALL""", ctes),
         "last_value": (f"""
             SELECT metric, NULL::VARCHAR AS pool, arg_max(ts, {{'t': ts, 's': seq}}) AS ts,
                    arg_max(value, {{'t': ts, 's': seq}}) AS value
@@ -351,10 +400,10 @@ def _metrics_oracle() -> dict:
             SELECT metric, pool, arg_max(ts, {{'t': ts, 's': seq}}), arg_max(value, {{'t': ts, 's': seq}})
             FROM gauges WHERE value IS NOT NULL GROUP BY metric, pool""", ctes),
         "threshold_band": (f"""
-            SELECT metric, window_start, increase AS value, {_band('increase / 100.0', FAILURE_STEPS)} AS band,
+            SELECT metric, window_start, increase / 100.0 AS value, {_FAILURES.format(v='increase / 100.0')} AS band,
                    'increase_24h' AS panel FROM ({inc24})
             UNION ALL
-            SELECT metric, window_start, increase / 120.0, {_band('increase / 120.0', HEARTBEAT_STEPS)}, 'rate_2m'
+            SELECT metric, window_start, increase / 120.0, {_HEARTBEAT.format(v='increase / 120.0')}, 'rate_2m'
             FROM ({rate2})""", ctes),
         "gauge_range": ("""
             SELECT metric, pool, ts, seq, value FROM gauges

@@ -188,10 +188,10 @@ def q_count_distinct_users(spark, d):
 
 @query("conditional_sum")
 def q_conditional_sum(spark, d):
-    from ..functions.scalars import cond_sum_cents
+    from ..functions.scalars import cond_money_sum
     l = ltv(spark, d)
     return l.groupBy("segment").agg(
-        cond_sum_cents(~F.col("is_churned"), "total_revenue").alias("active_revenue"))
+        cond_money_sum(~F.col("is_churned"), "total_revenue").alias("active_revenue"))
 
 
 @query("group_ratio_pct")
@@ -485,7 +485,7 @@ def q_last_value(spark, d):
 def q_threshold_band(spark, d):
     inc = metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour")
     rate = metrics.counter_rate(fx.counter_samples(spark, d), 120)
-    a = inc.select("metric", "window_start", F.col("increase").alias("value"),
+    a = inc.select("metric", "window_start", (F.col("increase") / 100.0).alias("value"),
                    metrics.threshold_band(F.col("increase") / 100.0, metrics.FAILURE_STEPS).alias("band"))
     b = rate.select("metric", "window_start", F.col("rate").alias("value"),
                     metrics.threshold_band(F.col("rate"), metrics.HEARTBEAT_STEPS).alias("band"))
