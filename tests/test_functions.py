@@ -100,3 +100,28 @@ def test_f22_money_aggregates_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (None,), (0.3,)], "x double")
     r = df.agg(S.money_sum("x").alias("s"), S.money_avg("x").alias("a")).first()
     assert r.s == 0.6 and r.a == 0.2
+
+
+def test_money_keeps_its_scale_or_fails(spark):
+    import pytest
+    from tidemark.functions import scalars as sc
+    fine = spark.createDataFrame([(0.004,)] * 1000, "x double")
+    assert fine.agg(sc.money_sum("x").alias("s"), sc.money_avg("x").alias("a")).first() == (4.0, 0.004)
+    mixed = spark.createDataFrame([(0.1,), (0.2,), (None,), (-0.3,), (123456789.123456,)], "x double")
+    assert mixed.agg(sc.money_sum("x").alias("s")).first().s == 123456789.123456
+    for bad in (0.0000001, float("nan"), float("inf"), 1e10 + 0.1, 1 / 3):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "x double").agg(sc.money_sum("x")).collect()
+
+
+def test_fraction_means_keep_small_values(spark):
+    from tidemark.functions import scalars as sc
+    df = spark.createDataFrame([(1e-9,), (3e-9,), (None,)], "p double")
+    assert df.agg(sc.exact_avg("p").alias("a")).first().a == 2e-9
+
+
+def test_nan_amounts_are_dropped_in_staging(spark):
+    from helpers import order, raw
+    from tidemark.operators.staging import stg_orders
+    rows = [order(1, 1, "2024-01-01 00:00:00", float("nan")), order(2, 1, "2024-01-01 00:00:00", 0.004)]
+    assert [r.order_amount for r in stg_orders(raw(spark, "orders", rows)).collect()] == [0.004]

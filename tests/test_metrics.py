@@ -80,3 +80,51 @@ def test_dense_codes_match_dense_rank(spark):
     got = dense_codes(df, "g", "v", rows_per_partition=150)   # ~14 range partitions
     want = df.distinct().select("g", "v", (F.dense_rank().over(Window.partitionBy("g").orderBy("v")) - 1).alias("code"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_totals_are_per_metric(spark):
+    at = T("2024-01-01 00:00:00")
+    rows = [("ok", {"op": o}, T(f"2024-01-01 0{h}:00:00"), i, v) for i, (o, h, v) in enumerate(
+        [("a", 0, 0.0), ("a", 1, 30.0), ("b", 0, 0.0), ("b", 1, 10.0)])]
+    rows += [("bad", {"op": "a"}, T("2024-01-01 00:00:00"), 8, 0.0), ("bad", {"op": "a"}, T("2024-01-01 01:00:00"), 9, 4.0)]
+    got = M.sum_over_series(M.counter_increase(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert {r.metric: (r.window_start, r.total_increase) for r in got} == {"ok": (at, 40.0), "bad": (at, 4.0)}
+
+
+def _lookback_brute(rows, seconds, times):
+    import datetime as dt
+    out = {}
+    for op in {r[1]["op"] for r in rows}:
+        own = sorted((r[2], r[3], r[4]) for r in rows if r[1]["op"] == op and r[4] is not None)
+        for t in times:
+            inside = [v for ts, _, v in own if t - dt.timedelta(seconds=seconds) < ts <= t]
+            if inside:
+                grown = sum(b - a if b >= a else b for a, b in zip(inside, inside[1:]))
+                out[op, t] = (grown, len(inside))
+    return out
+
+
+def test_lookback_equals_brute_force(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(9)
+    start = T("2024-01-01 00:00:00")
+    rows = [("c", {"op": rnd.choice("ab")}, start + dt.timedelta(seconds=rnd.choice([0, 60, 300, 301, 4000, 4100])
+                                                                  + 300 * rnd.randrange(3) + 20_000 * rnd.randrange(2)),
+             i, float(rnd.randrange(50)) if rnd.random() > 0.1 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    times = [start + dt.timedelta(seconds=300 * k) for k in range(-2, 120)]
+    got = {(r.labels["op"], r.evaluated_at): (r.increase, r.samples) for r in M.counter_lookback(df, 900, 300).collect()}
+    assert got == _lookback_brute(rows, 900, times)
+    for at in ("2024-01-01 00:10:00", "2024-01-01 06:00:30"):
+        got = {(r.labels["op"], r.evaluated_at): (r.increase, r.samples)
+               for r in M.counter_lookback(df, 3600, as_of=at).collect()}
+        assert got == _lookback_brute(rows, 3600, [T(at)])
+
+
+def test_unfinished_runs_miss_their_limit(spark):
+    rows = [(1, T("2024-01-01 00:00:00"), T("2024-01-01 01:00:00")), (2, T("2024-01-01 00:00:00"), None),
+            (3, T("2024-01-01 00:00:00"), T("2024-01-01 03:00:00")), (4, T("2024-01-01 09:00:00"), None)]
+    df = spark.createDataFrame(rows, "run_id int, scheduled_at timestamp_ntz, finished_at timestamp_ntz")
+    assert [r.run_id for r in M.sla_miss(df).collect()] == [3]
+    assert sorted(r.run_id for r in M.sla_miss(df, as_of="2024-01-01 10:00:00").collect()) == [2, 3]

@@ -27,7 +27,7 @@ def _labelled(spark, n=400):
 
 def test_auc_matches_brute_force_with_ties(spark):
     rows = [(1, 0.9), (0, 0.9), (1, 0.8), (0, 0.3), (0, 0.3), (1, 0.3), (0, 0.1), (1, 0.95), (0, 0.5), (1, 0.5)]
-    got = ml.roc_auc(spark.createDataFrame(rows, "label int, score double"), buckets=4).first().auc
+    got = ml.roc_auc(spark.createDataFrame(rows, "label int, score double"), rows_per_range=4).first().auc
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
     want = sum(1.0 if p > q else 0.5 if p == q else 0.0 for p in pos for q in neg) / (len(pos) * len(neg))
@@ -49,19 +49,45 @@ def test_encoder_unseen_and_null(spark):
     assert codes[("segment", "None")] == 0 and codes[("segment", "a")] == 1 and codes[("segment", "b")] == 2
     apply = spark.createDataFrame([("a", "x"), ("zzz", "y"), (None, None), ("o'brien", "x"), ("back\\slash", "x")],
                                   "segment string, region string")
-    for kw in ({}, {"max_literal": 0}):   # literal-map path and join fallback
-        got = [(r.segment_code, r.region_code) for r in ml.apply_encoder(apply, enc, **kw).collect()]
-        assert sorted(got) == sorted([(1, 0), (-1, -1), (0, -1), (4, 0), (3, 0)])
+    got = [(r.segment_code, r.region_code) for r in ml.apply_encoder(apply, enc).collect()]
+    assert sorted(got) == sorted([(1, 0), (-1, -1), (0, -1), (4, 0), (3, 0)])
 
 
-def test_split_is_stable_and_roughly_stratified(spark):
-    df = _labelled(spark, 2000)
-    s1 = ml.stratified_split(df).select("customer_id", "split").collect()
-    s2 = ml.stratified_split(df).select("customer_id", "split").collect()
-    assert s1 == s2
-    rates = ml.stratified_split(df).groupBy("is_churned").agg(F.avg((F.col("split") == "test").cast("int")).alias("r"))
-    for r in rates.collect():
-        assert 0.14 < r.r < 0.26
+def test_split_is_exact_per_class_and_repeats(spark):
+    import hashlib
+    import random
+    rnd = random.Random(1)
+    sizes = {c: n for c, n in enumerate([1, 2, 3, 5, 5, 8, 400, 1000])}
+    rows = [(f"{c}-{i}", c) for c, n in sizes.items() for i in range(n)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "customer_id string, label int")
+    for bucket_rows in (1_000_000, 50):
+        got = {r.customer_id: r.split for r in ml.stratified_split(df, label="label", bucket_rows=bucket_rows).collect()}
+        assert len(got) == len(rows)
+        for c, n in sizes.items():
+            want = 0 if n == 1 else max(1, min(n - 1, int(n * 0.2 + 0.5)))
+            ids = sorted((f"{c}-{i}" for i in range(n)), key=lambda k: hashlib.md5(f"{k}-42".encode()).hexdigest())
+            assert {k for k in ids if got[k] == "test"} == set(ids[:want])
+    empty = ml.stratified_split(df.limit(0), label="label")
+    assert empty.count() == 0 and empty.columns == ["customer_id", "label", "split"]
+
+
+def test_report_averages(spark):
+    rows = [(1, 1)] * 3 + [(1, 0)] * 1 + [(0, 0)] * 5 + [(0, 1)] * 1
+    r = {x.class_name: x for x in ml.classification_report(
+        spark.createDataFrame(rows, "label int, prediction int")).collect()}
+    assert r["accuracy"].precision == r["accuracy"].f1_score == 0.8 and r["accuracy"].support == 10
+    assert r["macro avg"].recall == (3 / 4 + 5 / 6) / 2
+    assert r["weighted avg"].precision == (5 / 6 * 6 + 3 / 4 * 4) / 10
+
+
+def test_broken_runs_table_is_an_error(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "runs")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        ml.latest_trained_at(spark, path)
 
 
 def test_train_save_load_score(spark, tmpdir_path):
@@ -107,7 +133,7 @@ def test_auc_clustered_scores_match_brute_force(spark):
     rnd = random.Random(5)
     rows = [(rnd.randint(0, 1), 0.5 + rnd.randint(0, 400) * 1e-7) for _ in range(1500)]
     rows += [(rnd.randint(0, 1), rnd.random()) for _ in range(100)]
-    got = ml.roc_auc(spark.createDataFrame(rows, "label int, score double"), buckets=16).first().auc
+    got = ml.roc_auc(spark.createDataFrame(rows, "label int, score double"), rows_per_range=16).first().auc
     pos = [s for y, s in rows if y == 1]
     neg = sorted(s for y, s in rows if y == 0)
     import bisect

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.queries import REGISTRY
 from tools.check_oracle import TABLES, TYPE_MAP, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +37,7 @@ def test_matches_oracle(spark, duck, name):
     assert {c: TYPE_MAP.get(stypes[c], stypes[c]) for c in sc} == {c: dtypes[c] for c in sc}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - set(E.oracle_sql()) - SLOW))
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF)
     assert df.count() >= 0

@@ -5,6 +5,7 @@ design relies on."""
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 SKIP = {"train_churn", "score_customers"}   # Spark ML stages; checked in test_ml
@@ -18,7 +19,7 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - SKIP))
 def test_no_cross_join_no_python(spark, name):
     plan = _plan(spark, name)
     for node in FORBIDDEN:

@@ -105,6 +105,9 @@ def test_daily_and_training_pipelines(spark, tmpdir_path):
     res2 = daily.run_daily(spark, raw_dir, wh, model_path=model_path, runs_path=runs)
     p = res2.predictions.collect()
     assert len(p) == 120 and p[0].model_trained_at is not None
+    assert res2.scoring.first().customers_scored == 120 and res2.inventory.count() == 4
+    printed = res2.profile()
+    assert all(x in printed for x in ("files", "value counts", "scoring", "customers_scored"))
 
 
 def test_daily_strict_null_gate_stops_on_unclicked_events(spark, tmpdir_path):
@@ -114,3 +117,49 @@ def test_daily_strict_null_gate_stops_on_unclicked_events(spark, tmpdir_path):
     with pytest.raises(NullGateError):
         daily.run_daily(spark, tmpdir_path, wh, strict_nulls=True)
     assert not os.path.exists(os.path.join(wh, "raw"))   # nothing published past a failed gate
+
+
+def _customers_csv(path, lines):
+    with open(os.path.join(path, "customers.csv"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_columns_come_by_header_name_and_quotes_are_standard(spark, tmpdir_path):
+    _customers_csv(tmpdir_path, [
+        "customer_id,email,name,age,region,segment,acquisition_cost,signup_date,note",
+        '7,a@x.org,"An ""Al"" Bo, Jr",30,US,smb,12.5,2024-01-02,extra'])
+    r = raw_io.read_raw(spark, tmpdir_path, "customers").collect()[0]
+    assert (r.customer_id, r.email, r.name, r.region, r.segment, r.acquisition_cost) == (
+        7, "a@x.org", 'An "Al" Bo, Jr', "US", "smb", 12.5)
+    assert "note" not in r.asDict()
+    _customers_csv(tmpdir_path, ["customer_id,email,age,region,segment,acquisition_cost,signup_date", "1,a,1,b,c,1,2024-01-01"])
+    with pytest.raises(ValueError, match="name"):
+        raw_io.read_raw(spark, tmpdir_path, "customers")
+
+
+def test_file_without_rows_stays_in_the_inventory(spark, tmpdir_path):
+    _customers_csv(tmpdir_path, ["customer_id,email"])
+    r = raw_io.file_inventory(spark, {"customers": os.path.join(tmpdir_path, "customers.csv")}).collect()
+    assert [(x.table_name, x.file_count, x.row_count, x.column_count) for x in r] == [("customers", 1, 0, 2)]
+    assert r[0].file_size > 0
+
+
+def test_publishing_points_at_the_landed_version(spark, tmpdir_path):
+    raw_dir, wh = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "warehouse")
+    os.makedirs(raw_dir)
+    _make_csvs(raw_dir, 5, 20)
+    first = raw_io.land_raw(spark, raw_dir, wh)
+    raw_io.publish_raw(spark, first, wh)
+    _make_csvs(raw_dir, 8, 30)
+    second = raw_io.land_raw(spark, raw_dir, wh)
+    assert spark.table("raw.customers").count() == 5        # a landed version is not yet published
+    raw_io.publish_raw(spark, second, wh)
+    assert spark.table("raw.customers").count() == 8 and spark.read.parquet(first["customers"]).count() == 5
+
+
+def test_managed_tables_are_not_replaced(spark, tmpdir_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    spark.range(3).write.mode("overwrite").saveAsTable("kept.numbers")
+    with pytest.raises(ValueError, match="managed"):
+        raw_io.write_table(spark.range(1).toDF("id"), tmpdir_path, "kept", "numbers")
+    assert spark.table("kept.numbers").count() == 3

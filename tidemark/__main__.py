@@ -40,9 +40,9 @@ def main(argv=None) -> None:
                               model_path=a.model, runs_path=a.runs)
         for r in res.summary.collect():
             print(json.dumps({k: (str(v) if v is not None else None) for k, v in r.asDict().items()}))
-        if res.predictions is not None:
-            s = res.predictions.agg({"churn_prediction": "count"}).first()[0]
-            print(json.dumps({"scored": s}))
+        if res.scoring is not None:
+            print(json.dumps({"scored": res.scoring.first().customers_scored}))
+        print(res.profile())
     else:
         rec = daily.run_training(spark, a.warehouse, a.model, a.runs)
         print(json.dumps({k: v for k, v in rec.items() if k != "report"}, default=str))

@@ -1,4 +1,4 @@
-"""Join helpers that broadcast only behind a size check.
+"""Join helper that broadcasts only behind a size check.
 
 ``join_small_dimension`` adds a broadcast hint only when the optimizer's size
 estimate of the dimension plan is within ``max_bytes`` (for file scans an
@@ -6,8 +6,7 @@ upper bound from file sizes; no job is run).  Otherwise it leaves the join
 to Spark: a shuffle join that AQE turns into a broadcast only after the
 dimension's shuffle output has been measured below
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and whose skewed
-partitions AQE splits.  ``count_check=True`` adds an exact bounded row count
-for callers whose dimension is cheap to recompute.
+partitions AQE splits.  The choice changes the plan only, never the rows.
 """
 
 from __future__ import annotations
@@ -18,25 +17,11 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
+def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan, in bytes."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
-
-
-def is_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES,
-             count_check: bool = False) -> bool:
-    est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return True
-    return count_check and df.limit(max_rows + 1).count() <= max_rows
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def join_small_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                         max_rows: int = 100_000, max_bytes: int = DEFAULT_MAX_BYTES,
-                         count_check: bool = False) -> DataFrame:
-    if is_small(dim, max_rows, max_bytes, count_check):
-        return fact.join(F.broadcast(dim), on, how)
-    return fact.join(dim, on, how)
+                         max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    return fact.join(F.broadcast(dim) if estimated_bytes(dim) <= max_bytes else dim, on, how)

@@ -81,6 +81,11 @@ def from_units(total: Column) -> Column:
     return total.cast("double") / F.lit(_UNIT)
 
 
+def mean_from_units(total: Column, n: Column) -> Column:
+    """A sum of money units over a count, as a double (null for a count of 0)."""
+    return F.try_divide(total.cast("double"), n) / F.lit(_UNIT)
+
+
 def money_sum(c) -> Column:
     """Aggregate: exact sum of a money column, as double."""
     return from_units(unit_sum(money_units(c)))
@@ -88,7 +93,7 @@ def money_sum(c) -> Column:
 
 def money_avg(c) -> Column:
     """Aggregate: mean of a money column (null for no rows)."""
-    return F.try_divide(money_sum(c), F.count(col_(c)))
+    return mean_from_units(unit_sum(money_units(c)), F.count(col_(c)))
 
 
 def exact_avg(c) -> Column:

@@ -9,7 +9,7 @@ from .joins import join_small_dimension
 
 
 def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
-                  name: str = "rn", max_bucket_rows: int = 5_000_000) -> DataFrame:
+                  name: str = "rn") -> DataFrame:
     """``row_number() over (partition by keys order by order)`` in two levels.
 
     ``bucket`` must be monotone in ``order`` (e.g. the day of a timestamp).
@@ -27,7 +27,7 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order)
     d = d.withColumn("_rn", F.row_number().over(inner))
     on = [*keys, "_bk"]
-    return (join_small_dimension(d, offsets, on, "left", max_bucket_rows)
+    return (join_small_dimension(d, offsets, on, "left")
             .withColumn(name, (F.col("_rn") + F.col("_off")).cast("long"))
             .drop("_bk", "_rn", "_off", "_n"))
 

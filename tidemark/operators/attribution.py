@@ -42,7 +42,7 @@ def attribute_orders(stg_orders_df: DataFrame, stg_events_df: DataFrame,
     spread over ``ceil(n / hot_rows)`` salts by a hash of the order id
     (deterministic, so retried tasks agree) and their one last-click row is
     repeated once per salt.  The hot list holds at most
-    ``total_orders / hot_rows`` rows, the bound that makes broadcasting it safe.
+    ``total_orders / hot_rows`` rows; Spark broadcasts it by its measured size.
     (AQE's skew-join split does not apply here: the click side reaches the
     join through an aggregate, not directly from a shuffle.)
     """
@@ -52,10 +52,10 @@ def attribute_orders(stg_orders_df: DataFrame, stg_events_df: DataFrame,
     hot = (orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > hot_rows)
            .select("customer_id", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_ns")))
-    salted_orders = orders.join(F.broadcast(hot), "customer_id", "left").withColumn(
+    salted_orders = orders.join(hot, "customer_id", "left").withColumn(
         "_salt", F.when(F.col("_ns").isNotNull(), F.pmod(F.xxhash64("order_id"), F.col("_ns")))
         .otherwise(F.lit(0)).cast("int"))
-    salted_clicks = lc.join(F.broadcast(hot), "customer_id", "left").withColumn(
+    salted_clicks = lc.join(hot, "customer_id", "left").withColumn(
         "_salt", F.explode(F.when(F.col("_ns").isNotNull(), F.sequence(F.lit(0), F.col("_ns") - 1))
                            .otherwise(F.array(F.lit(0)))))
     return salted_orders.join(salted_clicks.drop("_ns"), ["customer_id", "_salt"], "left").select(
@@ -77,7 +77,7 @@ def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1
     ``bucket`` time slices; every other customer is one slice, so no window
     task holds more than ``hot_rows`` rows of a normal customer or one time
     slice of a hot one.  The hot list has at most ``total_rows / hot_rows``
-    entries, which is the bound that makes broadcasting it safe.
+    entries; Spark broadcasts it by its measured size.
     """
     order_cols = orders.columns
     o = orders.select(
@@ -94,7 +94,7 @@ def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1
     # Hot customers: a partial count per customer, filtered to the heavy ones.
     hot = (u.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > hot_rows).select("customer_id", F.lit(True).alias("_hot")))
-    u = u.join(F.broadcast(hot), "customer_id", "left")
+    u = u.join(hot, "customer_id", "left")
     whole = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     u = u.withColumn("_b", F.when(F.col("_hot"), F.window("_t", bucket).start).otherwise(whole))
 

@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (cond_money_sum, exact_avg, from_units, money_avg, money_sum, money_units, ratio_pct,
-                                 round_half_up, safe_divide, unit_sum)
+from ..functions.scalars import (cond_money_sum, exact_avg, from_units, mean_from_units, money_avg, money_sum, money_units,
+                                 ratio_pct, round_half_up, safe_divide, unit_sum)
 from .attribution import attribute_orders, last_click
 from .staging import completed_orders
 
@@ -89,7 +89,7 @@ def revenue_stats(stg_orders_df: DataFrame, stg_events_df: DataFrame) -> DataFra
     return attributed.groupBy("campaign_id").agg(
         n.alias("attributed_orders"),
         round_half_up(from_units(F.sum("units")), 2).alias("attributed_revenue"),
-        round_half_up(from_units(F.sum("units")) / n, 2).alias("avg_order_value"),
+        round_half_up(mean_from_units(F.sum("units"), n), 2).alias("avg_order_value"),
     )
 
 

@@ -115,12 +115,73 @@ def counter_increase(samples: DataFrame, range_: str = "24 hours", step: str = "
 
 
 def counter_rate(samples: DataFrame, range_seconds: int = 300, step_seconds: int | None = None) -> DataFrame:
-    """Increase per second over tumbling ranges (2 m / 5 m on the dashboard)."""
+    """Increase per second over tumbling ranges (2 m / 5 m on the dashboard).
+
+    ``step_seconds`` is the inner slice of ``counter_increase``."""
     step = step_seconds or range_seconds
     inc = counter_increase(samples, f"{range_seconds} seconds", f"{step} seconds")
     return inc.withColumn("rate", F.col("increase") / F.lit(float(range_seconds)))
 
 
+def counter_lookback(samples: DataFrame, range_seconds: int, every_seconds: int | None = None,
+                     as_of: str | None = None) -> DataFrame:
+    """T2 / T3 at evaluation times: growth over ``(t - range, t]`` for each series.
+
+    ``every_seconds``: at every multiple of it (which must divide the range)
+    whose range holds a sample; ``as_of``: at that instant only.  The first
+    sample of a range adds 0 and resets count, as in ``counter_increase``.
+    Returns (metric, labels, evaluated_at, increase, rate, samples).
+
+    Samples are reduced to slices of ``every_seconds`` (first and last value,
+    growth inside); the growth over a range is a windowed sum over slices,
+    less the step into its first slice.  No sample is copied per time.
+    """
+    if (every_seconds is None) == (as_of is None):
+        raise ValueError("give either every_seconds or as_of")
+    if every_seconds is not None and range_seconds % every_seconds:
+        raise ValueError("every_seconds must divide range_seconds")
+    s = samples.where(F.col("value").isNotNull()).select(
+        "metric", _key().alias("_k"), "ts", "seq", F.col("value").cast("double").alias("value"))
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", zero, F.col("ts").cast("timestamp_ntz"))
+    if as_of is not None:
+        # Slices of a sixtieth of the range, counted back from the instant.
+        step = max(1, range_seconds * 1_000_000 // 60)
+        end = F.timestamp_diff("MICROSECOND", zero, ts_literal(as_of))
+        s = s.where((micros > end - range_seconds * 1_000_000) & (micros <= end))
+    else:
+        step, end = every_seconds * 1_000_000, F.lit(0).cast("long")
+    # Slice number: the evaluation time at its (inclusive) end, in steps.
+    s = s.withColumn("_s", -F.floor((end - micros) / F.lit(step)))
+    order = F.struct("ts", "seq")
+    inside = Window.partitionBy("metric", "_k", "_s").orderBy("ts", "seq")
+    slices = (s.withColumn("_p", F.lag("value").over(inside))
+              .groupBy("metric", "_k", "_s")
+              .agg(F.sum(_inc(F.col("value"), F.col("_p"))).alias("_in"), F.count(F.lit(1)).alias("_n"),
+                   F.min_by("value", order).alias("_first"), F.max_by("value", order).alias("_last")))
+    series = Window.partitionBy("metric", "_k").orderBy("_s")
+    slices = slices.withColumn("_b", _inc(F.col("_first"), F.lag("_last").over(series)))
+    if as_of is not None:
+        out = slices.groupBy("metric", "_k").agg((F.sum("_in") + F.sum("_b") - F.min_by("_b", "_s")).alias("increase"),
+                                                 F.sum("_n").alias("samples"))
+        out = out.withColumn("evaluated_at", ts_literal(as_of))
+    else:
+        # Times without samples of their own: the steps after a slice while it is in range, up to the next slice.
+        span = range_seconds // every_seconds
+        slices = slices.withColumn("_until", F.least(
+            F.col("_s") + span - 1, F.coalesce(F.lead("_s").over(series) - 1, F.lit(2**62))))
+        slices = slices.withColumn("_t", F.explode(F.sequence(F.col("_s"), F.col("_until"))))
+        own = F.col("_t") == F.col("_s")
+        seen = lambda c: F.when(own, F.col(c))
+        window = Window.partitionBy("metric", "_k").orderBy("_t").rangeBetween(-(span - 1), 0)
+        total = F.sum(F.coalesce(seen("_in") + seen("_b"), F.lit(0.0))).over(window)
+        entry = F.first(seen("_b"), ignorenulls=True).over(window)
+        out = slices.select("metric", "_k", (total - entry).alias("increase"), F.sum(seen("_n")).over(window).alias("samples"),
+                            F.timestamp_add("SECOND", (F.col("_t") * every_seconds).cast("int"), zero).alias("evaluated_at"))
+    return out.select("metric", F.map_from_entries("_k").alias("labels"), "evaluated_at", "increase",
+                      (F.col("increase") / F.lit(float(range_seconds))).alias("rate"), "samples")
+
+
 def sum_over_series(increases: DataFrame, value_col: str = "increase") -> DataFrame:
     """T4: total of each metric across its series (label values) per range."""
     return increases.groupBy("metric", "window_start", "window_end").agg(F.sum(value_col).alias(f"total_{value_col}"))
@@ -160,14 +221,18 @@ def label_filter(samples: DataFrame, metrics: list[str], label: str, value: str)
 def success_vs_failure(samples: DataFrame, success_metric: str, failure_metric: str,
                        range_seconds: int = 300) -> DataFrame:
     """Both rates, tagged."""
-    ok = counter_rate(samples.where(F.col("metric") == success_metric), range_seconds)
-    bad = counter_rate(samples.where(F.col("metric") == failure_metric), range_seconds)
-    return (ok.withColumn("kind", F.lit("success"))
-            .unionByName(bad.withColumn("kind", F.lit("failure"))))
+    both = counter_rate(samples.where(F.col("metric").isin(success_metric, failure_metric)), range_seconds)
+    return both.withColumn("kind", F.when(F.col("metric") == success_metric, "success").otherwise("failure"))
+
 
+def sla_miss(runs: DataFrame, limit: str = SLA_LIMIT, as_of: str | None = None) -> DataFrame:
+    """Runs that finished later than ``scheduled_at + limit``.
 
-def sla_miss(runs: DataFrame, limit: str = SLA_LIMIT) -> DataFrame:
-    """Runs that finished later than ``scheduled_at + limit``."""
-    late = F.col("finished_at") > F.col("scheduled_at") + F.expr(f"INTERVAL {limit}")
+    With ``as_of``, runs not finished by then whose limit has passed are
+    reported too (null ``duration_seconds``)."""
+    due = F.col("scheduled_at") + F.expr(f"INTERVAL {limit}")
+    late = F.coalesce(F.col("finished_at") > due, F.lit(False))
+    if as_of is not None:
+        late = late | (F.col("finished_at").isNull() & (due < ts_literal(as_of)))
     dur = F.timestamp_diff("MICROSECOND", F.col("scheduled_at"), F.col("finished_at")) / F.lit(1e6)
     return runs.where(late).withColumn("duration_seconds", dur)

@@ -10,7 +10,7 @@ labels, the latest training time).
   category ``None``.  The DataFrame form (``fit_encoder``/``apply_encoder``) and
   the persisted model form (``StringIndexer`` alphabetical + a SQL mapping of
   the "unseen" slot to -1) give the same codes.
-* Split: a per-row hash bucket, so it needs no shuffle and no global sort.
+* Split: an exact cut of each class in hash order, ranked only where the cut falls.
 * AUC: exact (Mann-Whitney with half credit for ties) from per-score class
   counts and two-level running sums, so no window ever sees all rows.
 """
@@ -24,7 +24,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import join_small_dimension
 from ..functions.scalars import exact_avg, round_half_even, str_category
 from ..schemas import ALL_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 
@@ -35,7 +34,7 @@ LEARNING_RATE = 0.1
 SEED = 42
 TEST_FRACTION = 0.2
 CLASS_NAMES = ["active", "churned"]
-AUC_BUCKETS = 1_000
+AUC_RANGE_ROWS = 1_000_000
 
 
 # --- M1, S10, S11, P8 ---------------------------------------------------------------
@@ -71,40 +70,19 @@ def fit_encoder(df: DataFrame, columns=CATEGORICAL_FEATURES) -> DataFrame:
     return dense_codes(u, "feature", "value")
 
 
-def _sql_str(v: str) -> str:
-    """A Spark SQL string literal for any text."""
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURES,
-                  suffix: str = "_code", max_literal: int = 10_000, max_rows: int = 1_000_000) -> DataFrame:
+                  suffix: str = "_code") -> DataFrame:
     """M3: unseen value -> -1; null -> the ``None`` category.
 
-    The fitted encoder is read once with a row bound; within the bound it is
-    applied as a literal map (a narrow projection, no join or shuffle).
-    Beyond it, the encoder joins as a dimension (broadcast only if proven
-    small).
+    One join per feature with the fitted encoder (one row per value).  Spark
+    broadcasts it only after measuring its size, and splits skewed partitions
+    otherwise; nothing is read while the plan is built.
     """
-    rows = encoder.limit(max_literal + 1).collect()
-    if len(rows) <= max_literal:
-        out = df
-        for c in columns:
-            entries = ", ".join(f"{_sql_str(r['value'])}, {int(r['code'])}L" for r in rows if r["feature"] == c)
-            # one SQL map literal (a single driver call; Catalyst folds it to a constant)
-            lookup = F.expr(f"map({entries})") if entries else F.create_map().cast("map<string,bigint>")
-            out = out.withColumn(c + suffix, F.coalesce(F.try_element_at(lookup, str_category(c)),
-                                                        F.lit(-1)).cast("long"))
-        return out
     out = df
     for c in columns:
         e = encoder.where(F.col("feature") == c).select(F.col("value").alias(f"_v_{c}"),
                                                        F.col("code").alias(f"_c_{c}"))
-        out = out.withColumn(f"_k_{c}", str_category(c))
-        # The encoder reads checkpointed distinct values, so an exact bounded
-        # count is cheap; up to ``max_rows`` values it is broadcast (a popular
-        # category cannot skew a map-side join).
-        out = join_small_dimension(out, e, F.col(f"_k_{c}") == F.col(f"_v_{c}"), "left", max_rows,
-                                   count_check=True)
+        out = out.withColumn(f"_k_{c}", str_category(c)).join(e, F.col(f"_k_{c}") == F.col(f"_v_{c}"), "left")
         out = (out.withColumn(c + suffix, F.coalesce(F.col(f"_c_{c}"), F.lit(-1).cast("long")))
                .drop(f"_k_{c}", f"_v_{c}", f"_c_{c}"))
     return out
@@ -112,20 +90,40 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, columns=CATEGORICAL_FEATURE
 
 # --- M4, M5, A15 ------------------------------------------------------------------------
 
-def split_bucket(id_col: str = "customer_id", seed: int = SEED):
-    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit("-"), F.lit(str(seed))))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % 100
-
-
 def stratified_split(df: DataFrame, id_col: str = "customer_id", seed: int = SEED,
-                     test_fraction: float = TEST_FRACTION) -> DataFrame:
-    """M4: adds ``split`` in {train, test} from a hash of the id and seed.
-
-    Each row's side depends on its own id only, so both classes are cut at the
-    same rate (stratified in expectation) with no shuffle.
+                     test_fraction: float = TEST_FRACTION, label: str = TARGET, bucket_rows: int = 1_000_000) -> DataFrame:
+    """M4: adds ``split`` in {train, test}: of each class the ``test_fraction`` with the smallest hashes.
+
+    Exact per class: the test part has ``round(n * test_fraction)`` rows of a
+    class of n (half up), at least one and not all if n > 1.  Order is by a
+    hash of the id and seed (ties by id), so the cut repeats.  The rank is
+    taken in two levels: hash buckets of about ``bucket_rows`` rows are
+    counted per class, and only rows of the one bucket that holds a class's
+    cut are ranked by a window.
     """
-    cut = int(round(test_fraction * 100))
-    return df.withColumn("split", F.when(split_bucket(id_col, seed) < cut, "test").otherwise("train"))
+    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit("-"), F.lit(str(seed))))
+    d = df.withColumn("_h", h).withColumn("_place", F.conv(F.substring("_h", 1, 8), 16, 10).cast("long"))
+    total = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    # The bucket width follows the size of the largest class: one number, read once.
+    largest = total.agg(F.max("_n")).first()[0] or 1
+    width = max(1, 2**32 // max(1, -(-largest // bucket_rows)))
+    d = d.withColumn("_b", F.floor(F.col("_place") / width))
+    per = d.groupBy(F.col(label).alias("_l"), "_b").agg(F.count(F.lit(1)).alias("_m"))
+    w = Window.partitionBy("_l").orderBy("_b")          # a row per bucket
+    every = Window.partitionBy("_l")
+    want = F.floor(F.col("_n") * test_fraction + 0.5)
+    want = F.when(F.col("_n") > 1, F.least(F.greatest(want, F.lit(1)), F.col("_n") - 1)).otherwise(F.lit(0))
+    per = (per.withColumn("_n", F.sum("_m").over(every)).withColumn("_want", want)
+           .withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
+           .withColumn("_state", F.when(F.col("_before") + F.col("_m") <= F.col("_want"), "test")
+                       .when(F.col("_before") >= F.col("_want"), "train").otherwise("cut"))
+           .select("_l", F.col("_b").alias("_pb"), "_state", (F.col("_want") - F.col("_before")).alias("_left")))
+    d = d.join(per, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_pb")))
+    # Rows outside the cut bucket get keys of their own and need no rank.
+    spread = F.when(F.col("_state") == "cut", F.lit(-1)).otherwise(F.col("_place"))
+    rank = F.row_number().over(Window.partitionBy("_l", "_b", spread).orderBy("_h", F.col(id_col).cast("string")))
+    return d.withColumn("split", F.when(F.col("_state") != "cut", F.col("_state"))
+                        .when(rank <= F.col("_left"), "test").otherwise("train")).select(*df.columns, "split")
 
 
 def class_counts(df: DataFrame, label: str = TARGET) -> DataFrame:
@@ -152,19 +150,18 @@ def target_rate(df: DataFrame, label: str = TARGET) -> DataFrame:
 # --- M7, M8, A14 ------------------------------------------------------------------------
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
-            buckets: int = AUC_BUCKETS) -> DataFrame:
+            rows_per_range: int = AUC_RANGE_ROWS) -> DataFrame:
     """M7: exact area under the ROC curve (Mann-Whitney, ties get half credit).
 
     1. Per distinct score: positive and negative counts (partial aggregation;
        a score shared by many rows becomes one row), checkpointed.
-    2. Distinct scores are cut into at most ``buckets`` ranges at approximate
-       quantiles of the distinct scores, so every range holds a similar number
-       of them however the scores cluster (the split points are a bounded list).
+    2. Distinct scores are range-partitioned into about ``rows_per_range`` each,
+       so the number of ranges follows the data; the cut is pinned by a second
+       checkpoint.
     3. Negatives ranked below a score = negatives of all lower ranges (a window
-       over the range totals, at most ``buckets + 1`` rows, broadcast back) +
-       negatives of lower scores in the same range (window per range).
+       over the range totals, one row per range) + negatives of lower scores
+       in the same range (window per range).
     """
-    from pyspark.ml.feature import Bucketizer
     y = F.col(label).cast("int")
     per_score = (df.where(F.col(score).isNotNull() & y.isNotNull())
                  .groupBy(F.col(score).cast("double").alias("s"))
@@ -174,15 +171,13 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     per_score = per_score.checkpoint()
-    qs = per_score.approxQuantile("s", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
-    inner = sorted(set(q for q in qs if q == q)) or [0.0]   # any finite cut works for no data
-    splits = [float("-inf")] + inner + [float("inf")]
-    per_score = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(per_score)
+    ranges = max(1, -(-per_score.count() // rows_per_range))
+    per_score = per_score.repartitionByRange(ranges, "s").withColumn("b", F.spark_partition_id()).checkpoint()
     totals = per_score.groupBy("b").agg(F.sum("neg").alias("bneg"))
     before = totals.select(
         "b", F.coalesce(F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)),
                         F.lit(0)).alias("neg_before_bucket"))
-    ranked = per_score.join(F.broadcast(before), "b", "left")  # <= buckets + 1 rows
+    ranked = per_score.join(before, "b", "left")
     wb = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     neg_below = F.col("neg_before_bucket") + F.coalesce(F.sum("neg").over(wb), F.lit(0))
     dec = "decimal(38,0)"
@@ -198,7 +193,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """M8: per class precision, recall, F1 and support; undefined ratios are 0."""
+    """M8: precision, recall, F1 and support per class, then the accuracy row and the
+    macro and weighted averages; undefined ratios are 0.  The accuracy row has
+    the accuracy in all three ratio columns."""
     y = F.col(label).cast("int")
     p = F.col(prediction).cast("int")
     c = df.agg(F.count_if((y == 1) & (p == 1)).alias("tp1"), F.count_if((y == 0) & (p == 1)).alias("fp1"),
@@ -213,8 +210,21 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
         return F.struct(F.lit(name).alias("class_name"), prec.alias("precision"), rec.alias("recall"),
                         f1.alias("f1_score"), (tp + fn).cast("long").alias("support"))
 
-    return c.select(F.inline(F.array(cls(CLASS_NAMES[0], "tp0", "fn1", "fp1"),
-                                     cls(CLASS_NAMES[1], "tp1", "fp1", "fn1"))))
+    both = c.select(cls(CLASS_NAMES[0], "tp0", "fn1", "fp1").alias("a"), cls(CLASS_NAMES[1], "tp1", "fp1", "fn1").alias("b"),
+                    (F.col("tp0") + F.col("tp1")).alias("right"))
+    n = F.col("a.support") + F.col("b.support")
+    accuracy = F.coalesce(F.try_divide(F.col("right").cast("double"), n.cast("double")), F.lit(0.0))
+
+    def mean(name, of):
+        return F.struct(F.lit(name).alias("class_name"), *[of(k).alias(k) for k in ("precision", "recall", "f1_score")],
+                        n.alias("support"))
+
+    weighted = lambda k: F.coalesce(F.try_divide(
+        F.col(f"a.{k}") * F.col("a.support") + F.col(f"b.{k}") * F.col("b.support"), n.cast("double")), F.lit(0.0))
+    return both.select(F.inline(F.array(
+        F.col("a"), F.col("b"), mean("accuracy", lambda k: accuracy),
+        mean("macro avg", lambda k: (F.col(f"a.{k}") + F.col(f"b.{k}")) / F.lit(2.0)),
+        mean("weighted avg", weighted))))
 
 
 def scoring_summary(scored: DataFrame, prob: str = "churn_probability",
@@ -291,12 +301,12 @@ def train_churn(spark: SparkSession, labelled: DataFrame, seed: int = SEED,
     scored = model.transform(test_raw).select(
         "label", vector_to_array("probability")[1].alias("score"), "prediction")
     auc_row = roc_auc(scored).first()
-    report = [r.asDict() for r in classification_report(scored).collect()]  # two rows
+    report = [r.asDict() for r in classification_report(scored).collect()]  # five rows
     record = {
         "train_rows": counts["negatives"] + counts["positives"],
         "test_rows": test_raw.count(),
         "auc": None if auc_row is None or auc_row["auc"] is None else round(auc_row["auc"], 4),
-        "churn_rate": target_rate(labelled).first()["churn_rate"],
+        "churn_rate": round(target_rate(data).first()["churn_rate"], 4),
         "features": ",".join(ALL_FEATURES),
         "report": report,
     }
@@ -342,11 +352,10 @@ def latest_trained_at(spark: SparkSession, runs_path: str | None):
     """``max(trained_at)`` of the runs table; None when there is none."""
     if not runs_path:
         return None
-    try:
-        r = spark.read.schema(RUNS_SCHEMA).parquet(runs_path).agg(F.max("trained_at").alias("t")).first()
-    except Exception:  # noqa: BLE001 - absent table means "no run yet"
-        return None
-    return None if r is None else r["t"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(runs_path)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None  # no run yet; anything else that goes wrong is an error
+    return spark.read.schema(RUNS_SCHEMA).parquet(runs_path).agg(F.max("trained_at").alias("t")).first()["t"]
 
 
 def score_customers(model: PipelineModel, scoring: DataFrame, model_trained_at=None,

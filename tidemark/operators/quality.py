@@ -163,10 +163,14 @@ class QualityGateError(ValueError):
     pass
 
 
+def failing(report: DataFrame) -> DataFrame:
+    """The checks of a report that failed."""
+    return report.where(~F.col("success"))
+
+
 def quality_gate(report: DataFrame) -> DataFrame:
     """Q7: run every check, then raise once listing all failures."""
-    rows = report.collect()  # one row per check
-    failed = [r for r in rows if not r["success"]]
+    failed = failing(report).collect()  # one row per check at most
     if failed:
         lines = [f"[{r['suite']}] {r['check']}({r['column']}): unexpected={r['unexpected_count']} "
                  f"missing={r['missing_count']} elements={r['element_count']}" for r in failed]
@@ -350,6 +354,12 @@ class NullGateError(ValueError):
     pass
 
 
+def null_gate_failures(census: DataFrame) -> DataFrame:
+    """Tables of a null census that have nulls."""
+    return (census.select("table_name", "table_null_count", "rows_with_null").distinct()
+            .where(F.col("table_null_count") > 0))
+
+
 def null_gate(tables: dict[str, DataFrame], allow_null: dict[str, list[str]] | None = None) -> DataFrame:
     """Q13: raise if any table has a null outside its allowed columns."""
     allow_null = allow_null or {}
@@ -358,8 +368,7 @@ def null_gate(tables: dict[str, DataFrame], allow_null: dict[str, list[str]] | N
         keep = [c for c in df.columns if c not in set(allow_null.get(name, []))]
         r = null_census(df.select(*keep), name)
         out = r if out is None else out.unionByName(r)
-    rows = out.select("table_name", "table_null_count", "rows_with_null").distinct().collect()
-    bad = [r for r in rows if r["table_null_count"] > 0]
+    bad = null_gate_failures(out).collect()      # one row per table
     if bad:
         raise NullGateError("; ".join(f"{r['table_name']}: found {r['table_null_count']} null values across "
                                       f"{r['rows_with_null']} rows" for r in bad))
@@ -369,15 +378,14 @@ def null_gate(tables: dict[str, DataFrame], allow_null: dict[str, list[str]] | N
 def value_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Count per value of each column, nulls dropped, in one scan.
 
-    Columns are unpivoted into (column, value) pairs and counted together;
-    ``rank`` orders values most-frequent first within each column.
+    Columns are unpivoted into (column, value) pairs and counted together.
+    Order at read time (most frequent first), once for all tables.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                                 for c in columns]))
     counts = (df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count")))
-    return (counts.select(F.lit(table).alias("table_name"), "column_name", "value", "count")
-            .orderBy("column_name", F.col("count").desc(), "value"))
+    return counts.select(F.lit(table).alias("table_name"), "column_name", "value", "count")
 
 
 def table_summary(customers: DataFrame, events: DataFrame, orders: DataFrame,

@@ -18,8 +18,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import marts, ml, quality, staging
+from ..schemas import RAW_FILES
 from ..sources import raw as raw_io
 
 
@@ -32,6 +34,15 @@ class DailyResult:
     value_counts: DataFrame
     marts: dict
     predictions: DataFrame | None
+    inventory: DataFrame
+    scoring: DataFrame | None
+
+    def profile(self) -> str:
+        """The run's printed profile: files, table figures, value counts and scoring figures."""
+        parts = [("files", self.inventory), ("tables", self.summary), ("value counts", self.value_counts),
+                 ("scoring", self.scoring)]
+        # Bounded: a row per table, a row per category, one row.
+        return "\n\n".join(f"{name}\n{df.toPandas().to_string(index=False)}" for name, df in parts if df is not None)
 
 
 def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
@@ -39,7 +50,9 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
               model_path: str | None = None, runs_path: str | None = None) -> DailyResult:
     raw_io.require_sources(spark, raw_dir)                                  # S3
     # Each CSV is parsed once into a landing table; all checks read that.
-    raw = raw_io.land_raw(spark, raw_dir, warehouse)
+    landed = raw_io.land_raw(spark, raw_dir, warehouse)
+    raw = {t: spark.read.parquet(path) for t, path in landed.items()}
+    inventory = raw_io.file_inventory(spark, {t: f"{raw_dir.rstrip('/')}/{f}" for f, t in RAW_FILES.items()})  # S4
     # One aggregate per raw table gives the null gate, the summary and every
     # non-unique expectation; D1: unclicked events carry no
     # campaign, so the strict null gate would always stop here.
@@ -47,9 +60,10 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
         raw, quality.raw_suites(segments), allow_null or {"events": ["campaign_id"]}, strict_nulls)
     counts = (quality.value_counts(raw["customers"], "customers", ["segment", "region"])
               .unionByName(quality.value_counts(raw["events"], "events", ["event_type"]))
-              .unionByName(quality.value_counts(raw["orders"], "orders", ["status"])))
+              .unionByName(quality.value_counts(raw["orders"], "orders", ["status"]))
+              .orderBy("table_name", "column_name", F.desc("count"), "value"))               # A12
 
-    loaded = raw_io.publish_raw(spark, raw, warehouse)                       # S2, after the gates
+    loaded = raw_io.publish_raw(spark, landed, warehouse)                       # S2, after the gates
     staged = staging.stage_all(loaded)
     raw_io.staging_views(spark, staged)                                     # S5
 
@@ -72,14 +86,16 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
             f"{r['model']}.{r['column']} {r['test']} ({r['failures']})" for r in failures))
     mart_report = quality.quality_gate(quality.run_suites(built, quality.mart_suites()))
 
-    predictions = None
+    predictions = scoring = None
     if model_path:
         model = ml.load_model(spark, model_path)                            # M9
         trained_at = ml.latest_trained_at(spark, runs_path)                 # S13
         predictions = ml.score_customers(model, ml.scan_scoring(built["mart_customer_ltv"]), trained_at)
         raw_io.write_table(predictions, warehouse, "marts", "ml_churn_predictions")  # S12
         predictions = raw_io.read_table(spark, warehouse, "marts", "ml_churn_predictions")
-    return DailyResult(raw_report, schema_report, mart_report, summary, counts, built, predictions)
+        scoring = ml.scoring_summary(predictions)                                    # A14
+    return DailyResult(raw_report, schema_report, mart_report, summary, counts, built, predictions, inventory,
+                       scoring)
 
 
 def run_training(spark: SparkSession, warehouse: str, model_path: str, runs_path: str,

@@ -5,7 +5,7 @@ A value is either a SELECT string or ``(select, extra_ctes)``.
 
 from __future__ import annotations
 
-from .oracle import money, rhu
+from .oracle import mean, money, rhu
 
 CAMP = "'camp_' || lpad(CAST(event_id % 50 + 1 AS VARCHAR), 4, '0')"
 
@@ -226,7 +226,7 @@ def _quality_oracle() -> dict:
         SELECT 'events', count(*), min(event_timestamp), max(event_timestamp), NULL, NULL, NULL, NULL FROM raw_events
         UNION ALL
         SELECT 'orders', count(*), NULL, NULL, CAST(sum({money('order_amount')}) AS DOUBLE),
-               CAST(sum({money('order_amount')}) AS DOUBLE) / count(order_amount), NULL, NULL FROM raw_orders
+               {mean(f"sum({money('order_amount')})", 'count(order_amount)')}, NULL, NULL FROM raw_orders
         UNION ALL
         SELECT 'churn_labels', count(*), NULL, NULL, NULL, NULL, CAST(count_if(is_churned) AS BIGINT),
                count_if(is_churned) / count(is_churned) FROM raw_churn_labels"""
@@ -246,8 +246,12 @@ _ENC = """
           UNION
           SELECT DISTINCT 'region', coalesce(CAST(region AS VARCHAR), 'None')
           FROM mart_customer_ltv WHERE is_churned IS NOT NULL)"""
-_SPLIT = ("CASE WHEN CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR) || '-42'), 1, 8)) AS BIGINT) % 100 < 20 "
-          "THEN 'test' ELSE 'train' END")
+_SPLIT = """
+    SELECT customer_id, is_churned,
+           CASE WHEN row_number() OVER (PARTITION BY is_churned ORDER BY md5(customer_id || '-42'), customer_id)
+                     <= CASE WHEN n > 1 THEN greatest(1, least(n - 1, floor(n * 0.2 + 0.5))) ELSE 0 END
+                THEN 'test' ELSE 'train' END AS split
+    FROM (SELECT *, count(*) OVER (PARTITION BY is_churned) AS n FROM mart_customer_ltv WHERE is_churned IS NOT NULL)"""
 _SCORES = """SELECT CAST(is_churned AS INTEGER) AS label, churn_probability AS score,
                     CAST(churn_probability >= 0.5 AS INTEGER) AS prediction
              FROM mart_customer_ltv WHERE is_churned IS NOT NULL"""
@@ -264,13 +268,19 @@ ORACLE.update({
         LEFT JOIN enc s ON s.feature = 'segment' AND s.value = coalesce(CAST(l.segment AS VARCHAR), 'None')
         LEFT JOIN enc r ON r.feature = 'region' AND r.value = coalesce(CAST(l.region AS VARCHAR), 'None')""",
                       {"enc": _ENC}),
-    "stratified_split": f"""SELECT customer_id, is_churned, {_SPLIT} AS split FROM mart_customer_ltv
-                            WHERE is_churned IS NOT NULL""",
+    "stratified_split": _SPLIT,
     "class_weight": f"""
-        SELECT CAST(count_if(NOT is_churned) AS BIGINT) AS negatives, CAST(count_if(is_churned) AS BIGINT) AS positives,
-               CAST(count_if(NOT is_churned) AS DOUBLE) / nullif(CAST(count_if(is_churned) AS DOUBLE), 0)
-                   AS scale_pos_weight
-        FROM mart_customer_ltv WHERE is_churned IS NOT NULL AND {_SPLIT} = 'train'""",
+        SELECT count(*) FILTER (WHERE NOT is_churned) AS negatives, count(*) FILTER (WHERE is_churned) AS positives,
+               count(*) FILTER (WHERE NOT is_churned) / nullif(count(*) FILTER (WHERE is_churned), 0) AS scale_pos_weight
+        FROM ({_SPLIT}) WHERE split = 'train'""",
+    "train_churn": f"""
+        SELECT count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'test') AS test_rows,
+               round(count(*) FILTER (WHERE is_churned) / count(*), 4) AS churn_rate,
+               'total_orders,total_revenue,avg_order_value,customer_lifespan_days,net_ltv,age,acquisition_cost,'
+               'segment,region' AS features, true AS auc_in_range
+        FROM ({_SPLIT})""",
+    "score_customers": """SELECT customer_id, true AS in_range, true AS follows_rule, true AS four_decimals
+                          FROM mart_customer_ltv""",
     "target_rate": """SELECT count(*) AS rows, CAST(count_if(is_churned) AS BIGINT) AS positives,
                              count_if(is_churned) / count(*) AS churn_rate
                       FROM mart_customer_ltv WHERE is_churned IS NOT NULL""",
@@ -293,11 +303,26 @@ ORACLE.update({
                coalesce(CAST(tp1 AS DOUBLE) / nullif(CAST(tp1 + fp1 AS DOUBLE), 0), 0.0),
                coalesce(CAST(tp1 AS DOUBLE) / nullif(CAST(tp1 + fn1 AS DOUBLE), 0), 0.0),
                coalesce(CAST(2 * tp1 AS DOUBLE) / nullif(CAST(2 * tp1 + fp1 + fn1 AS DOUBLE), 0), 0.0),
-               CAST(tp1 + fn1 AS BIGINT) FROM cm""", {
+               CAST(tp1 + fn1 AS BIGINT) FROM cm
+        UNION ALL
+        SELECT 'accuracy', a, a, a, CAST(tp0 + fp1 + tp1 + fn1 AS BIGINT)
+        FROM (SELECT *, coalesce((tp0 + tp1) / nullif(tp0 + fp1 + tp1 + fn1, 0), 0.0) AS a FROM cm)
+        UNION ALL
+        SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, CAST(n0 + n1 AS BIGINT) FROM ratios
+        UNION ALL
+        SELECT 'weighted avg', coalesce((p0 * n0 + p1 * n1) / nullif(n0 + n1, 0), 0.0),
+               coalesce((r0 * n0 + r1 * n1) / nullif(n0 + n1, 0), 0.0),
+               coalesce((f0 * n0 + f1 * n1) / nullif(n0 + n1, 0), 0.0), CAST(n0 + n1 AS BIGINT) FROM ratios""", {
+
         "scores": _SCORES,
         "cm": """SELECT count_if(label = 1 AND prediction = 1) AS tp1, count_if(label = 0 AND prediction = 1) AS fp1,
                         count_if(label = 1 AND prediction = 0) AS fn1, count_if(label = 0 AND prediction = 0) AS tp0
-                 FROM scores"""}),
+                 FROM scores""",
+        "ratios": """SELECT tp0 + fp1 AS n0, tp1 + fn1 AS n1, ifnull(tp0 / nullif(tp0 + fn1, 0), 0.0) AS p0,
+                            ifnull(tp1 / nullif(tp1 + fp1, 0), 0.0) AS p1, ifnull(tp0 / nullif(tp0 + fp1, 0), 0.0) AS r0,
+                            ifnull(tp1 / nullif(tp1 + fn1, 0), 0.0) AS r1,
+                            ifnull(2 * tp0 / nullif(2 * tp0 + fn1 + fp1, 0), 0.0) AS f0,
+                            ifnull(2 * tp1 / nullif(2 * tp1 + fp1 + fn1, 0), 0.0) AS f1 FROM cm"""}),
     "scoring_summary": """
         SELECT count(*) AS customers_scored, CAST(count_if(churn_probability >= 0.5) AS BIGINT) AS predicted_churned,
                count_if(churn_probability >= 0.5) / count(*) AS predicted_churned_share,
@@ -338,6 +363,24 @@ def _increase_sql(seconds: int, where: str = "true") -> str:
         GROUP BY metric, window_start"""
 
 
+# Quarter hours from the first sample to an hour behind the last.
+_STEPS = """
+    SELECT unnest(generate_series(
+               make_timestamp(CAST(ceil(epoch_us(min(ts)) / 900000000.0) * 900000000 AS BIGINT)),
+               max(ts) + INTERVAL 1 HOUR, INTERVAL 15 MINUTE)) AS evaluated_at FROM counters"""
+
+
+def _lookback_sql(times: str, seconds: int) -> str:
+    """Every sample of every range, stepped through afresh for each time."""
+    return f"""
+        SELECT metric, evaluated_at, sum(grown) AS increase, sum(grown) / {float(seconds)} AS rate, count(*) AS samples
+        FROM (SELECT metric, evaluated_at, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value ELSE value - prev END AS grown
+              FROM (SELECT metric, evaluated_at, value, lag(value) OVER (PARTITION BY metric, evaluated_at ORDER BY ts, seq) AS prev
+                    FROM ({times}) JOIN counters ON ts <= evaluated_at AND ts > evaluated_at - INTERVAL {seconds} SECOND
+                    WHERE value IS NOT NULL))
+        GROUP BY metric, evaluated_at"""
+
+
 # Dotted name prefixes of the sample events, and the exporter's name rules as
 # (pattern, metric or its prefix, label key).
 _PREFIXES = [
@@ -392,6 +435,8 @@ def _metrics_oracle() -> dict:
         "counter_rate": (f"SELECT *, increase / 300.0 AS rate FROM ({_increase_sql(300)})", ctes),
         "sum_over_series": (f"""SELECT metric, window_start, window_end, sum(increase) AS total_increase
                                 FROM ({inc24}) GROUP BY ALL""", ctes),
+        "counter_increase_at": (_lookback_sql("SELECT TIMESTAMP '2024-01-20 06:30:00' AS evaluated_at", 86400), ctes),
+        "counter_rate_every": (_lookback_sql(_STEPS, 3600), ctes),
         "last_value": (f"""
             SELECT metric, NULL::VARCHAR AS pool, arg_max(ts, {{'t': ts, 's': seq}}) AS ts,
                    arg_max(value, {{'t': ts, 's': seq}}) AS value
@@ -437,4 +482,41 @@ ORACLE.update({
         SELECT 'mart_customer_ltv' AS table_name, count(*) AS row_count FROM mart_customer_ltv
         UNION ALL SELECT 'mart_campaign_performance', count(*) FROM mart_campaign_performance
         UNION ALL SELECT 'mart_churn_summary', count(*) FROM mart_churn_summary""",
+    "scan_sample": "SELECT least(count(*), 100) AS row_count FROM mart_customer_ltv",
+    "limit": "SELECT least(count(*), 100000) AS row_count FROM mart_campaign_performance",
+    "file_inventory": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, CAST(count(*) AS INTEGER) AS column_count "
+        f"FROM (DESCRIBE {t})" for t in ("customer", "nation", "region", "orders", "events")),
+    "quality_gate": f"SELECT * FROM ({suites_sql(_RAW_CHECKS)}) WHERE NOT success",
+    "null_gate": "\nUNION ALL\n".join(
+        f"SELECT * FROM (SELECT '{name}' AS table_name, CAST({' + '.join(f'(count(*) - count({c}))' for c in cols)} AS BIGINT)"
+        f" AS table_null_count, count(*) FILTER (WHERE {' OR '.join(f'{c} IS NULL' for c in cols)}) AS rows_with_null "
+        f"FROM raw_{name}) WHERE table_null_count > 0" for name, cols in (
+            ("customers", ("customer_id", "name", "email", "age", "segment", "region", "acquisition_cost", "signup_date")),
+            ("orders", ("order_id", "customer_id", "order_date", "order_amount", "product_category", "status")),
+            ("events", ("event_id", "customer_id", "event_type", "event_timestamp", "channel", "session_duration_seconds",
+                        "pages_viewed", "clicked_ad")),
+            ("churn_labels", ("customer_id", "is_churned", "churn_probability", "last_activity_date",
+                              "days_since_last_order")))),
+    "staging_views": "\nUNION ALL\n".join(
+        f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}"
+        for v in ("stg_customers", "stg_orders", "stg_events", "stg_churn_labels")),
+    "scalar_functions": f"""
+        SELECT CAST(order_id AS VARCHAR) AS f01_string, order_id AS f02_long, order_amount AS f03_double,
+               order_id % 2 = 0 AS f04_bool, lower(status) AS f05_clean, CAST(order_date AS DATE) AS f06_date,
+               CAST(order_date AS TIMESTAMP) AS f07_timestamp,
+               CAST(DATE '2024-01-31' - CAST(order_date AS DATE) AS BIGINT) AS f08_date_diff,
+               CASE WHEN order_amount > 100000 THEN order_amount ELSE 0.0 END AS f09_coalesce,
+               CASE WHEN order_id % 3 <> 0 THEN order_amount / (order_id % 3) END AS f10_safe_divide,
+               order_amount / 7.0 AS f11_divide, {rhu('order_amount / 7', 2)} AS f12_round,
+               round_even(order_id % 100 / 8.0, 1) AS f13_half_even,
+               CASE WHEN order_amount > 100000 THEN 'high' ELSE 'low' END AS f14_case,
+               CASE WHEN order_id % 3 > 0 THEN order_amount > 100000 END AS f15_three_valued,
+               order_amount * 2 - 1 AS f17_arithmetic,
+               CASE WHEN order_id % 2 = 0 THEN status ELSE 'None' END AS f18_category,
+               status = 'completed' OR status = 'pending' AS f19_member,
+               CAST(floor((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(CAST(order_date AS TIMESTAMP)))
+                          / 86400000000.0) AS BIGINT) AS f20_elapsed_days,
+               CAST(order_date AS TIMESTAMP) >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 9000 DAY AS f21_lookback
+        FROM raw_orders""",
 })

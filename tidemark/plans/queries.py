@@ -425,24 +425,29 @@ def q_scoring_summary(spark, d):
     return ml.scoring_summary(scored)
 
 
-@plan_memo
 def trained(spark, d):
-    """One training run per session and table set, shared by the two queries below."""
     return ml.train_churn(spark, ml.scan_features(ltv(spark, d)))
 
 
 @query("train_churn")
 def q_train_churn(spark, d):
+    """The run record; the learner's AUC is checked as a range."""
     _, rec = trained(spark, d)
-    row = {k: rec[k] for k in ("train_rows", "test_rows", "auc", "churn_rate", "features")}
-    return spark.createDataFrame([row], "train_rows long, test_rows long, auc double, churn_rate double, "
-                                        "features string")
+    row = {k: rec[k] for k in ("train_rows", "test_rows", "churn_rate", "features")}
+    row["auc_in_range"] = rec["auc"] is not None and 0.0 <= rec["auc"] <= 1.0
+    return spark.createDataFrame([row], "train_rows long, test_rows long, churn_rate double, features string, "
+                                        "auc_in_range boolean")
 
 
 @query("score_customers")
 def q_score_customers(spark, d):
+    """Every customer scored; the learner's probabilities are checked by range and rule."""
     model, _ = trained(spark, d)
-    return ml.score_customers(model, ml.scan_scoring(ltv(spark, d)), with_clock=False)
+    p = F.col("churn_probability")
+    return ml.score_customers(model, ml.scan_scoring(ltv(spark, d)), with_clock=False).select(
+        "customer_id", p.between(0.0, 1.0).alias("in_range"),
+        (F.col("churn_prediction") == (p >= 0.5)).alias("follows_rule"),
+        (F.bround(p, 4) == p).alias("four_decimals"))
 
 
 # --- T: pipeline metrics ---------------------------------------------------------------------
@@ -469,6 +474,18 @@ def q_counter_rate(spark, d):
     return _no_labels(metrics.counter_rate(fx.counter_samples(spark, d), 300))
 
 
+@query("counter_increase_at")
+def q_counter_increase_at(spark, d):
+    """The dashboard's "last 24 h" at an instant."""
+    return _no_labels(metrics.counter_lookback(fx.counter_samples(spark, d), 86400, as_of="2024-01-20 06:30:00"))
+
+
+@query("counter_rate_every")
+def q_counter_rate_every(spark, d):
+    """The dashboard's rate panels: a look-back of an hour at every quarter of an hour."""
+    return _no_labels(metrics.counter_lookback(fx.counter_samples(spark, d), 3600, every_seconds=900))
+
+
 @query("sum_over_series")
 def q_sum_over_series(spark, d):
     return metrics.sum_over_series(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour"))
@@ -527,15 +544,71 @@ def q_scan_count(spark, d):
 
 @query("scan_sample")
 def q_scan_sample(spark, d):
-    return raw_io.scan_sample(ltv(spark, d), 100_000).select("customer_id")
+    """An unordered LIMIT: which rows come is open, how many is not."""
+    return raw_io.scan_count(raw_io.scan_sample(ltv(spark, d).select("customer_id"), 100))
 
 
 @query("limit")
 def q_limit(spark, d):
-    return raw_io.scan_sample(q_mart_campaign_performance(spark, d), 100_000)
+    return raw_io.scan_count(raw_io.scan_sample(q_mart_campaign_performance(spark, d), 100_000))
 
 
 @query("file_inventory")
 def q_file_inventory(spark, d):
     names = ["customer", "nation", "region", "orders", "events"]
-    return raw_io.file_inventory(spark, {n: f"{d.rstrip('/')}/{n}.parquet" for n in names}).drop("file_path")
+    return raw_io.file_inventory(spark, {n: f"{d.rstrip('/')}/{n}.parquet" for n in names}).select(
+        "table_name", "row_count", "column_count")
+
+
+@query("quality_gate")
+def q_quality_gate(spark, d):
+    """Q7 as rows: the checks that would stop the run."""
+    return quality.failing(quality.run_suites(raw_fixture_tables(spark, d), quality.raw_suites(fx.FIXTURE_SEGMENTS)))
+
+
+@query("null_gate")
+def q_null_gate(spark, d):
+    """Q13 as rows: tables with nulls outside the allowed columns."""
+    out = None
+    for name, df in raw_fixture_tables(spark, d).items():
+        keep = [c for c in df.columns if (name, c) != ("events", "campaign_id")]
+        r = quality.null_census(df.select(*keep), name)
+        out = r if out is None else out.unionByName(r)
+    return quality.null_gate_failures(out)
+
+
+@query("staging_views")
+def q_staging_views(spark, d):
+    """The staging models as views, counted by SQL."""
+    parts = [spark.sql(f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}")
+             for v in raw_io.staging_views(spark, staged(spark, d))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("scalar_functions")
+def q_scalar_functions(spark, d):
+    """F1-F22 side by side on the order and customer tables."""
+    from ..functions import scalars as sc
+    o = fx.raw_orders(spark, d)
+    amount, day = F.col("order_amount"), F.col("order_date")
+    at = sc.ts_literal(fx.FIXTURE_AS_OF)
+    padded = F.concat(F.lit(" \t "), F.upper("status"), F.lit("\n "))
+    return o.select(
+        F.col("order_id").cast("string").alias("f01_string"), F.col("order_id").cast("long").alias("f02_long"),
+        amount.cast("double").alias("f03_double"), (F.col("order_id") % 2 == 0).cast("boolean").alias("f04_bool"),
+        sc.clean_text(padded).alias("f05_clean"), F.to_date(day).alias("f06_date"),
+        day.cast("timestamp_ntz").alias("f07_timestamp"),
+        F.datediff(F.to_date(at), F.to_date(day)).cast("long").alias("f08_date_diff"),
+        F.coalesce(F.when(amount > 100000, amount), F.lit(0.0)).alias("f09_coalesce"),
+        sc.safe_divide(amount, F.col("order_id") % 3).alias("f10_safe_divide"), (amount / F.lit(7.0)).alias("f11_divide"),
+        sc.round_half_up(amount / 7, 2).alias("f12_round"),
+        sc.round_half_even(F.col("order_id") % 100 / F.lit(8.0), 1).alias("f13_half_even"),
+        F.when(amount > 100000, "high").otherwise("low").alias("f14_case"),
+        (F.when(F.col("order_id") % 3 > 0, amount > 100000) & F.lit(True)).alias("f15_three_valued"),
+        (amount * 2 - 1).alias("f17_arithmetic"), sc.str_category(F.when(F.col("order_id") % 2 == 0, F.col("status")))
+        .alias("f18_category"), F.col("status").isin("completed", "pending").alias("f19_member"),
+        sc.elapsed_days(day.cast("timestamp_ntz"), at).alias("f20_elapsed_days"),
+        (day.cast("timestamp_ntz") >= at - F.expr("INTERVAL 9000 DAYS")).alias("f21_lookback"))

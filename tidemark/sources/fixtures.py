@@ -35,7 +35,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = join_small_dimension(n, r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "r_name")
-    c = join_small_dimension(c, geo, c.c_nationkey == geo.n_nationkey, how="left", max_rows=10_000)
+    c = join_small_dimension(c, geo, c.c_nationkey == geo.n_nationkey, how="left")
     k = F.col("c_custkey")
     return c.select(
         k.alias("customer_id"),

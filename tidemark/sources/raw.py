@@ -8,8 +8,11 @@ space.  Table rebuilds are whole-table overwrites, as in the reference.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RAW_FILES, RAW_SCHEMAS
 
@@ -29,12 +32,26 @@ def require_sources(spark: SparkSession, raw_dir: str, files=tuple(RAW_FILES)) -
 
 
 def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
-    """Header CSV with the declared schema; malformed rows fail the read."""
+    """Header CSV, columns taken by header name, with the declared types.
+
+    The files may list the columns in any order; further columns are left
+    out, a missing one raises.  Files whose headers differ from the first
+    one's, and malformed rows, fail the read.  Quoted text may hold commas and
+    doubled quotes; a value does not span lines (the files stay splittable).
+    """
     file = {v: k for k, v in RAW_FILES.items()}[table]
-    return (spark.read.schema(RAW_SCHEMAS[table])
-            .option("header", True).option("mode", "FAILFAST")
+    path = f"{raw_dir.rstrip('/')}/{file}"
+    options = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+    header = spark.read.options(**options).csv(path).columns
+    declared = {f.name: f for f in RAW_SCHEMAS[table].fields}
+    missing = [c for c in declared if c not in header]
+    if missing:
+        raise ValueError(f"{file} has no column {', '.join(missing)}")
+    schema = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
+    return (spark.read.schema(schema).options(**options)
+            .option("enforceSchema", False)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-            .csv(f"{raw_dir.rstrip('/')}/{file}"))
+            .csv(path).select(*declared))
 
 
 def read_all_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
@@ -65,11 +82,15 @@ def write_table(df: DataFrame, warehouse: str, layer: str, table: str, register:
     return path
 
 
-def register_table(spark: SparkSession, warehouse: str, layer: str, table: str) -> str:
+def register_table(spark: SparkSession, warehouse: str, layer: str, table: str, path: str | None = None) -> str:
+    """Publish written files as an external table; refuses to replace a managed one (its data would go)."""
     ns = layer_namespace(layer)
-    path = table_path(warehouse, layer, table)
+    path = path or table_path(warehouse, layer, table)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{ns}` LOCATION '{warehouse.rstrip('/')}/{ns}'")
-    spark.sql(f"DROP TABLE IF EXISTS `{ns}`.`{table}`")          # external: the files stay
+    if spark.catalog.tableExists(f"`{ns}`.`{table}`"):
+        if spark.catalog.getTable(f"`{ns}`.`{table}`").tableType == "MANAGED":
+            raise ValueError(f"{ns}.{table} is a managed table; drop it first")
+        spark.sql(f"DROP TABLE `{ns}`.`{table}`")                # external: the files stay
     spark.sql(f"CREATE TABLE `{ns}`.`{table}` USING parquet LOCATION '{path}'")
     return f"{ns}.{table}"
 
@@ -90,26 +111,26 @@ def load_raw(spark: SparkSession, raw_dir: str, warehouse: str) -> dict[str, Dat
 LANDING = "_landing"
 
 
-def land_raw(spark: SparkSession, raw_dir: str, warehouse: str) -> dict[str, DataFrame]:
-    """Parse each CSV once into columnar landing tables (not published).
+def land_raw(spark: SparkSession, raw_dir: str, warehouse: str, version: str | None = None) -> dict[str, str]:
+    """Parse each CSV once into a new version folder (not published); returns the folder of each table.
 
     Every check then reads only the columns it needs from parquet instead of
-    parsing the text again, and the written files cut the lineage.
+    parsing the text again, and the written files cut the lineage.  Earlier
+    versions, the published one among them, stay as they are.
     """
+    version = version or f"v{time.time_ns()}"
     out = {}
     for table, df in read_all_raw(spark, raw_dir).items():
-        write_table(df, warehouse, LANDING, table, register=False)
-        out[table] = read_table(spark, warehouse, LANDING, table)
+        out[table] = f"{table_path(warehouse, LANDING, table)}/{version}"
+        df.write.mode("errorifexists").parquet(out[table])
     return out
 
 
-def publish_raw(spark: SparkSession, landed: dict[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
-    """S2 after the gates: replace the raw layer with the landed tables."""
-    out = {}
-    for table, df in landed.items():
-        write_table(df, warehouse, "raw", table)
-        out[table] = read_table(spark, warehouse, "raw", table)
-    return out
+def publish_raw(spark: SparkSession, landed: dict[str, str], warehouse: str) -> dict[str, DataFrame]:
+    """S2 after the gates: point the raw layer's tables at the landed version; no data is written again."""
+    for table, path in landed.items():
+        register_table(spark, warehouse, "raw", table, path)
+    return {table: spark.read.parquet(path) for table, path in landed.items()}
 
 
 def staging_views(spark: SparkSession, staged: dict[str, DataFrame]) -> list[str]:
@@ -130,15 +151,19 @@ def scan_sample(df: DataFrame, n: int = 100_000) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Per file: size, row count, column count (file metadata + one count)."""
+    """Per table: files, bytes, rows and columns (file listing + one count).
+
+    ``paths``: a CSV or parquet file or folder by table name.  A file without
+    rows counts with its size and no rows.
+    """
     out = None
     for name, path in paths.items():
         df = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", True).csv(path)
-        ncols = len(df.columns)
-        inv = (df.select(F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.file_size").alias("file_size"))
-               .groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("row_count"))
-               .select(F.lit(name).alias("table_name"), "file_path", "file_size", "row_count",
-                       F.lit(ncols).alias("column_count")))
-        out = inv if out is None else out.unionByName(inv)
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        summary = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p)
+        row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(int(summary.getFileCount())).cast("long").alias("file_count"),
+            F.lit(int(summary.getLength())).cast("long").alias("file_size"), "row_count",
+            F.lit(len(df.columns)).alias("column_count"))
+        out = row if out is None else out.unionByName(row)
     return out
