@@ -98,13 +98,13 @@ def mine_block_rules(labelled: DataFrame, min_support: float = 0.002, min_confid
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``(url, tokens, confidence)``: the best rule of each distinct URL that one fits.
 
-    Best is the highest confidence, then support, then the first tokens."""
+    Best is the highest confidence, then support, then the first token list in order."""
     sets = urls.where("url is not null").select("url").distinct().withColumn("have", url_tokens(F.col("url")))
     probe = sets.withColumn("t", F.explode("have"))
     hits = (probe.join(rules, F.col("t") == F.col("first"))
             .where(F.size(F.array_except("tokens", "have")) == 0))
-    best = F.max(F.struct("confidence", "support", F.negate(F.col("rule_id")).alias("n"), "tokens")).alias("best")
-    return hits.groupBy("url").agg(best).select("url", "best.tokens", "best.confidence")
+    best = F.min(F.struct((-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), "tokens")).alias("best")
+    return hits.groupBy("url").agg(best).select("url", "best.tokens", (-F.col("best.c")).alias("confidence"))
 
 
 def url_filter(pages: DataFrame, rules: list[Rule], labelled: DataFrame, min_support: float = 0.002,
