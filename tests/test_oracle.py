@@ -73,3 +73,10 @@ def test_every_survey_id_is_registered():
     }
     assert oracle_ops <= set(E.queries())
     assert oracle_ops <= set(E.oracle_sql())
+
+
+def test_reports_come_in_order(spark, duck):
+    """The comparison above sorts rows; these two promise an order."""
+    for name in ("top_campaigns", "top_churn_segments"):
+        got = [tuple(r) for r in E.queries()[name](spark, SF).collect()]
+        assert got == duck.sql(E.oracle_sql()[name]).fetchall()

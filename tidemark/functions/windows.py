@@ -32,6 +32,28 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Colu
             .drop("_bk", "_rn", "_off", "_n"))
 
 
+def numbered(df: DataFrame, order: list[str], name: str = "rn", rows_per_partition: int = 1_000_000) -> DataFrame:
+    """``row_number() over (order by order)`` with no task above about ``rows_per_partition`` rows.
+
+    Rows are range-partitioned by ``order`` into as many pieces as their
+    number asks for (however they cluster), the pieces pinned by a checkpoint;
+    offsets come from a window over one row per piece.  ``order`` should be
+    unique: equal rows get their numbers in any order.
+    """
+    import math
+
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    n = max(1, math.ceil(df.count() / rows_per_partition))
+    d = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)      # one row per piece
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy("_pid").orderBy(*order)
+    return (d.withColumn("_rn", F.row_number().over(inner)).join(offsets, "_pid")
+            .withColumn(name, (F.col("_rn") + F.col("_off")).cast("long")).drop("_pid", "_rn", "_off"))
+
+
 def dense_codes(df: DataFrame, group_col: str, value_col: str, name: str = "code",
                 rows_per_partition: int = 1_000_000) -> DataFrame:
     """Per group, code = position of the value among its sorted distinct values (from 0).

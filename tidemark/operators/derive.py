@@ -29,13 +29,11 @@ def clicked_flag(events: DataFrame, type_col: str = "event_type",
 
 def orders_from_purchases(events: DataFrame, id_col: str = "event_id",
                           customer_col: str = "customer_id", ts_col: str = "event_timestamp",
-                          amount_col: str | None = None, number: bool = False,
-                          bucket: str = "1 day") -> DataFrame:
+                          amount_col: str | None = None, number: bool = False) -> DataFrame:
     """D-2: one order per purchase event; customer and time copied.
 
     ``number=True`` numbers the orders 1..n in (time, event id) order, as the
-    reference does, with a two-level running count (per-bucket totals, then
-    numbering inside each time bucket) instead of one global window.
+    reference does, inside ranges of bounded size instead of one global window.
     """
     cols = [F.col(customer_col).alias("customer_id"), F.col(ts_col).alias("order_date")]
     if amount_col:
@@ -43,9 +41,8 @@ def orders_from_purchases(events: DataFrame, id_col: str = "event_id",
     purchases = events.where(F.col("event_type") == "purchase")
     if not number:
         return purchases.select(F.col(id_col).alias("order_id"), *cols)
-    from ..functions.windows import running_count
-    numbered = running_count(purchases, [], [ts_col, id_col], F.window(ts_col, bucket).start, name="order_id")
-    return numbered.select("order_id", *cols)
+    from ..functions.windows import numbered
+    return numbered(purchases, [ts_col, id_col], name="order_id").select("order_id", *cols)
 
 
 def latest_purchase(events: DataFrame, customer_col: str = "customer_id",

@@ -145,16 +145,15 @@ def mart_churn_summary(ltv: DataFrame, with_updated_at: bool = True) -> DataFram
 
 def top_campaigns(campaign_mart: DataFrame) -> DataFrame:
     """O1: sort at read time (a stored table keeps no order, D9)."""
-    return campaign_mart.orderBy(F.col("attributed_revenue").desc())
+    return campaign_mart.orderBy(F.col("attributed_revenue").desc(), "campaign_id", "channel")
 
 
 def top_churn_segments(churn_summary: DataFrame) -> DataFrame:
     """O2."""
-    return churn_summary.orderBy(F.col("churn_rate_pct").desc())
+    return churn_summary.orderBy(F.col("churn_rate_pct").desc(), "segment", "region")
 
 
 __all__ = [
     "order_stats", "mart_customer_ltv", "event_stats", "revenue_stats", "revenue_stats_by_order",
     "mart_campaign_performance", "mart_churn_summary", "top_campaigns", "top_churn_segments",
-    "attribute_orders",
 ]

@@ -40,9 +40,9 @@ ORACLE: dict = {
     "mart_campaign_performance": "SELECT * FROM mart_campaign_performance",
     "mart_churn_summary": "SELECT * FROM mart_churn_summary",
     "top_campaigns": """SELECT campaign_id, channel, attributed_revenue FROM mart_campaign_performance
-                        ORDER BY attributed_revenue DESC""",
+                        ORDER BY attributed_revenue DESC, campaign_id, channel""",
     "top_churn_segments": """SELECT segment, region, churn_rate_pct FROM mart_churn_summary
-                             ORDER BY churn_rate_pct DESC""",
+                             ORDER BY churn_rate_pct DESC, segment, region""",
     "count_if": """SELECT event_type, CAST(count_if(clicked_ad) AS BIGINT) AS n_clicked
                    FROM stg_events GROUP BY event_type""",
     "count_distinct_users": """SELECT channel, count(DISTINCT customer_id) AS unique_users
@@ -60,6 +60,9 @@ ORACLE: dict = {
     "orders_from_purchases": """SELECT event_id AS order_id, user_id AS customer_id, ts AS order_date,
                                        CAST(value AS DOUBLE) AS order_amount
                                 FROM events WHERE event_type = 'purchase'""",
+    "orders_numbered": """SELECT row_number() OVER (ORDER BY ts, event_id) AS order_id, user_id AS customer_id,
+                                 ts AS order_date, CAST(value AS DOUBLE) AS order_amount
+                          FROM events WHERE event_type = 'purchase'""",
     "latest_per_key": "SELECT * FROM latest_purchase",
     "label_all_customers": """SELECT c.c_custkey AS customer_id, l.last_purchase_at
                               FROM customer c LEFT JOIN latest_purchase l ON l.customer_id = c.c_custkey""",

@@ -227,6 +227,12 @@ def q_label_all_customers(spark, d):
     return derive.label_all_customers(fx.raw_customers(spark, d), fx.raw_events(spark, d))
 
 
+@query("orders_numbered")
+def q_orders_numbered(spark, d):
+    e = fx.table(spark, d, "events")
+    return derive.orders_from_purchases(e, customer_col="user_id", ts_col="ts", amount_col="value", number=True)
+
+
 @query("churn_labels")
 def q_churn_labels(spark, d):
     return fx.raw_churn_labels(spark, d)

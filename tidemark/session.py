@@ -9,6 +9,7 @@ checkpoint folder, memory) always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -79,7 +80,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
                 raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/object "
                                    "store) that every executor can reach")
             # Single-machine runs (tests) only.
