@@ -106,3 +106,16 @@ def test_terms():
     assert terms_of("stupidity") == ["stupidity", "stup*", "stupi*", "stupid*"]
     assert Terms(["stup*", "x"]).counts("Stupid STUPOR x, y") == ([0, 1], [2, 1])
     assert Terms(["x"]).counts(None) == ([], [])
+
+
+def test_sampled_labels_keep_the_class_shares(spark, docs, tables):
+    from tidemark.llm.toxicity import fit, learning_rows
+    rows, labels = tables
+    df, lab = frames(spark, docs, rows, labels)
+    sample, weight = learning_rows(lab, "doc_id", "toxic", 60)
+    free = [y for i, y in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(r["count"] for r in sample.groupBy("y").count().collect()) == [60, 60]
+    assert weight == {y: max(1.0, free.count(y) / 60) for y in (0, 1)}
+    model, _ = fit(df, lab, max_rows=60)
+    low = model.chance(0.0)
+    assert low < 0.1 and model.chance(1.0) > 0.7

@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
 Terms are words and word beginnings; the vocabulary keeps those that mark
-toxic learning rows (counts over all learning rows), document frequencies
-come from all documents.  A bounded sample of learning rows is the example
-set, searched exactly through a block-max inverted index: per term and block
+toxic learning rows.  The model is fitted on a sample of the labels, bounded
+by ``MAX_ROWS`` a class and drawn by a keyed hash, so it meets the documents
+in a broadcast of bounded size and no text is shuffled; document frequencies
+come from all documents.  Learning rows are the example set, searched exactly through a block-max inverted index: per term and block
 of examples the largest weight is known, so a block's bound is a short
 product, and blocks are visited from the best bound until the k-th neighbour
 found beats the next bound.  Votes weigh by squared cosine against a constant
@@ -28,7 +29,9 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import checkpointed, map_rows, shipped
 
-#: Terms of the vocabulary at most, and examples of each class at most: the bounds of the fitted model.
+#: Learning rows of each class at most (the model is fitted on this sample of the labels), terms of the
+#: vocabulary at most, and examples of each class at most: the bounds of the fitted model.
+MAX_ROWS = 16_384
 MAX_TERMS = 4096
 MAX_EXAMPLES = 2048
 #: A term is kept from so many toxic learning rows, times as frequent there, and likelihood ratio.
@@ -53,12 +56,19 @@ def in_fold(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
 
 
-def learning_rows(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    """Labels by document that may be learnt from: (lid, y); of several labels of a document the largest."""
-    return (labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label_col}`").isNotNull()
-                         & ~in_fold(F.col(f"`{id_col}`")))
-            .groupBy(F.col(f"`{id_col}`").alias("lid"))
-            .agg((F.max(F.col(f"`{label_col}`").cast("int")) > 0).cast("int").alias("y")))
+def learning_rows(labels: DataFrame, id_col: str, label_col: str, max_rows: int = MAX_ROWS) -> tuple[DataFrame, dict]:
+    """Sampled labels that may be learnt from, ``(lid, y)``, and how many labels of its class each stands for.
+
+    Of several labels of a document the largest counts."""
+    every = checkpointed(
+        labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label_col}`").isNotNull()
+                     & ~in_fold(F.col(f"`{id_col}`")))
+        .groupBy(F.col(f"`{id_col}`").alias("lid"))
+        .agg((F.max(F.col(f"`{label_col}`").cast("int")) > 0).cast("int").alias("y")))
+    total = {r.y: r["count"] for r in every.groupBy("y").count().collect()}  # two rows
+    parts = [every.where(F.col("y") == y).orderBy(F.xxhash64("lid", F.lit("sample")), "lid").limit(max_rows)
+             for y in (0, 1)]
+    return checkpointed(parts[0].union(parts[1])), {y: max(1.0, n / max_rows) for y, n in total.items()}
 
 
 def term_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
@@ -201,7 +211,7 @@ def build_index(vocabulary: list[str], idf: np.ndarray, examples: list[tuple]) -
     return m
 
 
-def calibrate(model: Model, bins: list[tuple[int, int, int]], width: int) -> None:
+def calibrate(model: Model, bins: list[tuple[int, float, float]], width: int) -> None:
     """Isotonic chances of votes from (bin, rows, toxic rows), each pool shrunk by two rows at the mean."""
     bins = sorted(bins)
     n, pos = sum(b[1] for b in bins), sum(b[2] for b in bins)
@@ -236,9 +246,11 @@ def term_vectors(docs: DataFrame, vocabulary: list[str], id_col: str, text_col:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
+        label_col: str = "toxic", max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS,
+        max_examples: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
     """(model, term vectors of all documents).  Rows held out by ``in_fold`` are never learnt from."""
-    learn = learning_rows(docs, labels, id_col, label_col)
+    sample, weight = learning_rows(labels, id_col, label_col, max_rows)
+    learn = F.broadcast(sample)  # 2 * max_rows rows of two numbers at most
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"))
     seen = texts.where(~in_fold(F.col("id"))).join(learn, F.col("id") == F.col("lid")).select("y", "body")
     vocabulary = select_terms(term_counts(seen), max_terms)
@@ -263,8 +275,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield min(width - 1, int(m.vote(m.nearest(*m.weigh(ids, tf))) * width)), y
 
     votes = map_rows(known.where(F.pmod("mark", F.lit(3)) == 0).select("y", "ids", "tf"), run, "bin int, y int")
-    bins = votes.groupBy("bin").agg(F.count("*").alias("n"), F.sum("y").alias("pos")).collect()  # a row per bin
-    calibrate(model, [(r.bin, r.n, r.pos) for r in bins], width)
+    bins: dict[int, list[float]] = {}
+    for r in votes.groupBy("bin", "y").count().collect():  # two rows per bin
+        rows = r["count"] * weight[r.y]
+        now = bins.setdefault(r.bin, [0.0, 0.0])
+        now[0] += rows
+        now[1] += rows * r.y
+    calibrate(model, [(b, n, pos) for b, (n, pos) in bins.items()], width)
     return model, vectors
 
 
