@@ -148,12 +148,16 @@ sets AS (
         ['scheme:' || lower(string_split(url, '://')[1])],
         CASE WHEN contains(url, '#') THEN ['fragment:' || string_split(url, '#')[-1]] ELSE [] END))) AS tokens
     FROM cut WHERE contains(url, '://')),
-marked AS (
-    SELECT tokens, bad FROM pages JOIN (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id)
+labelled AS (
+    SELECT row_number() OVER () AS n, tokens, bad FROM pages JOIN (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id)
         ON page_id = doc_id JOIN sets USING (url) WHERE bad IS NOT NULL),
+-- of tokens of the same labelled URLs the first stands for all
+kept AS (SELECT min(t) AS t FROM (SELECT t, list(n ORDER BY n) AS seen FROM (SELECT n, unnest(tokens) AS t FROM labelled)
+                                  GROUP BY t) GROUP BY seen),
+marked AS (SELECT n, list_intersect(tokens, (SELECT list(t) FROM kept)) AS tokens, bad FROM labelled),
 total AS (SELECT count(*) AS n FROM marked),
 subsets AS (
-    SELECT list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS tokens, bad
+    SELECT list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS tokens, bad
     FROM (SELECT tokens, bad, unnest(range(1, 1 << len(tokens))) AS mask FROM marked)),
 mined AS (
     SELECT tokens, count(*) FILTER (WHERE bad) / count(*) AS confidence, count(*) FILTER (WHERE bad) / any_value(n) AS support

@@ -9,6 +9,7 @@ token are tested against the whole rule, so no URL meets every rule.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
+#: So many frequent tokens at most are broadcast; more are joined by key.
+BROADCAST_TOKENS = 200_000
+
 _BLOCK = "label=block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,16 +75,31 @@ def mine_block_rules(labelled: DataFrame, min_support: float = 0.002, min_confid
     """``(rule_id, tokens, first, confidence, support)`` from ``labelled(url, block)``.
 
     A rule says: URLs with all ``tokens`` are blocked.  ``first`` is its token
-    with the fewest labelled URLs, under which it is indexed.  URLs or labels
-    that are null do not count; repeated rows count as often as they come.
+    with the fewest labelled URLs, under which it is indexed.  Of tokens that
+    always occur together in the labelled URLs the first stands for all, so a
+    frequent URL pattern of many tokens does not multiply into its subsets.
+    URLs or labels that are null do not count; repeated rows count as often as
+    they come.
     """
     empty = "rule_id long, tokens array<string>, first string, confidence double, support double"
     label = F.when(F.col("block"), F.lit(_BLOCK)).otherwise(F.lit("label=allow"))
     sets = labelled.where("url is not null and block is not null").select(
-        F.concat(url_tokens(F.col("url")), F.array(label)).alias("items"))
+        F.monotonically_increasing_id().alias("n"), url_tokens(F.col("url")).alias("tokens"), label.alias("label"))
     sets = checkpointed(sets)
-    if sets.isEmpty():
+    least = math.ceil(min_support * sets.count())
+    if not least:
         return labelled.sparkSession.createDataFrame([], empty)
+    each = sets.select("n", F.explode("tokens").alias("t"))
+    # Tokens of the same URLs (equal counts and two 64-bit digests of the rows): one stands for all.
+    alike = (each.groupBy("t").agg(F.count("*").alias("freq"), F.expr("bit_xor(xxhash64(n))").alias("d1"),
+                                   F.expr("bit_xor(xxhash64(n, 1))").alias("d2"))
+             .where(F.col("freq") >= least))
+    kept = checkpointed(alike.groupBy("freq", "d1", "d2").agg(F.min("t").alias("t")).select("t"))
+    # Frequent tokens: at most the tokens of a URL over the support, whatever the number of URLs.
+    side = F.broadcast(kept) if kept.count() <= BROADCAST_TOKENS else kept
+    held = each.join(side, "t").groupBy("n").agg(F.collect_list("t").alias("tokens"))
+    sets = checkpointed(sets.select("n", "label").join(held, "n", "left").select(
+        F.concat(F.coalesce("tokens", F.array().cast("array<string>")), F.array("label")).alias("items")))
     parts = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
                      numPartitions=parts).fit(sets)
