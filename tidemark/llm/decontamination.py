@@ -99,6 +99,8 @@ class Index:
         best: dict[int, tuple] = {}
         for i, shift in sorted(aligned):
             mine = self.ids[i]
+            if best.get(i, (0, 0))[1] == len(mine):
+                continue  # found whole
             lo, hi = max(0, -shift), min(len(mine), len(ids) - shift)
             n, equal, start = longest_overlap(mine[lo:hi] == ids[lo + shift:hi + shift], similarity)
             if n >= min(min_tokens, len(mine)) and n > best.get(i, (0,))[0]:

@@ -37,6 +37,8 @@ MIN_COSINE = 0.93
 CELL_ROWS = 4096
 #: Pivots of all labels together at most (cells grow beyond): the size bound of the broadcast.
 MAX_PIVOTS = 8192
+#: So many cells of several groups (a few numbers each) at most are broadcast; more are joined by key.
+BROADCAST_CELLS = 100_000
 #: Slack for rounding in distance bounds; links themselves are decided by the cosine.
 SLACK = 1e-9
 
@@ -206,8 +208,8 @@ def embedding_neardup(vectors: DataFrame, min_cosine: float = MIN_COSINE, id_col
         .select(F.col("label").alias("l"), F.col("size").alias("z"), F.col("cell").alias("c"), "homes", "visits"))
     n_sizes = sizes.count()
     if n_sizes:
-        # One row per pivot at most, and pivots are bounded.
-        placed = cells.join(F.broadcast(sizes), (F.col("label") == F.col("l")) & (F.col("size") == F.col("z"))
+        side = F.broadcast(sizes) if n_sizes <= BROADCAST_CELLS else sizes
+        placed = cells.join(side, (F.col("label") == F.col("l")) & (F.col("size") == F.col("z"))
                             & (F.col("cell") == F.col("c")), "left")
     else:
         placed = cells.withColumns({"homes": F.lit(None).cast("int"), "visits": F.lit(None).cast("int")})
