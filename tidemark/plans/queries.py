@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import attribution, derive, marts, metrics, ml, quality, staging
 from ..functions.memo import plan_memo
 from ..sources import fixtures as fx
+from ..session import ensure_checkpoint_dir
 from ..sources import raw as raw_io
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -262,10 +263,11 @@ def raw_fixture_tables(spark, d):
     return fx.raw_tables(spark, d)
 
 
-@plan_memo
 def mart_tables(spark, d):
+    """The three marts; the customer mart is written once, as in the daily run, and read by all that follow."""
     s = staged(spark, d)
-    l = marts.mart_customer_ltv(s["stg_customers"], s["stg_orders"], s["stg_churn_labels"], with_updated_at=False)
+    ensure_checkpoint_dir(spark)
+    l = ltv(spark, d).checkpoint()
     return {
         "mart_customer_ltv": l,
         "mart_campaign_performance": marts.mart_campaign_performance(s["stg_events"], s["stg_orders"],
