@@ -163,3 +163,15 @@ def test_managed_tables_are_not_replaced(spark, tmpdir_path):
     with pytest.raises(ValueError, match="managed"):
         raw_io.write_table(spark.range(1).toDF("id"), tmpdir_path, "kept", "numbers")
     assert spark.table("kept.numbers").count() == 3
+
+
+def test_a_rebuild_leaves_the_last_version_alone(spark, tmpdir_path):
+    with pytest.raises(FileNotFoundError):
+        raw_io.read_table(spark, tmpdir_path, "marts", "t")
+    raw_io.write_table(spark.range(3), tmpdir_path, "marts", "t", register=False)
+    before = raw_io.read_table(spark, tmpdir_path, "marts", "t")
+    # A rebuild from the table itself, and one that fails.
+    raw_io.write_table(before.where("id > 0"), tmpdir_path, "marts", "t", register=False)
+    with pytest.raises(Exception):
+        raw_io.write_table(before.selectExpr("raise_error('no') as id"), tmpdir_path, "marts", "t", register=False)
+    assert before.count() == 3 and raw_io.read_table(spark, tmpdir_path, "marts", "t").count() == 2

@@ -68,24 +68,30 @@ def table_path(warehouse: str, layer: str, table: str) -> str:
     return f"{warehouse.rstrip('/')}/{layer_namespace(layer)}/{table}"
 
 
+def new_version() -> str:
+    """Name of a version folder; later names sort behind earlier ones."""
+    return f"v{time.time_ns():020d}"
+
+
 def write_table(df: DataFrame, warehouse: str, layer: str, table: str, register: bool = True) -> str:
-    """Whole-table rebuild (truncate + reload) as parquet.
+    """Whole-table rebuild (truncate + reload) as parquet; returns the new version's folder.
 
-    With ``register`` the table is also published in the session catalog as
-    ``<layer>.<table>`` (S7), an external table over the written files, so
-    SQL users can query ``marts.mart_customer_ltv`` directly.
+    Every rebuild is a version folder of its own, so readers of the last one
+    are not disturbed and a failed write changes nothing; old versions are the
+    deployment's to clear.  With ``register`` the table is also published in
+    the session catalog as ``<layer>.<table>`` (S7), an external table over
+    the new version, so SQL users can query ``marts.mart_customer_ltv``.
     """
-    path = table_path(warehouse, layer, table)
-    df.write.mode("overwrite").parquet(path)
+    path = f"{table_path(warehouse, layer, table)}/{new_version()}"
+    df.write.mode("errorifexists").parquet(path)
     if register:
-        register_table(df.sparkSession, warehouse, layer, table)
+        register_table(df.sparkSession, warehouse, layer, table, path)
     return path
 
 
-def register_table(spark: SparkSession, warehouse: str, layer: str, table: str, path: str | None = None) -> str:
+def register_table(spark: SparkSession, warehouse: str, layer: str, table: str, path: str) -> str:
     """Publish written files as an external table; refuses to replace a managed one (its data would go)."""
     ns = layer_namespace(layer)
-    path = path or table_path(warehouse, layer, table)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{ns}` LOCATION '{warehouse.rstrip('/')}/{ns}'")
     if spark.catalog.tableExists(f"`{ns}`.`{table}`"):
         if spark.catalog.getTable(f"`{ns}`.`{table}`").tableType == "MANAGED":
@@ -96,7 +102,15 @@ def register_table(spark: SparkSession, warehouse: str, layer: str, table: str,
 
 
 def read_table(spark: SparkSession, warehouse: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(warehouse, layer, table))
+    """The newest complete version of a table."""
+    path = table_path(warehouse, layer, table)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted((s.getPath().getName() for s in fs.listStatus(p)), reverse=True) if fs.exists(p) else []
+    for name in names:
+        if _fs_exists(spark, f"{path}/{name}/_SUCCESS"):
+            return spark.read.parquet(f"{path}/{name}")
+    raise FileNotFoundError(f"No written version of {layer}.{table} in {path}")
 
 
 def load_raw(spark: SparkSession, raw_dir: str, warehouse: str) -> dict[str, DataFrame]:
@@ -118,7 +132,7 @@ def land_raw(spark: SparkSession, raw_dir: str, warehouse: str, version: str | N
     parsing the text again, and the written files cut the lineage.  Earlier
     versions, the published one among them, stay as they are.
     """
-    version = version or f"v{time.time_ns()}"
+    version = version or new_version()
     out = {}
     for table, df in read_all_raw(spark, raw_dir).items():
         out[table] = f"{table_path(warehouse, LANDING, table)}/{version}"
