@@ -93,16 +93,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     if seen[0] == 0:
         return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
+        # The sides of both joins are written first: the joins then read plain shuffles, whose skewed
+        # partitions (a node with a large share of all links) Spark can split.
         # Large star: a node's larger neighbours move to its smallest neighbour.
-        low = cur.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
-        large = (cur.join(low, F.col("v") == F.col("x"), "left")
-                 .select("u", F.coalesce("m", "v").alias("v"))
-                 .union(low.select("x", "m")).distinct())
+        low = checkpointed(cur.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")))
+        large = checkpointed(cur.join(low, F.col("v") == F.col("x"), "left")
+                             .select("u", F.coalesce("m", "v").alias("v"))
+                             .union(low.select("x", "m")).distinct())
         # Small star: a node's smaller neighbours meet at the smallest of them.
-        low2 = large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
-        small = (large.join(low2, F.col("u") == F.col("x")).where("v != m")
+        low = checkpointed(large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")))
+        small = (large.join(low, F.col("u") == F.col("x")).where("v != m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low2.select("x", "m")).distinct())
+                 .union(low.select("x", "m")).distinct())
         cur = checkpointed(small)
         now = _signature(cur)
         if now == seen:
