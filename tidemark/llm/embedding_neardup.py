@@ -12,7 +12,8 @@ cells join independently.  Within a cell a second triangle inequality,
 Crowded cells are cut into blocks, and every pair of blocks is a group of its
 own, so no task holds a whole cell.  A group returns link counts per vector
 and a spanning forest of its links (one row per member), never its pairs.
-Equal vectors of a label are one class throughout and count by weight.
+Equal vectors of a label (by a 128-bit digest) are one class throughout and
+count by weight.
 
 Random high-dimensional vectors lie at nearly equal distances, where no
 metric bound can tell them apart; then most vectors visit most cells of their
@@ -21,6 +22,7 @@ label and the work nears that of comparing a label's pairs in blocks.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -59,12 +61,14 @@ def _unit_rows(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
     fields = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"),
                             F.col(f"`{vector_col}`").alias("v"))
     schema = (f"id {fields.schema['id'].dataType.simpleString()}, label {fields.schema['label'].dataType.simpleString()}"
-              ", unit binary")
+              ", unit binary, key binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            unit = pa.array([unit_vector(v.as_py()) for v in b.column(2)], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), unit], names=["id", "label", "unit"])
+            unit = [unit_vector(v.as_py()) for v in b.column(2)]
+            key = [None if u is None else hashlib.blake2b(u, digest_size=16).digest() for u in unit]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(unit, pa.binary()),
+                                              pa.array(key, pa.binary())], names=["id", "label", "unit", "key"])
 
     return fields.mapInArrow(run, schema)
 
@@ -156,8 +160,8 @@ def embedding_neardup(vectors: DataFrame, min_cosine: float = MIN_COSINE, id_col
     id_kind = rows.schema["id"].dataType.simpleString()
     label_kind = rows.schema["label"].dataType.simpleString()
     classes = checkpointed(
-        rows.where("label is not null and unit is not null").groupBy("label", "unit")
-        .agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+        rows.where("label is not null and unit is not null").groupBy("label", "key")
+        .agg(F.first("unit").alias("unit"), F.min("id").alias("least"), F.count("*").alias("copies"))
         .withColumn("cid", F.monotonically_increasing_id()))
     pivots = shipped(spark, _pivots(classes, cell_rows, max_pivots))
 
@@ -235,14 +239,15 @@ def embedding_neardup(vectors: DataFrame, min_cosine: float = MIN_COSINE, id_col
                          .applyInPandas(join, "cid long, links long, root long"))
     count = found.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    by_class = (classes.select("label", "unit", "least", "copies", "cid").join(count, "cid", "left")
+    by_class = (classes.select("label", "key", "least", "copies", "cid").join(count, "cid", "left")
                 .join(comp, F.col("cid") == F.col("node"), "left")
                 .withColumn("root", F.coalesce("component", "cid")))
     names = by_class.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = by_class.join(names, "root").select(
-        F.col("label").alias("l"), F.col("unit").alias("u"), "component_id",
+        F.col("label").alias("l"), F.col("key").alias("k"), "component_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rows.join(by_class, (F.col("label") == F.col("l")) & (F.col("unit") == F.col("u")), "left")
+    out = rows.select("id", "label", "key").join(
+        by_class, (F.col("label") == F.col("l")) & (F.col("key") == F.col("k")), "left")
     component = F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").cast(id_kind).alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
