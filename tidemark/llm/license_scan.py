@@ -67,6 +67,9 @@ KNOWN = (
 #: Words, one of which every canonical text above holds; checked when the table is built.
 ANCHORS = ("licens", "permission")
 
+#: So many known digests at most are broadcast; more are joined by key.
+BROADCAST_DIGESTS = 100_000
+
 #: A line that only states a copyright: no letters before the statement but markup.
 COPYRIGHT_LINE = (r"(?m)^[^\p{L}\p{N}\n]*(?:copyright[^\p{L}\p{N}\n]*(?:\(c\)|©|[0-9]{4})[^\n]*"
                   r"|(?:\(c\)|©)[^\p{L}\n]*(?:copyright)?[^\p{L}\n]*[0-9]{4}[^\n]*|all rights reserved[^\p{L}\n]*)$")
@@ -129,7 +132,8 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str =
         F.transform(F.split("body", r"\n"), lambda u: F.struct(F.lit(1).alias("part"), u.alias("unit")))))).alias("u"))
     units = (units.where(F.col("u.unit").rlike(anchor))
              .select("id", "h", "n", "u.part", F.sha2(canonical(F.col("u.unit")), 256).alias("digest")))
-    found = (units.join(known, "digest").groupBy("id", "h", "n")
+    side = F.broadcast(known) if known.count() <= BROADCAST_DIGESTS else known
+    found = (units.join(side, "digest").groupBy("id", "h", "n")
              .agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"),
                   F.max(F.when(F.col("part") == 0, F.col("licence"))).alias("whole_text"),
                   F.count_distinct("digest").alias("n_units"))
