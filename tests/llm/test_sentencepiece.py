@@ -79,3 +79,50 @@ def test_tables(spark, docs, pieces):
     assert sorted(((r.id is None, r.id or 0), r.text) for r in back) == sorted(
         ((i is None, i or 0), t or "") for i, t in rows)
     assert encode_report(docs([]), pieces).count() == 0
+
+
+def cuts(raw, word, pieces):
+    """Segmentations of the occurrences of ``word`` in an encoded text of that word alone."""
+    out, part = [], []
+    for i in ids(raw):
+        part.append(pieces.raw[i])
+        if b"".join(part) == word:
+            out.append(tuple(part))
+            part = []
+    assert not part
+    return out
+
+
+def last(numbers, word, pieces):
+    """Segmentation of ``word``, which ends an encoded text."""
+    size = next(k for k in range(1, len(numbers) + 1) if b"".join(pieces.raw[i] for i in numbers[-k:]) == word)
+    return tuple(numbers[-size:])
+
+
+def test_every_occurrence_is_varied_on_its_own(pieces):
+    word = " unbelievable"
+    encoder = Encoder(pieces, 0.1, 3)
+    # Repeats inside one text.
+    one = cuts(encoder.encode([(word * 3000)[1:]])[0], word.encode(), pieces)
+    assert len(one) == 3000 and len(set(one)) > 20
+    # One occurrence in each of many texts, at the same place.
+    texts = [f"{i}{word}" for i in range(3000)]
+    many = {last(ids(r), word.encode(), pieces) for r in encoder.encode(texts)}
+    assert len(many) > 10
+    # The mix of segmentations is that of independent keys.
+    keys = np.random.default_rng(0).integers(0, 2**63, 1000).tolist()
+    free = [naive(pieces, encoder, word, k) for k in keys]
+    plain = naive(pieces, Encoder(pieces), word, 0)
+    share = sum(c == tuple(pieces.raw[i] for i in plain) for c in one) / len(one)
+    assert abs(share - sum(f == plain for f in free) / len(free)) < 0.06
+
+
+def test_occurrences_equal_a_plain_agenda_however_the_work_is_shared(pieces):
+    text = "the unbelievable tokenization of the thereof unbelievable the " * 40
+    encoder = Encoder(pieces, 0.3, 11)
+    words = encoder.words(" " + text)
+    want = [i for w, k in zip(words, encoder.keys(text, len(words))) for i in naive(pieces, encoder, w, k)]
+    other = "unbelievable the thereof " * 50
+    assert ids(encoder.encode([text])[0]) == want
+    assert ids(encoder.encode([other, text])[1]) == want  # from branches grown before
+    assert ids(Encoder(pieces, 0.3, 11).encode([other, text, text])[2]) == want

@@ -2,14 +2,18 @@
 
 Encoding keeps an agenda of adjacent pieces whose concatenation is a piece of
 the vocabulary and takes the best score, then the leftmost.  With dropout a
-candidate taken from the agenda is skipped when a keyed hash of (seed, text
-variant, word, place, piece) falls below the rate; it returns only if a
-neighbour changes.  The hash makes the choice repeatable on any cluster and
-after any retry.  All segmentations decode to the same text: white space is
+candidate taken from the agenda is skipped when a keyed hash of (seed, text,
+the word's place in it, place in the word, piece) falls below the rate; it
+returns only if a neighbour changes.  So every occurrence of a word is varied
+on its own, and equal texts are segmented alike.  The hash makes the choice
+repeatable on any cluster and after any retry.  All segmentations decode to the same text: white space is
 escaped as in the vocabulary, characters without a piece (and a literal
 escape character) become byte pieces.
 
-Words of one width form a matrix and take one agenda step each at once.
+A word's decisions form a binary tree, which its occurrences share: each
+follows its own hashes down to a leaf that holds the pieces.  Branches are
+grown when an occurrence first needs them; words of one width then form a
+matrix and take one agenda step each at once.
 """
 
 from __future__ import annotations
@@ -30,10 +34,10 @@ from .token_counts import _portions
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
-#: Words whose pieces one task remembers; when full, the memo starts anew.
-MEMO = 1_200_000
-#: Segmentations of a word under one seed; a text uses the one its hash picks.
-VARIANTS = 4
+#: Segmentations and decisions that one task remembers; when either is full, the memo starts anew.
+MEMO, DECISIONS = 1_200_000, 4_000_000
+#: Words of more characters are merged by a heap, each occurrence by itself.
+LONG = 256
 
 # Words that no piece can cross if the vocabulary keeps letters and other characters apart.
 _APART = r" *(?:[^\W\d_²³¹¼½¾]+|[\W\d_²³¹¼½¾](?<! )(?:(?! )[\W\d_²³¹¼½¾])*)| +"
@@ -104,30 +108,90 @@ class Pieces:
 class Encoder:
     """Encodes many texts; one per task."""
 
-    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0, variants: int = VARIANTS):
+    #: Numbered keys of a word that ``_merge`` is checked with; texts do not use them.
+    variants = 4
+
+    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = 0):
         if not 0 <= dropout <= 1:
             raise ValueError("dropout must be between 0 and 1")
         self.p, self.dropout, self.seed = pieces, dropout, seed
-        self.variants = variants if dropout else 1
-        self.memo: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.words = re.compile(pieces.word_pattern).findall
-
-    def variant(self, text: str) -> int:
-        return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), self.seed) % self.variants
+        self._forget()
+
+    def _forget(self) -> None:
+        self.root: dict[str, int] = {}
+        self.leaves: list[bytes] = []
+        self.size = 0
+        # Per node the candidate taken, hashed, and the nodes after go and skip: -1 not grown, -2 - i leaf i.
+        self.spot, self.child = np.zeros(1 << 16, np.uint64), np.full(1 << 17, -1, np.int32)
+
+    def _nodes(self, n: int) -> np.ndarray:
+        """Numbers of ``n`` new nodes."""
+        new = np.arange(self.size, self.size + n)
+        self.size += n
+        if self.size > len(self.spot):
+            more = max(self.size, 2 * len(self.spot)) - len(self.spot)
+            self.spot = np.concatenate([self.spot, np.zeros(more, np.uint64)])
+            self.child = np.concatenate([self.child, np.full(2 * more, -1, np.int32)])
+        return new
+
+    def keys(self, text: str, n: int) -> np.ndarray:
+        """A key for each of the ``n`` words of a text."""
+        base = np.uint64(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), self.seed))
+        return _mix(base + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Piece numbers of each text, as little-endian 32-bit integers."""
-        cut = [(self.variant(t), self.words(" " + t) if t else []) for t in texts]
-        for v in range(self.variants):
-            memo = self.memo[v]
-            wanted = set().union(*(w for x, w in cut if x == v))
-            if len(memo) > MEMO // self.variants:
-                memo.clear()
-            new = list(wanted.difference(memo))
-            memo.update(zip(new, self._merge(new, v)))
-        return [b"".join(map(self.memo[v].__getitem__, words)) for v, words in cut]
+        cut = [self.words(" " + t) if t else [] for t in texts]
+        words = [w for c in cut for w in c]
+        if self.dropout:
+            keys = np.concatenate([np.zeros(0, np.uint64), *(self.keys(t, len(c)) for t, c in zip(texts, cut))])
+        else:
+            keys = np.zeros(len(words), np.uint64)
+        done, out, lo = self._cut(words, keys), [], 0
+        for c in cut:
+            out.append(b"".join(done[lo:lo + len(c)]))
+            lo += len(c)
+        return out
 
     def _merge(self, words: list[str], variant: int) -> list[bytes]:
+        """Pieces of words under their keys of one number."""
+        return self._cut(words, np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"),
+                                                                 self.seed * 31 + variant) for w in words], np.uint64))
+
+    def _cut(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Pieces of each occurrence of a word under its key."""
+        if len(self.leaves) > MEMO or self.size > DECISIONS:
+            self._forget()
+        root = self.root
+        new = [w for w in set(words).difference(root) if len(w) <= LONG]
+        root.update(zip(new, self._nodes(len(new)).tolist()))
+        node = np.array([root.get(w, -1) for w in words], np.int64)
+        end = np.full(len(words), -1, np.int64)
+        at = np.flatnonzero(node >= 0)
+        here = node[at]
+        while len(at):
+            here = self.child[2 * here + self._fires(keys[at], self.spot[here])]
+            on = here >= 0
+            end[at[~on]] = here[~on]
+            at, here = at[on], here[on].astype(np.int64)
+        missed = np.flatnonzero((end == -1) & (node >= 0))
+        if len(missed):
+            first, where, of = np.unique(node[missed], return_index=True, return_inverse=True)
+            end[missed] = self._grow([words[i] for i in missed[where].tolist()], first, of, keys[missed])
+        leaves, long = self.leaves, {}
+        out = [leaves[i] if i >= 0 else b"" for i in (-2 - end).tolist()]
+        for i in np.flatnonzero(node < 0).tolist():
+            # Occurrences under one key (words of equal texts) share their pieces.
+            w, key = words[i], int(keys[i])
+            if (w, key) not in long:
+                code, bytes_of = self._codes([w])
+                long[w, key] = self._finish(self._merge_long([code[c] for c in w], key), bytes_of)
+            out[i] = long[w, key]
+        return out
+
+    def _codes(self, words: list[str]) -> tuple[dict[str, int], dict[int, bytes]]:
+        """Numbers of the characters of some words, and the bytes of those without a piece."""
         p = self.p
         fresh: dict[str, int] = {}  # characters that no piece holds
 
@@ -140,48 +204,85 @@ class Encoder:
             return i if i is not None else fresh.setdefault(c, p.base + len(p.extra) + len(fresh))
 
         code = {c: symbol(c) for c in set().union(*words)}
-        bytes_of = {i: c[:1].encode("utf-8", "surrogatepass") for c, i in {**p.extra, **fresh}.items()}
-        pool: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        return code, {i: c[:1].encode("utf-8", "surrogatepass") for c, i in {**p.extra, **fresh}.items()}
+
+    def _grow(self, words: list[str], root: np.ndarray, of: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Ends of occurrences (word ``of``, key) in the words' trees, which get the branches they lack.
+
+        A matrix row is a node that some of the occurrences pass."""
+        p = self.p
+        code, bytes_of = self._codes(words)
         by_width: dict[int, list[int]] = {}
-        out: list[bytes] = [b""] * len(words)
         for i, w in enumerate(words):
-            if len(w) > 256:
-                out[i] = self._finish(self._merge_long([code[c] for c in w], w, variant), bytes_of)
-            else:
-                by_width.setdefault(len(w), []).append(i)
-        key = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), self.seed * 31 + variant)
-                        for w in words], np.uint64) if self.dropout else np.zeros(len(words), np.uint64)
+            by_width.setdefault(len(w), []).append(i)
+        order = np.argsort(of, kind="stable")
+        start = np.searchsorted(of[order], np.arange(len(words) + 1))
+        end = np.zeros(len(of), np.int64)
+        # By width: nodes, pieces, ranks of neighbours; occurrences and their rows.
+        pool: dict[int, list[tuple[np.ndarray, ...]]] = {}
         for width in range(max(by_width, default=0), 0, -1):
             parts = pool.pop(width, [])
             if width in by_width:
                 rows = by_width[width]
                 x = np.array([code[c] for i in rows for c in words[i]], np.int64).reshape(len(rows), width)
-                parts.append((np.array(rows), x, self._ranks(x[:, :-1], x[:, 1:])[0]))
+                here = np.array(rows)
+                many = start[here + 1] - start[here]
+                parts.append((root[here], x, self._ranks(x[:, :-1], x[:, 1:])[0],
+                              np.concatenate([order[start[i]:start[i + 1]] for i in rows]),
+                              np.repeat(np.arange(len(rows)), many)))
             if not parts:
                 continue
-            row, x, rank = (np.concatenate(z) for z in zip(*parts))
+            shift = np.cumsum([0] + [len(z[0]) for z in parts])
+            node, x, rank, who, row = (np.concatenate(z) for z in zip(
+                *((*z[:4], z[4] + lo) for z, lo in zip(parts, shift))))
             while len(x):
-                at = rank.argmin(axis=1) if width > 1 else np.zeros(len(x), np.int64)
                 every = np.arange(len(x))
+                at = rank.argmin(axis=1) if width > 1 else np.zeros(len(x), np.int64)
                 live = rank[every, at] < NONE if width > 1 else np.zeros(len(x), bool)
-                over, odd = x[~live], (x[~live] >= p.base).any(axis=1).tolist()
-                data, size = over.astype("<i4").tobytes(), 4 * width
-                for k, r in enumerate(row[~live].tolist()):
-                    out[r] = self._finish(over[k], bytes_of) if odd[k] else data[k * size:(k + 1) * size]
-                row, x, rank, at = row[live], x[live], rank[live], at[live]
+                if not live.all():
+                    over = ~live
+                    self._leaf(node[over], x[over], width, bytes_of)
+                    gone = over[row]
+                    end[who[gone]] = self.child[2 * node[row[gone]]]
+                    who, row = who[~gone], (np.cumsum(live) - 1)[row[~gone]]
+                    node, x, rank, at = node[live], x[live], rank[live], at[live]
+                    every = np.arange(len(x))
                 if not len(x):
                     break
-                every = np.arange(len(x))
-                place = self._ranks(x[every, at], x[every, at + 1])[1]
-                made = p.result[place]
-                skip = self._skips(key[row], made, at, width)
-                rank[every[skip], at[skip]] = NONE
-                go = ~skip
-                if go.any():
+                made = p.result[self._ranks(x[every, at], x[every, at + 1])[1]]
+                self.spot[node] = self._spot(made, at, width)
+                skip = self._fires(keys[who], self.spot[node[row]])
+                some, near = self._branch(node, row[~skip], 0)
+                if len(some):
                     pool.setdefault(width - 1, []).append(
-                        (row[go], *self._merged(x[go], rank[go], at[go], made[go])))
-                row, x, rank = row[skip], x[skip], rank[skip]
-        return out
+                        (near, *self._merged(x[some], rank[some], at[some], made[some]), who[~skip],
+                         np.searchsorted(some, row[~skip])))
+                some, node = self._branch(node, row[skip], 1)
+                who, row = who[skip], np.searchsorted(some, row[skip])
+                x, rank = x[some], rank[some]
+                rank[np.arange(len(some)), at[some]] = NONE
+        return end
+
+    def _branch(self, node: np.ndarray, row: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that have occurrences, and their nodes after the decision, new where there are none."""
+        has = np.zeros(len(node), bool)
+        has[row] = True
+        some = np.flatnonzero(has)
+        slot = 2 * node[some] + skip
+        lacks = self.child[slot] < 0
+        new = self._nodes(int(lacks.sum()))
+        self.child[slot[lacks]] = new
+        return some, self.child[slot].astype(np.int64)
+
+    def _leaf(self, node: np.ndarray, x: np.ndarray, width: int, bytes_of: dict[int, bytes]) -> None:
+        """The pieces of finished rows become leaves, unless they are already."""
+        new = self.child[2 * node] == -1
+        node, x = node[new], x[new]
+        number = -2 - len(self.leaves) - np.arange(len(node))
+        self.child[2 * node] = self.child[2 * node + 1] = number
+        odd, data, size = (x >= self.p.base).any(axis=1).tolist(), x.astype("<i4").tobytes(), 4 * width
+        self.leaves.extend(self._finish(x[k], bytes_of) if odd[k] else data[k * size:(k + 1) * size]
+                           for k in range(len(node)))
 
     def _merged(self, x, rank, at, made):
         n, width = x.shape
@@ -203,21 +304,28 @@ class Encoder:
         at = np.searchsorted(self.p.pairs, key)
         return np.where(self.p.pairs[at] == key, self.p.rank[at], NONE), at
 
+    @staticmethod
+    def _spot(made, at, width) -> np.ndarray:
+        """Hash of a decision: the piece made, its place and the pieces left."""
+        return _mix(made.astype(np.uint64) << np.uint64(32) ^ np.asarray(at).astype(np.uint64)
+                    << np.uint64(16) ^ np.asarray(width).astype(np.uint64))
+
+    def _fires(self, key, spot) -> np.ndarray:
+        """Whether occurrences with these keys skip at these decisions."""
+        if not self.dropout:
+            return np.zeros(len(key), bool)
+        return (_mix(key ^ spot) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < self.dropout
+
     def _skips(self, key, made, at, width) -> np.ndarray:
         """Keyed decisions: the word's key, the piece made, its place and the pieces left."""
-        if not self.dropout:
-            return np.zeros(len(made), bool)
-        h = _mix(key ^ _mix(made.astype(np.uint64) << np.uint64(32) ^ np.asarray(at).astype(np.uint64)
-                            << np.uint64(16) ^ np.asarray(width).astype(np.uint64)))
-        return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < self.dropout
+        return self._fires(key, self._spot(made, at, width))
 
-    def _merge_long(self, symbols: list[int], word: str, variant: int) -> np.ndarray:
+    def _merge_long(self, symbols: list[int], key: int) -> np.ndarray:
         """The same agenda for one very long word, as a heap (n log n)."""
         import heapq
         p, part = self.p, list(symbols)
         n = len(part)
-        key = np.array([xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed * 31 + variant)],
-                       np.uint64)
+        key = np.array([key], np.uint64)
         if not hasattr(p, "by_pair"):
             p.by_pair = {(k >> 32, k & 0xFFFFFFFF): (r, t) for k, r, t in
                          zip(p.pairs[:-1].tolist(), p.rank.tolist(), p.result.tolist())}
