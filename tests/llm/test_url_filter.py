@@ -82,3 +82,14 @@ def test_a_frequent_pattern_of_many_tokens_stays_cheap(spark):
     rows = [(long, True)] * 40 + [(f"http://ok.net/buy/{i}", False) for i in range(40)]
     rules = mine_block_rules(spark.createDataFrame(rows, "url string, block boolean"), 0.1, 0.9).collect()
     assert 0 < len(rules) <= 8 and all(r.confidence == 1.0 for r in rules)
+
+
+def test_tokens_mined_as_one_stand_for_each_other(spark):
+    rows = [(f"http://aaa.bad.com/buy/{i}", True) for i in range(8)] + [(f"http://ok.net/buy/{i}", False) for i in range(9)]
+    pages = [(1, "http://www.bad.com/x"), (2, "http://aaa.bad.com/y"), (3, "http://bad.com/"), (4, "http://bad.net/z"),
+             (5, "http://www.good.com/"), (6, "http://www.ok.net/buy/1")]
+    got = url_filter(spark.createDataFrame(pages, "page_id long, url string"), [],
+                     spark.createDataFrame(rows, "url string, block boolean"), 0.2, 0.8).collect()
+    # host:com was labelled with the bad site only, as host:bad.com was.
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "allow"}
+    assert all(r.confidence == 1.0 for r in got if r.verdict == "block")

@@ -5,6 +5,10 @@ Labelled URLs become sets of tokens (scheme, domains, path words, query keys,
 those that imply a block with enough support and confidence become rules.  A
 rule is indexed under the rarest of its tokens: only URLs that hold that
 token are tested against the whole rule, so no URL meets every rule.
+
+Tokens of the same labelled URLs are mined as one, their representative; a
+URL's tokens are mapped to representatives before they are matched, so a URL
+that holds any of them meets the same rules as if all were mined.
 """
 
 from __future__ import annotations
@@ -72,7 +76,13 @@ def url_tokens(url: Column) -> Column:
 
 
 def mine_block_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6) -> DataFrame:
-    """``(rule_id, tokens, first, confidence, support)`` from ``labelled(url, block)``.
+    """``(rule_id, tokens, first, confidence, support)`` from ``labelled(url, block)``: see ``mine``."""
+    return mine(labelled, min_support, min_confidence)[0]
+
+
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6) -> tuple[DataFrame, DataFrame]:
+    """``(rule_id, tokens, first, confidence, support)`` from ``labelled(url, block)``, and
+    ``(t, stands)``: each frequent token with its representative.
 
     A rule says: URLs with all ``tokens`` are blocked.  ``first`` is its token
     with the fewest labelled URLs, under which it is indexed.  Of tokens that
@@ -88,13 +98,17 @@ def mine_block_rules(labelled: DataFrame, min_support: float = 0.002, min_confid
     sets = checkpointed(sets)
     least = math.ceil(min_support * sets.count())
     if not least:
-        return labelled.sparkSession.createDataFrame([], empty)
+        return (labelled.sparkSession.createDataFrame([], empty),
+                labelled.sparkSession.createDataFrame([], "t string, stands string"))
     each = sets.select("n", F.explode("tokens").alias("t"))
     # Tokens of the same URLs (equal counts and two 64-bit digests of the rows): one stands for all.
     alike = (each.groupBy("t").agg(F.count("*").alias("freq"), F.expr("bit_xor(xxhash64(n))").alias("d1"),
                                    F.expr("bit_xor(xxhash64(n, 1))").alias("d2"))
              .where(F.col("freq") >= least))
-    kept = checkpointed(alike.groupBy("freq", "d1", "d2").agg(F.min("t").alias("t")).select("t"))
+    alike = checkpointed(alike)
+    classes = alike.groupBy("freq", "d1", "d2").agg(F.min("t").alias("stands"), F.collect_list("t").alias("ts"))
+    stands = checkpointed(classes.select(F.explode("ts").alias("t"), "stands"))
+    kept = stands.where("t = stands").select("t")
     # Frequent tokens: at most the tokens of a URL over the support, whatever the number of URLs.
     side = F.broadcast(kept) if kept.count() <= BROADCAST_TOKENS else kept
     held = each.join(side, "t").groupBy("n").agg(F.collect_list("t").alias("tokens"))
@@ -111,14 +125,16 @@ def mine_block_rules(labelled: DataFrame, min_support: float = 0.002, min_confid
     first = (rules.select("rule_id", F.explode("tokens").alias("t")).join(single, "t")
              .groupBy("rule_id").agg(F.min(F.struct("freq", "t")).alias("least")))
     return checkpointed(rules.join(first, "rule_id").select(
-        "rule_id", "tokens", F.col("least.t").alias("first"), "confidence", "support"))
+        "rule_id", "tokens", F.col("least.t").alias("first"), "confidence", "support")), stands
 
 
-def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match_rules(urls: DataFrame, rules: DataFrame, stands: DataFrame) -> DataFrame:
     """``(url, tokens, confidence)``: the best rule of each distinct URL that one fits.
 
-    Best is the highest confidence, then support, then the first token list in order."""
-    sets = urls.where("url is not null").select("url").distinct().withColumn("have", url_tokens(F.col("url")))
+    A URL's tokens count as their representatives (``stands``); others are in no rule.  Best is the highest confidence, then support, then the first token list in order."""
+    each = urls.where("url is not null").select("url").distinct().select("url", F.explode(url_tokens(F.col("url"))).alias("t"))
+    side = F.broadcast(stands) if stands.count() <= BROADCAST_TOKENS else stands
+    sets = each.join(side, "t").groupBy("url").agg(F.collect_set("stands").alias("have"))
     probe = sets.withColumn("t", F.explode("have"))
     hits = (probe.join(rules, F.col("t") == F.col("first"))
             .where(F.size(F.array_except("tokens", "have")) == 0))
@@ -142,7 +158,7 @@ def url_filter(pages: DataFrame, rules: list[Rule], labelled: DataFrame, min_sup
     rows = rows.withColumns({"host": host, "path": path})
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": name, "fixed": verdict})
-    mined = match_rules(rows.where("rule is null"), mine_block_rules(labelled, min_support, min_confidence))
+    mined = match_rules(rows.where("rule is null"), *mine(labelled, min_support, min_confidence))
     mined = mined.select(F.col("url").alias("u"), F.array_join("tokens", " ").alias("mined"), "confidence")
     out = rows.join(mined, (F.col("url") == F.col("u")) & F.col("rule").isNull(), "left")
     return out.select(
