@@ -12,6 +12,9 @@ repeats with enough words are repeated passages.
 * The digest counts are pre-aggregated per task before they are shuffled; the
   occurrences meet only the digests that occur more than once, in a join whose
   skewed partitions Spark splits.  A digest's occurrences are never gathered.
+* Words are parted by ASCII white space, so a repeated passage in a script
+  without blanks (Chinese, Japanese, Thai) counts as a word or so and is not
+  reported, however long.
 """
 
 from __future__ import annotations
