@@ -3,7 +3,9 @@
 A mask picks some token positions of a window and ignores the others, so a
 window with substituted tokens still hashes alike under a mask that ignores
 them.  The masks below find, at some offset, every 13-token stretch with two
-substitutions and every 15-token stretch with three.  Equal hashes of a
+substitutions and every 15-token stretch with three.  Items of fewer than six
+tokens hold no mask and are matched by nothing; in whole items of six, seven
+or ten tokens some allowed substitutions miss every mask.  Equal hashes of a
 document and a benchmark item are hits; around each hit the two token
 sequences are compared on that alignment and the longest stretch with at
 least ``similarity`` equal tokens is kept if it is long enough.
