@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, embedding_neardup, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup,
-               substring_dedup, token_counts, toxicity, url_filter)
+               substring_dedup, token_counts, token_files, toxicity, url_filter)
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401 - part of the registry
 
@@ -94,3 +94,11 @@ def op9(spark, d):
 @query("op10_decontamination")
 def op10(spark, d):
     return decontamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op12_token_files")
+def op12(spark, d):
+    """The files go to a new folder beside the checkpoints."""
+    path = token_files.scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, d, "documents"), path, vocabulary_path("byte_bpe_50k.json"), end_id=0)
+    return token_files.token_file_report(spark, path)
