@@ -173,5 +173,30 @@ SELECT page_id, host, path, best.name AS rule,
 FROM ruled LEFT JOIN matched USING (url)
 """
 
+# --- hard negatives: every anchor against every row ------------------------------------
+
+NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS r
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, a.label AS own, b.r AS b, b.vec_id, b.label,
+           CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT a, anchor_id, own, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE own = label AND a <> b QUALIFY place <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.a = p.a AND s.label <> p.own
+WHERE 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLE_SQL = {"op2_embedding_neardup": EMBEDDINGS, "op3_secret_scans": SECRETS, "op4_url_filters": URLS,
-              "op9_license_scans": LICENSES}
+              "op9_license_scans": LICENSES, "op13_hard_negatives": NEGATIVES}

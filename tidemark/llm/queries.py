@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, embedding_neardup, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup,
+from . import (decontamination, embedding_neardup, hard_negatives, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup,
                substring_dedup, token_counts, token_files, toxicity, url_filter)
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401 - part of the registry
@@ -102,3 +102,11 @@ def op12(spark, d):
     path = token_files.scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, d, "documents"), path, vocabulary_path("byte_bpe_50k.json"), end_id=0)
     return token_files.token_file_report(spark, path)
+
+
+@query("op13_hard_negatives")
+def op13(spark, d):
+    """Anchors are ids divisible by 100; a seventh of the rows change their label first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, d, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
