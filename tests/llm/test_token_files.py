@@ -33,6 +33,30 @@ def test_elias_fano_space():
     assert bits < 2.2 + np.log2(values[-1] / len(values)) + 32 / T.SAMPLE
 
 
+def test_encoder_equals_library():
+    """Every character below U+0250 beside others, special strings, other scripts, no word remembered twice wrongly."""
+    with open(FILE, "rb") as f:
+        encoder = T.Encoder(f.read(), "<u2")
+    assert encoder.words is not None
+    tokenizer = Tokenizer.from_file(FILE)
+    texts = ["", " ", "it's I'LL we've\n\n  x", "a<|endoftext|>b", "中文 café — “x”"]
+    for c in map(chr, range(0x250)):
+        texts += [c, f"a{c}b", f" {c}{c} 1{c}", f"{c}'s {c}\t", f"x {c} {c}"]
+    rng = np.random.default_rng(2)
+    texts += ["".join(map(chr, rng.integers(0, 0x250, 40))) for _ in range(3000)]
+    texts += ["".join(rng.choice(list("ab 1\n'st.\u00a0é"), 30)) for _ in range(3000)]
+    for t in texts:
+        assert np.frombuffer(encoder.encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_other_file_kinds_go_through_the_library():
+    file = vocabulary_path("word_bpe_49k.json")
+    with open(file, "rb") as f:
+        encoder = T.Encoder(f.read(), "<u4")
+    want = Tokenizer.from_file(file).encode("Hello, world x", add_special_tokens=False).ids
+    assert encoder.words is None and np.frombuffer(encoder.encode("Hello, world x"), "<u4").tolist() == want
+
+
 def plain(rows):
     """Documents in order with their ids, encoded one by one with the library."""
     tokenizer = Tokenizer.from_file(FILE)

@@ -19,6 +19,7 @@ sink ends a record with a line feed, the format's last byte.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .common import shipped
+from .token_counts import _LATIN_FIND, _LATIN_ONLY, byte_alphabet
 
 MAGIC = b"TIDIDS01"
 #: Magic, shard number, smallest id, rows, rows of null id, ids, bits of the two unary strings, bytes an id, low bits
@@ -41,11 +43,11 @@ HEADER_BYTES = struct.calcsize(HEADER)
 #: Ones between two samples of a unary string.
 SAMPLE = 256
 #: Ids of a shard, but for a longer last document.
-SHARD_IDS = 8_000_000
+SHARD_IDS = 4_000_000
 #: Text bytes that one task sorts and encodes; it spills, so this bounds time rather than memory.
 PARTITION_BYTES = 1 << 30
-#: Text bytes encoded at once.
-PORTION = 1 << 20
+#: Pre-tokens whose ids a task remembers; when full, it starts anew.
+MEMO = 400_000
 
 
 class EliasFano:
@@ -127,16 +129,16 @@ class EliasFano:
         return high | np.concatenate(low)
 
 
-def pack_shard(shard: int, doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
-    """A shard's bytes, less the closing line feed.  ``doc_ids`` ascend, nulls first."""
+def pack_shard(shard: int, doc_ids: list, lengths: list[int], ids: bytes, width: int) -> bytes:
+    """A shard's bytes, less the closing line feed.  ``doc_ids`` ascend, nulls first; an id takes ``width`` bytes."""
     nulls = sum(1 for k in doc_ids if k is None)
     known = np.array(doc_ids[nulls:], np.int64)
     least = int(known[0]) if len(known) else 0
     ends = EliasFano.encode(np.concatenate(([0], np.cumsum(np.array(lengths, np.int64)))))
     names = EliasFano.encode(known.view(np.uint64) - np.array([least], np.int64).view(np.uint64))
-    body = ids.tobytes() + ends.tobytes() + names.tobytes()
-    return struct.pack(HEADER, MAGIC, shard, least, len(doc_ids), nulls, len(ids), ends.high_bits, names.high_bits,
-                       ids.itemsize, ends.low_bits, names.low_bits, zlib.crc32(body)) + body
+    body = ids + ends.tobytes() + names.tobytes()
+    return struct.pack(HEADER, MAGIC, shard, least, len(doc_ids), nulls, len(ids) // width, ends.high_bits, names.high_bits,
+                       width, ends.low_bits, names.low_bits, zlib.crc32(body)) + body
 
 
 class Shard:
@@ -171,27 +173,54 @@ class Shard:
         return [None] * self.nulls + (self._names.values() + least).view(np.int64).tolist()
 
 
-def _portions(rows: Iterator[tuple], size: int = PORTION) -> Iterator[list[tuple]]:
-    """Rows ``(id, text)`` in portions of about ``size`` characters."""
-    part, room = [], size
-    for r in rows:
-        part.append(r)
-        room -= len(r[1]) + 16
-        if room <= 0:
-            yield part
-            part, room = [], size
-    if part:
-        yield part
+class _Words(dict):
+    """Pre-token -> packed ids, encoded by the library's model when first met."""
 
+    def __init__(self, model, width: str):
+        super().__init__()
+        self._tokenize, self._width = model.tokenize, width
+        self._letters = dict(enumerate(byte_alphabet()))
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMO:
+            self.clear()
+        tokens = self._tokenize(word.encode("utf-8").decode("latin-1").translate(self._letters))
+        ids = self[word] = np.array([t.id for t in tokens], self._width).tobytes()
+        return ids
 
-def library_encoder(spec: bytes) -> Callable[[list[str]], list[list[int]]]:
-    """Batch encoder of a tokenizer file's content: no added begin or end tokens, no truncation or padding."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_buffer(spec)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+class Encoder:
+    """Packed ids of whole texts as the library gives them: no added begin or end tokens, truncation or padding.
+
+    Pre-tokens of a byte-level vocabulary do not depend on one another, and
+    texts repeat them.  Texts of characters below U+0250, whose classes are
+    listed, are cut here, and each pre-token is encoded by the library's model
+    once; the library encodes all other texts, and other kinds of files, whole.
+    ``special``: strings of added tokens stand for their token, as by default;
+    otherwise they are ordinary text.
+    """
+
+    def __init__(self, spec: bytes, width: str, special: bool = True):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        self.width = width
+        self.tokenizer = Tokenizer.from_buffer(spec)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = not special
+        self.words = None
+        given = json.loads(spec)
+        pre, model = given.get("pre_tokenizer") or {}, given["model"]
+        if (model["type"] == "BPE" and not given.get("normalizer") and not model.get("dropout")
+                and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)):
+            self.tokenizer.model._resize_cache(1)        # the words below are its only cache
+            self.words = _Words(self.tokenizer.model, width)
+            self.added = [t["content"] for t in given.get("added_tokens") or []] if special else []
+
+    def encode(self, text: str) -> bytes:
+        if self.words is None or not _LATIN_ONLY(text) or any(s in text for s in self.added):
+            return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width).tobytes()
+        return b"".join(map(self.words.__getitem__, _LATIN_FIND(text)))
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0, id_col: str = "doc_id",
@@ -223,29 +252,27 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode, piece = library_encoder(sent()), TaskContext.get().partitionId() << 32
+        encoder, piece = Encoder(sent(), width), TaskContext.get().partitionId() << 32
+        size, end = np.dtype(width).itemsize, np.array([end_id], width).tobytes()
         names, lengths, held, total = [], [], [], 0
 
         def shard() -> pa.RecordBatch:
-            data = pack_shard(piece, names, lengths, np.concatenate(held))
+            data = pack_shard(piece, names, lengths, b"".join(held), size)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["value"])
 
-        def pairs():
-            for b in batches:
-                for lo in range(0, b.num_rows, 256):
-                    part = b.slice(lo, 256)
-                    yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
-
-        for part in _portions(pairs()):
-            for (name, _), ids in zip(part, encode([t for _, t in part])):
-                ids.append(end_id)
-                if total and total + len(ids) > shard_ids:
-                    yield shard()
-                    names, lengths, held, total, piece = [], [], [], 0, piece + 1
-                names.append(name)
-                lengths.append(len(ids))
-                held.append(np.array(ids, width))
-                total += len(ids)
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = encoder.encode(text) + end
+                    n = len(ids) // size
+                    if total and total + n > shard_ids:
+                        yield shard()
+                        names, lengths, held, total, piece = [], [], [], 0, piece + 1
+                    names.append(name)
+                    lengths.append(n)
+                    held.append(ids)
+                    total += n
         if total:
             yield shard()
 
