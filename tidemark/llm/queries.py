@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, embedding_neardup, hard_negatives, license_scan, secret_scan, sentencepiece_bpe, simhash_neardup,
-               substring_dedup, token_counts, token_files, toxicity, url_filter)
+from . import (alignment, decontamination, embedding_neardup, hard_negatives, license_scan, secret_scan,
+               sentencepiece_bpe, simhash_neardup, substring_dedup, token_counts, token_files, toxicity, url_filter)
 from .common import table
 from .oracles import ORACLE_SQL  # noqa: F401 - part of the registry
 
@@ -96,6 +96,12 @@ def op10(spark, d):
     return decontamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query("op11_alignment")
+def op11(spark, d):
+    return alignment.alignment(table(spark, d, "documents"), vocabulary_path("byte_bpe_50k.json"),
+                               vocabulary_path("piece_bpe_32k.model"))
+
+
 @query("op12_token_files")
 def op12(spark, d):
     """The files go to a new folder beside the checkpoints."""
