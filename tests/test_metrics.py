@@ -27,7 +27,7 @@ def test_counter_increase_resets_and_single_sample(spark):
     rows = [("c", {"op": "a"}, T("2024-01-01 00:10:00"), 1, 5.0), ("c", {"op": "a"}, T("2024-01-01 01:10:00"), 2, 8.0),
             ("c", {"op": "a"}, T("2024-01-01 03:00:00"), 3, 2.0), ("c", {"op": "a"}, T("2024-01-01 03:30:00"), 4, 6.0),
             ("c", {"op": "b"}, T("2024-01-01 05:00:00"), 5, 9.0)]
-    inc = M.counter_increase(spark.createDataFrame(rows, SCHEMA), "24 hours", "1 hour")
+    inc = M.counter_increase(spark.createDataFrame(rows, SCHEMA), "24 hours")
     got = {r.labels["op"]: (r.increase, r.samples) for r in inc.collect()}
     assert got == {"a": (3.0 + 2.0 + 4.0, 4), "b": (0.0, 1)}
     tot = M.sum_over_series(inc).collect()

@@ -91,7 +91,7 @@ def test_asof_carries_clicks_across_buckets_and_counts_equal_time(spark):
                            order(3, 1, "2024-01-06 23:59:59", 1.0), order(4, 1, "2023-12-31 00:00:00", 1.0)])
     orders = o.select("order_id", "customer_id", "ordered_at")
     clicks = e.select("event_id", "customer_id", "event_at", "campaign_id")
-    got = {r.order_id: r.campaign_id for r in attribution.attribute_orders_asof(orders, clicks, "1 hour", hot_rows=1).collect()}
+    got = {r.order_id: r.campaign_id for r in attribution.attribute_orders_asof(orders, clicks, segment_rows=1).collect()}
     assert got == {"1": "camp_a", "2": "camp_b", "3": "camp_b", "4": None}
 
 

@@ -2,11 +2,59 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .joins import join_small_dimension
 
+#: Rows that one task may order: keys beyond are cut into segments.
+SEGMENT_ROWS = 5_000_000
+
+
+class Segments:
+    """Rows of every key cut, in order, into segments of bounded size, for scans along a key.
+
+    ``rows`` are the given ones with a segment number (``_seg``), ascending
+    along ``order`` within a key.  If the largest key (a count with map-side
+    combine) is within ``max_rows``, every key is one segment and ``one`` is
+    true: a plain window per key is bounded then.  Otherwise all rows are
+    range-partitioned by (keys, order) into pieces of about ``max_rows``, and
+    the pieces are pinned by a checkpoint, so every later read sees the same
+    cut; a key of any size, however its rows cluster, spreads over pieces.
+    Rows that are equal in keys and order share a piece: give an ``order`` that
+    tells a key's rows apart.
+
+    A scan then has two levels: ``within`` a segment, and over ``borders``,
+    one row per key and segment, which carries a value across.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], max_rows: int = SEGMENT_ROWS):
+        self.keys, self.order = keys, order
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        top, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+        self.one = (top or 0) <= max_rows
+        if self.one:
+            self.rows = df.withColumn("_seg", F.lit(0))
+            return
+        ensure_checkpoint_dir(df.sparkSession)
+        self.rows = (df.repartitionByRange(math.ceil(total / max_rows), *keys, *order)
+                     .withColumn("_seg", F.spark_partition_id()).checkpoint())
+
+    def within(self):
+        """Window over a segment, in order."""
+        return Window.partitionBy(*self.keys, "_seg").orderBy(*self.order)
+
+    def borders(self, *aggregates: Column) -> DataFrame:
+        """One row per key and segment (map-side combined)."""
+        return self.rows.groupBy(*self.keys, "_seg").agg(*aggregates)
+
+    def across(self):
+        """Window over a key's borders, in order."""
+        return Window.partitionBy(*self.keys).orderBy("_seg")
+
 
 def running_count(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
                   name: str = "rn") -> DataFrame:
@@ -40,9 +88,6 @@ def numbered(df: DataFrame, order: list[str], name: str = "rn", rows_per_partiti
     offsets come from a window over one row per piece.  ``order`` should be
     unique: equal rows get their numbers in any order.
     """
-    import math
-
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     n = max(1, math.ceil(df.count() / rows_per_partition))
     d = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
@@ -66,9 +111,6 @@ def dense_codes(df: DataFrame, group_col: str, value_col: str, name: str = "code
     partition from a window over that partition only.  No task holds more
     than about ``rows_per_partition`` values, whatever a group's size.
     """
-    import math
-
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     distinct = df.select(group_col, value_col).distinct().checkpoint()
     n = max(1, math.ceil(distinct.count() / rows_per_partition))

@@ -8,13 +8,11 @@ Scale notes
 * ``attribute_orders`` joins many orders to exactly one click row per
   customer.  A hot customer skews the order side only: its orders are salted
   over several join keys and its click row is repeated per salt.
-* ``attribute_orders_asof`` finds hot customers first (a partial count; the
-  list is bounded by total rows / ``hot_rows``).  A hot customer's rows are
-  cut into time slices: the running ``last(ignorenulls)`` window is
-  partitioned by (customer, slice), the last click of each slice is a
-  partial aggregate, and the carry-in from earlier slices comes from a window
-  over that per-slice table.  Other customers are one slice each, bounded by
-  ``hot_rows``.
+* ``attribute_orders_asof`` is a scan: orders and clicks are laid side by side,
+  cut into segments of a bounded number of rows along (customer, time)
+  (``functions.windows.Segments``), and the last click runs along each segment.
+  The last click of each segment, a partial aggregate, is carried into the
+  segments after it by a window over one row per customer and segment.
 """
 
 from __future__ import annotations
@@ -22,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.windows import SEGMENT_ROWS, Segments
 from .staging import clicked_events, completed_orders
 
 
@@ -62,8 +61,7 @@ def attribute_orders(stg_orders_df: DataFrame, stg_events_df: DataFrame,
         "order_id", "customer_id", "order_amount", "order_date", "campaign_id")
 
 
-def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1 minute",
-                          hot_rows: int = 5_000_000) -> DataFrame:
+def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Each order takes the latest click with ``clicked_at <= ordered_at``.
 
     ``orders``: (order_id, customer_id, ordered_at, ...);
@@ -71,49 +69,31 @@ def attribute_orders_asof(orders: DataFrame, clicks: DataFrame, bucket: str = "1
     Returns the order columns plus ``campaign_id`` and ``clicked_at`` (null
     when there is no earlier click).  A click at the same instant as the
     order counts (it sorts first); ties among clicks go to the larger
-    event_id.
-
-    Hot customers (more than ``hot_rows`` orders + clicks) are cut into
-    ``bucket`` time slices; every other customer is one slice, so no window
-    task holds more than ``hot_rows`` rows of a normal customer or one time
-    slice of a hot one.  The hot list has at most ``total_rows / hot_rows``
-    entries; Spark broadcasts it by its measured size.
+    event_id.  Orders without a customer or time, and clicks without, match
+    nothing.  No task orders more than about ``segment_rows`` rows, however
+    many fall on one customer or instant.
     """
     order_cols = orders.columns
     o = orders.select(
         *order_cols,
         F.col("ordered_at").alias("_t"), F.lit(1).alias("_kind"),
-        F.lit(None).cast("string").alias("_eid"), F.lit(None).cast("string").alias("_camp"))
-    c = clicks.select(
+        F.col("order_id").cast("string").alias("_eid"), F.lit(None).cast("string").alias("_camp"))
+    c = clicks.where(F.col("customer_id").isNotNull() & F.col("event_at").isNotNull()).select(
         *[F.col("customer_id") if n == "customer_id" else F.lit(None).cast(orders.schema[n].dataType).alias(n)
           for n in order_cols],
         F.col("event_at").alias("_t"), F.lit(0).alias("_kind"),
         F.col("event_id").cast("string").alias("_eid"), F.col("campaign_id").alias("_camp"))
-    u = o.unionByName(c)
-
-    # Hot customers: a partial count per customer, filtered to the heavy ones.
-    hot = (u.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select("customer_id", F.lit(True).alias("_hot")))
-    u = u.join(hot, "customer_id", "left")
-    whole = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    u = u.withColumn("_b", F.when(F.col("_hot"), F.window("_t", bucket).start).otherwise(whole))
+    cut = Segments(o.unionByName(c), ["customer_id"], ["_t", "_kind", "_eid"], segment_rows)
 
     is_click = F.col("_kind") == 0
-    click_val = F.when(is_click, F.struct("_camp", "_t"))
-    click_key = F.when(is_click, F.struct("_t", "_eid"))
-
-    # The one full shuffle: rows go to (customer, slice) and a running
-    # last(click) is computed inside each slice.
-    w = (Window.partitionBy("customer_id", "_b")
-         .orderBy("_t", "_kind", "_eid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ran = u.withColumn("_run", F.last(click_val, ignorenulls=True).over(w))
-    # Hot customers only: last click of each slice (partial aggregate), then
-    # the carry-in from earlier slices by a window over that per-slice table.
-    per_bucket = (u.where(F.col("_hot")).groupBy("customer_id", "_b")
-                  .agg(F.max_by(click_val, click_key).alias("_lb")))
-    wb = Window.partitionBy("customer_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select("customer_id", "_b",
-                              F.last("_lb", ignorenulls=True).over(wb).alias("_carry"))
-    out = ran.where(F.col("_kind") == 1).join(carry, ["customer_id", "_b"], "left")
-    best = F.coalesce(F.col("_run"), F.col("_carry"))
-    return out.select(*order_cols, best["_camp"].alias("campaign_id"), best["_t"].alias("clicked_at"))
+    click = F.when(is_click, F.struct("_camp", "_t"))
+    so_far = cut.within().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = cut.rows.withColumn("_best", F.last(click, ignorenulls=True).over(so_far)).where(~is_click)
+    if not cut.one:
+        before = cut.across().rowsBetween(Window.unboundedPreceding, -1)
+        carry = cut.borders(F.max_by(click, F.when(is_click, F.struct("_t", "_eid"))).alias("_last")).select(
+            F.col("customer_id").alias("_c"), F.col("_seg").alias("_g"),
+            F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+        out = out.join(carry, F.col("customer_id").eqNullSafe(F.col("_c")) & (F.col("_seg") == F.col("_g")), "left")
+        out = out.withColumn("_best", F.coalesce("_best", "_carry"))
+    return out.select(*order_cols, F.col("_best._camp").alias("campaign_id"), F.col("_best._t").alias("clicked_at"))

@@ -5,12 +5,12 @@ double, seq long)``; ``seq`` breaks ties between samples of one series at the
 same instant.  A series is (metric, labels); labels are grouped as their
 sorted entry array because maps cannot be grouping keys.
 
-Counter increases need consecutive samples of a series, i.e. an ordered
-window.  A busy series can hold a large share of all samples, so windows are
-never partitioned by series alone: each evaluation range is cut into
-``step`` slices, ``lag`` runs inside (series, range, slice) and the step
-across slice borders comes from a window over the small per-slice table
-(first/last value per slice, one row per slice).
+Counter increases need consecutive samples of a series.  A busy series can
+hold a large share of all samples, and a burst of them can fall into one
+second, so no window is partitioned by series or time alone: series are cut
+into segments of a bounded number of rows (``functions.windows.Segments``),
+``lag`` runs inside a segment, and the step into a segment comes from a window
+over one row (first and last sample) per segment.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_literal
+from ..functions.windows import SEGMENT_ROWS, Segments
 
 # Name mapping rules of the metrics exporter, first match wins (fixed values):
 # (glob, metric name, label key); "$1" is the text matched by "*".
@@ -84,47 +85,52 @@ def _inc(value: Column, prev: Column) -> Column:
             .otherwise(value))
 
 
-def counter_increase(samples: DataFrame, range_: str = "24 hours", step: str = "1 hour") -> DataFrame:
-    """Per series and tumbling range, growth of a counter (resets counted).
-
-    The first sample of a range adds 0 (no edge extrapolation).  ``step`` must
-    divide ``range_``.  Returns (metric, labels, window_start, window_end,
-    increase, samples).
-    """
+def _steps(samples: DataFrame, slice_: Column, segment_rows: int) -> DataFrame:
+    """Samples reduced to (series, slice): ``_in`` growth inside the slice, ``_b`` the step into it from the
+    series' last sample before (null for its first slice), ``_n`` samples.  ``slice_`` must not fall along time."""
     s = (samples.where(F.col("value").isNotNull())
          .select("metric", _key().alias("_k"), "ts", "seq", F.col("value").cast("double").alias("value"))
-         .withColumn("_w", F.window("ts", range_))
-         .withColumn("_s", F.window("ts", step).start))
+         .withColumn("_s", slice_))
     order = F.struct("ts", "seq")
-    # One shuffle of the samples: lag inside each slice, then per-slice totals
-    # on the same partitioning (first step of a slice counts 0 here).
-    inside = Window.partitionBy("metric", "_k", "_w", "_s").orderBy("ts", "seq")
-    per_slice = (s.withColumn("_p", F.lag("value").over(inside))
-                 .groupBy("metric", "_k", "_w", "_s")
-                 .agg(F.sum(_inc(F.col("value"), F.col("_p"))).alias("_in"), F.count(F.lit(1)).alias("_n"),
-                      F.min_by("value", order).alias("_first"), F.max_by("value", order).alias("_last")))
-    # Steps across slice borders: a window over the small per-slice table.
-    across = Window.partitionBy("metric", "_k", "_w").orderBy("_s")
-    per_range = (per_slice.withColumn("_b", _inc(F.col("_first"), F.lag("_last").over(across)))
-                 .groupBy("metric", "_k", "_w")
-                 .agg((F.sum("_in") + F.sum("_b")).alias("increase"), F.sum("_n").alias("samples")))
-    return per_range.select(
-        "metric", F.map_from_entries("_k").alias("labels"),
-        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-        "increase", "samples")
+    point = F.struct("value", "_s")
+    cut = Segments(s, ["metric", "_k"], ["ts", "seq"], segment_rows)
+    grown = _inc(F.col("value"), F.col("_p.value"))
+    inner = F.col("_p._s") == F.col("_s")
+    growth = [F.coalesce(F.sum(F.when(inner, grown)), F.lit(0.0)).alias("_in"),
+              F.sum(F.when(~inner, grown)).alias("_b")]
+    steps = (cut.rows.withColumn("_p", F.lag(point).over(cut.within()))
+             .groupBy("metric", "_k", "_s").agg(*growth, F.count(F.lit(1)).alias("_n")))
+    if cut.one:
+        return steps
+    # The first sample of a segment follows the last one of the segment before.
+    ends = (cut.borders(F.min_by(point, order).alias("_f"), F.max_by(point, order).alias("_l"))
+            .withColumn("_p", F.lag("_l").over(cut.across()))
+            .select("metric", "_k", F.col("_f.value").alias("value"), F.col("_f._s").alias("_s"), "_p"))
+    ends = ends.groupBy("metric", "_k", "_s").agg(*growth).withColumn("_n", F.lit(0).cast("long"))
+    return (steps.unionByName(ends).groupBy("metric", "_k", "_s")
+            .agg(F.sum("_in").alias("_in"), F.sum("_b").alias("_b"), F.sum("_n").alias("_n")))
+
+
+def counter_increase(samples: DataFrame, range_: str = "24 hours", segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Per series and tumbling range, growth of a counter (resets counted).
 
+    The first sample of a range adds 0 (no edge extrapolation).  No task
+    orders more than about ``segment_rows`` samples.  Returns (metric, labels,
+    window_start, window_end, increase, samples).
+    """
+    steps = _steps(samples, F.window("ts", range_), segment_rows)
+    return steps.select("metric", F.map_from_entries("_k").alias("labels"), F.col("_s.start").alias("window_start"),
+                        F.col("_s.end").alias("window_end"), F.col("_in").alias("increase"), F.col("_n").alias("samples"))
 
-def counter_rate(samples: DataFrame, range_seconds: int = 300, step_seconds: int | None = None) -> DataFrame:
-    """Increase per second over tumbling ranges (2 m / 5 m on the dashboard).
 
-    ``step_seconds`` is the inner slice of ``counter_increase``."""
-    step = step_seconds or range_seconds
-    inc = counter_increase(samples, f"{range_seconds} seconds", f"{step} seconds")
+def counter_rate(samples: DataFrame, range_seconds: int = 300, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Increase per second over tumbling ranges (2 m / 5 m on the dashboard)."""
+    inc = counter_increase(samples, f"{range_seconds} seconds", segment_rows)
     return inc.withColumn("rate", F.col("increase") / F.lit(float(range_seconds)))
 
 
 def counter_lookback(samples: DataFrame, range_seconds: int, every_seconds: int | None = None,
-                     as_of: str | None = None) -> DataFrame:
+                     as_of: str | None = None, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """T2 / T3 at evaluation times: growth over ``(t - range, t]`` for each series.
 
     ``every_seconds``: at every multiple of it (which must divide the range)
@@ -132,52 +138,42 @@ def counter_lookback(samples: DataFrame, range_seconds: int, every_seconds: int
     sample of a range adds 0 and resets count, as in ``counter_increase``.
     Returns (metric, labels, evaluated_at, increase, rate, samples).
 
-    Samples are reduced to slices of ``every_seconds`` (first and last value,
-    growth inside); the growth over a range is a windowed sum over slices,
-    less the step into its first slice.  No sample is copied per time.
+    Samples are reduced to slices of ``every_seconds`` (growth inside, and the
+    step into the slice); the growth over a range is a windowed sum over
+    slices, less the step into its first slice.  No sample is copied per time.
     """
     if (every_seconds is None) == (as_of is None):
         raise ValueError("give either every_seconds or as_of")
     if every_seconds is not None and range_seconds % every_seconds:
         raise ValueError("every_seconds must divide range_seconds")
-    s = samples.where(F.col("value").isNotNull()).select(
-        "metric", _key().alias("_k"), "ts", "seq", F.col("value").cast("double").alias("value"))
     zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", zero, F.col("ts").cast("timestamp_ntz"))
     if as_of is not None:
-        # Slices of a sixtieth of the range, counted back from the instant.
-        step = max(1, range_seconds * 1_000_000 // 60)
         end = F.timestamp_diff("MICROSECOND", zero, ts_literal(as_of))
-        s = s.where((micros > end - range_seconds * 1_000_000) & (micros <= end))
-    else:
-        step, end = every_seconds * 1_000_000, F.lit(0).cast("long")
-    # Slice number: the evaluation time at its (inclusive) end, in steps.
-    s = s.withColumn("_s", -F.floor((end - micros) / F.lit(step)))
-    order = F.struct("ts", "seq")
-    inside = Window.partitionBy("metric", "_k", "_s").orderBy("ts", "seq")
-    slices = (s.withColumn("_p", F.lag("value").over(inside))
-              .groupBy("metric", "_k", "_s")
-              .agg(F.sum(_inc(F.col("value"), F.col("_p"))).alias("_in"), F.count(F.lit(1)).alias("_n"),
-                   F.min_by("value", order).alias("_first"), F.max_by("value", order).alias("_last")))
-    series = Window.partitionBy("metric", "_k").orderBy("_s")
-    slices = slices.withColumn("_b", _inc(F.col("_first"), F.lag("_last").over(series)))
-    if as_of is not None:
-        out = slices.groupBy("metric", "_k").agg((F.sum("_in") + F.sum("_b") - F.min_by("_b", "_s")).alias("increase"),
-                                                 F.sum("_n").alias("samples"))
-        out = out.withColumn("evaluated_at", ts_literal(as_of))
+        inside = samples.where((micros > end - range_seconds * 1_000_000) & (micros <= end))
+        out = (_steps(inside, F.lit(0), segment_rows)
+               .select("metric", "_k", F.col("_in").alias("increase"), F.col("_n").alias("samples"),
+                       ts_literal(as_of).alias("evaluated_at")))
     else:
+        # Slice number: the evaluation time at its (inclusive) end, in steps.
+        slices = _steps(samples, -F.floor(-micros / F.lit(every_seconds * 1_000_000)), segment_rows)
+        series = Window.partitionBy("metric", "_k").orderBy("_s")
         # Times without samples of their own: the steps after a slice while it is in range, up to the next slice.
         span = range_seconds // every_seconds
         slices = slices.withColumn("_until", F.least(
             F.col("_s") + span - 1, F.coalesce(F.lead("_s").over(series) - 1, F.lit(2**62))))
         slices = slices.withColumn("_t", F.explode(F.sequence(F.col("_s"), F.col("_until"))))
         own = F.col("_t") == F.col("_s")
-        seen = lambda c: F.when(own, F.col(c))
+        into = F.coalesce("_b", F.lit(0.0))
         window = Window.partitionBy("metric", "_k").orderBy("_t").rangeBetween(-(span - 1), 0)
-        total = F.sum(F.coalesce(seen("_in") + seen("_b"), F.lit(0.0))).over(window)
-        entry = F.first(seen("_b"), ignorenulls=True).over(window)
-        out = slices.select("metric", "_k", (total - entry).alias("increase"), F.sum(seen("_n")).over(window).alias("samples"),
-                            F.timestamp_add("SECOND", (F.col("_t") * every_seconds).cast("int"), zero).alias("evaluated_at"))
+        total = F.sum(F.when(own, F.col("_in") + into).otherwise(0.0)).over(window)
+        entry = F.first(F.when(own, into), ignorenulls=True).over(window)
+        # Whole days and the seconds left: an interval of any length, before or after 1970.
+        seconds = F.col("_t") * every_seconds
+        at = zero + F.make_dt_interval(days=F.floor(seconds / 86400).cast("int"),
+                                       secs=F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)"))
+        out = slices.select("metric", "_k", (total - entry).alias("increase"),
+                            F.sum(F.when(own, F.col("_n"))).over(window).alias("samples"), at.alias("evaluated_at"))
     return out.select("metric", F.map_from_entries("_k").alias("labels"), "evaluated_at", "increase",
                       (F.col("increase") / F.lit(float(range_seconds))).alias("rate"), "samples")
 
@@ -219,9 +215,9 @@ def label_filter(samples: DataFrame, metrics: list[str], label: str, value: str)
 
 
 def success_vs_failure(samples: DataFrame, success_metric: str, failure_metric: str,
-                       range_seconds: int = 300) -> DataFrame:
+                       range_seconds: int = 300, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Both rates, tagged."""
-    both = counter_rate(samples.where(F.col("metric").isin(success_metric, failure_metric)), range_seconds)
+    both = counter_rate(samples.where(F.col("metric").isin(success_metric, failure_metric)), range_seconds, segment_rows)
     return both.withColumn("kind", F.when(F.col("metric") == success_metric, "success").otherwise("failure"))
 
 

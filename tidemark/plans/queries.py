@@ -474,7 +474,7 @@ def _no_labels(df):
 
 @query("counter_increase")
 def q_counter_increase(spark, d):
-    return _no_labels(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour"))
+    return _no_labels(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours"))
 
 
 @query("counter_rate")
@@ -496,7 +496,7 @@ def q_counter_rate_every(spark, d):
 
 @query("sum_over_series")
 def q_sum_over_series(spark, d):
-    return metrics.sum_over_series(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour"))
+    return metrics.sum_over_series(metrics.counter_increase(fx.counter_samples(spark, d), "24 hours"))
 
 
 @query("last_value")
@@ -508,7 +508,7 @@ def q_last_value(spark, d):
 
 @query("threshold_band")
 def q_threshold_band(spark, d):
-    inc = metrics.counter_increase(fx.counter_samples(spark, d), "24 hours", "1 hour")
+    inc = metrics.counter_increase(fx.counter_samples(spark, d), "24 hours")
     rate = metrics.counter_rate(fx.counter_samples(spark, d), 120)
     a = inc.select("metric", "window_start", (F.col("increase") / 100.0).alias("value"),
                    metrics.threshold_band(F.col("increase") / 100.0, metrics.FAILURE_STEPS).alias("band"))
