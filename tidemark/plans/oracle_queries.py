@@ -415,6 +415,31 @@ _HEARTBEAT = "CASE WHEN {v} >= 0.001 THEN 'green' WHEN {v} IS NOT NULL THEN 'red
 _FAILURES = "CASE WHEN {v} >= 3 THEN 'red' WHEN {v} >= 1 THEN 'yellow' WHEN {v} IS NOT NULL THEN 'green' END"
 
 
+#: Task i waits for task i - 1: reachability by a recursive walk, then the unfinished ones of the run.
+_LATE = """
+    WITH RECURSIVE name AS (SELECT * FROM (VALUES
+            (1, 'generate_synthetic_data'), (2, 'validate_data_files'), (3, 'summarize_data'), (4, 'dq_validate_raw'),
+            (5, 'load_to_bigquery'), (6, 'dbt_run'), (7, 'dbt_test'), (8, 'dq_validate_marts'), (9, 'ml_churn_score')) v(i, task)),
+    edge AS (SELECT a.task AS upstream, b.task FROM name a JOIN name b ON b.i = a.i + 1),
+    waits AS (SELECT upstream, task FROM edge UNION
+              SELECT w.upstream, e.task FROM waits w JOIN edge e ON e.upstream = w.task),
+    state AS (
+        SELECT 'orders_' || o_orderpriority AS dag_id, o_orderdate AS scheduled_at, name.task,
+               min(l_shipdate) FILTER (WHERE l_shipdate <= TIMESTAMP '2000-06-15') AS finished_at
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN name ON i = l_linenumber
+        WHERE o_orderdate <= TIMESTAMP '2000-06-15' AND o_orderpriority IS NOT NULL GROUP BY ALL),
+    late AS (
+        SELECT s.*, COALESCE((
+            SELECT list(b.task ORDER BY b.task) FROM state b
+            WHERE b.dag_id = s.dag_id AND b.scheduled_at = s.scheduled_at AND b.finished_at IS NULL
+              AND (b.task = s.task OR EXISTS (SELECT 1 FROM waits w WHERE w.upstream = b.task AND w.task = s.task))),
+            []) AS blocking
+        FROM state s
+        WHERE scheduled_at + INTERVAL 30 DAY < TIMESTAMP '2000-06-15'
+          AND (finished_at IS NULL OR finished_at > scheduled_at + INTERVAL 30 DAY))
+"""
+
+
 def _metrics_oracle() -> dict:
     ctes = {"counters": _COUNTERS, "gauges": _GAUGES}
     prefix = "CASE event_id % 10 " + " ".join(
@@ -474,6 +499,14 @@ def _metrics_oracle() -> dict:
             SELECT event_id AS run_id, event_type AS task, date_trunc('day', ts) AS scheduled_at, ts AS finished_at,
                    (epoch_us(ts) - epoch_us(date_trunc('day', ts))) / 1000000.0 AS duration_seconds
             FROM events WHERE ts > date_trunc('day', ts) + INTERVAL 2 HOUR""",
+        "sla_miss_blocking": "SELECT * FROM (" + _LATE + """
+            SELECT dag_id, scheduled_at, task, finished_at,
+                   (epoch_us(finished_at) - epoch_us(scheduled_at)) / 1000000.0 AS duration_seconds,
+                   array_to_string(blocking, ', ') AS blocking_tasks FROM late)""",
+        "sla_miss_report": "SELECT * FROM (" + _LATE + """
+            SELECT dag_id, scheduled_at, array_to_string(list_sort(list_distinct(list(task))), ', ') AS missed_tasks,
+                   array_to_string(list_sort(list_distinct(flatten(list(blocking)))), ', ') AS blocking_tasks
+            FROM late GROUP BY dag_id, scheduled_at)""",
     }
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import attribution, derive, marts, metrics, ml, quality, staging
+from ..operators import attribution, derive, marts, metrics, ml, quality, runs, staging
 from ..functions.memo import plan_memo
 from ..sources import fixtures as fx
 from ..session import ensure_checkpoint_dir
@@ -539,6 +539,23 @@ def q_sla_miss(spark, d):
     return metrics.sla_miss(fx.run_table(spark, d))
 
 
+def _late(spark, d):
+    attempts = fx.task_runs(spark, d)
+    return runs.sla_miss_blocking(attempts, runs.chain_edges(attempts), fx.RUNS_AS_OF, "30 days")
+
+
+@query("sla_miss_blocking")
+def q_sla_miss_blocking(spark, d):
+    """Late tasks at an instant, with the unfinished tasks that hold them back."""
+    return _late(spark, d).withColumn("blocking_tasks", F.concat_ws(", ", "blocking_tasks"))
+
+
+@query("sla_miss_report")
+def q_sla_miss_report(spark, d):
+    report = runs.sla_miss_report(_late(spark, d))
+    return report.withColumns({c: F.concat_ws(", ", c) for c in ("missed_tasks", "blocking_tasks")})
+
+
 # --- S: sources and sinks ----------------------------------------------------------------
 
 @query("scan_count")

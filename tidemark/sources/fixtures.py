@@ -182,3 +182,21 @@ def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("run_id"), F.col("event_type").alias("task"),
                     F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("scheduled_at"),
                     F.col("ts").alias("finished_at"))
+
+
+#: Instant of the late-task queries; orders and their lines run on after it.
+RUNS_AS_OF = "2000-06-15 00:00:00"
+
+
+@plan_memo
+def task_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of the daily tasks: a DAG per order priority, a run per order date, an attempt per order line.
+
+    The line number names the task (1 to 7), the ship date is the attempt's end."""
+    from ..operators.runs import DAILY_TASKS
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    names = F.array(*[F.lit(t) for t in DAILY_TASKS])
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("orders_"), F.col("o_orderpriority")).alias("dag_id"), F.col("o_orderdate").alias("scheduled_at"),
+        F.try_element_at(names, F.col("l_linenumber")).alias("task"), F.col("l_shipdate").alias("finished_at"))
