@@ -81,11 +81,11 @@ def test_report_averages(spark):
     assert r["weighted avg"].precision == (5 / 6 * 6 + 3 / 4 * 4) / 10
 
 
-def test_broken_runs_table_is_an_error(spark, tmpdir_path):
+def test_broken_run_record_is_an_error(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "runs")
-    os.makedirs(path)
-    with open(os.path.join(path, "part-0.parquet"), "w") as f:
-        f.write("not parquet")
+    os.makedirs(os.path.join(path, "_manifest"))
+    with open(os.path.join(path, "_manifest", "000000000001.json"), "w") as f:
+        f.write("not json")
     with pytest.raises(Exception):
         ml.latest_trained_at(spark, path)
 

@@ -99,10 +99,10 @@ def test_daily_and_training_pipelines(spark, tmpdir_path):
     assert spark.sql("SELECT count(*) AS n FROM marts.mart_customer_ltv").first().n == 120
     assert spark.sql("SELECT count(*) AS n FROM raw.events").first().n == 1500
     assert spark.sql("SELECT count(*) AS n FROM stg_orders").first().n > 0   # staging view (S5)
-    model_path, runs = os.path.join(tmpdir_path, "model"), os.path.join(tmpdir_path, "runs")
-    rec = daily.run_training(spark, wh, model_path, runs, n_trees=5)
+    model_path = os.path.join(tmpdir_path, "model")
+    rec = daily.run_training(spark, wh, model_path, "2024-W01", n_trees=5)
     assert rec["train_rows"] + rec["test_rows"] == 120
-    res2 = daily.run_daily(spark, raw_dir, wh, model_path=model_path, runs_path=runs)
+    res2 = daily.run_daily(spark, raw_dir, wh, model_path=model_path)
     p = res2.predictions.collect()
     assert len(p) == 120 and p[0].model_trained_at is not None
     assert res2.scoring.first().customers_scored == 120 and res2.inventory.count() == 4

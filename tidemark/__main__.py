@@ -1,7 +1,7 @@
 """Command line: run the daily pipeline or the training job.
 
-    python -m tidemark daily --raw-dir DIR --warehouse DIR [--model DIR --runs DIR]
-    python -m tidemark train --warehouse DIR --model DIR --runs DIR
+    python -m tidemark daily --raw-dir DIR --warehouse DIR [--model DIR]
+    python -m tidemark train --warehouse DIR --model DIR [--run-id NAME]
 
 The Spark master and all cluster settings come from ``spark-submit`` /
 the environment; ``spark.checkpoint.dir`` must name a shared folder on a
@@ -24,12 +24,11 @@ def main(argv=None) -> None:
     d.add_argument("--raw-dir", required=True)
     d.add_argument("--warehouse", required=True)
     d.add_argument("--model")
-    d.add_argument("--runs")
     d.add_argument("--strict-nulls", action="store_true")
     t = sub.add_parser("train", help="fit the churn model on the LTV mart")
     t.add_argument("--warehouse", required=True)
     t.add_argument("--model", required=True)
-    t.add_argument("--runs", required=True)
+    t.add_argument("--run-id", help="name of this training; a repeated one takes its own place on record")
     a = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -37,14 +36,14 @@ def main(argv=None) -> None:
     spark = get_session("tidemark-" + a.cmd)
     if a.cmd == "daily":
         res = daily.run_daily(spark, a.raw_dir, a.warehouse, strict_nulls=a.strict_nulls,
-                              model_path=a.model, runs_path=a.runs)
+                              model_path=a.model)
         for r in res.summary.collect():
             print(json.dumps({k: (str(v) if v is not None else None) for k, v in r.asDict().items()}))
         if res.scoring is not None:
             print(json.dumps({"scored": res.scoring.first().customers_scored}))
         print(res.profile())
     else:
-        rec = daily.run_training(spark, a.warehouse, a.model, a.runs)
+        rec = daily.run_training(spark, a.warehouse, a.model, run_id=a.run_id)
         print(json.dumps({k: v for k, v in rec.items() if k != "report"}, default=str))
         for row in rec["report"]:
             print(json.dumps(row))

@@ -17,6 +17,9 @@ labels, the latest training time).
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import exact_avg, round_half_even, str_category
 from ..schemas import ALL_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
+from ..sources import store
 
 # Fixed values of the reference model.
 N_TREES = 100
@@ -320,42 +324,64 @@ def evaluate(model: PipelineModel, test: DataFrame) -> tuple[DataFrame, DataFram
     return roc_auc(scored), classification_report(scored)
 
 
+RUNS_SCHEMA = ("run_id string, trained_at timestamp, train_rows long, test_rows long, auc double, "
+               "churn_rate double, features string")
+
+
+def _write_version(model: PipelineModel, path: str) -> str:
+    place = f"{path.rstrip('/')}/versions/{store.new_version()}"
+    model.write().save(place)
+    return place
+
+
 def save_model(model: PipelineModel, path: str) -> None:
-    """M9: encoders, imputer and trees persist together."""
-    model.write().overwrite().save(path)
+    """M9: encoders, imputer and trees persist together, as a version of their own.
+
+    The version becomes current by one rename once it is complete; until then,
+    and after a failure, the last one loads."""
+    place = _write_version(model, path)
+    store.commit(SparkSession.active(), path, lambda d: d | {"model": place})
 
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
-    """M9: a missing model is a clear error, not a stack trace from the reader."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    """M9: the current version; a missing model is a clear error, not a stack trace from the reader."""
+    place = store.state(spark, path).get("model")
+    if place is None:
         raise FileNotFoundError(f"No model found at {path}. Train the churn model first.")
-    return PipelineModel.load(path)
+    return PipelineModel.load(place)
 
 
-RUNS_SCHEMA = ("trained_at timestamp, train_rows long, test_rows long, auc double, "
-               "churn_rate double, features string")
+def _with_run(document: dict, record: dict, run_id: str) -> dict:
+    entry = {k: record[k] for k in ("train_rows", "test_rows", "auc", "churn_rate", "features")}
+    entry["trained_at"] = dt.datetime.now(dt.timezone.utc).isoformat()
+    return document | {"runs": document.get("runs", {}) | {run_id: entry}}
 
 
-def record_training_run(spark: SparkSession, record: dict, runs_path: str) -> DataFrame:
-    """Append the run record (with ``trained_at``) to the runs table."""
-    row = spark.createDataFrame([(int(record["train_rows"]), int(record["test_rows"]), record["auc"],
-                                  record["churn_rate"], record["features"])],
-                                "train_rows long, test_rows long, auc double, churn_rate double, features string")
-    row = row.select(F.current_timestamp().alias("trained_at"), "*")
-    row.write.mode("append").parquet(runs_path)
-    return row
+def publish_training(spark: SparkSession, model: PipelineModel, record: dict, path: str, run_id: str) -> None:
+    """M9 and S13 in one step: the model becomes current and its run is on record, or neither.
 
+    ``run_id`` names the training (a schedule date, say): one that is repeated
+    after a failure takes the place of its own record."""
+    place = _write_version(model, path)
+    store.commit(spark, path, lambda d: _with_run(d | {"model": place, "run_id": run_id}, record, run_id))
 
-def latest_trained_at(spark: SparkSession, runs_path: str | None):
-    """``max(trained_at)`` of the runs table; None when there is none."""
-    if not runs_path:
-        return None
-    path = spark._jvm.org.apache.hadoop.fs.Path(runs_path)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return None  # no run yet; anything else that goes wrong is an error
-    return spark.read.schema(RUNS_SCHEMA).parquet(runs_path).agg(F.max("trained_at").alias("t")).first()["t"]
+
+def record_training_run(spark: SparkSession, record: dict, path: str, run_id: str | None = None) -> None:
+    """Put the run (with ``trained_at``) on record; a ``run_id`` that is on record is replaced."""
+    run_id = run_id or uuid.uuid4().hex
+    store.commit(spark, path, lambda d: _with_run(d, record, run_id))
+
+
+def training_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The runs on record (one a week in the reference: a small table)."""
+    rows = [(k, dt.datetime.fromisoformat(r["trained_at"]), r["train_rows"], r["test_rows"], r["auc"], r["churn_rate"],
+             r["features"]) for k, r in store.state(spark, path).get("runs", {}).items()]
+    return spark.createDataFrame(rows, RUNS_SCHEMA)
+
+
+def latest_trained_at(spark: SparkSession, path: str | None):
+    """``max(trained_at)`` of the runs on record; None when there is none."""
+    return training_runs(spark, path).agg(F.max("trained_at").alias("t")).first()["t"] if path else None
 
 
 def score_customers(model: PipelineModel, scoring: DataFrame, model_trained_at=None,
@@ -369,8 +395,3 @@ def score_customers(model: PipelineModel, scoring: DataFrame, model_trained_at=N
         out = out.withColumn("scored_at", F.current_timestamp()).withColumn(
             "model_trained_at", F.lit(model_trained_at).cast("timestamp"))
     return out
-
-
-def write_predictions(predictions: DataFrame, path: str) -> None:
-    """Replace the predictions table."""
-    predictions.write.mode("overwrite").parquet(path)

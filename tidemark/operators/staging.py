@@ -10,64 +10,86 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clean_text
+
+def _clean(column: str) -> str:
+    """``clean_text`` in SQL."""
+    return f"lower(btrim({column}, ' \\t\\n\\r'))"
+
+
+#: The staging models: raw table, condition on its rows, columns as (SQL expression, name).  Read by the DataFrame
+#: functions and by the catalog views alike.
+MODELS: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
+    "stg_customers": ("customers", "customer_id IS NOT NULL", [
+        ("CAST(customer_id AS STRING)", "customer_id"),
+        (_clean("email"), "email"),
+        (_clean("name"), "name"),
+        (_clean("segment"), "segment"),
+        (_clean("region"), "region"),
+        ("CAST(age AS BIGINT)", "age"),
+        ("CAST(acquisition_cost AS DOUBLE)", "acquisition_cost"),
+        ("to_date(signup_date)", "signup_date"),
+    ]),
+    "stg_orders": ("orders", "order_id IS NOT NULL AND customer_id IS NOT NULL AND CAST(order_amount AS DOUBLE) > 0D "
+                             "AND NOT isnan(CAST(order_amount AS DOUBLE))", [
+        ("CAST(order_id AS STRING)", "order_id"),
+        ("CAST(customer_id AS STRING)", "customer_id"),
+        ("CAST(order_amount AS DOUBLE)", "order_amount"),
+        (_clean("status"), "status"),
+        (_clean("product_category"), "product_category"),
+        ("CAST(order_date AS TIMESTAMP_NTZ)", "ordered_at"),
+        ("to_date(order_date)", "order_date"),
+    ]),
+    "stg_events": ("events", "event_id IS NOT NULL AND customer_id IS NOT NULL", [
+        ("CAST(event_id AS STRING)", "event_id"),
+        ("CAST(customer_id AS STRING)", "customer_id"),
+        (_clean("event_type"), "event_type"),
+        (_clean("channel"), "channel"),
+        ("CAST(event_timestamp AS TIMESTAMP_NTZ)", "event_at"),
+        ("to_date(event_timestamp)", "event_date"),
+        ("CAST(session_duration_seconds AS BIGINT)", "session_duration_seconds"),
+        ("CAST(pages_viewed AS BIGINT)", "pages_viewed"),
+        ("CAST(clicked_ad AS BOOLEAN)", "clicked_ad"),
+        (_clean("campaign_id"), "campaign_id"),
+    ]),
+    "stg_churn_labels": ("churn_labels", "customer_id IS NOT NULL", [
+        ("CAST(customer_id AS STRING)", "customer_id"),
+        ("CAST(is_churned AS BOOLEAN)", "is_churned"),
+        ("CAST(churn_probability AS DOUBLE)", "churn_probability"),
+        ("to_date(last_activity_date)", "last_activity_date"),
+        ("CAST(days_since_last_order AS BIGINT)", "days_since_last_order"),
+    ]),
+}
+
+
+def _staged(raw: DataFrame, model: str) -> DataFrame:
+    _, condition, columns = MODELS[model]
+    return raw.where(condition).selectExpr(*[f"{e} AS {name}" for e, name in columns])
+
+
+def view_sql(model: str, layer: str = "raw") -> str:
+    """The model as a query over the catalog's raw table."""
+    table, condition, columns = MODELS[model]
+    return f"SELECT {', '.join(f'{e} AS {name}' for e, name in columns)} FROM `{layer}`.`{table}` WHERE {condition}"
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
     """P1."""
-    return raw.where(F.col("customer_id").isNotNull()).select(
-        F.col("customer_id").cast("string").alias("customer_id"),
-        clean_text("email").alias("email"),
-        clean_text("name").alias("name"),
-        clean_text("segment").alias("segment"),
-        clean_text("region").alias("region"),
-        F.col("age").cast("long").alias("age"),
-        F.col("acquisition_cost").cast("double").alias("acquisition_cost"),
-        F.to_date("signup_date").alias("signup_date"),
-    )
+    return _staged(raw, "stg_customers")
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:
     """Amount must be positive; a null or NaN amount is dropped too."""
-    amount = F.col("order_amount").cast("double")
-    return raw.where(
-        F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (amount > 0) & ~F.isnan(amount)
-    ).select(
-        F.col("order_id").cast("string").alias("order_id"),
-        F.col("customer_id").cast("string").alias("customer_id"),
-        amount.alias("order_amount"),
-        clean_text("status").alias("status"),
-        clean_text("product_category").alias("product_category"),
-        F.col("order_date").cast("timestamp_ntz").alias("ordered_at"),
-        F.to_date("order_date").alias("order_date"),
-    )
+    return _staged(raw, "stg_orders")
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
     """P3."""
-    return raw.where(F.col("event_id").isNotNull() & F.col("customer_id").isNotNull()).select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("customer_id").cast("string").alias("customer_id"),
-        clean_text("event_type").alias("event_type"),
-        clean_text("channel").alias("channel"),
-        F.col("event_timestamp").cast("timestamp_ntz").alias("event_at"),
-        F.to_date("event_timestamp").alias("event_date"),
-        F.col("session_duration_seconds").cast("long").alias("session_duration_seconds"),
-        F.col("pages_viewed").cast("long").alias("pages_viewed"),
-        F.col("clicked_ad").cast("boolean").alias("clicked_ad"),
-        clean_text("campaign_id").alias("campaign_id"),
-    )
+    return _staged(raw, "stg_events")
 
 
 def stg_churn_labels(raw: DataFrame) -> DataFrame:
     """P4."""
-    return raw.where(F.col("customer_id").isNotNull()).select(
-        F.col("customer_id").cast("string").alias("customer_id"),
-        F.col("is_churned").cast("boolean").alias("is_churned"),
-        F.col("churn_probability").cast("double").alias("churn_probability"),
-        F.to_date("last_activity_date").alias("last_activity_date"),
-        F.col("days_since_last_order").cast("long").alias("days_since_last_order"),
-    )
+    return _staged(raw, "stg_churn_labels")
 
 
 # --- shared predicates -------------------------------------------------------

@@ -15,6 +15,7 @@ model without being recomputed.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators import marts, ml, quality, staging
 from ..schemas import RAW_FILES
 from ..sources import raw as raw_io
+from ..sources import store
 
 
 @dataclass
@@ -47,7 +49,7 @@ class DailyResult:
 
 def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
               segments=quality.REFERENCE_SEGMENTS, allow_null=None, strict_nulls: bool = False,
-              model_path: str | None = None, runs_path: str | None = None) -> DailyResult:
+              model_path: str | None = None) -> DailyResult:
     raw_io.require_sources(spark, raw_dir)                                  # S3
     # Each CSV is parsed once into a landing table; all checks read that.
     landed = raw_io.land_raw(spark, raw_dir, warehouse)
@@ -65,17 +67,17 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
 
     loaded = raw_io.publish_raw(spark, landed, warehouse)                       # S2, after the gates
     staged = staging.stage_all(loaded)
-    raw_io.staging_views(spark, staged)                                     # S5
-
-    ltv = marts.mart_customer_ltv(staged["stg_customers"], staged["stg_orders"], staged["stg_churn_labels"])
-    raw_io.write_table(ltv, warehouse, "marts", "mart_customer_ltv")        # S6
-    ltv = raw_io.read_table(spark, warehouse, "marts", "mart_customer_ltv")
-    camp = marts.mart_campaign_performance(staged["stg_events"], staged["stg_orders"])
-    raw_io.write_table(camp, warehouse, "marts", "mart_campaign_performance")
-    churn = marts.mart_churn_summary(ltv)
-    raw_io.write_table(churn, warehouse, "marts", "mart_churn_summary")
-    built = {n: raw_io.read_table(spark, warehouse, "marts", n)
-             for n in ("mart_customer_ltv", "mart_campaign_performance", "mart_churn_summary")}
+    raw_io.staging_views(spark, staged, warehouse)                          # S5
+
+    # Each mart is written once and read back; all three become current together.
+    release = store.Release(spark, warehouse, "marts")
+    ltv = release.write(marts.mart_customer_ltv(staged["stg_customers"], staged["stg_orders"],
+                                                staged["stg_churn_labels"]), "mart_customer_ltv")
+    built = {"mart_customer_ltv": ltv,
+             "mart_campaign_performance": release.write(
+                 marts.mart_campaign_performance(staged["stg_events"], staged["stg_orders"]), "mart_campaign_performance"),
+             "mart_churn_summary": release.write(marts.mart_churn_summary(ltv), "mart_churn_summary")}
+    release.publish()
 
     models = dict(staged)
     models.update(built)
@@ -89,7 +91,7 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
     predictions = scoring = None
     if model_path:
         model = ml.load_model(spark, model_path)                            # M9
-        trained_at = ml.latest_trained_at(spark, runs_path)                 # S13
+        trained_at = ml.latest_trained_at(spark, model_path)                # S13
         predictions = ml.score_customers(model, ml.scan_scoring(built["mart_customer_ltv"]), trained_at)
         raw_io.write_table(predictions, warehouse, "marts", "ml_churn_predictions")  # S12
         predictions = raw_io.read_table(spark, warehouse, "marts", "ml_churn_predictions")
@@ -98,10 +100,10 @@ def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
                        scoring)
 
 
-def run_training(spark: SparkSession, warehouse: str, model_path: str, runs_path: str,
+def run_training(spark: SparkSession, warehouse: str, model_path: str, run_id: str | None = None,
                  n_trees: int = ml.N_TREES) -> dict:
+    """Train on the published LTV mart; the model and its record are published together under ``run_id``."""
     ltv = raw_io.read_table(spark, warehouse, "marts", "mart_customer_ltv")
     model, record = ml.train_churn(spark, ml.scan_features(ltv), n_trees=n_trees)
-    ml.save_model(model, model_path)
-    ml.record_training_run(spark, record, runs_path)
+    ml.publish_training(spark, model, record, model_path, run_id or uuid.uuid4().hex)
     return record

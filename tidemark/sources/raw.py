@@ -3,30 +3,26 @@ layered namespaces, table writes and file inventory.
 
 Writes go to a warehouse folder the caller names (on a cluster: a shared
 file system or object store); nothing is written to machine-local temp
-space.  Table rebuilds are whole-table overwrites, as in the reference.
+space.  Table rebuilds are whole new versions, published by ``sources.store``.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_FILES, RAW_SCHEMAS
+from ..operators.staging import view_sql
+from . import store
+from .store import new_version
 
 LAYERS = ("raw", "staging", "marts")
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def require_sources(spark: SparkSession, raw_dir: str, files=tuple(RAW_FILES)) -> None:
     """S3: check every expected file first; one error names all missing files."""
-    missing = [f for f in files if not _fs_exists(spark, f"{raw_dir.rstrip('/')}/{f}")]
+    missing = [f for f in files if not store.exists(spark, f"{raw_dir.rstrip('/')}/{f}")]
     if missing:
         raise FileNotFoundError(f"Missing file(s) in {raw_dir}: {', '.join(missing)}")
 
@@ -68,57 +64,35 @@ def table_path(warehouse: str, layer: str, table: str) -> str:
     return f"{warehouse.rstrip('/')}/{layer_namespace(layer)}/{table}"
 
 
-def new_version() -> str:
-    """Name of a version folder; later names sort behind earlier ones."""
-    return f"v{time.time_ns():020d}"
-
-
 def write_table(df: DataFrame, warehouse: str, layer: str, table: str, register: bool = True) -> str:
     """Whole-table rebuild (truncate + reload) as parquet; returns the new version's folder.
 
-    Every rebuild is a version folder of its own, so readers of the last one
-    are not disturbed and a failed write changes nothing; old versions are the
-    deployment's to clear.  With ``register`` the table is also published in
-    the session catalog as ``<layer>.<table>`` (S7), an external table over
-    the new version, so SQL users can query ``marts.mart_customer_ltv``.
+    Every rebuild is a version folder of its own, made current by one rename
+    of the layer's manifest, so readers of the last one are not disturbed and
+    a failed write changes nothing.  With ``register`` the catalog's
+    ``<layer>.<table>`` (S7) follows, so SQL users can query
+    ``marts.mart_customer_ltv``.  Tables that belong together are published
+    together with ``store.Release``.
     """
-    path = f"{table_path(warehouse, layer, table)}/{new_version()}"
-    df.write.mode("errorifexists").parquet(path)
-    if register:
-        register_table(df.sparkSession, warehouse, layer, table, path)
-    return path
-
-
-def register_table(spark: SparkSession, warehouse: str, layer: str, table: str, path: str) -> str:
-    """Publish written files as an external table; refuses to replace a managed one (its data would go)."""
-    ns = layer_namespace(layer)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{ns}` LOCATION '{warehouse.rstrip('/')}/{ns}'")
-    if spark.catalog.tableExists(f"`{ns}`.`{table}`"):
-        if spark.catalog.getTable(f"`{ns}`.`{table}`").tableType == "MANAGED":
-            raise ValueError(f"{ns}.{table} is a managed table; drop it first")
-        spark.sql(f"DROP TABLE `{ns}`.`{table}`")                # external: the files stay
-    spark.sql(f"CREATE TABLE `{ns}`.`{table}` USING parquet LOCATION '{path}'")
-    return f"{ns}.{table}"
+    release = store.Release(df.sparkSession, warehouse, layer_namespace(layer))
+    release.write(df, table)
+    release.publish(register)
+    return release.paths[table]
 
 
 def read_table(spark: SparkSession, warehouse: str, layer: str, table: str) -> DataFrame:
-    """The newest complete version of a table."""
-    path = table_path(warehouse, layer, table)
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted((s.getPath().getName() for s in fs.listStatus(p)), reverse=True) if fs.exists(p) else []
-    for name in names:
-        if _fs_exists(spark, f"{path}/{name}/_SUCCESS"):
-            return spark.read.parquet(f"{path}/{name}")
-    raise FileNotFoundError(f"No written version of {layer}.{table} in {path}")
+    """The published version of a table."""
+    path = store.state(spark, f"{warehouse.rstrip('/')}/{layer_namespace(layer)}").get("tables", {}).get(table)
+    if path is None:
+        raise FileNotFoundError(f"{layer}.{table} is not published in {warehouse}")
+    return spark.read.parquet(path)
 
 
 def load_raw(spark: SparkSession, raw_dir: str, warehouse: str) -> dict[str, DataFrame]:
-    """Load the four files into the raw layer; returns the reloaded tables."""
-    out = {}
-    for table, df in read_all_raw(spark, raw_dir).items():
-        write_table(df, warehouse, "raw", table)
-        out[table] = read_table(spark, warehouse, "raw", table)
+    """Load the four files into the raw layer, all published together; returns the reloaded tables."""
+    release = store.Release(spark, warehouse, "raw")
+    out = {table: release.write(df, table) for table, df in read_all_raw(spark, raw_dir).items()}
+    release.publish()
     return out
 
 
@@ -141,17 +115,21 @@ def land_raw(spark: SparkSession, raw_dir: str, warehouse: str, version: str | N
 
 
 def publish_raw(spark: SparkSession, landed: dict[str, str], warehouse: str) -> dict[str, DataFrame]:
-    """S2 after the gates: point the raw layer's tables at the landed version; no data is written again."""
-    for table, path in landed.items():
-        register_table(spark, warehouse, "raw", table, path)
-    return {table: spark.read.parquet(path) for table, path in landed.items()}
+    """S2 after the gates: point the raw layer's tables, together, at the landed version; no data is written again."""
+    release = store.Release(spark, warehouse, "raw")
+    out = {table: release.add(table, path) for table, path in landed.items()}
+    release.publish()
+    return out
 
 
-def staging_views(spark: SparkSession, staged: dict[str, DataFrame]) -> list[str]:
-    """Publish staging models as (lazy) views."""
+def staging_views(spark: SparkSession, staged: dict[str, DataFrame], warehouse: str | None = None) -> list[str]:
+    """Publish staging models as (lazy) views of the session; with ``warehouse`` also as catalog views
+    ``staging.<model>`` over the published raw tables, which outlive the session and follow every new load."""
     for name, df in staged.items():
         df.createOrReplaceTempView(name)
-    return list(staged)
+    if warehouse is None:
+        return list(staged)
+    return list(staged) + store.persist_views(spark, warehouse, "staging", {n: view_sql(n) for n in staged})
 
 
 def scan_count(df: DataFrame) -> DataFrame:
