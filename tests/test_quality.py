@@ -90,3 +90,44 @@ def test_merged_profile_equals_separate_operators(spark):
     sep = Q.table_summary(raw["customers"], raw["events"], raw["orders"], raw["churn_labels"])
     cols = sep.columns
     assert sorted(map(tuple, summary.select(*cols).collect()), key=str) == sorted(map(tuple, sep.collect()), key=str)
+
+
+def test_sieve_equals_counting_every_key(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    a = spark.range(1000).select((F.col("id") % 997).alias("x"), F.col("id").cast("string").alias("y"),
+                                 F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("z"))
+    b = spark.range(50).select(F.col("id").alias("x"), F.lit(None).cast("string").alias("y"))
+    keys = [("a", "x"), ("a", "y"), ("a", "z"), ("b", "x"), ("b", "y"), ("c", "x")]
+    tables = {"a": a, "b": b, "c": b.limit(0)}
+    want = {("a", "x"): (3, 6), ("a", "y"): (0, 0), ("a", "z"): (1, 666), ("b", "x"): (0, 0), ("b", "y"): (0, 0),
+            ("c", "x"): (0, 0)}
+    assert Q.repeated_keys(tables, keys) == want
+    assert Q.repeated_keys(tables, []) == {}
+    # Hashes that collide all the time: the values decide.
+    monkeypatch.setattr(Q.F, "xxhash64", lambda c: F.length(c.cast("string")).cast("long"))
+    assert Q.repeated_keys(tables, keys) == want
+
+
+def test_figures_observed_while_landing_equal_a_profile(spark, tmpdir_path):
+    import os
+    from test_sources import _make_csvs
+    from tidemark.sources import raw as raw_io
+    _make_csvs(tmpdir_path, 130, 1600)
+    for name in ("customers.csv", "orders.csv"):         # repeated rows, and a table without any
+        path = os.path.join(tmpdir_path, name)
+        lines = open(path).readlines()
+        with open(path, "w") as f:
+            f.writelines(lines + lines[1:3] if name == "customers.csv" else lines[:1])
+    suites = Q.raw_suites()
+    allow = {"events": ["campaign_id"]}
+    landed, seen = raw_io.land_observed(spark, tmpdir_path, os.path.join(tmpdir_path, "wh"),
+                                        lambda t, cols: Q.profile_aggregates(t, cols, suites[t], allow.get(t, ())))
+    tables = {t: spark.read.parquet(p) for t, p in landed.items()}
+    got = Q.profile_tables(tables, suites, allow, observed=seen)
+    want = Q.profile_tables(tables, suites, allow)
+    for g, w in zip(got[:3], want[:3]):
+        assert sorted(map(str, g.collect())) == sorted(map(str, w.collect()))
+    assert got[3] == want[3] == []
+    by = {(r.suite, r.check): r for r in got[0].where("column is null or column in ('customer_id', 'order_id')").collect()}
+    assert by["customers", Q.UNIQUE].unexpected_count == 4
+    assert by["orders", Q.ROW_COUNT].element_count == 0 and not by["orders", Q.ROW_COUNT].success

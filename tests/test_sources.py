@@ -175,3 +175,12 @@ def test_a_rebuild_leaves_the_last_version_alone(spark, tmpdir_path):
     with pytest.raises(Exception):
         raw_io.write_table(before.selectExpr("raise_error('no') as id"), tmpdir_path, "marts", "t", register=False)
     assert before.count() == 3 and raw_io.read_table(spark, tmpdir_path, "marts", "t").count() == 2
+
+
+def test_quoted_line_breaks_on_request(spark, tmpdir_path):
+    _customers_csv(tmpdir_path, ["customer_id,email,name,age,region,segment,acquisition_cost,signup_date",
+                                 '1,a@x.org,"Ann', 'Bo",30,US,smb,1.5,2024-01-02', "2,b@x.org,Cy,31,EU,smb,2.5,2024-01-03"])
+    r = {x.customer_id: x.name for x in raw_io.read_raw(spark, tmpdir_path, "customers", multi_line=True).collect()}
+    assert r == {1: "Ann\nBo", 2: "Cy"}
+    with pytest.raises(Exception):
+        raw_io.read_raw(spark, tmpdir_path, "customers").collect()

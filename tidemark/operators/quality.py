@@ -3,9 +3,12 @@
 A suite runs as distributed aggregates, never by pulling rows to the driver:
 
 * every row-count / not-null / in-set / between check of one table is one
-  column of a single ``agg`` (one scan of the table);
-* each uniqueness check is one ``groupBy(col).count()`` job (partial
-  aggregation collapses repeated values before the shuffle);
+  column of a single ``agg`` (one scan of the table); while a table is landed
+  these aggregates ride on the write itself (``profile_aggregates`` as an
+  ``Observation``), with no scan of their own;
+* all uniqueness checks of all tables share one sieve (``repeated_keys``): a
+  64-bit hash per value is counted, in one scan a table and one shuffle, and
+  only values whose hash comes twice are counted exactly;
 * report rows are produced lazily with ``inline`` over the aggregate row.
 
 Only the gates collect, and what they collect is the report: one row per
@@ -20,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 REPORT_SCHEMA = T.StructType([
     T.StructField("suite", T.StringType()),
     T.StructField("check", T.StringType()),
@@ -91,26 +96,57 @@ def _report_struct(suite: str, chk: Check, success: Column, element: Column,
     )
 
 
-def _scan_checks(df: DataFrame, suite: str, checks: list[Check]) -> DataFrame | None:
-    """All non-unique checks of one table in one aggregate."""
-    aggs, specs = [F.count(F.lit(1)).alias("_n")], []
+def repeated_keys(tables: dict[str, DataFrame], keys: list[tuple[str, str]]) -> dict[tuple[str, str], tuple[int, int]]:
+    """How many non-null values of each (table, column) occur more than once, and on how many rows.
+
+    A sieve first: every table is read once for all of its keys, each value
+    becomes a 64-bit hash, and the hashes of all tables are counted together
+    (equal ones combine before the shuffle, so a value on a third of all rows
+    costs a row per task).  Unique keys end there: values are never shuffled.
+    Where hashes come twice, the rows that hold them are met with those hashes
+    and their values counted, so a collision of hashes is no duplicate.
+    """
+    if not keys:
+        return {}
+    number = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+    hashed = None
+    for table in dict.fromkeys(t for t, _ in number):
+        own = [(i, c) for (t, c), i in number.items() if t == table]
+        marks = F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("k"), F.xxhash64(F.col(c)).alias("h")))
+                          for i, c in own])
+        part = tables[table].select(F.explode(marks).alias("m")).where("m is not null").select("m.k", "m.h")
+        hashed = part if hashed is None else hashed.unionByName(part)
+    ensure_checkpoint_dir(hashed.sparkSession)
+    again = (hashed.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k", "h").checkpoint())
+    suspects = {r["k"] for r in again.select("k").distinct().collect()}        # a number per key at most
+    out = {k: (0, 0) for k in number}
+    for (table, column), i in number.items():
+        if i in suspects:
+            c = F.col(column)
+            rows = tables[table].where(c.isNotNull()).select(c.alias("v"), F.xxhash64(c).alias("h"))
+            counts = (rows.join(again.where(F.col("k") == i).select("h"), "h", "left_semi")
+                      .groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+            found = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+            out[table, column] = (found["v"], found["n"])
+    return out
+
+
+def _unique_keys(suites: dict[str, list[Check]]) -> list[tuple[str, str]]:
+    return [(t, c.column) for t, checks in suites.items() for c in checks if c.check == UNIQUE]
+
+
+def _scan_checks(df: DataFrame, suite: str, checks: list[Check], repeated: dict[str, int]) -> DataFrame:
+    """All checks of one table in one aggregate; ``repeated``: rows of repeated values by column."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
     for i, chk in enumerate(checks):
-        if chk.check == ROW_COUNT:
-            specs.append((i, chk))
-            continue
-        c = F.col(chk.column)
-        aggs.append(F.count_if(c.isNull()).alias(f"_m{i}"))
-        if chk.check == IN_SET:
-            aggs.append(F.count_if(c.isNotNull() & ~c.isin(*chk.value_set)).alias(f"_u{i}"))
-        elif chk.check == BETWEEN:
-            aggs.append(F.count_if(c.isNotNull() & _outside(c, chk.min_value, chk.max_value)).alias(f"_u{i}"))
-        specs.append((i, chk))
-    if not specs:
-        return None
+        if chk.check != ROW_COUNT:
+            c = F.col(chk.column)
+            aggs.append(F.count_if(c.isNull()).alias(f"_m{i}"))
+            aggs += _unexpected(chk, f"_u{i}")
     row = df.agg(*aggs)
     n = F.col("_n")
     structs = []
-    for i, chk in specs:
+    for i, chk in enumerate(checks):
         if chk.check == ROW_COUNT:
             ok = F.lit(True)
             if chk.min_value is not None:
@@ -118,43 +154,32 @@ def _scan_checks(df: DataFrame, suite: str, checks: list[Check]) -> DataFrame |
             if chk.max_value is not None:
                 ok = ok & (n <= F.lit(chk.max_value))
             structs.append(_report_struct(suite, chk, ok, n, None, None))
-        elif chk.check == NOT_NULL:
-            m = F.col(f"_m{i}")
-            structs.append(_report_struct(suite, chk, m == 0, n, m, m))
-        else:
-            m, u = F.col(f"_m{i}"), F.col(f"_u{i}")
-            structs.append(_report_struct(suite, chk, u == 0, n, m, u))
+            continue
+        m = F.col(f"_m{i}")
+        u = m if chk.check == NOT_NULL else F.lit(repeated[chk.column]) if chk.check == UNIQUE else F.col(f"_u{i}")
+        structs.append(_report_struct(suite, chk, u == 0, n, m, u))
     return row.select(F.inline(F.array(*structs)))
 
 
-def _unique_check(df: DataFrame, suite: str, chk: Check) -> DataFrame:
+def _unexpected(chk: Check, name: str) -> list[Column]:
+    """The aggregate that counts a check's unexpected values, for the checks that need one."""
+    if chk.check not in (IN_SET, BETWEEN):
+        return []
     c = F.col(chk.column)
-    counts = df.groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    row = counts.agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_m"),
-        F.coalesce(F.sum(F.when(F.col("_v").isNotNull() & (F.col("_c") > 1), F.col("_c"))), F.lit(0)).alias("_u"))
-    u = F.col("_u")
-    return row.select(F.inline(F.array(_report_struct(suite, chk, u == 0, F.col("_n"), F.col("_m"), u))))
+    wrong = ~c.isin(*chk.value_set) if chk.check == IN_SET else _outside(c, chk.min_value, chk.max_value)
+    return [F.count_if(c.isNotNull() & wrong).alias(name)]
 
 
 def run_suite(df: DataFrame, suite: str, checks: list[Check]) -> DataFrame:
     """Q6: report rows (suite, check, column, success, element/missing/unexpected counts)."""
-    parts = []
-    scan = _scan_checks(df, suite, [c for c in checks if c.check != UNIQUE])
-    if scan is not None:
-        parts.append(scan)
-    parts += [_unique_check(df, suite, c) for c in checks if c.check == UNIQUE]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return run_suites({suite: df}, {suite: checks})
 
 
 def run_suites(tables: dict[str, DataFrame], suites: dict[str, list[Check]]) -> DataFrame:
+    repeated = repeated_keys(tables, _unique_keys(suites))
     out = None
     for name, checks in suites.items():
-        r = run_suite(tables[name], name, checks)
+        r = _scan_checks(tables[name], name, checks, {c: n for (t, c), (_, n) in repeated.items() if t == name})
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -269,11 +294,14 @@ def schema_test_not_null(df: DataFrame, model: str, column: str) -> DataFrame:
 
 def schema_test_unique(df: DataFrame, model: str, column: str) -> DataFrame:
     """Q11: failures = non-null values that occur more than once."""
-    c = F.col(column)
-    dup = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit("unique").alias("test"), F.lit(column).alias("column"),
-        F.col("failures").cast("long").alias("failures"))
+    return _unique_tests({model: df}, [(model, column)])
+
+
+def _unique_tests(models: dict[str, DataFrame], keys: list[tuple[str, str]]) -> DataFrame:
+    """Q11 for all keys at once: one sieve over all models."""
+    spark = next(iter(models.values())).sparkSession
+    rows = [(t, "unique", c, values) for (t, c), (values, _) in repeated_keys(models, keys).items()]
+    return spark.createDataFrame(rows, "model string, test string, column string, failures long")
 
 
 def schema_test_accepted_values(df: DataFrame, model: str, column: str, values) -> DataFrame:
@@ -309,15 +337,16 @@ def schema_tests(segments=REFERENCE_SEGMENTS) -> list[tuple]:
 
 
 def run_schema_tests(models: dict[str, DataFrame], tests: list[tuple]) -> DataFrame:
-    """All schema tests; the not-null tests of one model share one aggregate."""
+    """All schema tests; the not-null tests of one model share one aggregate, the unique tests of all one sieve."""
     parts = []
     by_model: dict[str, list[str]] = {}
+    keys = [(model, col) for model, test, col, _ in tests if test == "unique"]
+    if keys:
+        parts.append(_unique_tests(models, keys))
     for model, test, col, values in tests:
         if test == "not_null":
             by_model.setdefault(model, []).append(col)
-        elif test == "unique":
-            parts.append(schema_test_unique(models[model], model, col))
-        else:
+        elif test != "unique":
             parts.append(schema_test_accepted_values(models[model], model, col, values))
     for model, cols in by_model.items():
         row = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, c in enumerate(cols)])
@@ -411,52 +440,59 @@ def table_summary(customers: DataFrame, events: DataFrame, orders: DataFrame,
 # --- merged raw-table gates: one scan per table ----------------------
 
 def profile_gates(tables: dict[str, DataFrame], suites: dict[str, list[Check]],
-                  allow_null: dict[str, list[str]] | None = None, strict_nulls: bool = False):
+                  allow_null: dict[str, list[str]] | None = None, strict_nulls: bool = False,
+                  observed: dict[str, dict] | None = None):
     """Null gate, then expectation gate, from ``profile_tables``.
 
     Raises ``NullGateError`` first (as the reference's file check does), then
     ``QualityGateError`` listing every failed expectation.  Returns
     ``(report, census, summary)``.
     """
-    report, census, summary, null_errors = profile_tables(tables, suites, allow_null, strict_nulls)
+    report, census, summary, null_errors = profile_tables(tables, suites, allow_null, strict_nulls, observed)
     if null_errors:
         raise NullGateError("; ".join(null_errors))
     quality_gate(report)
     return report, census, summary
 
 
+def profile_aggregates(table: str, columns: list[str], checks: list[Check], allowed=()) -> list[Column]:
+    """All figures of a table that one pass can give: rows, nulls, non-unique checks and summary.
+
+    Plain aggregates, so they can be an ``agg`` of their own or be observed on
+    a write of the table."""
+    any_null = F.lit(False)
+    for c in columns:
+        if c not in allowed:
+            any_null = any_null | F.col(c).isNull()
+    aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(any_null).alias("_rows_null")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)]
+    for j, chk in enumerate(checks):
+        aggs += _unexpected(chk, f"_u{j}")
+    return aggs + _summary_aggs().get(table, [])
+
+
 def profile_tables(tables: dict[str, DataFrame], suites: dict[str, list[Check]],
-                   allow_null: dict[str, list[str]] | None = None, strict_nulls: bool = False):
-    """Null census, summary figures and all non-unique expectations of each
-    table from ONE aggregate per table (plus one ``groupBy`` per uniqueness
-    check).  Only the aggregate row and the report rows reach the driver.
+                   allow_null: dict[str, list[str]] | None = None, strict_nulls: bool = False,
+                   observed: dict[str, dict] | None = None):
+    """Null census, summary figures and all expectations of each table.
+
+    The figures of ``profile_aggregates`` come from one aggregate per table,
+    or are given: ``observed``, by table, as seen while the tables were
+    written (with the same ``allow_null``).  The uniqueness checks of all
+    tables share one sieve.  Only aggregate rows reach the driver.
     Returns ``(report, census, summary, null_errors)``.
     """
     spark = next(iter(tables.values())).sparkSession
     allow_null = {} if strict_nulls else (allow_null or {})
     report_rows, census_rows, summary_rows, null_errors = [], [], [], []
-    extra = _summary_aggs()
+    repeated = repeated_keys(tables, _unique_keys(suites))
     for name, df in tables.items():
-        cols = df.columns
-        allowed = set(allow_null.get(name, []))
-        checked = [c for c in cols if c not in allowed]
-        any_null = F.lit(False)
-        for c in checked:
-            any_null = any_null | F.col(c).isNull()
-        aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(any_null).alias("_rows_null")]
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)]
-        checks = suites.get(name, [])
-        for j, chk in enumerate(checks):
-            c = F.col(chk.column) if chk.column else None
-            if chk.check == IN_SET:
-                aggs.append(F.count_if(c.isNotNull() & ~c.isin(*chk.value_set)).alias(f"_u{j}"))
-            elif chk.check == BETWEEN:
-                aggs.append(F.count_if(c.isNotNull() & _outside(c, chk.min_value, chk.max_value)).alias(f"_u{j}"))
-        aggs += [a for a in extra.get(name, [])]
-        row = df.agg(*aggs).first()          # one row per table
+        cols, checks, allowed = df.columns, suites.get(name, []), set(allow_null.get(name, []))
+        row = (observed[name] if observed is not None
+               else df.agg(*profile_aggregates(name, cols, checks, allowed)).first().asDict())    # one row per table
         n = row["_n"]
         nulls = {c: row[f"_null_{i}"] for i, c in enumerate(cols)}
-        total = sum(nulls[c] for c in checked)
+        total = sum(nulls[c] for c in cols if c not in allowed)
         for c in cols:
             census_rows.append((name, total, row["_rows_null"], c, nulls[c]))
         if total:
@@ -465,17 +501,11 @@ def profile_tables(tables: dict[str, DataFrame], suites: dict[str, list[Check]],
             if chk.check == ROW_COUNT:
                 ok = (chk.min_value is None or n >= chk.min_value) and (chk.max_value is None or n <= chk.max_value)
                 report_rows.append((name, chk.check, None, bool(ok), n, None, None))
-            elif chk.check == NOT_NULL:
-                m = nulls[chk.column]
-                report_rows.append((name, chk.check, chk.column, m == 0, n, m, m))
-            elif chk.check in (IN_SET, BETWEEN):
-                u = row[f"_u{j}"]
-                report_rows.append((name, chk.check, chk.column, u == 0, n, nulls[chk.column], u))
-        summary_rows.append({k: row[k] for k in row.asDict() if not k.startswith("_")} | {"table_name": name,
-                                                                                         "row_count": n})
-    uniques = [_unique_check(tables[t], t, c) for t, cs in suites.items() for c in cs if c.check == UNIQUE]
-    for u in uniques:
-        report_rows += [tuple(r) for r in u.collect()]   # one row each
+                continue
+            m = nulls[chk.column]
+            u = m if chk.check == NOT_NULL else repeated[name, chk.column][1] if chk.check == UNIQUE else row[f"_u{j}"]
+            report_rows.append((name, chk.check, chk.column, u == 0, n, m, u))
+        summary_rows.append({k: v for k, v in row.items() if not k.startswith("_")} | {"table_name": name, "row_count": n})
     report = spark.createDataFrame(report_rows, REPORT_SCHEMA)
     census = spark.createDataFrame(census_rows, "table_name string, table_null_count long, rows_with_null long, "
                                                 "column_name string, null_count long")

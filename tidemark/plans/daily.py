@@ -1,9 +1,9 @@
 """The daily pipeline and the weekly training job as plain function
 composition (no scheduler: run the functions in order).
 
-Daily: files present -> land (one CSV parse) -> null gate, summary and raw
-checks (one aggregate per table) -> publish raw -> staging views -> marts ->
-schema tests -> mart checks -> score.
+Daily: files present -> land (one CSV parse, which also gives the null gate,
+the summary and the raw checks but for uniqueness) -> publish raw -> staging
+views -> marts -> schema tests -> mart checks -> score.
 Training: LTV mart -> encoders, split, weights, trees -> AUC + report ->
 model + run record.
 
@@ -49,17 +49,19 @@ class DailyResult:
 
 def run_daily(spark: SparkSession, raw_dir: str, warehouse: str, *,
               segments=quality.REFERENCE_SEGMENTS, allow_null=None, strict_nulls: bool = False,
-              model_path: str | None = None) -> DailyResult:
+              model_path: str | None = None, multi_line: bool = False) -> DailyResult:
     raw_io.require_sources(spark, raw_dir)                                  # S3
-    # Each CSV is parsed once into a landing table; all checks read that.
-    landed = raw_io.land_raw(spark, raw_dir, warehouse)
+    # Each CSV is parsed once into a landing table. The null gate, the summary and every non-unique expectation
+    # (SURVEY §4.3) are observed on that write; the tables are read again for uniqueness only. D1: unclicked events
+    # carry no campaign, so the strict null gate would always stop here.
+    suites = quality.raw_suites(segments)
+    allowed = {} if strict_nulls else allow_null or {"events": ["campaign_id"]}
+    landed, observed = raw_io.land_observed(
+        spark, raw_dir, warehouse, lambda t, columns: quality.profile_aggregates(t, columns, suites[t], allowed.get(t, ())),
+        multi_line=multi_line)
     raw = {t: spark.read.parquet(path) for t, path in landed.items()}
     inventory = raw_io.file_inventory(spark, {t: f"{raw_dir.rstrip('/')}/{f}" for f, t in RAW_FILES.items()})  # S4
-    # One aggregate per raw table gives the null gate, the summary and every
-    # non-unique expectation; D1: unclicked events carry no
-    # campaign, so the strict null gate would always stop here.
-    raw_report, _census, summary = quality.profile_gates(
-        raw, quality.raw_suites(segments), allow_null or {"events": ["campaign_id"]}, strict_nulls)
+    raw_report, _census, summary = quality.profile_gates(raw, suites, allowed, strict_nulls, observed)
     counts = (quality.value_counts(raw["customers"], "customers", ["segment", "region"])
               .unionByName(quality.value_counts(raw["events"], "events", ["event_type"]))
               .unionByName(quality.value_counts(raw["orders"], "orders", ["status"]))

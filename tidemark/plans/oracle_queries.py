@@ -518,7 +518,7 @@ ORACLE.update({
         SELECT 'mart_customer_ltv' AS table_name, count(*) AS row_count FROM mart_customer_ltv
         UNION ALL SELECT 'mart_campaign_performance', count(*) FROM mart_campaign_performance
         UNION ALL SELECT 'mart_churn_summary', count(*) FROM mart_churn_summary""",
-    "scan_sample": "SELECT least(count(*), 100) AS row_count FROM mart_customer_ltv",
+    "scan_sample": "SELECT least(count(*), 100000) AS row_count FROM mart_customer_ltv",
     "limit": "SELECT least(count(*), 100000) AS row_count FROM mart_campaign_performance",
     "file_inventory": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, CAST(count(*) AS INTEGER) AS column_count "

@@ -570,7 +570,7 @@ def q_scan_count(spark, d):
 @query("scan_sample")
 def q_scan_sample(spark, d):
     """An unordered LIMIT: which rows come is open, how many is not."""
-    return raw_io.scan_count(raw_io.scan_sample(ltv(spark, d).select("customer_id"), 100))
+    return raw_io.scan_count(raw_io.scan_sample(ltv(spark, d).select("customer_id"), 100_000))
 
 
 @query("limit")

@@ -8,7 +8,9 @@ space.  Table rebuilds are whole new versions, published by ``sources.store``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +29,20 @@ def require_sources(spark: SparkSession, raw_dir: str, files=tuple(RAW_FILES)) -
         raise FileNotFoundError(f"Missing file(s) in {raw_dir}: {', '.join(missing)}")
 
 
-def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
+def read_raw(spark: SparkSession, raw_dir: str, table: str, multi_line: bool = False) -> DataFrame:
     """Header CSV, columns taken by header name, with the declared types.
 
     The files may list the columns in any order; further columns are left
     out, a missing one raises.  Files whose headers differ from the first
     one's, and malformed rows, fail the read.  Quoted text may hold commas and
-    doubled quotes; a value does not span lines (the files stay splittable).
+    doubled quotes.  With ``multi_line`` it may hold line breaks too; a file
+    is then one task, since no split can tell where a row begins, so large
+    inputs should come in many files.  Without it a value that spans lines
+    fails the read.
     """
     file = {v: k for k, v in RAW_FILES.items()}[table]
     path = f"{raw_dir.rstrip('/')}/{file}"
-    options = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+    options = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": multi_line}
     header = spark.read.options(**options).csv(path).columns
     declared = {f.name: f for f in RAW_SCHEMAS[table].fields}
     missing = [c for c in declared if c not in header]
@@ -50,9 +55,9 @@ def read_raw(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
             .csv(path).select(*declared))
 
 
-def read_all_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+def read_all_raw(spark: SparkSession, raw_dir: str, multi_line: bool = False) -> dict[str, DataFrame]:
     require_sources(spark, raw_dir)
-    return {t: read_raw(spark, raw_dir, t) for t in RAW_FILES.values()}
+    return {t: read_raw(spark, raw_dir, t, multi_line) for t in RAW_FILES.values()}
 
 
 def layer_namespace(layer: str | None, default: str = "default") -> str:
@@ -106,12 +111,30 @@ def land_raw(spark: SparkSession, raw_dir: str, warehouse: str, version: str | N
     parsing the text again, and the written files cut the lineage.  Earlier
     versions, the published one among them, stay as they are.
     """
+    return land_observed(spark, raw_dir, warehouse, lambda table, columns: [], version)[0]
+
+
+def land_observed(spark: SparkSession, raw_dir: str, warehouse: str,
+                  aggregates: Callable[[str, list[str]], list[Column]],
+                  version: str | None = None, multi_line: bool = False) -> tuple[dict[str, str], dict[str, dict]]:
+    """``land_raw`` that also returns, by table, the values of ``aggregates(table, columns)``.
+
+    They are observed on the rows as they are written, without a scan of
+    their own; the write is one stage, whose tasks count once however often
+    they are tried.
+    """
     version = version or new_version()
-    out = {}
-    for table, df in read_all_raw(spark, raw_dir).items():
-        out[table] = f"{table_path(warehouse, LANDING, table)}/{version}"
-        df.write.mode("errorifexists").parquet(out[table])
-    return out
+    landed, observed = {}, {}
+    for table, df in read_all_raw(spark, raw_dir, multi_line).items():
+        landed[table] = f"{table_path(warehouse, LANDING, table)}/{version}"
+        wanted = aggregates(table, df.columns)
+        seen = Observation()
+        if wanted:
+            df = df.observe(seen, *wanted)
+        df.write.mode("errorifexists").parquet(landed[table])
+        if wanted:
+            observed[table] = seen.get
+    return landed, observed
 
 
 def publish_raw(spark: SparkSession, landed: dict[str, str], warehouse: str) -> dict[str, DataFrame]:
