@@ -58,8 +58,9 @@ def test_clusters_blocks_and_pruning(spark, monkeypatch):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(8, 12)) * 3
     rows = [(i, int(rng.integers(4)), (centres[i % 8] + rng.normal(size=12) * 0.2).tolist()) for i in range(900)]
-    rows += [(i, 1, rows[3][2]) for i in range(900, 1200)]          # a vector with a quarter of all rows
+    rows += [(i, i % 9 // 8, rows[3][2]) for i in range(900, 1200)]      # a vector with a quarter of all rows
     monkeypatch.setattr(H, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(H, "LEAST_ROWS", 1)
     monkeypatch.setattr(H, "BLOCK_ANCHORS", 3)
     monkeypatch.setattr(H, "WINDOW_ROWS", 8)
     monkeypatch.setattr(H, "BROADCAST_CELLS", 2)

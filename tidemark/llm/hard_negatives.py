@@ -19,6 +19,10 @@ Three joins by cell:
 2. positives in the other cells whose interval reaches that bound;
 3. negatives in the cells that overlap the score window of a positive.
 
+Of equal vectors of a label only those of smallest id can be among the first
+few of any anchor; the others are left out of the joins (not as anchors), which
+changes no result.
+
 Cells (of one label in 1 and 2) and their visiting anchors are cut into blocks
 of bounded size and every pair of blocks is a group of its own, so a hot label,
 cell or vector spreads over tasks.  A group returns the few best of each
@@ -47,8 +51,10 @@ from .common import checkpointed, shipped
 REFERENCES = 16
 #: Vectors at most, and numbers at most but for sixteen vectors, from which references are chosen.
 SAMPLE_ROWS, SAMPLE_NUMBERS = 2048, 1 << 23
-#: Rows, numbers and anchors of a block; rows of a window.
+#: Rows, numbers and anchors of a block at most; rows of a window.
 BLOCK_ROWS, BLOCK_NUMBERS, BLOCK_ANCHORS, WINDOW_ROWS = 8192, 1 << 22, 2048, 64
+#: Rows of a block at least, where a table is small for the shuffle's partitions and blocks are cut finer.
+LEAST_ROWS = 256
 #: Anchors scored together.
 CHUNK = 64
 #: Norms below this keep every inner product within a long.
@@ -323,9 +329,9 @@ def _visiting(anchors: DataFrame, cells: Callable[[], dict], wanted: Callable) -
     return anchors.mapInArrow(run, schema)
 
 
-def _meet(anchors: DataFrame, rows: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
+def _meet(anchors: DataFrame, rows: DataFrame, keys: list[str], block_rows: int, fn: Callable, schema: str) -> DataFrame:
     """``fn(rows, anchors)`` for every pair of a block of rows and a block of anchors of equal keys."""
-    most_rows = F.greatest(F.lit(64), F.least(F.lit(BLOCK_ROWS), F.lit(BLOCK_NUMBERS) / F.greatest(F.col("size"), F.lit(1))))
+    most_rows = F.greatest(F.lit(64), F.least(F.lit(block_rows), F.lit(BLOCK_NUMBERS) / F.greatest(F.col("size"), F.lit(1))))
     blocks = checkpointed(
         rows.groupBy(*keys).agg(F.count("*").alias("n"))
         .join(anchors.groupBy(*keys).agg(F.count("*").alias("m")), keys)
@@ -401,7 +407,14 @@ def hard_negatives(vectors: DataFrame, anchor: Column, n_positives: int = 5, n_n
                           .withColumn("rid", F.monotonically_increasing_id()))
     cells = shipped(spark, _cells(placed))
     anchors = placed.where("anchor").drop("anchor")
-    rows = placed.drop("anchor").withColumn("at", F.col("cell"))
+    # Of equal vectors, as many as any anchor can be given: one more for the anchor itself. Spark applies the limit
+    # before the shuffle too, so a vector with very many copies moves a few rows per task.
+    copy = Window.partitionBy("label", "size", "v").orderBy("id", "rid")
+    rows = checkpointed(placed.drop("anchor").withColumn("copy", F.row_number().over(copy))
+                        .where(F.col("copy") <= max(n_positives + 1, n_negatives)).drop("copy"))
+    rows = rows.withColumn("at", F.col("cell"))
+    share = -(-rows.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    block_rows = min(BLOCK_ROWS, max(LEAST_ROWS, share))
     of_label = ["label", "size", "at"]
     ranked = Window.partitionBy("rid").orderBy(F.desc("score"), "pid")
     picked = f"rid long, pid {id_kind}, score long"
@@ -410,14 +423,14 @@ def hard_negatives(vectors: DataFrame, anchor: Column, n_positives: int = 5, n_n
         return best_positives(r, a, n_positives)
 
     home = checkpointed(_meet(anchors.withColumns({"tau": F.lit(NOTHING), "at": F.col("cell")}), rows, of_label,
-                              positives, picked).withColumn("place", F.row_number().over(ranked))
+                              block_rows, positives, picked).withColumn("place", F.row_number().over(ranked))
                         .where(F.col("place") <= n_positives).drop("place"))
     bound = (home.groupBy("rid").agg(F.min("score").alias("tau"), F.count("*").alias("n"))
              .where(F.col("n") == n_positives).select(F.col("rid").alias("b"), "tau"))
     known = anchors.join(bound, F.col("rid") == F.col("b"), "left").drop("b")
     away = _visiting(known.withColumn("tau", F.coalesce("tau", F.lit(NOTHING))), cells,
                      lambda row, number, least, most: (number != row["cell"]) & (most >= row["tau"]))
-    found = home.unionByName(_meet(checkpointed(away), rows, of_label, positives, picked))
+    found = home.unionByName(_meet(checkpointed(away), rows, of_label, block_rows, positives, picked))
     found = checkpointed(found.withColumn("place", F.row_number().over(ranked) - 1)
                          .where(F.col("place") < n_positives))
 
@@ -431,7 +444,8 @@ def hard_negatives(vectors: DataFrame, anchor: Column, n_positives: int = 5, n_n
     meeting = checkpointed(_visiting(mine, cells, lambda row, number, least, most: windows_met(
         least, most, row["positives"], low, high)))
     best = Window.partitionBy("rid", "place").orderBy(F.desc("score"), "nid")
-    taken = (_meet(meeting, rows, ["size", "at"], negatives, f"rid long, place int, nid {id_kind}, score long")
+    taken = (_meet(meeting, rows, ["size", "at"], block_rows, negatives,
+                   f"rid long, place int, nid {id_kind}, score long")
              .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n_negatives))
     names = found.join(anchors.select(F.col("rid").alias("a"), F.col("id").alias("anchor_id")), F.col("rid") == F.col("a"))
     names = names.select(F.col("rid").alias("a"), "anchor_id", F.col("place").alias("p"), F.col("pid").alias("positive_id"),
