@@ -534,6 +534,17 @@ ORACLE.update({
                         "pages_viewed", "clicked_ad")),
             ("churn_labels", ("customer_id", "is_churned", "churn_probability", "last_activity_date",
                               "days_since_last_order")))),
+    "read_raw": "SELECT * REPLACE (CAST(event_id AS VARCHAR) AS event_id) FROM raw_events",
+    "load_raw": "SELECT * FROM raw_orders",
+    "write_mart": "SELECT * FROM mart_campaign_performance",
+    "write_predictions": "SELECT customer_id, churn_probability, churn_probability >= 0.5 AS churn_prediction FROM mart_customer_ltv",
+    "training_runs": f"""
+        SELECT run_id, CASE run_id WHEN 'first' THEN 0 ELSE count(*) FILTER (WHERE split = 'train') END AS train_rows,
+               count(*) FILTER (WHERE split = 'test') AS test_rows,
+               round(count(*) FILTER (WHERE is_churned) / count(*), 4) AS churn_rate,
+               'total_orders,total_revenue,avg_order_value,customer_lifespan_days,net_ltv,age,acquisition_cost,'
+               'segment,region' AS features
+        FROM ({_SPLIT}), (VALUES ('first'), ('second')) v(run_id) GROUP BY run_id""",
     "staging_views": "\nUNION ALL\n".join(
         f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}"
         for v in ("stg_customers", "stg_orders", "stg_events", "stg_churn_labels")),

@@ -8,6 +8,7 @@ of compared output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from ..operators import attribution, derive, marts, metrics, ml, quality, runs,
 from ..functions.memo import plan_memo
 from ..sources import fixtures as fx
 from ..session import ensure_checkpoint_dir
+from ..schemas import ALL_FEATURES, RAW_FILES
 from ..sources import raw as raw_io
+from ..sources import store
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -613,6 +616,69 @@ def q_staging_views(spark, d):
     return out
 
 
+def _new_folder(spark) -> str:
+    """A new folder beside the checkpoints, for queries that write files."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex}"
+
+
+def _csv_files(spark, d) -> str:
+    """The raw tables as header CSVs in the reference's shape."""
+    folder = _new_folder(spark)
+    tables = fx.raw_tables(spark, d)
+    for file, name in RAW_FILES.items():
+        (tables[name].write.option("header", True).option("escape", '"')
+         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{folder}/{file}"))
+    return folder
+
+
+@query("read_raw")
+def q_read_raw(spark, d):
+    """The events as CSV, read back by header name with the declared types."""
+    return raw_io.read_raw(spark, _csv_files(spark, d), "events")
+
+
+@query("load_raw")
+def q_load_raw(spark, d):
+    """The four files loaded and published together; the orders as the raw layer holds them."""
+    raw_io.load_raw(spark, _csv_files(spark, d), warehouse := _new_folder(spark), register=False)
+    return raw_io.read_table(spark, warehouse, "raw", "orders")
+
+
+@query("write_mart")
+def q_write_mart(spark, d):
+    """The marts written and published as one release; the campaign mart read from it."""
+    release = store.Release(spark, _new_folder(spark), "marts")
+    for name, df in mart_tables(spark, d).items():
+        release.write(df, name)
+    release.publish(register=False)
+    return store.read_layer(spark, release.warehouse, "marts")["mart_campaign_performance"]
+
+
+@query("write_predictions")
+def q_write_predictions(spark, d):
+    """Predictions published twice, by the stand-in score; the second version is current."""
+    warehouse = _new_folder(spark)
+    scored = ltv(spark, d).select("customer_id", "churn_probability",
+                                  (F.col("churn_probability") >= 0.5).alias("churn_prediction"))
+    for rows in (scored.where("churn_prediction"), scored):
+        raw_io.write_table(rows, warehouse, "marts", "ml_churn_predictions", register=False)
+    return raw_io.read_table(spark, warehouse, "marts", "ml_churn_predictions")
+
+
+@query("training_runs")
+def q_training_runs(spark, d):
+    """The record of a training that was repeated, without its clock."""
+    folder = _new_folder(spark)
+    parts = ml.stratified_split(ml.scan_features(ltv(spark, d)))
+    found = parts.agg(F.count_if(F.col("split") == "train").alias("train_rows"),
+                      F.count_if(F.col("split") == "test").alias("test_rows"),
+                      F.avg(F.col("is_churned").cast("double")).alias("churn_rate")).first().asDict()
+    record = found | {"churn_rate": round(found["churn_rate"], 4), "auc": None, "features": ",".join(ALL_FEATURES)}
+    for run_id, rows in (("first", 0), ("second", 0), ("second", found["train_rows"])):
+        ml.record_training_run(spark, record | {"train_rows": rows}, folder, run_id)
+    return ml.training_runs(spark, folder).select("run_id", "train_rows", "test_rows", "churn_rate", "features")
+
+
 @query("scalar_functions")
 def q_scalar_functions(spark, d):
     """F1-F22 side by side on the order and customer tables."""

@@ -93,11 +93,11 @@ def read_table(spark: SparkSession, warehouse: str, layer: str, table: str) -> D
     return spark.read.parquet(path)
 
 
-def load_raw(spark: SparkSession, raw_dir: str, warehouse: str) -> dict[str, DataFrame]:
+def load_raw(spark: SparkSession, raw_dir: str, warehouse: str, register: bool = True) -> dict[str, DataFrame]:
     """Load the four files into the raw layer, all published together; returns the reloaded tables."""
     release = store.Release(spark, warehouse, "raw")
     out = {table: release.write(df, table) for table, df in read_all_raw(spark, raw_dir).items()}
-    release.publish()
+    release.publish(register)
     return out
 
 
