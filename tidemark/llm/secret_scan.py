@@ -11,7 +11,10 @@ complementary one on each side without forming pairs.
 
 Matches are found without offsets support in SQL by cutting the text at the
 pattern: the pieces between the matches and the matches alternate, so their
-running lengths are the offsets (in code points, end exclusive).
+running lengths are the offsets (in code points, end exclusive).  Kinds of one
+shape share a pattern, which runs once over a text, and once more to cut texts
+that match.  Walks over the matches go by blocks (``_gather``), so their work
+grows with the matches, not with their square.
 """
 
 from __future__ import annotations
@@ -39,22 +42,24 @@ class Kind:
     name: str
     role: str  # id, secret or endpoint
     strong: bool
-    pattern: str  # what is looked for
+    pattern: str  # what is looked for; equal patterns run once
     group: int  # the group whose length counts
     least: int
     below: int | None = None  # length from which a stronger kind takes over
     needs: tuple[str, ...] = ()  # patterns the match must contain as well
 
 
-#: In the order of listing.  A hex run counts from 16 characters; the pattern asks
-#: for that many at once, which finds the same runs as filtering all runs by length.
+#: A hex run counts from 16 characters; the pattern asks for that many at once, which finds the same runs as
+#: filtering all runs by length.
+LONG_HEX = r"[0-9a-f]{16,}+"
+#: In the order of listing.
 KINDS = (
     Kind("assign", "secret", True, ASSIGN, 2, 6),
     Kind("access", "id", True, ACCESS, 0, 20),
-    Kind("hex", "secret", True, r"[0-9a-f]{24,}+", 0, 24),
+    Kind("hex", "secret", True, LONG_HEX, 0, 24),
     Kind("weak_assign", "secret", False, ASSIGN, 2, 1, 6),
     Kind("weak_access", "id", False, ACCESS, 0, 5, 20),
-    Kind("weak_hex", "secret", False, r"[0-9a-f]{16,}+", 0, 16, 24, ("[0-9]", "[a-f]")),
+    Kind("weak_hex", "secret", False, LONG_HEX, 0, 16, 24, ("[0-9]", "[a-f]")),
     Kind("opaque", "secret", False, OPAQUE, 0, 32, None, ("[0-9]", "[A-Z]", "[a-z]")),
     Kind("endpoint", "endpoint", False, ENDPOINT, 0, 1),
 )
@@ -65,48 +70,95 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _matches(kind: Kind, number: int) -> Column:
-    """Spans of one kind in ``_text`` as sorted ``array<struct<s, k, e>>``."""
-    p = _quoted(kind.pattern)
-    whole = f"regexp_extract_all(_text, {p}, 0)"
-    group = f"regexp_extract_all(_text, {p}, {kind.group})" if kind.group else whole
-    own = "x.g" if kind.group else "x.m"
-    ok = f"length({own}) >= {kind.least}"
-    if kind.below is not None:
-        ok += f" and length({own}) < {kind.below}"
-    for need in kind.needs:
-        ok += f" and x.m rlike {_quoted(need)}"
+#: Elements that are walked with their results at hand.
+BLOCK = 128
+
+
+def _gather(walk: str, state: dict[str, tuple[str, str]], when: str, result: str, kind: str) -> str:
+    """Walks over array ``walk`` (element ``x``, state ``a``) and returns the ``result`` of each element for which
+    ``when`` holds, as ``array<kind>``.  ``state``: first value and next value, both bigint, by field.
+
+    Spark copies the state at every step, so a state must not hold results.
+    The array is cut into blocks: a first walk, block by block, keeps the
+    numbers only and notes them where a block begins; then each block is
+    walked by itself, with its own few results in the state."""
+    numbers = ", ".join(f"'{f}', {{0}}.{f}" for f in state)
+    step = ", ".join(f"'{f}', {v}" for f, (_, v) in state.items())
+    first = ", ".join(f"'{f}', {v}" for f, (v, _) in state.items())
+    kept = "struct<" + ",".join(f"{f}:bigint" for f in state) + ">"
+    none = f"cast(array() as array<{kind}>)"
+    part = f"slice(w, b * {BLOCK} + 1, {BLOCK})"
+    begins = f"""aggregate(sequence(0, (size(w) - 1) div {BLOCK}),
+        named_struct({first}, 'at_', cast(array() as array<{kept}>)),
+        (o, b) -> transform(
+            array(aggregate({part}, named_struct({numbers.format('o')}), (a, x) -> named_struct({step}))),
+            e -> named_struct({numbers.format('e')}, 'at_', concat(o.at_, array(named_struct({numbers.format('o')})))))[0],
+        o -> o.at_)"""
+    block = f"""aggregate({part}, named_struct({numbers.format('s[b]')}, 'cur_', {none}),
+        (a, x) -> named_struct({step}, 'cur_', if({when}, concat(a.cur_, array({result})), a.cur_)), a -> a.cur_)"""
+    return (f"transform(array({walk}), w -> transform(array({begins}), s -> "
+            f"flatten(transform(sequence(0, size(s) - 1), b -> {block})))[0])[0]")
+
+
+def _patterns() -> dict[str, list[int]]:
+    """The kinds of each pattern."""
+    out: dict[str, list[int]] = {}
+    for i, k in enumerate(KINDS):
+        out.setdefault(k.pattern, []).append(i)
+    return out
+
+
+def _kind_of(numbers: list[int], pattern: str) -> str:
+    """Which of these kinds a match ``x.m`` is, or null."""
+    cases = ""
+    for i in numbers:
+        kind = KINDS[i]
+        own = f"length(regexp_extract(x.m, {_quoted(pattern)}, {kind.group}))" if kind.group else "length(x.m)"
+        ok = f"{own} >= {kind.least}"
+        if kind.below is not None:
+            ok += f" and {own} < {kind.below}"
+        for need in kind.needs:
+            ok += f" and x.m rlike {_quoted(need)}"
+        cases += f" when {ok} then {i}"
+    return f"case{cases} end"
+
+
+def _spans(pattern: str, numbers: list[int], found: str) -> Column:
+    """Spans of a pattern's kinds in ``_text``, in order, as ``array<struct<s, k, e>>``; ``found``: the matches."""
     # The last piece has no match behind it: it is left out.
-    cut = f"""zip_with(slice(split(_text, {p}, -1), 1, size({whole})), arrays_zip({whole}, {group}),
-        (piece, z) -> named_struct('p', piece, 'm', z['0'], 'g', z['1']))"""
-    return F.expr(f"""
-        case when _text rlike {p} then aggregate(
-            {cut}, named_struct('at', 0L, 'out', cast(array() as array<{_PART}>)),
-            (a, x) -> named_struct(
-                'at', a.at + length(x.p) + length(x.m),
-                'out', if({ok}, concat(a.out, array(named_struct(
-                    's', a.at + length(x.p), 'k', {number}, 'e', a.at + length(x.p) + length(x.m)))), a.out)),
-            a -> a.out)
-        else cast(array() as array<{_PART}>) end""")
+    cut = f"""zip_with(slice(split(_text, {_quoted(pattern)}, -1), 1, size({found})), {found},
+        (p, m) -> named_struct('p', length(p), 'm', m))"""
+    kept = f"transform({cut}, x -> named_struct('p', x.p, 'n', length(x.m), 'k', {_kind_of(numbers, pattern)}))"
+    walk = _gather(kept, {"at": ("0L", "a.at + x.p + x.n")}, "x.k is not null",
+                   "named_struct('s', a.at + x.p, 'k', x.k, 'e', a.at + x.p + x.n)", _PART)
+    return F.expr(f"if(size({found}) = 0, cast(array() as array<{_PART}>), {walk})")
+
+
+_FAR = {"e": "-1000000000000L", "s": "1000000000000L"}
+_STRONG = ", ".join(str(i) for i, k in enumerate(KINDS) if k.strong)
+_WEAK = ", ".join(str(i) for i, k in enumerate(KINDS) if not k.strong)
+
+
+def _uncovered(order: str, near: str) -> str:
+    """Parts less the weak ones that overlap a base span met before, walking in one direction."""
+    better, under = ("greatest", f"x.k in ({_WEAK}) and a.b > x.s") if near == "e" else (
+        "least", f"x.k in ({_WEAK}) and a.b < x.e")
+    return _gather(order, {"b": (_FAR[near], f"if(x.k in ({_STRONG}), {better}(a.b, x.{near}), a.b)")},
+                   f"not ({under})", "x", _PART)
 
 
 def _sweep(order: str, near: str) -> str:
-    """Marks parts that have a complementary part on one side, walking in one direction.
+    """Parts that have a complementary part on one side, walking in one direction.
 
     State: per role, the nearest border so far (largest end going forward,
     smallest start going back)."""
     better = "greatest" if near == "e" else "least"
-    far = "-1000000000000L" if near == "e" else "1000000000000L"
     roles = {r: ", ".join(str(i) for i, k in enumerate(KINDS) if k.role == r) for r in ("id", "secret", "endpoint")}
-    step = ", ".join(
-        f"'{r}', if(x.k in ({ks}), {better}(a.{r}, x.{near}), a.{r})" for r, ks in roles.items())
+    state = {r: (_FAR[near], f"if(x.k in ({ks}), {better}(a.{r}, x.{near}), a.{r})") for r, ks in roles.items()}
     gap = (lambda r: f"x.s - a.{r} <= scope_") if near == "e" else (lambda r: f"a.{r} - x.e <= scope_")
     hit = (f"case when x.k in ({roles['secret']}) then {gap('id')} or {gap('endpoint')} "
            f"else {gap('secret')} end")
-    return f"""aggregate({order},
-        named_struct('id', {far}, 'secret', {far}, 'endpoint', {far}, 'out', cast(array() as array<{_PART}>)),
-        (a, x) -> named_struct({step}, 'out', if({hit}, concat(a.out, array(x)), a.out)),
-        a -> a.out)"""
+    return _gather(order, state, hit, "x", _PART)
 
 
 def find_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col: str = "text",
@@ -122,18 +174,18 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
     first = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
     df = docs.select(*first, F.col(f"`{id_col}`").alias("_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
-    df = df.withColumns({f"_k{i}": _matches(k, i) for i, k in enumerate(KINDS)})
-    strong = ", ".join(f"_k{i}" for i, k in enumerate(KINDS) if k.strong)
-    weak = ", ".join(f"_k{i}" for i, k in enumerate(KINDS) if not k.strong)
-    df = df.withColumns({"_base": F.expr(f"array_sort(concat({strong}))"), "_weak": F.expr(f"concat({weak})")})
-    # Weak parts under a base span are the same find: only the others take part.
-    df = df.withColumn("_weak", F.expr(
-        "if(size(_base) = 0, _weak, filter(_weak, w -> not exists(_base, b -> b.s < w.e and w.s < b.e)))"))
-    df = df.withColumn("_parts", F.expr(f"if(size(_weak) = 0, cast(array() as array<{_PART}>), "
-                                        "array_sort(concat(_base, _weak)))"))
-    weak_kinds = ", ".join(str(i) for i, k in enumerate(KINDS) if not k.strong)
+    patterns = list(_patterns().items())
+    df = df.withColumns({f"_m{j}": F.expr(f"regexp_extract_all(_text, {_quoted(p)}, 0)") for j, (p, _) in enumerate(patterns)})
+    df = df.withColumns({f"_s{j}": _spans(p, kinds, f"_m{j}") for j, (p, kinds) in enumerate(patterns)})
+    every = ", ".join(f"_s{j}" for j in range(len(patterns)))
+    df = df.withColumn("_all", F.expr(f"array_sort(concat({every}))"))
+    df = df.withColumn("_base", F.expr(f"filter(_all, x -> x.k in ({_STRONG}))"))
+    # Weak parts that overlap a base span are the same find: only the others take part.
+    df = df.withColumn("_parts", F.expr(f"if(size(_all) = size(_base), cast(array() as array<{_PART}>), "
+                                        f"{_uncovered('_all', 'e')})"))
+    df = df.withColumn("_parts", F.expr(f"if(size(_parts) < 2, _parts, reverse({_uncovered('reverse(_parts)', 's')}))"))
     back, ahead = _sweep("_parts", "e"), _sweep("reverse(_parts)", "s")
-    linked = (f"array_sort(filter(array_distinct(concat({back}, {ahead})), x -> x.k in ({weak_kinds})))"
+    linked = (f"array_sort(filter(array_distinct(concat({back}, {ahead})), x -> x.k in ({_WEAK})))"
               .replace("scope_", str(int(scope))))
     df = df.withColumn("_added", F.expr(f"if(size(_parts) < 2, cast(array() as array<{_PART}>), {linked})"))
     out = [F.col("row"), F.col("_text")] if keep else []
@@ -146,7 +198,13 @@ def _listed(spans: str) -> Column:
 
 
 def secret_report(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of the base kinds, the digest of the base spans and all spans as text."""
+    """Counts of the base kinds, the digest of the base spans and all spans as text.
+
+    Null and empty texts have none (zeros, the digest of nothing, an empty
+    string); ids may be null or repeated; repeated rows are returned as often
+    as they came; an empty table gives an empty result; extra columns are
+    ignored.
+    """
     found = find_secrets(docs, scope, id_col, text_col)
     count = lambda i: F.expr(f"cast(size(filter(base, x -> x.k = {i})) as bigint)")
     return found.select(
@@ -164,12 +222,20 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE,
     """
     found = find_secrets(docs, scope, id_col, text_col, keep=True)
     spans = "array_sort(concat(base, added))"
-    text = F.expr(f"""aggregate({spans}, named_struct('at', 0L, 'out', ''),
-        (a, x) -> named_struct(
-            'at', greatest(a.at, x.e),
-            'out', if(x.s >= a.at, concat(a.out, substring(_text, cast(a.at + 1 as int), cast(x.s - a.at as int)),
-                                          {_quoted(mark)}), a.out)),
-        a -> concat(a.out, substring(_text, cast(a.at + 1 as int))))""")
+    # The stretches (f, t) before each mark; overlapping spans share one.
+    keeps = _gather(spans, {"at": ("0L", "greatest(a.at, x.e)")}, "x.s >= a.at", "named_struct('f', a.at, 't', x.s)",
+                    "struct<f:bigint,t:bigint>")
+    found = found.withColumn("_keeps", F.expr(keeps))
+    # A substring is found by counting from the front, so a piece of stretches is cut out first.
+    first = f"_keeps[b * {BLOCK}].f"
+    piece = (f"substring(_text, cast({first} + 1 as int), "
+             f"cast(_keeps[least(size(_keeps), (b + 1) * {BLOCK}) - 1].t - {first} as int))")
+    text = F.expr(f"""concat(
+        array_join(transform(sequence(0, (size(_keeps) - 1) div {BLOCK}), b -> transform(array({piece}), g ->
+            array_join(transform(slice(_keeps, b * {BLOCK} + 1, {BLOCK}),
+                k -> concat(substring(g, cast(k.f - {first} + 1 as int), cast(k.t - k.f as int)), {_quoted(mark)})),
+                ''))[0]), ''),
+        substring(_text, cast(array_max(transform({spans}, x -> x.e)) + 1 as int)))""")
     found = found.withColumn("_new", F.when(F.expr("size(base) + size(added) > 0"), text))
     cols = []
     for c in docs.columns:
