@@ -5,11 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tidemark.plans.queries import REGISTRY
 from tools.check_oracle import TABLES, TYPE_MAP, rows_of
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"train_churn", "score_customers"}
 
 
 @pytest.fixture(scope="module")
