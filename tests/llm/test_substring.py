@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from tidemark.llm.substring_dedup import (BORDER_BITS, MAX_BYTES, MIN_BYTES, WINDOW, _GEAR, borders, gear_hashes,
+from tidemark.llm.substring_dedup import (BORDER_BITS, LONG_RUN, MAX_BYTES, MIN_BYTES, WINDOW, _GEAR, borders, gear_hashes,
                                           remove_repeats, repeated_passages)
 
 
@@ -83,7 +83,7 @@ def brute(rows, min_words):
                 if run:
                     words = [w for w in range(run[0], run[1]) if raw[w] not in b" \t\n\r\v\f"
                              and (w == 0 or raw[w - 1] in b" \t\n\r\v\f")]
-                    if len(words) >= min_words:
+                    if len(words) >= min_words or run[1] - run[0] >= LONG_RUN:
                         found.append((str(i), run[0], run[1], len(words), run[2]))
                 run = [s, e, first[c]] if repeat else None
     return sorted(found)
@@ -119,3 +119,48 @@ def test_removal_keeps_one_copy(spark, docs):
     assert text[1] == ROWS[0][1] and text[3] == ROWS[3][1] and text[9] == "" and text[4] is None
     middle = PASSAGE[80:200]
     assert middle in text[1] and not any(middle in text[i] for i in (2, 7, 8, None))
+
+
+def test_scripts_without_blanks(spark, docs):
+    rng = random.Random(5)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    passage = han(300)
+    rows = [(1, han(200) + passage + han(100)), (2, han(150) + passage), (3, han(500)), (4, passage + han(90))]
+    got = repeated_passages(docs(rows)).collect()
+    assert {r.doc_id for r in got} == {2, 4} and all(r.n_words < 15 for r in got)
+    assert sorted((str(r.doc_id), r.byte_start, r.byte_end, r.n_words, r.first_doc_id) for r in got) == brute(rows, 15)
+    left = {r.doc_id: r.text for r in remove_repeats(docs(rows)).collect()}
+    assert passage in left[1] and left[3] == rows[2][1] and passage[50:250] not in left[2] + left[4]
+
+
+def test_rows_that_share_an_id_or_have_none_are_cut_each_by_its_own(spark, docs):
+    alone, other = prose(50, 120), prose(51, 120)
+    rows = [(1, PASSAGE), (2, alone), (2, prose(52, 30) + " " + PASSAGE + " é" * 9), (None, other),
+            (None, "ü" * 7 + " " + PASSAGE), (None, None), (2, ""), (7, prose(53, 20) + " " + PASSAGE),
+            (7, prose(53, 20) + " " + PASSAGE)]
+    out = remove_repeats(docs(rows)).collect()
+    texts = sorted((str(r.doc_id), str(r.text)) for r in out)
+    assert len(out) == len(rows)
+    for key, text in (("2", alone), ("None", other), ("1", PASSAGE), ("2", ""), ("None", "None")):
+        assert (key, text) in texts
+    cut = [t for k, t in texts if t not in (alone, other, PASSAGE, "", "None")]
+    assert len(cut) == 4 and not any(PASSAGE[80:200] in t for t in cut)
+    assert len({t for k, t in texts if k == "7"}) == 1
+
+
+def test_a_digest_of_most_texts_is_split(spark, docs):
+    """Spark splits the skewed partition of the digest join (thresholds forced down)."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = repeated_passages(docs([(i, PASSAGE + " " + prose(60_000 + i, 3)) for i in range(3000)]).repartition(8))
+        assert df.count() == 2999
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -10,11 +10,12 @@ repeats with enough words are repeated passages.
   rule too, so equal passages are cut alike whatever stands before them);
   ``MAX_BYTES`` cuts a stretch without borders.
 * The digest counts are pre-aggregated per task before they are shuffled; the
-  occurrences meet only the digests that occur more than once, in a join whose
-  skewed partitions Spark splits.  A digest's occurrences are never gathered.
-* Words are parted by ASCII white space, so a repeated passage in a script
-  without blanks (Chinese, Japanese, Thai) counts as a word or so and is not
-  reported, however long.
+  occurrences meet only the digests that occur more than once.  Those are
+  written first, so both sides of that join are plain shuffles, whose skewed
+  partitions (a digest in most texts) Spark splits.  A digest's occurrences are
+  never gathered.
+* Words are parted by ASCII white space; for scripts without blanks (Chinese,
+  Japanese, Thai) a run counts by its length in bytes too.
 """
 
 from __future__ import annotations
@@ -31,14 +32,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .common import checkpointed
+
 #: Bytes that the gear hash of a place depends on.
 WINDOW = 16
 #: One place in 2**BORDER_BITS is a border.
 BORDER_BITS = 4
 MIN_BYTES = 12
 MAX_BYTES = 1024
-#: Words that a run of repeated chunks has at least.
+#: Words that a run of repeated chunks has at least, or else bytes.
 MIN_WORDS = 15
+LONG_RUN = 300
 
 
 def gear_table(seed: int = 7) -> np.ndarray:
@@ -94,7 +98,7 @@ _WORD_START = re.compile(rb"(?<![^\x20\t-\r])[^\x20\t-\r]")
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per chunk: ``(id, h, d1, d2, packed)``.
 
-    ``h`` tells texts of one id apart; ``d1, d2`` are the digest.  ``packed``
+    ``h``, Spark's ``xxhash64`` of the text, tells texts of one id apart; ``d1, d2`` are the digest.  ``packed``
     holds the start (UTF-8 bytes), 11 bits of size, 10 bits of words that
     begin in the chunk, and a bit for a digest's first occurrence in its text.
     """
@@ -118,7 +122,7 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         begins = np.array([m.start() for m in _WORD_START.finditer(raw)], np.int64)
                         words = np.diff(np.searchsorted(begins, np.append(starts, len(raw))))
                         d = np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
-                        h = np.full(len(ends), np.uint64(xxhash.xxh64_intdigest(raw))).view(np.int64)
+                        h = np.full(len(ends), np.uint64(xxhash.xxh64_intdigest(raw, 42))).view(np.int64)
                         for c, x in zip(cols, (h, d[:, 0], d[:, 1],
                                                starts << 22 | (ends - starts) << 11 | words << 1 | fresh)):
                             c.append(x)
@@ -136,20 +140,26 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", long_run: int = LONG_RUN) -> DataFrame:
     """Repeated passages, one row each: ``(doc_id, byte_start, byte_end, n_words, n_chunks, first_doc_id)``.
 
     A chunk is a repeat unless it is the first occurrence of its digest: the
     first in the document with the smallest id (rows that share an id count as
     one document; null ids come last).  A passage is a run of adjacent
-    repeats with ``min_words`` words or more; ``first_doc_id`` is the smallest
-    document that holds a chunk of it.  Repeated rows give a passage once.
-    Null, empty and short texts have none; an empty table gives an empty
-    result; extra columns are ignored.
+    repeats with ``min_words`` words or more, or ``long_run`` bytes or more;
+    ``first_doc_id`` is the smallest document that holds a chunk of it.
+    Repeated rows give a passage once.  Null, empty and short texts have none;
+    an empty table gives an empty result; extra columns are ignored.
     """
+    return (_passages(docs, min_words, long_run, id_col, text_col).drop("h").withColumnRenamed("id", id_col))
+
+
+def _passages(docs: DataFrame, min_words: int, long_run: int, id_col: str, text_col: str) -> DataFrame:
+    """``repeated_passages`` by ``id`` and text hash ``h``."""
     chunks = chunk_rows(docs, id_col, text_col)
-    known = (chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-             .where("n > 1").select(F.col("d1").alias("k1"), F.col("d2").alias("k2"), "first"))
+    known = checkpointed(
+        chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+        .where("n > 1").select(F.col("d1").alias("k1"), F.col("d2").alias("k2"), "first"))
     repeats = (chunks.join(known, (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")))
                .where(~(F.col("id").eqNullSafe(F.col("first")) & (F.col("packed") % 2 == 1))))
     # Runs: the windows hold the repeats of one text; n_before is equal along a run.
@@ -164,16 +174,21 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     return (runs.groupBy("id", "h", "run")
             .agg(F.min("start").alias("byte_start"), F.max(F.col("start") + F.col("size")).alias("byte_end"),
                  F.sum("words").alias("n_words"), F.count("*").alias("n_chunks"), F.min("first").alias("first_doc_id"))
-            .where(F.col("n_words") >= min_words)
-            .select(F.col("id").alias(id_col), "byte_start", "byte_end", "n_words", "n_chunks", "first_doc_id"))
+            .where((F.col("n_words") >= min_words) | (F.col("byte_end") - F.col("byte_start") >= long_run))
+            .select("id", "h", "byte_start", "byte_end", "n_words", "n_chunks", "first_doc_id"))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated passages cut out of ``text_col``; all columns and rows are kept."""
-    cuts = (repeated_passages(docs, min_words, id_col, text_col)
-            .groupBy(F.col(id_col).alias("id")).agg(F.sort_array(F.collect_list(
-                F.struct("byte_start", "byte_end"))).alias("cuts")))
+                   text_col: str = "text", long_run: int = LONG_RUN) -> DataFrame:
+    """``docs`` with the repeated passages cut out of ``text_col``; all columns and rows are kept.
+
+    Passages belong to an id and a text, so rows that share an id (or have
+    none) are cut each by its own.  Null and empty texts stay as they are;
+    repeated rows are cut alike; an empty table gives an empty result; columns
+    may have any names.
+    """
+    cuts = (_passages(docs, min_words, long_run, id_col, text_col)
+            .groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("byte_start", "byte_end"))).alias("cuts")))
 
     @pandas_udf("string")
     def cut(text: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -186,7 +201,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
         return pd.Series([t if t is None or c is None else one(t, c) for t, c in zip(text, cuts)], dtype=object)
 
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = row.join(cuts, F.col(f"row.`{id_col}`").eqNullSafe(F.col("id")), "left")
+    text_hash = F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")))
+    joined = row.join(cuts, F.col(f"row.`{id_col}`").eqNullSafe(F.col("id")) & (text_hash == F.col("h")), "left")
     new = F.when(F.col("cuts").isNull(), F.col(f"row.`{text_col}`")).otherwise(
         cut(F.col(f"row.`{text_col}`"), F.col("cuts")))
     return joined.select(*[(new if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
