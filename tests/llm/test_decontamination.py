@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 
-from tidemark.llm.decontamination import MASKS, contaminated, drop_contaminated, longest_overlap, tokens
+from tidemark.llm.decontamination import MASKS, contaminated, drop_contaminated, longest_overlap, tokens, whole_masks
 
 
 def words(seed, n):
@@ -27,6 +27,33 @@ def test_masks_hit_every_stretch_with_substitutions():
             assert any(not {o + p for p in m} & set(places) for m in MASKS for o in range(width - m[-1]))
 
 
+def test_masks_of_short_items_hit_every_allowed_substitution():
+    for n in range(1, 13):
+        masks = [(m, o) for m in MASKS for o in range(n - m[-1])] + [(m, 0) for m in whole_masks(n)]
+        allowed = int(n * 0.2 + 1e-9)
+        for k in range(allowed + 1):
+            for places in itertools.combinations(range(1, n - 1), min(k, max(0, n - 2))):
+                assert any(not {o + p for p in m} & set(places) for m, o in masks), (n, places)
+
+
+def test_short_items_are_found_whole(spark, docs):
+    items = [(n, " ".join(words(100 + n, n))) for n in range(1, 13)]
+    rows = []
+    for n, text in items:
+        w = text.split()
+        for k in range(3):
+            for places in itertools.combinations(range(n), k):
+                v = [("zz" if i in places else x) for i, x in enumerate(w)]
+                rows.append((len(rows), " ".join(["q", *v, "q"])))
+    rows.append((len(rows), "The answer is FORTY two."))
+    items.append((99, "the answer is forty two"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = contaminated(docs(rows), bench).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), r.overlap_tokens) for r in got) == plain(rows, items)
+    kept = {r.doc_id for r in drop_contaminated(docs(rows), bench).collect()}
+    assert kept == {i for i, _ in rows} - {r.doc_id for r in got}
+
+
 def test_longest_overlap_equals_plain_form():
     rng = random.Random(4)
     for _ in range(200):
@@ -45,7 +72,7 @@ def plain(rows, items, min_tokens=13, share=0.8):
                 lo, hi = max(0, -shift), min(len(q), len(d) - shift)
                 n = plain_overlap([q[x] == d[x + shift] for x in range(lo, hi)], share)[0] if hi > lo else 0
                 best = max(best, n if n >= min(min_tokens, len(q)) else 0)
-            if best and len(q) > MASKS[0][-1]:
+            if best:
                 out.append((str(i), str(k), best))
     return sorted(set(out))
 
