@@ -239,10 +239,11 @@ def embedding_neardup(vectors: DataFrame, min_cosine: float = MIN_COSINE, id_col
                          .applyInPandas(join, "cid long, links long, root long"))
     count = found.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    by_class = (classes.select("label", "key", "least", "copies", "cid").join(count, "cid", "left")
-                .join(comp, F.col("cid") == F.col("node"), "left")
-                .withColumn("root", F.coalesce("component", "cid")))
-    names = by_class.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written first, like the names: a large component is then a skewed partition of a plain shuffle, which Spark splits.
+    by_class = checkpointed(classes.select("label", "key", "least", "copies", "cid").join(count, "cid", "left")
+                            .join(comp, F.col("cid") == F.col("node"), "left")
+                            .withColumn("root", F.coalesce("component", "cid")).drop("cid", "node", "component"))
+    names = checkpointed(by_class.groupBy("root").agg(F.min("least").alias("component_id")))
     by_class = by_class.join(names, "root").select(
         F.col("label").alias("l"), F.col("key").alias("k"), "component_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
