@@ -230,6 +230,17 @@ def simhash_components(fps: DataFrame, max_distance: int = 4, block: int = BLOCK
         "fp", F.coalesce("component", "fp").alias("root"))
 
 
+def _with_least(members: DataFrame, value: str) -> DataFrame:
+    """``members`` with the least ``value`` of their ``root`` as ``pick``.
+
+    Both sides of the join are written first: a component with a large share
+    of all members is then a skewed partition of a plain shuffle, which Spark
+    splits."""
+    members = checkpointed(members)
+    least = checkpointed(members.groupBy("root").agg(F.min(value).alias("pick")))
+    return members.join(least, "root")
+
+
 def simhash_neardup(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id_col: str = "doc_id",
                     text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``(id, fp, component_id)`` per input row.
@@ -243,8 +254,7 @@ def simhash_neardup(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id
     fps = checkpointed(simhash_fingerprints(docs, shingle, id_col, text_col))
     comp = simhash_components(fps, max_distance, block)
     first = fps.groupBy("fp").agg(F.min("id").alias("least"))
-    named = comp.join(first, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = comp.join(named, "root").select(F.col("fp").alias("f"), "component_id")
+    by_fp = _with_least(comp.join(first, "fp"), "least").select(F.col("fp").alias("f"), F.col("pick").alias("component_id"))
     return fps.join(by_fp, F.col("fp") == F.col("f")).select("id", "fp", "component_id")
 
 
@@ -253,13 +263,15 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
     """Rows of ``docs`` with one document of each near-duplicate group left.
 
     The document with the smallest id stays (a group of null ids keeps one
-    with the smallest fingerprint); of repeated rows one stays.  All columns
-    are kept, whatever their names.
+    with the smallest fingerprint); of rows with equal id and fingerprint that
+    with the smallest text hash, of repeated rows one.  Null and empty texts
+    are one group like any other; an empty table gives an empty result.  All
+    columns are kept, whatever their names.
     """
 
     @pandas_udf("long")
     def mark(text: pd.Series) -> pd.Series:
-            return pd.Series([fingerprint(t, shingle) for t in text], dtype="int64")
+        return pd.Series([fingerprint(t, shingle) for t in text], dtype="int64")
 
     fps = checkpointed(simhash_fingerprints(docs, shingle, id_col, text_col))
     comp = simhash_components(fps, max_distance)
@@ -269,5 +281,5 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     keyed = row.withColumn("key", F.concat_ws(":", F.col(f"row.`{id_col}`").cast("string"),
                                               F.hex(mark(F.col(f"row.`{text_col}`").cast("string")))))
-    return (keyed.join(kept, "key", "left_semi").dropDuplicates(["key"])
-            .select("row.*"))
+    text_hash = F.xxhash64(F.col(f"row.`{text_col}`").cast("string"))
+    return keyed.join(kept, "key", "left_semi").groupBy("key").agg(F.min_by("row", text_hash).alias("row")).select("row.*")
