@@ -93,3 +93,26 @@ def test_tokens_mined_as_one_stand_for_each_other(spark):
     # host:com was labelled with the bad site only, as host:bad.com was.
     assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "allow"}
     assert all(r.confidence == 1.0 for r in got if r.verdict == "block")
+
+
+def test_whole_query_equals_its_sql_where_tokens_stand_for_each_other(spark, tmp_path):
+    """Tables in which an unlabelled URL holds only another token of a mined group; very long and odd URLs too."""
+    import duckdb
+    from tidemark.llm.oracles import ORACLE_SQL
+    from tidemark.llm.queries import QUERIES
+    urls = [f"http://aaa.bad.com/buy/{i}" for i in range(8)] + [f"http://ok.net/buy/{i}" for i in range(9)]
+    labels = [(i, 1, int(i < 8)) for i in range(len(urls))]
+    urls += ["http://www.bad.com/x", "http://bad.com/", "http://x.bad.net/z", "http://www.good.com/", None, "", "no scheme",
+             "http://" + ".".join(["a"] * 12_000) + ".com/fr/x", "http://h.org/" + "w/" * 30_000, "HTTP://EXAMPLE.org/es/1?a=b#c"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in QUERIES["op4_url_filters"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.sql(ORACLE_SQL["op4_url_filters"].strip()).fetchall()
+    names = con.sql(ORACLE_SQL["op4_url_filters"].strip()).columns
+    want = {r[names.index("page_id")]: tuple(r[names.index(c)] for c in ("host", "path", "rule", "verdict")) for r in want}
+    assert got == want
+    assert got[17][3] == got[18][3] == "block" and got[19][3] == "allow"

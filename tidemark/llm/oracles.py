@@ -152,9 +152,9 @@ labelled AS (
     SELECT row_number() OVER () AS n, tokens, bad FROM pages JOIN (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id)
         ON page_id = doc_id JOIN sets USING (url) WHERE bad IS NOT NULL),
 -- of tokens of the same labelled URLs the first stands for all
-kept AS (SELECT min(t) AS t FROM (SELECT t, list(n ORDER BY n) AS seen FROM (SELECT n, unnest(tokens) AS t FROM labelled)
-                                  GROUP BY t) GROUP BY seen),
-marked AS (SELECT n, list_intersect(tokens, (SELECT list(t) FROM kept)) AS tokens, bad FROM labelled),
+stands AS (SELECT t, min(t) OVER (PARTITION BY seen) AS rep
+           FROM (SELECT t, list(n ORDER BY n) AS seen FROM (SELECT n, unnest(tokens) AS t FROM labelled) GROUP BY t)),
+marked AS (SELECT n, list_intersect(tokens, (SELECT list(DISTINCT rep) FROM stands)) AS tokens, bad FROM labelled),
 total AS (SELECT count(*) AS n FROM marked),
 subsets AS (
     SELECT list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS tokens, bad
@@ -164,9 +164,12 @@ mined AS (
     FROM subsets, total GROUP BY tokens
     HAVING count(*) FILTER (WHERE bad) >= ceil(0.002 * any_value(n)) AND count(*) FILTER (WHERE bad) >= 0.6 * count(*)
        AND count(*) FILTER (WHERE bad) > 0),
+-- and a URL has it where it has any of them
+mapped AS (SELECT url, list_distinct(list(coalesce(rep, t))) AS tokens
+           FROM (SELECT url, unnest(tokens) AS t FROM sets) LEFT JOIN stands USING (t) GROUP BY url),
 matched AS (
     SELECT url, min({'c': -confidence, 's': -support, 't': m.tokens}) AS b
-    FROM sets JOIN mined m ON list_has_all(sets.tokens, m.tokens) GROUP BY url)
+    FROM mapped JOIN mined m ON list_has_all(mapped.tokens, m.tokens) GROUP BY url)
 SELECT page_id, host, path, best.name AS rule,
        CASE WHEN best.v IS NOT NULL THEN best.v WHEN b IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
        CASE WHEN best IS NULL THEN array_to_string(b.t, ' ') END AS mined, CASE WHEN best IS NULL THEN -b.c END AS confidence

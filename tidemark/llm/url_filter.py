@@ -62,7 +62,7 @@ def url_tokens(url: Column) -> Column:
     host, path = host_and_path(url)
     labels = F.split(host, r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels), F.lit(1))),
-                           lambda i: F.concat(F.lit("host:"), F.array_join(F.slice(labels, i, 10_000), ".")))
+                           lambda i: F.concat(F.lit("host:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     words = F.filter(F.split(F.lower(path), r"[/._-]+"), lambda w: w != "")
     words = F.transform(words, lambda w: F.concat(F.lit("path:"), F.regexp_replace(w, r"[0-9]+", "#")))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
