@@ -46,7 +46,8 @@ def naive(pieces, encoder, word, key):
         if not found:
             return part
         _, i, made = min(found)
-        if encoder._skips(np.array([key], np.uint64), np.array([made]), np.array([i]), len(part))[0]:
+        start = sum(int(pieces.chars[min(x, pieces.base)]) for x in part[:i])
+        if encoder._skips(np.array([key], np.uint64), np.array([made]), np.array([start]), len(part))[0]:
             skipped.add(i)
             continue
         part[i:i + 2] = [made]
@@ -126,3 +127,16 @@ def test_occurrences_equal_a_plain_agenda_however_the_work_is_shared(pieces):
     assert ids(encoder.encode([text])[0]) == want
     assert ids(encoder.encode([other, text])[1]) == want  # from branches grown before
     assert ids(Encoder(pieces, 0.3, 11).encode([other, text, text])[2]) == want
+
+
+def test_one_rule_for_words_of_every_length(pieces):
+    """The heap of very long words and the matrix of the others decide alike."""
+    rng = np.random.default_rng(6)
+    encoder = Encoder(pieces, 0.3, 5)
+    for n in (1, 2, 7, 40, 241, 256):
+        for letters in ("etaoin", "ab", "internationalé中"):
+            word = " " + "".join(rng.choice(list(letters), n))[:255]
+            key = int(rng.integers(0, 2**63))
+            code, bytes_of = encoder._codes([word])
+            heap = encoder._finish(encoder._merge_long([code[c] for c in word], key), bytes_of)
+            assert encoder._cut([word], np.array([key], np.uint64))[0] == heap, (n, letters)

@@ -3,7 +3,8 @@
 Encoding keeps an agenda of adjacent pieces whose concatenation is a piece of
 the vocabulary and takes the best score, then the leftmost.  With dropout a
 candidate taken from the agenda is skipped when a keyed hash of (seed, text,
-the word's place in it, place in the word, piece) falls below the rate; it
+the word's place in it, the candidate's first character, the pieces left, the
+piece it makes) falls below the rate, in words of any length alike; it
 returns only if a neighbour changes.  So every occurrence of a word is varied
 on its own, and equal texts are segmented alike.  The hash makes the choice
 repeatable on any cluster and after any retry.  All segmentations decode to the same text: white space is
@@ -36,7 +37,7 @@ SPACE = "▁"
 NONE = np.int32(2**31 - 1)
 #: Segmentations and decisions that one task remembers; when either is full, the memo starts anew.
 MEMO, DECISIONS = 1_200_000, 4_000_000
-#: Words of more characters are merged by a heap, each occurrence by itself.
+#: Words of more characters are merged by a heap, each occurrence by itself, with the same decisions.
 LONG = 256
 
 # Words that no piece can cross if the vocabulary keeps letters and other characters apart.
@@ -77,6 +78,8 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) for p in number):
             raise ValueError("pieces that hold white space behind other characters are not supported")
         self.word_pattern = _APART if apart else _SPACED
+        # Characters of each piece; one for whatever has no piece.
+        self.chars = np.array([len(p) for p in pieces] + [1], np.int64)
         self.raw = [p.replace(SPACE, " ").encode("utf-8") if plain[i] else b"" for i, p in enumerate(pieces)]
         for value, i in enumerate(byte_ids):
             self.raw[i] = bytes([value])
@@ -250,7 +253,9 @@ class Encoder:
                 if not len(x):
                     break
                 made = p.result[self._ranks(x[every, at], x[every, at + 1])[1]]
-                self.spot[node] = self._spot(made, at, width)
+                before = np.arange(width)[None, :] < at[:, None]
+                place = (p.chars[np.minimum(x, p.base)] * before).sum(axis=1)
+                self.spot[node] = self._spot(made, place, width)
                 skip = self._fires(keys[who], self.spot[node[row]])
                 some, near = self._branch(node, row[~skip], 0)
                 if len(some):
@@ -305,9 +310,9 @@ class Encoder:
         return np.where(self.p.pairs[at] == key, self.p.rank[at], NONE), at
 
     @staticmethod
-    def _spot(made, at, width) -> np.ndarray:
-        """Hash of a decision: the piece made, its place and the pieces left."""
-        return _mix(made.astype(np.uint64) << np.uint64(32) ^ np.asarray(at).astype(np.uint64)
+    def _spot(made, start, width) -> np.ndarray:
+        """Hash of a decision: the piece made, the place of its first character and the pieces left."""
+        return _mix(made.astype(np.uint64) << np.uint64(32) ^ np.asarray(start).astype(np.uint64)
                     << np.uint64(16) ^ np.asarray(width).astype(np.uint64))
 
     def _fires(self, key, spot) -> np.ndarray:
@@ -316,9 +321,9 @@ class Encoder:
             return np.zeros(len(key), bool)
         return (_mix(key ^ spot) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < self.dropout
 
-    def _skips(self, key, made, at, width) -> np.ndarray:
-        """Keyed decisions: the word's key, the piece made, its place and the pieces left."""
-        return self._fires(key, self._spot(made, at, width))
+    def _skips(self, key, made, start, width) -> np.ndarray:
+        """Keyed decisions: the word's key, the piece made, its first character's place and the pieces left."""
+        return self._fires(key, self._spot(made, start, width))
 
     def _merge_long(self, symbols: list[int], key: int) -> np.ndarray:
         """The same agenda for one very long word, as a heap (n log n)."""
@@ -333,7 +338,6 @@ class Encoder:
         agenda = [(f[0], i, a, b) for i, (a, b) in enumerate(zip(part, part[1:])) if (f := p.by_pair.get((a, b)))]
         heapq.heapify(agenda)
         left = n
-        # A place's index among the pieces left would cost n each; the first symbol's index is as good a key.
         while agenda:
             _, i, a, b = heapq.heappop(agenda)
             j = after[i] if part[i] == a else -1
