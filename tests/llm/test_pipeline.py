@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     names = set(E.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert set(E.oracle_sql()) <= names
     assert [n for n, _ in P.STAGES] == ["toxicity", "simhash_neardup", "decontamination", "secret_scans", "sentencepiece"]
@@ -70,3 +70,45 @@ def test_pipeline_equals_brute_force(spark):
     assert {r.doc_id: (r.n_chars, r.ids_sha256, r.lossless) for r in frame.collect()} == want
     assert P.run(spark, SF).count() == len(want)
     assert 0 < len(want) < len(rows)
+
+
+def _tables(spark, folder, documents, labels, benchmark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string").withColumn(
+        "n_chars", F.length("text").cast("long"))
+    for c in ("row", "key", "id", "h", "fp", "cuts", "score", "label", "base", "_text"):
+        docs = docs.withColumn(c, F.lit("clash"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return docs
+
+
+def test_edge_cases_through_the_whole_run(spark, tmp_path):
+    prose = lambda n, seed: " ".join(f"w{(i * 7919 + seed * 31) % 9973}" for i in range(n))
+    item = prose(20, 900)
+    rows = [(1, prose(60, 1)), (2, prose(60, 1)), (3, None), (4, ""), (None, prose(50, 2)), (None, None), (5, "word " * 200_000),
+            (6, "x" * 500_000), (7, prose(30, 3) + " password=hunter22 " + prose(20, 4)), (8, prose(30, 5) + " " + item),
+            (9, prose(70, 6)), (9, prose(70, 6)), (9, prose(70, 7)), (10, " \n\t "), (11, "短い文章です")]
+    documents = [(i, t, "en", None) for i, t in rows]
+    labels = [(1, 1, 0), (7, 1, None), (None, 1, 1), (9, 0, 1), (9, 0, 0)]
+    docs = _tables(spark, str(tmp_path), documents, labels, [(1, item), (2, None), (None, ""), (1, item)])
+    out = P.run(spark, str(tmp_path)).collect()
+    assert all(r.lossless for r in out)
+    kept = sorted(str(r.doc_id) for r in out)
+    # Copies and repeated rows leave one, wordless texts are one group, the contaminated document is gone.
+    assert kept.count("1") == 1 and "2" not in kept and "8" not in kept
+    assert kept.count("9") == 2 and kept.count("7") == 1 and {"5", "6", "11"} <= set(kept)
+    assert sum(k in kept for k in ("3", "4", "10")) == 1
+    # All stages but the last return the columns of documents.
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns
+    masked = {r.doc_id: r for r in now.where("doc_id = 7").collect()}[7]
+    assert "hunter22" not in masked.text and masked.n_chars == len(masked.text) and masked.row == "clash"
+
+
+def test_empty_tables_through_the_whole_run(spark, tmp_path):
+    _tables(spark, str(tmp_path), [], [], [])
+    assert P.run(spark, str(tmp_path)).collect() == []

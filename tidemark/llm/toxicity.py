@@ -212,10 +212,12 @@ def build_index(vocabulary: list[str], idf: np.ndarray, examples: list[tuple]) -
 
 
 def calibrate(model: Model, bins: list[tuple[int, float, float]], width: int) -> None:
-    """Isotonic chances of votes from (bin, rows, toxic rows), each pool shrunk by two rows at the mean."""
+    """Isotonic chances of votes from (bin, rows, toxic rows), each pool shrunk by two rows at the mean.
+
+    Without rows, or with toxic ones only, nothing is known of clean texts: the vote stays the score."""
     bins = sorted(bins)
     n, pos = sum(b[1] for b in bins), sum(b[2] for b in bins)
-    if not n:
+    if not n or pos == n:
         return
     pools: list[list[float]] = []  # rows, toxic rows, first bin, last bin
     for at, rows, toxic in bins:
@@ -317,7 +319,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Rows of ``docs`` scored below ``threshold``; all columns are kept."""
+    """Rows of ``docs`` scored below ``threshold``; all columns are kept, whatever their names.
+
+    Decided by text alone: equal texts share their fate, ids may be null or
+    repeated.  Null and empty texts have no neighbours and the chance of such
+    rows; without labels of both classes every row stays; an empty table gives
+    an empty result.
+    """
     model, _ = fit(docs, labels, id_col, text_col, label_col)
     sent = shipped(docs.sparkSession, model)
 
