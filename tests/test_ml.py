@@ -117,6 +117,29 @@ def test_train_save_load_score(spark, tmpdir_path):
     assert got == want and got["0"][0] == -1
 
 
+def test_training_rows_are_dealt_evenly_and_read_once(spark, monkeypatch):
+    """The tasks of the trees follow the rows, not the bytes, and the input is worked out once."""
+    from tidemark.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(age):
+        reads.add(1)
+        return age
+
+    data = _labelled(spark).coalesce(1).withColumn("age", F.udf(seen, "long").asNondeterministic()("age"))
+    monkeypatch.setattr(ml, "TRAIN_TASK_ROWS", 50)
+    got = ml._training_rows(data)
+    assert reads.value == 400
+    sizes = got.groupBy(F.spark_partition_id()).count().toPandas()["count"].tolist()
+    assert len(sizes) == 8 and max(sizes) <= 60 and sum(sizes) == 400
+    want = {r.customer_id: r.split for r in ml.stratified_split(_labelled(spark)).collect()}
+    assert {r.customer_id: r.split for r in got.collect()} == want
+    monkeypatch.setattr(ml, "TRAIN_TASKS", 2)
+    monkeypatch.setattr(ml, "TRAIN_TASK_MAX_ROWS", 100)
+    assert ml._training_rows(data).select(F.spark_partition_id()).distinct().count() == 4
+
+
 def test_load_missing_model_is_clear_error(spark, tmpdir_path):
     with pytest.raises(FileNotFoundError):
         ml.load_model(spark, os.path.join(tmpdir_path, "nope"))

@@ -39,6 +39,10 @@ SEED = 42
 TEST_FRACTION = 0.2
 CLASS_NAMES = ["active", "churned"]
 AUC_RANGE_ROWS = 1_000_000
+#: Rows of a training task, up to ``TRAIN_TASKS`` tasks; beyond, tasks grow to ``TRAIN_TASK_MAX_ROWS`` rows.
+TRAIN_TASK_ROWS = 32_768
+TRAIN_TASKS = 256
+TRAIN_TASK_MAX_ROWS = 262_144
 
 
 # --- M1, S10, S11, P8 ---------------------------------------------------------------
@@ -268,6 +272,23 @@ def _stages(n_trees: int, seed: int):
     return prep, indexer, imputer, assembler, gbt
 
 
+def _training_rows(labelled: DataFrame, seed: int = SEED) -> DataFrame:
+    """The labelled rows with ``label`` and ``split``, dealt evenly over tasks.
+
+    The trees pass over these rows some 400 times, one short job each.  Spark
+    sizes partitions of a shuffle by bytes, and rows this narrow would stand
+    in a few; so the number of tasks follows the number of rows instead.
+    """
+    data = labelled.where(F.col(TARGET).isNotNull()).withColumn("label", F.col(TARGET).cast("double"))
+    # The split reads its input three times: written first, the mart is worked out once.
+    data = data.checkpoint()
+    n = data.count()
+    tasks = max(1, min(TRAIN_TASKS, -(-n // TRAIN_TASK_ROWS)), -(-n // TRAIN_TASK_MAX_ROWS))
+    # Read by the encoder fit, the class counts, the imputer, the trees and the
+    # evaluation: written once to the shared checkpoint folder (and survives lost executors).
+    return stratified_split(data, seed=seed).repartition(tasks).checkpoint()
+
+
 def train_churn(spark: SparkSession, labelled: DataFrame, seed: int = SEED,
                 n_trees: int = N_TREES) -> tuple[PipelineModel, dict]:
     """M6: encoders on all labelled rows (D11), hash split, class weight, boosted trees.
@@ -279,11 +300,7 @@ def train_churn(spark: SparkSession, labelled: DataFrame, seed: int = SEED,
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    data = labelled.where(F.col(TARGET).isNotNull()).withColumn("label", F.col(TARGET).cast("double"))
-    # Read by the encoder fit, the class counts, the imputer, the trees and the
-    # evaluation: write it once to the shared checkpoint folder instead of
-    # recomputing the mart for every pass (and survive lost executors).
-    data = stratified_split(data, seed=seed).checkpoint()
+    data = _training_rows(labelled, seed)
     prep, indexer, imputer, assembler, gbt = _stages(n_trees, seed)
     enc = Pipeline(stages=[prep, indexer]).fit(data)
     # StringIndexer "keep" puts unseen values at index n; the reference uses -1.
