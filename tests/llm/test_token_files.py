@@ -98,6 +98,33 @@ def test_cases(spark, docs, tmp_path):
     assert {k: sorted(v) for k, v in texts.items()} == {k: sorted(v) for k, v in want.items()}
 
 
+def test_one_encoder_a_worker(spark, docs, tmp_path, monkeypatch):
+    """A Python worker makes its encoder once, whatever the number of its tasks, and the ids stay right."""
+    log = str(tmp_path / "made")
+
+    class Noted(T.Encoder):
+        def __init__(self, *args):
+            super().__init__(*args)
+            import os
+            with open(log, "a") as f:
+                f.write(f"{os.getpid()}\n")
+
+    rows = [(i, f"text number {i} of {i % 7} caf\u00e9") for i in range(600)]
+    monkeypatch.setattr(T, "Encoder", Noted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        T.write_token_files(docs(rows), str(tmp_path / "out"), FILE)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with open(log) as f:
+        made = f.read().split()
+    assert made and len(made) == len(set(made))
+    got = sorted(tuple(r) for r in T.token_file_report(spark, str(tmp_path / "out")).collect())
+    assert got == plain(rows)
+    assert T._shards(spark, str(tmp_path / "out")).count() > len(made)
+
+
 def test_random_access_and_damage(spark, docs, tmp_path):
     path = str(tmp_path / "out")
     T.write_token_files(docs([(i, f"text number {i}") for i in range(600)]).coalesce(1), path, FILE)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import shipped
+from .common import made_once
 from .token_counts import _LATIN_FIND, _LATIN_ONLY, byte_alphabet
 
 MAGIC = b"TIDIDS01"
@@ -46,7 +46,7 @@ SAMPLE = 256
 SHARD_IDS = 4_000_000
 #: Text bytes that one task sorts and encodes; it spills, so this bounds time rather than memory.
 PARTITION_BYTES = 1 << 30
-#: Pre-tokens whose ids a task remembers; when full, it starts anew.
+#: Pre-tokens whose ids a Python worker remembers over its tasks; when full, it starts anew.
 MEMO = 400_000
 
 
@@ -241,7 +241,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError("document ids must be of an integer type")
     spark = docs.sparkSession
-    sent = shipped(spark, spec)
+    encoder_of = made_once(spark, spec, lambda s: Encoder(s, width))      # with the words it has met
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("body"))
     size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
@@ -252,7 +252,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encoder, piece = Encoder(sent(), width), TaskContext.get().partitionId() << 32
+        encoder, piece = encoder_of(), TaskContext.get().partitionId() << 32
         size, end = np.dtype(width).itemsize, np.array([end_id], width).tobytes()
         names, lengths, held, total = [], [], [], 0
 
